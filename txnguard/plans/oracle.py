@@ -91,4 +91,55 @@ SELECT user_id, window_start, window_end, "count", 'velocity' AS fraud_type FROM
     q["velocity_expanded_range"] = q["velocity_expanded"]
     q["fraud_union"] = _with(*_base()) + "SELECT * FROM high UNION ALL SELECT * FROM vel_hits"
     q["fraud_consolidated"] = _consolidated_sql()
+    q["bronze_raw"] = _with(TXN_CTE) + """
+SELECT to_json(struct_pack(transaction_id := transaction_id, user_id := user_id,
+         merchant_id := merchant_id, transaction_amount := transaction_amount,
+         transaction_time := transaction_time, device_id := device_id, location := location,
+         is_international := is_international)) AS value,
+       ingestion_time
+FROM txn"""
+    q["silver_flat"] = q["transactions"]
+    q["silver_valid"] = q["transactions"]
+    q["silver_dedup"] = q["transactions"]
+    q["silver_quarantine"] = f"""
+WITH raw AS (
+  SELECT props AS value, ts + INTERVAL 5 SECOND AS ingestion_time FROM events
+  UNION ALL
+  SELECT event_type AS value, ts + INTERVAL 5 SECOND AS ingestion_time FROM events
+),
+checked AS (
+  SELECT value, ingestion_time,
+    CASE WHEN value IS NULL OR trim(value) = '' THEN 'empty'
+         WHEN NOT json_valid(value) THEN 'malformed_json'
+         {_missing_checks()}
+    END AS reject_reason
+  FROM raw
+)
+SELECT * FROM checked WHERE reject_reason IS NOT NULL"""
+    q["silver_normalized"] = _with(TXN_CTE) + """
+SELECT trim(transaction_id) AS transaction_id,
+       lower(trim(user_id)) AS user_id,
+       lower(trim(merchant_id)) AS merchant_id,
+       round(transaction_amount, 2) AS transaction_amount,
+       coalesce(strftime(TRY_CAST(trim(transaction_time) AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%f'),
+                transaction_time) AS transaction_time,
+       lower(trim(device_id)) AS device_id,
+       coalesce(CASE lower(trim(location)) WHEN 'india' THEN 'India' WHEN 'usa' THEN 'USA'
+                  WHEN 'canada' THEN 'Canada' WHEN 'uk' THEN 'UK' WHEN 'germany' THEN 'Germany' END,
+                trim(location)) AS location,
+       is_international,
+       ingestion_time,
+       lower(trim(merchant_id)) IN ('amazon','walmart','target','bestbuy','flipkart') AS merchant_known,
+       lower(trim(location)) IN ('india','usa','canada','uk','germany') AS location_known
+FROM txn"""
     return q
+
+
+def _missing_checks() -> str:
+    fields = ["transaction_id", "user_id", "merchant_id", "transaction_amount",
+              "transaction_time", "device_id", "location", "is_international"]
+    return "\n         ".join(
+        f"WHEN json_extract(value, '$.{f}') IS NULL OR json_type(json_extract(value, '$.{f}')) = 'NULL' "
+        f"THEN 'missing_{f}'"
+        for f in fields
+    )

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from txnguard.functions.columns import to_ntz
 from txnguard.operators import consolidate as C
+from txnguard.operators import ingest as I
 from txnguard.operators import rules as R
 from txnguard.schemas import HIT_COLS, TXN_COLS
 from txnguard.session import configure
-from txnguard.sources.tables import read_transactions
+from txnguard.sources.tables import noisy_bronze, read_table, read_transactions, redelivered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,41 @@ def q_fraud_consolidated(spark, sf_dir):
     return _rules_text(_ntz(out, "ingestion_time"))
 
 
+# --- JSON wire path ----------------------------------------------------------------
+
+
+def q_bronze_raw(spark, sf_dir):
+    return _ntz(I.to_wire_json(_silver(spark, sf_dir)), "ingestion_time")
+
+
+def q_silver_flat(spark, sf_dir):
+    bronze = I.to_wire_json(_silver(spark, sf_dir))
+    return _ntz(I.to_silver(bronze), "ingestion_time")
+
+
+def _noisy(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    return noisy_bronze(silver, read_table(spark, sf_dir, "events"))
+
+
+def q_silver_quarantine(spark, sf_dir):
+    _, rejects = I.split_valid(I.to_silver_checked(_noisy(spark, sf_dir)))
+    return _ntz(rejects, "ingestion_time")
+
+
+def q_silver_valid(spark, sf_dir):
+    valid, _ = I.split_valid(I.to_silver_checked(_noisy(spark, sf_dir)))
+    return _ntz(valid, "ingestion_time")
+
+
+def q_silver_dedup(spark, sf_dir):
+    return _ntz(I.dedup_earliest(redelivered(_silver(spark, sf_dir))), "ingestion_time")
+
+
+def q_silver_normalized(spark, sf_dir):
+    return _ntz(I.normalize(_silver(spark, sf_dir)), "ingestion_time")
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -96,6 +132,12 @@ def queries() -> dict[str, Query]:
         "velocity_expanded_range": q_velocity_expanded_range,
         "fraud_union": q_fraud_union,
         "fraud_consolidated": q_fraud_consolidated,
+        "bronze_raw": q_bronze_raw,
+        "silver_flat": q_silver_flat,
+        "silver_quarantine": q_silver_quarantine,
+        "silver_valid": q_silver_valid,
+        "silver_dedup": q_silver_dedup,
+        "silver_normalized": q_silver_normalized,
     }
 
 

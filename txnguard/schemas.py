@@ -23,6 +23,9 @@ VELOCITY_WATERMARK = "2 minutes"
 # Risk score by number of distinct triggered rules (fixed values):
 # 1 rule -> 0.30, 2 rules -> 0.60, 3 or more -> 0.90
 RISK_SCORE_BY_RULES = ((1, 0.30), (2, 0.60), (3, 0.90))
+# Value domains of the event contract (simulator lists, fixed values):
+MERCHANT_DOMAIN = ["amazon", "walmart", "target", "bestbuy", "flipkart"]
+LOCATION_DOMAIN = ["India", "USA", "Canada", "UK", "Germany"]
 # --- end of fixed values -------------------------------------------------------
 
 EVENT_FIELDS = [
