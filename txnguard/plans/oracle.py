@@ -99,6 +99,10 @@ SELECT to_json(struct_pack(transaction_id := transaction_id, user_id := user_id,
        ingestion_time
 FROM txn"""
     q["silver_flat"] = q["transactions"]
+    q["stream_silver"] = q["transactions"]
+    q["stream_high_amount"] = q["high_amount"]
+    q["stream_velocity"] = q["velocity"]
+    q["stream_velocity_update"] = q["velocity"]
     q["silver_valid"] = q["transactions"]
     q["silver_dedup"] = q["transactions"]
     q["silver_quarantine"] = f"""

@@ -20,6 +20,7 @@ from txnguard.operators import ingest as I
 from txnguard.operators import rules as R
 from txnguard.schemas import HIT_COLS, TXN_COLS
 from txnguard.session import configure
+from txnguard.streaming import replay as S
 from txnguard.sources.tables import noisy_bronze, read_table, read_transactions, redelivered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,8 +60,7 @@ def q_high_amount(spark, sf_dir):
 
 
 def q_velocity(spark, sf_dir):
-    v = R.velocity_gold(_silver(spark, sf_dir))
-    return _flat_window(v).select("user_id", "window_start", "window_end", "count", "fraud_type")
+    return _velocity_out(R.velocity_gold(_silver(spark, sf_dir)))
 
 
 def q_velocity_expanded(spark, sf_dir, method="bucketed"):
@@ -123,6 +123,33 @@ def q_silver_normalized(spark, sf_dir):
     return _ntz(I.normalize(_silver(spark, sf_dir)), "ingestion_time")
 
 
+# --- streaming replays (availableNow through real Parquet sinks) -------------------
+
+
+def q_stream_silver(spark, sf_dir):
+    configure(spark)
+    return _ntz(S.stream_silver(spark, sf_dir), "ingestion_time")
+
+
+def q_stream_high_amount(spark, sf_dir):
+    configure(spark)
+    return _ntz(S.stream_high_amount(spark, sf_dir), "ingestion_time")
+
+
+def _velocity_out(v: DataFrame) -> DataFrame:
+    return _flat_window(v).select("user_id", "window_start", "window_end", "count", "fraud_type")
+
+
+def q_stream_velocity(spark, sf_dir):
+    configure(spark)
+    return _velocity_out(S.stream_velocity(spark, sf_dir))
+
+
+def q_stream_velocity_update(spark, sf_dir):
+    configure(spark)
+    return _velocity_out(S.stream_velocity_update(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -138,6 +165,10 @@ def queries() -> dict[str, Query]:
         "silver_valid": q_silver_valid,
         "silver_dedup": q_silver_dedup,
         "silver_normalized": q_silver_normalized,
+        "stream_silver": q_stream_silver,
+        "stream_high_amount": q_stream_high_amount,
+        "stream_velocity": q_stream_velocity,
+        "stream_velocity_update": q_stream_velocity_update,
     }
 
 
