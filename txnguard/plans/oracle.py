@@ -62,6 +62,79 @@ vel_hits AS (
 )"""
 
 
+TIMED_OK = "(SELECT * FROM timed WHERE event_time IS NOT NULL)"
+
+D1_CTE = f"""
+d1 AS (
+  SELECT * FROM (
+    SELECT *, count(transaction_amount) OVER w AS prior_n, avg(transaction_amount) OVER w AS prior_avg
+    FROM {TIMED_OK}
+    WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  ) WHERE transaction_amount > 3 * prior_avg
+)"""
+
+D2_CTE = f"""
+d2 AS (
+  SELECT * FROM (
+    SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(event_time)
+                             RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS rolling_count
+    FROM {TIMED_OK}
+  ) WHERE rolling_count > 5
+)"""
+
+D3_CTE = f"""
+d3 AS (
+  SELECT *, gap_us / 1e6 AS gap_seconds FROM (
+    SELECT *, lag(location) OVER w AS prev_location,
+           epoch_us(event_time) - lag(epoch_us(event_time)) OVER w AS gap_us
+    FROM {TIMED_OK}
+    WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id)
+  ) WHERE location <> prev_location AND gap_us < 10000000
+)"""
+
+D4_CTE = f"""
+d4 AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, device_id
+                                 ORDER BY event_time, transaction_id) AS rn
+    FROM {TIMED_OK}
+  ) WHERE rn = 1 AND transaction_amount > 20000
+)"""
+
+D5_CTE = f"""
+d5 AS (
+  SELECT * FROM (
+    SELECT *, (epoch_us(event_time) - min(epoch_us(event_time)) OVER (PARTITION BY user_id)) / 1e6
+              AS account_age_seconds
+    FROM {TIMED_OK}
+  ) WHERE transaction_amount > 20000 AND account_age_seconds < 420
+)"""
+
+ALL_HITS_CTE = f"""
+all_hits AS (
+  SELECT * FROM high
+  UNION ALL SELECT * FROM vel_hits
+  UNION ALL SELECT {TXN_COLS_SQL}, 'AMOUNT_VS_AVG' FROM d1
+  UNION ALL SELECT {TXN_COLS_SQL}, 'LOCATION_JUMP' FROM d3
+  UNION ALL SELECT {TXN_COLS_SQL}, 'NEW_DEVICE' FROM d4
+  UNION ALL SELECT {TXN_COLS_SQL}, 'YOUNG_ACCOUNT' FROM d5
+)"""
+
+SCORED_CTE = f"""
+scored AS (
+  SELECT *, CASE WHEN risk_score >= 0.6 THEN 1 ELSE 0 END AS is_fraud FROM (
+    SELECT {TXN_COLS_SQL},
+           array_to_string(list_sort(list(DISTINCT triggered_rule)), ',') AS triggered_rules,
+           CAST(count(DISTINCT triggered_rule) AS INTEGER) AS n_rules,
+           CAST(CASE WHEN count(DISTINCT triggered_rule) >= 3 THEN 0.9
+                     WHEN count(DISTINCT triggered_rule) >= 2 THEN 0.6
+                     WHEN count(DISTINCT triggered_rule) >= 1 THEN 0.3 ELSE 0.0 END AS DOUBLE) AS risk_score
+    FROM all_hits GROUP BY ALL
+  )
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -136,6 +209,18 @@ SELECT trim(transaction_id) AS transaction_id,
        lower(trim(merchant_id)) IN ('amazon','walmart','target','bestbuy','flipkart') AS merchant_known,
        lower(trim(location)) IN ('india','usa','canada','uk','germany') AS location_known
 FROM txn"""
+    t = [TXN_CTE, TIMED_CTE]
+    q["rule_amount_vs_avg"] = _with(*t, D1_CTE) + f"SELECT {TXN_COLS_SQL}, prior_n FROM d1"
+    q["velocity_rolling"] = _with(*t, D2_CTE) + f"SELECT {TXN_COLS_SQL}, rolling_count FROM d2"
+    q["rule_location_jump"] = _with(*t, D3_CTE) + (
+        f"SELECT {TXN_COLS_SQL}, prev_location, gap_seconds FROM d3")
+    q["rule_new_device"] = _with(*t, D4_CTE) + f"SELECT {TXN_COLS_SQL} FROM d4"
+    q["rule_young_account"] = _with(*t, D5_CTE) + (
+        f"SELECT {TXN_COLS_SQL}, account_age_seconds FROM d5")
+    scored = _with(*_base(), D1_CTE, D3_CTE, D4_CTE, D5_CTE, ALL_HITS_CTE, SCORED_CTE)
+    q["risk_score"] = scored + (
+        f"SELECT {TXN_COLS_SQL}, triggered_rules, n_rules, risk_score FROM scored")
+    q["risk_label"] = scored + "SELECT transaction_id, ingestion_time, risk_score, is_fraud FROM scored"
     return q
 
 

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import to_ntz
+from txnguard.operators import behaviour as B
 from txnguard.operators import consolidate as C
+from txnguard.operators import scoring as SC
 from txnguard.operators import ingest as I
 from txnguard.operators import rules as R
 from txnguard.schemas import HIT_COLS, TXN_COLS
@@ -123,6 +125,52 @@ def q_silver_normalized(spark, sf_dir):
     return _ntz(I.normalize(_silver(spark, sf_dir)), "ingestion_time")
 
 
+# --- behavioural rules, score, label ---------------------------------------------
+# The driver events are time-compressed 1440x (one day -> one minute), so the
+# prose's "5 minutes" gap and "7 days" account age are scaled to the data.
+FIXTURE_RULE_PARAMS = {"max_gap": "10 seconds", "max_age": "7 minutes"}
+
+
+def _txn_out(df: DataFrame, *extra: str) -> DataFrame:
+    return _ntz(df.select(*TXN_COLS, *extra), "ingestion_time")
+
+
+def q_rule_amount_vs_avg(spark, sf_dir):
+    return _txn_out(B.amount_vs_history(_silver(spark, sf_dir)), "prior_n")
+
+
+def q_velocity_rolling(spark, sf_dir):
+    return _txn_out(B.rolling_velocity(_silver(spark, sf_dir)), "rolling_count")
+
+
+def q_rule_location_jump(spark, sf_dir):
+    out = B.location_jump(_silver(spark, sf_dir), max_gap=FIXTURE_RULE_PARAMS["max_gap"])
+    return _txn_out(out, "prev_location", "gap_seconds")
+
+
+def q_rule_new_device(spark, sf_dir):
+    return _txn_out(B.new_device(_silver(spark, sf_dir)))
+
+
+def q_rule_young_account(spark, sf_dir):
+    out = B.young_account(_silver(spark, sf_dir), max_age=FIXTURE_RULE_PARAMS["max_age"])
+    return _txn_out(out, "account_age_seconds")
+
+
+def _scored(spark, sf_dir):
+    return SC.scored_transactions(_silver(spark, sf_dir), **FIXTURE_RULE_PARAMS)
+
+
+def q_risk_score(spark, sf_dir):
+    out = _scored(spark, sf_dir).select(*TXN_COLS, "triggered_rules", "n_rules", "risk_score")
+    return _rules_text(_ntz(out, "ingestion_time"))
+
+
+def q_risk_label(spark, sf_dir):
+    out = _scored(spark, sf_dir).select("transaction_id", "ingestion_time", "risk_score", "is_fraud")
+    return _ntz(out, "ingestion_time")
+
+
 # --- streaming replays (availableNow through real Parquet sinks) -------------------
 
 
@@ -165,6 +213,13 @@ def queries() -> dict[str, Query]:
         "silver_valid": q_silver_valid,
         "silver_dedup": q_silver_dedup,
         "silver_normalized": q_silver_normalized,
+        "rule_amount_vs_avg": q_rule_amount_vs_avg,
+        "velocity_rolling": q_velocity_rolling,
+        "rule_location_jump": q_rule_location_jump,
+        "rule_new_device": q_rule_new_device,
+        "rule_young_account": q_rule_young_account,
+        "risk_score": q_risk_score,
+        "risk_label": q_risk_label,
         "stream_silver": q_stream_silver,
         "stream_high_amount": q_stream_high_amount,
         "stream_velocity": q_stream_velocity,
