@@ -135,6 +135,26 @@ scored AS (
 )"""
 
 
+CONS_CTE = f"""
+cons AS (
+  SELECT {TXN_COLS_SQL},
+         list_sort(list(DISTINCT triggered_rule)) AS rules
+  FROM (SELECT * FROM high UNION ALL SELECT * FROM vel_hits)
+  GROUP BY ALL
+)"""
+
+
+def _rollup_side(src: str, n: str, amt: str, users: str) -> str:
+    return f"""
+  SELECT strftime(CAST(TRY_CAST(transaction_time AS TIMESTAMP) AS DATE), '%Y-%m-%d') AS event_date,
+         location, merchant_id,
+         CAST(GROUPING(event_date, location, merchant_id) AS BIGINT) AS grouping_level,
+         count(*) AS {n}, round(sum(transaction_amount), 2) AS {amt},
+         count(DISTINCT user_id) AS {users}
+  FROM {src}
+  GROUP BY ROLLUP (event_date, location, merchant_id)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -221,9 +241,48 @@ FROM txn"""
     q["risk_score"] = scored + (
         f"SELECT {TXN_COLS_SQL}, triggered_rules, n_rules, risk_score FROM scored")
     q["risk_label"] = scored + "SELECT transaction_id, ingestion_time, risk_score, is_fraud FROM scored"
+    q["metrics_rollup"] = _with(*_base(), CONS_CTE) + f"""
+SELECT t.event_date, t.location, t.merchant_id, t.grouping_level, n_txn, total_amount, n_users,
+       coalesce(n_flagged, 0) AS n_flagged, coalesce(flagged_amount, 0.0) AS flagged_amount,
+       coalesce(n_flagged_users, 0) AS n_flagged_users,
+       coalesce(n_flagged, 0) / n_txn AS flag_rate
+FROM ({_rollup_side('txn', 'n_txn', 'total_amount', 'n_users')}) t
+LEFT JOIN ({_rollup_side('cons', 'n_flagged', 'flagged_amount', 'n_flagged_users')}) f
+  ON t.grouping_level = f.grouping_level AND t.event_date IS NOT DISTINCT FROM f.event_date
+ AND t.location IS NOT DISTINCT FROM f.location AND t.merchant_id IS NOT DISTINCT FROM f.merchant_id"""
+    q["user_features"] = _with(*_base(), CONS_CTE) + """
+SELECT b.*, coalesce(h.n_flagged, 0) AS n_flagged FROM (
+  SELECT user_id, count(*) AS n_txn, round(sum(transaction_amount), 2) AS total_amount,
+         round(avg(transaction_amount), 2) AS avg_amount, max(transaction_amount) AS max_amount,
+         count(DISTINCT device_id) AS n_devices, count(DISTINCT location) AS n_locations,
+         count(DISTINCT merchant_id) AS n_merchants,
+         count(CASE WHEN is_international THEN 1 END) AS n_international,
+         min(event_time) AS first_seen, max(event_time) AS last_seen
+  FROM timed GROUP BY user_id
+) b LEFT JOIN (SELECT user_id, count(*) AS n_flagged FROM cons GROUP BY user_id) h USING (user_id)"""
+    q["report"] = _with(*_base(), CONS_CTE) + f"""
+SELECT {TXN_COLS_SQL}, array_to_string(rules, ',') AS triggered_rules,
+       CAST(len(rules) AS INTEGER) AS n_rules,
+       CAST(CASE WHEN len(rules) >= 3 THEN 0.9 WHEN len(rules) >= 2 THEN 0.6
+                 WHEN len(rules) >= 1 THEN 0.3 ELSE 0.0 END AS DOUBLE) AS risk_score,
+       strftime(CAST(TRY_CAST(transaction_time AS TIMESTAMP) AS DATE), '%Y-%m-%d') AS event_date
+FROM cons"""
+    q["profile"] = _with(TXN_CTE) + _profile_sql()
     return q
 
 
+def _profile_sql() -> str:
+    fields = ["transaction_id", "user_id", "merchant_id", "transaction_amount",
+              "transaction_time", "device_id", "location", "is_international", "ingestion_time"]
+    parts = [
+        f"SELECT '{f}' AS column_name, count(*) - count({f}) AS n_null, "
+        f"count(DISTINCT {f}) AS n_distinct, CAST(min({f}) AS VARCHAR) AS min_value, "
+        f"CAST(max({f}) AS VARCHAR) AS max_value, count(*) AS n_rows FROM txn"
+        for f in fields
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
 def _missing_checks() -> str:
     fields = ["transaction_id", "user_id", "merchant_id", "transaction_amount",
               "transaction_time", "device_id", "location", "is_international"]

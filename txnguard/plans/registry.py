@@ -19,6 +19,7 @@ from txnguard.operators import behaviour as B
 from txnguard.operators import consolidate as C
 from txnguard.operators import scoring as SC
 from txnguard.operators import ingest as I
+from txnguard.operators import marts as M
 from txnguard.operators import rules as R
 from txnguard.schemas import HIT_COLS, TXN_COLS
 from txnguard.session import configure
@@ -171,6 +172,37 @@ def q_risk_label(spark, sf_dir):
     return _ntz(out, "ingestion_time")
 
 
+# --- marts -----------------------------------------------------------------------
+
+
+def _consolidated(silver: DataFrame) -> DataFrame:
+    return C.consolidate(R.high_amount(silver), R.velocity(silver), silver)
+
+
+def _date_text(df: DataFrame, col: str = "event_date") -> DataFrame:
+    return df.withColumn(col, F.date_format(col, "yyyy-MM-dd"))
+
+
+def q_metrics_rollup(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    return _date_text(M.metrics_rollup(silver, _consolidated(silver), exact=True))
+
+
+def q_user_features(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    out = M.user_features(silver, _consolidated(silver), exact=True)
+    return _ntz(out, "first_seen", "last_seen")
+
+
+def q_report(spark, sf_dir):
+    out = M.report(_consolidated(_silver(spark, sf_dir)))
+    return _date_text(_rules_text(_ntz(out, "ingestion_time")))
+
+
+def q_profile(spark, sf_dir):
+    return M.profile(_silver(spark, sf_dir), exact=True)
+
+
 # --- streaming replays (availableNow through real Parquet sinks) -------------------
 
 
@@ -220,6 +252,10 @@ def queries() -> dict[str, Query]:
         "rule_young_account": q_rule_young_account,
         "risk_score": q_risk_score,
         "risk_label": q_risk_label,
+        "metrics_rollup": q_metrics_rollup,
+        "user_features": q_user_features,
+        "report": q_report,
+        "profile": q_profile,
         "stream_silver": q_stream_silver,
         "stream_high_amount": q_stream_high_amount,
         "stream_velocity": q_stream_velocity,
