@@ -62,11 +62,24 @@ def parse_events(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Data
     )
 
 
+def _parse_flat(json_text, schema: T.StructType, options: dict | None = None):
+    """Parse + flatten as one generator: ``inline(array(from_json(..)))``.
+
+    Same rows as ``select(from_json(..).alias("data")).select("data.*")``
+    (one row per input, all NULL for NULL/bad text), but predicates on the
+    parsed fields stay above the generator. With the plain struct form,
+    Catalyst pushes such filters below the projection and inlines
+    ``from_json`` into every field reference, parsing each row once per
+    referenced field.
+    """
+    return F.inline(F.array(F.from_json(json_text, schema, options or {})))
+
+
 def to_silver(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """R4 body: parse + flatten (P3/P4). Unparseable rows become all-NULL rows
     and are kept, exactly like the reference; see ``split_valid`` to reject.
     """
-    return parse_events(bronze, schema).select("data.*", "ingestion_time")
+    return bronze.select(_parse_flat(F.col("value").cast("string"), schema), F.col("ingestion_time"))
 
 
 def to_silver_checked(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -74,15 +87,12 @@ def to_silver_checked(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) ->
     ``_reject_reason`` column naming the first failed check (NULL = valid).
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     parsed = bronze.select(
-        F.from_json(
-            F.col("value").cast("string"),
-            with_corrupt,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL},
-        ).alias("data"),
+        _parse_flat(F.col("value").cast("string"), with_corrupt, opts),
         F.col("value").cast("string").alias("_raw"),
         F.col("ingestion_time"),
-    ).select("data.*", "_raw", "ingestion_time")
+    )
     return parsed.withColumn("_reject_reason", reject_reason(REQUIRED_FIELDS))
 
 
