@@ -109,7 +109,7 @@ def amount_vs_history(
         joined.withColumn("prior_n", prior_n)
         .withColumn("prior_avg", F.when(F.col("prior_n") > 0, prior_sum / F.col("prior_n")))
         .withColumn("amount_vs_avg", F.coalesce(amount > F.lit(factor) * F.col("prior_avg"), F.lit(False)))
-        .drop("_ps", "_pn", _B, _US)
+        .select(*silver.columns, "prior_n", "prior_avg", "amount_vs_avg")
     )
     return out if keep_all else out.filter("amount_vs_avg")
 

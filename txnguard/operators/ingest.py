@@ -143,7 +143,13 @@ def dedup_earliest(silver: DataFrame, key: str = "transaction_id") -> DataFrame:
 
 
 def dedup_stream(silver: DataFrame, key: str = "transaction_id", delay: str = "10 minutes") -> DataFrame:
-    """D9 (stream): drop repeats of a key seen within the watermark delay."""
+    """D9 (stream): drop repeats of a key seen within the watermark delay.
+
+    State per key lives until the watermark passes its event time + delay.
+    On a batch DataFrame this is ``dedup_earliest`` (whole input known).
+    """
+    if not silver.isStreaming:
+        return dedup_earliest(silver, key)
     return (
         silver.withColumn("_et", event_time("transaction_time"))
         .withWatermark("_et", delay)
