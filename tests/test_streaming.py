@@ -174,3 +174,18 @@ def test_ingestion_time_constant_within_batch(spark, scratch):
     out = RP.run_to_table(I.to_bronze(lake.read_text_stream(spark, raw_dir)), spark, "ingest_ts")
     assert out.select("ingestion_time").distinct().count() == 1
     assert isinstance(out.first().ingestion_time, dt.datetime)
+
+
+def test_streaming_consolidation_equals_batch_and_evicts_state(spark):
+    # Expansion streams to hit tables, grouping happens in batch
+    from txnguard.operators import consolidate as C
+    from txnguard.streaming import consolidate as SC
+
+    out, qs = SC.consolidate_stream(spark, RP.silver_stream(spark, SF_SMALL, flush=True))
+    out = out.filter(out.user_id != RP.SENTINEL_USER)
+    silver = read_transactions(spark, SF_SMALL)
+    batch = C.consolidate(R.high_amount(silver), R.velocity(silver), silver)
+    assert out.count() == 93 and _same(out, batch)
+    last = qs[1].lastProgress
+    join_state = [o for o in last["stateOperators"] if o["operatorName"] == "symmetricHashJoin"]
+    assert join_state and join_state[0]["numRowsTotal"] < 10  # silver rows evicted past the watermark

@@ -79,3 +79,9 @@ def high_amount_gold(df: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD) ->
 def velocity_gold(df: DataFrame, **kwargs) -> DataFrame:
     """Gold velocity table layout: user_id, window, count, fraud_type."""
     return tag(velocity(df, **kwargs), FRAUD_TYPE_VELOCITY)
+
+
+def tagged_union(high_tagged: DataFrame, velocity_tagged: DataFrame) -> DataFrame:
+    """One table of both tagged rule outputs (13 and 4 columns); columns
+    missing on a side are NULL. Stateless, so it also unions two streams."""
+    return high_tagged.unionByName(velocity_tagged, allowMissingColumns=True)

@@ -196,6 +196,8 @@ FROM txn"""
     q["stream_high_amount"] = q["high_amount"]
     q["stream_velocity"] = q["velocity"]
     q["stream_velocity_update"] = q["velocity"]
+    q["stream_velocity_expanded"] = q["velocity_expanded"]
+    q["stream_consolidated"] = q["fraud_consolidated"]
     q["silver_valid"] = q["transactions"]
     q["silver_dedup"] = q["transactions"]
     q["silver_quarantine"] = f"""

@@ -23,6 +23,7 @@ from txnguard.operators import marts as M
 from txnguard.operators import rules as R
 from txnguard.schemas import HIT_COLS, TXN_COLS
 from txnguard.session import configure
+from txnguard.streaming import consolidate as SCON
 from txnguard.streaming import replay as S
 from txnguard.sources.tables import noisy_bronze, read_table, read_transactions, redelivered
 
@@ -230,6 +231,20 @@ def q_stream_velocity_update(spark, sf_dir):
     return _velocity_out(S.stream_velocity_update(spark, sf_dir))
 
 
+def q_stream_velocity_expanded(spark, sf_dir):
+    configure(spark)
+    hits = S.run_to_table(SCON.expand_velocity_stream(S.silver_stream(spark, sf_dir, flush=True)),
+                          spark, "velocity_expanded")
+    return _ntz(hits.filter(F.col("user_id") != S.SENTINEL_USER), "ingestion_time")
+
+
+def q_stream_consolidated(spark, sf_dir):
+    configure(spark)
+    out, _ = SCON.consolidate_stream(spark, S.silver_stream(spark, sf_dir, flush=True))
+    out = out.filter(F.col("user_id") != S.SENTINEL_USER)
+    return _rules_text(_ntz(out, "ingestion_time"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -260,6 +275,8 @@ def queries() -> dict[str, Query]:
         "stream_high_amount": q_stream_high_amount,
         "stream_velocity": q_stream_velocity,
         "stream_velocity_update": q_stream_velocity_update,
+        "stream_velocity_expanded": q_stream_velocity_expanded,
+        "stream_consolidated": q_stream_consolidated,
     }
 
 
