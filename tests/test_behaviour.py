@@ -116,3 +116,12 @@ def test_rules_keep_silver_columns(spark):
     for df in [B.amount_vs_history(silver), B.rolling_velocity(silver), B.new_device(silver),
                B.location_jump(silver), B.young_account(silver)]:
         assert df.columns[: len(TXN_COLS)] == TXN_COLS
+
+
+def test_fraud_model_scores_every_user(spark):
+    from __spark_entry__ import queries
+
+    out = queries()["fraud_model"](spark, SF_SMALL)
+    rows = out.collect()
+    assert len(rows) == read_transactions(spark, SF_SMALL).select("user_id").distinct().count()
+    assert all(0.0 <= r.fraud_probability <= 1.0 for r in rows)

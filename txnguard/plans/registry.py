@@ -204,6 +204,17 @@ def q_profile(spark, sf_dir):
     return M.profile(_silver(spark, sf_dir), exact=True)
 
 
+def q_fraud_model(spark, sf_dir):
+    """D15 (no SQL twin): per-user probability from a logistic regression
+    trained on the user features with rule-derived labels."""
+    from txnguard.operators import model as ML
+
+    silver = _silver(spark, sf_dir)
+    feats = M.user_features(silver, _consolidated(silver))
+    labels = ML.user_labels(SC.scored_transactions(silver, **FIXTURE_RULE_PARAMS))
+    return ML.fit_and_score(ML.training_set(feats, labels))
+
+
 # --- streaming replays (availableNow through real Parquet sinks) -------------------
 
 
@@ -271,6 +282,7 @@ def queries() -> dict[str, Query]:
         "user_features": q_user_features,
         "report": q_report,
         "profile": q_profile,
+        "fraud_model": q_fraud_model,
         "stream_silver": q_stream_silver,
         "stream_high_amount": q_stream_high_amount,
         "stream_velocity": q_stream_velocity,
