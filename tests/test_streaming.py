@@ -189,3 +189,27 @@ def test_streaming_consolidation_equals_batch_and_evicts_state(spark):
     last = qs[1].lastProgress
     join_state = [o for o in last["stateOperators"] if o["operatorName"] == "symmetricHashJoin"]
     assert join_state and join_state[0]["numRowsTotal"] < 10  # silver rows evicted past the watermark
+
+
+def test_stateful_location_jump_equals_batch(spark):
+    from txnguard.operators import behaviour as B
+    from txnguard.streaming import stateful as ST
+
+    rule = ST.location_jump_stream(RP.silver_stream(spark, SF_SMALL, flush=True), max_gap="10 seconds")
+    out = RP.run_to_table(rule, spark, "ljump_test")
+    batch = B.location_jump(read_transactions(spark, SF_SMALL), max_gap="10 seconds").select(*out.columns)
+    assert out.count() == 149 and _same(out, batch)
+
+
+def test_stateful_location_jump_out_of_order_arrival(spark, scratch):
+    from txnguard.streaming import stateful as ST
+
+    src = f"{scratch}/in"
+    # later row arrives first; the answer must follow event time, not arrival
+    _write_silver_file(spark, src, [txn("b", location="USA", time="2024-01-01T10:00:05")], 1)
+    _write_silver_file(spark, src, [txn("a", location="India", time="2024-01-01T10:00:00")], 2)
+    _write_silver_file(spark, src, [txn("z", user="zz", time="2099-01-01T00:00:00")], 3)
+    silver = lake.read_silver_stream(spark, src, max_files_per_trigger=1)
+    out = RP.run_to_table(ST.location_jump_stream(silver, max_gap="10 seconds"), spark, "ljump_ooo")
+    rows = out.collect()
+    assert [(r.transaction_id, r.prev_location) for r in rows] == [("b", "India")]

@@ -25,6 +25,7 @@ from txnguard.schemas import HIT_COLS, TXN_COLS
 from txnguard.session import configure
 from txnguard.streaming import consolidate as SCON
 from txnguard.streaming import replay as S
+from txnguard.streaming import stateful as STATE
 from txnguard.sources.tables import noisy_bronze, read_table, read_transactions, redelivered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +257,14 @@ def q_stream_consolidated(spark, sf_dir):
     return _rules_text(_ntz(out, "ingestion_time"))
 
 
+def q_stream_location_jump(spark, sf_dir):
+    configure(spark)
+    rule = STATE.location_jump_stream(S.silver_stream(spark, sf_dir, flush=True),
+                                      max_gap=FIXTURE_RULE_PARAMS["max_gap"])
+    out = S.run_to_table(rule, spark, "location_jump").filter(F.col("user_id") != S.SENTINEL_USER)
+    return _txn_out(out, "prev_location", "gap_seconds")
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -289,6 +298,7 @@ def queries() -> dict[str, Query]:
         "stream_velocity_update": q_stream_velocity_update,
         "stream_velocity_expanded": q_stream_velocity_expanded,
         "stream_consolidated": q_stream_consolidated,
+        "stream_location_jump": q_stream_location_jump,
     }
 
 
