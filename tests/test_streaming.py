@@ -213,3 +213,15 @@ def test_stateful_location_jump_out_of_order_arrival(spark, scratch):
     out = RP.run_to_table(ST.location_jump_stream(silver, max_gap="10 seconds"), spark, "ljump_ooo")
     rows = out.collect()
     assert [(r.transaction_id, r.prev_location) for r in rows] == [("b", "India")]
+
+
+def test_stateful_amount_and_device_rules_equal_batch(spark):
+    from txnguard.operators import behaviour as B
+    from txnguard.streaming import stateful as ST
+
+    silver = read_transactions(spark, SF_SMALL)
+    for stream_rule, batch_rule, n in [(ST.amount_vs_history_stream, B.amount_vs_history, 48),
+                                      (ST.new_device_stream, B.new_device, 9)]:
+        out = RP.run_to_table(stream_rule(RP.silver_stream(spark, SF_SMALL, flush=True)), spark,
+                              f"st_{stream_rule.__name__}")
+        assert out.count() == n and _same(out, batch_rule(silver).select(*out.columns))

@@ -241,6 +241,8 @@ FROM txn"""
         f"SELECT {TXN_COLS_SQL}, account_age_seconds FROM d5")
     scored = _with(*_base(), D1_CTE, D3_CTE, D4_CTE, D5_CTE, ALL_HITS_CTE, SCORED_CTE)
     q["stream_location_jump"] = q["rule_location_jump"]
+    q["stream_amount_vs_avg"] = q["rule_amount_vs_avg"]
+    q["stream_new_device"] = q["rule_new_device"]
     q["risk_score"] = scored + (
         f"SELECT {TXN_COLS_SQL}, triggered_rules, n_rules, risk_score FROM scored")
     q["risk_label"] = scored + "SELECT transaction_id, ingestion_time, risk_score, is_fraud FROM scored"

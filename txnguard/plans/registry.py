@@ -265,6 +265,20 @@ def q_stream_location_jump(spark, sf_dir):
     return _txn_out(out, "prev_location", "gap_seconds")
 
 
+def q_stream_amount_vs_avg(spark, sf_dir):
+    configure(spark)
+    rule = STATE.amount_vs_history_stream(S.silver_stream(spark, sf_dir, flush=True))
+    out = S.run_to_table(rule, spark, "amount_vs_avg").filter(F.col("user_id") != S.SENTINEL_USER)
+    return _txn_out(out, "prior_n")
+
+
+def q_stream_new_device(spark, sf_dir):
+    configure(spark)
+    rule = STATE.new_device_stream(S.silver_stream(spark, sf_dir, flush=True))
+    out = S.run_to_table(rule, spark, "new_device").filter(F.col("user_id") != S.SENTINEL_USER)
+    return _txn_out(out)
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -299,6 +313,8 @@ def queries() -> dict[str, Query]:
         "stream_velocity_expanded": q_stream_velocity_expanded,
         "stream_consolidated": q_stream_consolidated,
         "stream_location_jump": q_stream_location_jump,
+        "stream_amount_vs_avg": q_stream_amount_vs_avg,
+        "stream_new_device": q_stream_new_device,
     }
 
 

@@ -33,6 +33,8 @@ RUNTIME_CONF = {
     # starts for the first time on a checkpoint, so it must be set up front.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit only the changes of a micro-batch; snapshots are made in the background
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

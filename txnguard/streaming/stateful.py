@@ -1,27 +1,30 @@
-"""Custom stateful streaming rule: D3 location jump on a stream.
+"""Custom stateful streaming rules: D1, D3 and D4 on a stream.
 
-Spark has no streaming ``lag``, so the rule keeps per-user state with
-``applyInPandasWithState`` (Arrow batches, RocksDB state store):
+Spark has no streaming ``lag`` or running window, so these rules keep
+per-key state with ``applyInPandasWithState`` (Arrow batches, RocksDB state
+store). One mechanism serves all three:
 
-* rows of a user are buffered until the watermark passes their event time,
+* rows of a key are buffered until the watermark passes their event time,
   then released in (event time, transaction_id) order — arrival order does
-  not change the answer, and it equals the batch rule;
-* the state holds the user's last released row and the rows not yet
-  released; once the last row is older than ``watermark - max_gap`` it can
-  no longer matter and the state is removed;
-* an event-time timeout wakes the user up when the watermark passes, so rows
-  are released even when the user sends nothing new.
+  not change the answer, which equals the batch rule;
+* a small per-rule *carry* summarises everything released so far
+  (D1: sum and count of amounts; D3: last time and location; D4: seen);
+* an event-time timeout wakes the key up when the watermark passes, so rows
+  are released even when the key sends nothing new; state that can no longer
+  matter (D3: last row older than the gap) is removed.
 
 Rows later than the watermark are dropped by Spark before they reach the
-state (the usual streaming contract). A user's rows within one micro-batch
+state (the usual streaming contract). A key's rows within one micro-batch
 arrive in one call; they are bounded by the trigger interval, not by the
-table.
+table. Keys are users (D1, D3) or (user, device) pairs (D4); the carry is a
+few numbers per key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,80 +32,162 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from txnguard.functions.columns import event_time, interval_micros
-from txnguard.schemas import SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
+from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
 
-OUT_SCHEMA = T.StructType(
-    list(SILVER_SCHEMA.fields)
-    + [T.StructField("prev_location", T.StringType()), T.StructField("gap_seconds", T.DoubleType())]
-)
+ROW_COLS = TXN_COLS + ["event_us"]
 PENDING_ROW = T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField("event_us", T.LongType())])
+CARRY = T.StructType([
+    T.StructField("n", T.LongType()),           # D1 count / D4 seen (0/1)
+    T.StructField("total", T.DoubleType()),     # D1 sum of amounts
+    T.StructField("last_us", T.LongType()),     # D3 last event time
+    T.StructField("last_loc", T.StringType()),  # D3 last location
+])
 STATE_SCHEMA = T.StructType([
-    T.StructField("last_us", T.LongType()),
-    T.StructField("last_loc", T.StringType()),
+    T.StructField("carry", CARRY),
     T.StructField("pending", T.ArrayType(PENDING_ROW)),   # rows not yet released
 ])
+EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None}
 
+# process(ready rows in order, carry) -> (hits or None, new carry, keep state until (µs) or None)
+Process = Callable[[pd.DataFrame, dict], tuple]
 
-def _jump_fn(g_us: int):
-    cols = TXN_COLS + ["event_us"]
-    out_cols = [f.name for f in OUT_SCHEMA.fields]
 
+def _ordered_release(process: Process, out_cols: list[str]):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_us, last_loc, pending = (None, None, None)
+        carry, pending = dict(EMPTY_CARRY), None
         if state.exists:
-            last_us, last_loc, pending = state.get
-        frames = [p[cols] for p in pdfs]
+            c, pending = state.get
+            if c is not None:
+                carry = c.asDict()
+        frames = [p[ROW_COLS] for p in pdfs if len(p)]
         if pending:
-            frames.append(pd.DataFrame([tuple(r) for r in pending], columns=cols))
-        frames = [f for f in frames if len(f)]
-        rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=cols)
+            frames.append(pd.DataFrame([tuple(r) for r in pending], columns=ROW_COLS))
+        rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=ROW_COLS)
         wm_us = state.getCurrentWatermarkMs() * 1000
         rows = rows.sort_values(["event_us", "transaction_id"], kind="mergesort")
         ready = rows[rows["event_us"] < wm_us].reset_index(drop=True)
         later = rows[rows["event_us"] >= wm_us]
 
+        keep_until = None
         if len(ready):
-            # previous row of each released row; the first one's is in state
-            prev_us = ready["event_us"].shift(1).astype("float64")
-            prev_loc = ready["location"].shift(1)
-            prev_us.iloc[0] = float("nan") if last_us is None else float(last_us)
-            prev_loc.iloc[0] = last_loc
-            gap = ready["event_us"] - prev_us
-            hit = (gap < g_us) & prev_loc.notna() & ready["location"].notna() & (ready["location"] != prev_loc)
-            if hit.any():
-                out = ready[hit].copy()
-                out["prev_location"] = prev_loc[hit]
-                out["gap_seconds"] = gap[hit] / 1e6
-                yield out[out_cols]
-            last_us, last_loc = int(ready["event_us"].iloc[-1]), ready["location"].iloc[-1]
+            hits, carry, keep_until = process(ready, carry)
+            if hits is not None and len(hits):
+                yield hits[out_cols]
 
         if len(later):
             keep = later.astype(object).where(later.notna(), None)
-            state.update((last_us, last_loc, [tuple(r) for r in keep.itertuples(index=False)]))
+            state.update((carry, [tuple(r) for r in keep.itertuples(index=False)]))
             state.setTimeoutTimestamp(int(later["event_us"].min() // 1000) + 1)
-        elif last_us is not None and last_us >= wm_us - g_us:
-            state.update((last_us, last_loc, None))
-            state.setTimeoutTimestamp(int((last_us + g_us) // 1000) + 1)
+        elif keep_until is None and carry != EMPTY_CARRY:
+            state.update((carry, None))            # carry lives as long as the key
+        elif keep_until is not None and keep_until >= wm_us:
+            state.update((carry, None))
+            state.setTimeoutTimestamp(int(keep_until // 1000) + 1)
         elif state.exists:
             state.remove()
 
     return fn
 
 
-def location_jump_stream(
-    silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK
-) -> DataFrame:
-    """D3 on a stream (append mode): flagged rows with prev_location and gap."""
-    timed = (
+def _prepare(silver: DataFrame, watermark: str) -> DataFrame:
+    return (
         silver.withColumn("_et", event_time("transaction_time"))
         .filter(F.col("_et").isNotNull())
         .withColumn("event_us", F.unix_micros("_et"))
         .withWatermark("_et", watermark)
     )
-    return timed.groupBy("user_id").applyInPandasWithState(
-        _jump_fn(interval_micros(max_gap)),
-        OUT_SCHEMA,
+
+
+def _run(silver, keys, process, out_schema, watermark):
+    return _prepare(silver, watermark).groupBy(*keys).applyInPandasWithState(
+        _ordered_release(process, [f.name for f in out_schema.fields]),
+        out_schema,
         STATE_SCHEMA,
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+
+
+def _schema_plus(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField(n, t) for n, t in fields])
+
+
+# --- D3 -----------------------------------------------------------------------------
+
+JUMP_SCHEMA = _schema_plus(("prev_location", T.StringType()), ("gap_seconds", T.DoubleType()))
+
+
+def _jump_process(g_us: int) -> Process:
+    def process(ready: pd.DataFrame, carry: dict):
+        prev_us = ready["event_us"].shift(1).astype("float64")
+        prev_loc = ready["location"].shift(1)
+        prev_us.iloc[0] = np.nan if carry["last_us"] is None else float(carry["last_us"])
+        prev_loc.iloc[0] = carry["last_loc"]
+        gap = ready["event_us"] - prev_us
+        hit = (gap < g_us) & prev_loc.notna() & ready["location"].notna() & (ready["location"] != prev_loc)
+        out = ready[hit].copy()
+        out["prev_location"] = prev_loc[hit]
+        out["gap_seconds"] = gap[hit] / 1e6
+        last_us = int(ready["event_us"].iloc[-1])
+        new = dict(carry, last_us=last_us, last_loc=ready["location"].iloc[-1])
+        return out, new, last_us + g_us   # the last row matters until the gap has passed
+
+    return process
+
+
+def location_jump_stream(
+    silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK
+) -> DataFrame:
+    """D3 on a stream (append mode): flagged rows with prev_location and gap."""
+    return _run(silver, ["user_id"], _jump_process(interval_micros(max_gap)), JUMP_SCHEMA, watermark)
+
+
+# --- D1 -----------------------------------------------------------------------------
+
+AVG_SCHEMA = _schema_plus(("prior_n", T.LongType()), ("prior_avg", T.DoubleType()))
+
+
+def _avg_process(factor: float) -> Process:
+    def process(ready: pd.DataFrame, carry: dict):
+        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce").astype("float64")
+        n0, s0 = carry["n"] or 0, carry["total"] or 0.0
+        seen = amt.notna().astype("int64")
+        cnt = seen.cumsum().shift(1, fill_value=0) + n0
+        tot = amt.fillna(0.0).cumsum().shift(1, fill_value=0.0) + s0
+        avg = (tot / cnt).where(cnt > 0)
+        hit = (amt > factor * avg).fillna(False)
+        out = ready[hit].copy()
+        out["prior_n"] = cnt[hit]
+        out["prior_avg"] = avg[hit]
+        new = dict(carry, n=int(n0 + seen.sum()), total=float(s0 + amt.fillna(0.0).sum()))
+        return out, new, None
+
+    return process
+
+
+def amount_vs_history_stream(
+    silver: DataFrame, factor: float = 3.0, watermark: str = VELOCITY_WATERMARK
+) -> DataFrame:
+    """D1 on a stream: amount > factor × mean of the user's earlier amounts."""
+    return _run(silver, ["user_id"], _avg_process(factor), AVG_SCHEMA, watermark)
+
+
+# --- D4 -----------------------------------------------------------------------------
+
+
+def _device_process(threshold: float) -> Process:
+    def process(ready: pd.DataFrame, carry: dict):
+        out = ready.iloc[0:0]
+        if not carry["n"]:
+            first = ready.iloc[0:1]
+            out = first[pd.to_numeric(first["transaction_amount"], errors="coerce") > threshold]
+        return out, dict(carry, n=1), None   # a pair stays "seen" for good
+
+    return process
+
+
+def new_device_stream(
+    silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK
+) -> DataFrame:
+    """D4 on a stream: first (user, device) sighting with amount > threshold."""
+    return _run(silver, ["user_id", "device_id"], _device_process(threshold), SILVER_SCHEMA, watermark)
