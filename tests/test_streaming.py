@@ -225,3 +225,32 @@ def test_stateful_amount_and_device_rules_equal_batch(spark):
         out = RP.run_to_table(stream_rule(RP.silver_stream(spark, SF_SMALL, flush=True)), spark,
                               f"st_{stream_rule.__name__}")
         assert out.count() == n and _same(out, batch_rule(silver).select(*out.columns))
+
+
+def test_stateful_young_account_equals_batch(spark):
+    from txnguard.operators import behaviour as B
+    from txnguard.streaming import stateful as ST
+
+    out = RP.run_to_table(ST.young_account_stream(RP.silver_stream(spark, SF_SMALL, flush=True),
+                                                  max_age="7 minutes"), spark, "st_young")
+    batch = B.young_account(read_transactions(spark, SF_SMALL), max_age="7 minutes").select(*out.columns)
+    assert out.count() == 5 and _same(out, batch)
+
+
+def test_sink_folder_reads_only_committed_files(spark, scratch):
+    # A Spark sink folder is read through its _spark_metadata log
+    src, out = f"{scratch}/in", f"{scratch}/out"
+    _write_silver_file(spark, src, [txn("a"), txn("b")], 1)
+    J.drain([J.write_stream(lake.read_silver_stream(spark, src), f"{scratch}/ck", out, trigger=AVAILABLE_NOW)])
+    silver_df(spark, [txn("stray")]).coalesce(1).write.mode("append").parquet(out)  # not in the log
+    assert sorted(r.transaction_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    assert sorted(r.transaction_id for r in lake.read_silver_stream(spark, out).transform(
+        lambda d: RP.run_to_table(d, spark, "g16")).collect()) == ["a", "b"]
+
+
+def test_dedup_within_watermark_on_stream(spark, scratch):
+    src = f"{scratch}/in"
+    _write_silver_file(spark, src, [txn("a"), txn("b")], 1)
+    _write_silver_file(spark, src, [txn("a", ingested=dt.datetime(2024, 1, 1, 10, 2))], 2)
+    out = RP.run_to_table(I.dedup_stream(lake.read_silver_stream(spark, src, 1)), spark, "dedup_stream")
+    assert sorted(r.transaction_id for r in out.collect()) == ["a", "b"]

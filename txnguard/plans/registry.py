@@ -279,6 +279,14 @@ def q_stream_new_device(spark, sf_dir):
     return _txn_out(out)
 
 
+def q_stream_young_account(spark, sf_dir):
+    configure(spark)
+    rule = STATE.young_account_stream(S.silver_stream(spark, sf_dir, flush=True),
+                                      max_age=FIXTURE_RULE_PARAMS["max_age"])
+    out = S.run_to_table(rule, spark, "young_account").filter(F.col("user_id") != S.SENTINEL_USER)
+    return _txn_out(out, "account_age_seconds")
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -315,6 +323,7 @@ def queries() -> dict[str, Query]:
         "stream_location_jump": q_stream_location_jump,
         "stream_amount_vs_avg": q_stream_amount_vs_avg,
         "stream_new_device": q_stream_new_device,
+        "stream_young_account": q_stream_young_account,
     }
 
 

@@ -1,14 +1,15 @@
-"""Custom stateful streaming rules: D1, D3 and D4 on a stream.
+"""Custom stateful streaming rules: D1, D3, D4 and D5 on a stream.
 
 Spark has no streaming ``lag`` or running window, so these rules keep
 per-key state with ``applyInPandasWithState`` (Arrow batches, RocksDB state
-store). One mechanism serves all three:
+store). One mechanism serves all four:
 
 * rows of a key are buffered until the watermark passes their event time,
   then released in (event time, transaction_id) order — arrival order does
   not change the answer, which equals the batch rule;
 * a small per-rule *carry* summarises everything released so far
-  (D1: sum and count of amounts; D3: last time and location; D4: seen);
+  (D1: sum and count of amounts; D3: last time and location; D4: seen;
+  D5: first sighting);
 * an event-time timeout wakes the key up when the watermark passes, so rows
   are released even when the key sends nothing new; state that can no longer
   matter (D3: last row older than the gap) is removed.
@@ -16,7 +17,7 @@ store). One mechanism serves all three:
 Rows later than the watermark are dropped by Spark before they reach the
 state (the usual streaming contract). A key's rows within one micro-batch
 arrive in one call; they are bounded by the trigger interval, not by the
-table. Keys are users (D1, D3) or (user, device) pairs (D4); the carry is a
+table. Keys are users (D1, D3, D5) or (user, device) pairs (D4); the carry is a
 few numbers per key.
 """
 
@@ -41,12 +42,13 @@ CARRY = T.StructType([
     T.StructField("total", T.DoubleType()),     # D1 sum of amounts
     T.StructField("last_us", T.LongType()),     # D3 last event time
     T.StructField("last_loc", T.StringType()),  # D3 last location
+    T.StructField("first_us", T.LongType()),    # D5 first sighting of the user
 ])
 STATE_SCHEMA = T.StructType([
     T.StructField("carry", CARRY),
     T.StructField("pending", T.ArrayType(PENDING_ROW)),   # rows not yet released
 ])
-EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None}
+EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None, "first_us": None}
 
 # process(ready rows in order, carry) -> (hits or None, new carry, keep state until (µs) or None)
 Process = Callable[[pd.DataFrame, dict], tuple]
@@ -191,3 +193,33 @@ def new_device_stream(
 ) -> DataFrame:
     """D4 on a stream: first (user, device) sighting with amount > threshold."""
     return _run(silver, ["user_id", "device_id"], _device_process(threshold), SILVER_SCHEMA, watermark)
+
+
+# --- D5 -----------------------------------------------------------------------------
+
+AGE_SCHEMA = _schema_plus(("account_age_seconds", T.DoubleType()))
+
+
+def _age_process(max_age_us: int, threshold: float) -> Process:
+    def process(ready: pd.DataFrame, carry: dict):
+        first = carry["first_us"] if carry["first_us"] is not None else int(ready["event_us"].iloc[0])
+        age = ready["event_us"] - first
+        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
+        hit = ((amt > threshold) & (age < max_age_us)).fillna(False)
+        out = ready[hit].copy()
+        out["account_age_seconds"] = age[hit] / 1e6
+        # the first sighting is kept for the user's lifetime: dropping it would
+        # make a later row look like a new account
+        return out, dict(carry, first_us=first), None
+
+    return process
+
+
+def young_account_stream(
+    silver: DataFrame,
+    max_age: str = "7 days",
+    threshold: float = HIGH_AMOUNT_THRESHOLD,
+    watermark: str = VELOCITY_WATERMARK,
+) -> DataFrame:
+    """D5 on a stream: amount above threshold within max_age of first sighting."""
+    return _run(silver, ["user_id"], _age_process(interval_micros(max_age), threshold), AGE_SCHEMA, watermark)
