@@ -8,8 +8,8 @@ store). One mechanism serves all four:
   then released in (event time, transaction_id) order — arrival order does
   not change the answer, which equals the batch rule;
 * a small per-rule *carry* summarises everything released so far
-  (D1: sum and count of amounts; D3: last time and location; D4: seen;
-  D5: first sighting);
+  (D1: sum and count of amounts; D3: last time and location; D4: devices
+  seen; D5: first sighting);
 * an event-time timeout wakes the key up when the watermark passes, so rows
   are released even when the key sends nothing new; state that can no longer
   matter (D3: last row older than the gap) is removed.
@@ -17,8 +17,8 @@ store). One mechanism serves all four:
 Rows later than the watermark are dropped by Spark before they reach the
 state (the usual streaming contract). A key's rows within one micro-batch
 arrive in one call; they are bounded by the trigger interval, not by the
-table. Keys are users (D1, D3, D5) or (user, device) pairs (D4); the carry is a
-few numbers per key.
+table. Keys are users, so one Python call serves all of a user's rows in a
+micro-batch; the carry is a few numbers per user (D4: the user's devices).
 """
 
 from __future__ import annotations
@@ -43,12 +43,14 @@ CARRY = T.StructType([
     T.StructField("last_us", T.LongType()),     # D3 last event time
     T.StructField("last_loc", T.StringType()),  # D3 last location
     T.StructField("first_us", T.LongType()),    # D5 first sighting of the user
+    T.StructField("devices", T.ArrayType(T.StringType())),  # D4 devices seen
 ])
 STATE_SCHEMA = T.StructType([
     T.StructField("carry", CARRY),
     T.StructField("pending", T.ArrayType(PENDING_ROW)),   # rows not yet released
 ])
-EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None, "first_us": None}
+EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None, "first_us": None,
+               "devices": None}
 
 # process(ready rows in order, carry) -> (hits or None, new carry, keep state until (µs) or None)
 Process = Callable[[pd.DataFrame, dict], tuple]
@@ -177,13 +179,18 @@ def amount_vs_history_stream(
 # --- D4 -----------------------------------------------------------------------------
 
 
+_NULL_DEVICE = "\x00null"   # stands for a NULL device_id inside the seen set
+
+
 def _device_process(threshold: float) -> Process:
     def process(ready: pd.DataFrame, carry: dict):
-        out = ready.iloc[0:0]
-        if not carry["n"]:
-            first = ready.iloc[0:1]
-            out = first[pd.to_numeric(first["transaction_amount"], errors="coerce") > threshold]
-        return out, dict(carry, n=1), None   # a pair stays "seen" for good
+        seen = set(carry["devices"] or [])
+        dev = ready["device_id"].astype(object).where(ready["device_id"].notna(), _NULL_DEVICE)
+        first = ~dev.isin(seen) & ~dev.duplicated()
+        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
+        out = ready[(first & (amt > threshold)).fillna(False)]
+        seen.update(dev[first].tolist())
+        return out, dict(carry, devices=sorted(seen)), None   # devices stay "seen" for good
 
     return process
 
@@ -192,7 +199,7 @@ def new_device_stream(
     silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK
 ) -> DataFrame:
     """D4 on a stream: first (user, device) sighting with amount > threshold."""
-    return _run(silver, ["user_id", "device_id"], _device_process(threshold), SILVER_SCHEMA, watermark)
+    return _run(silver, ["user_id"], _device_process(threshold), SILVER_SCHEMA, watermark)
 
 
 # --- D5 -----------------------------------------------------------------------------
