@@ -35,13 +35,16 @@ def read_kafka(
     topic: str = "transactions",
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
     """``key, value, topic, partition, offset, timestamp, ...`` stream.
 
     Default ``earliest``: bronze is meant to hold everything ever published
     (the reference used ``latest`` and lost what came before first start).
-    ``maxOffsetsPerTrigger`` bounds a micro-batch after downtime.
+    ``maxOffsetsPerTrigger`` bounds a micro-batch after downtime;
+    ``minPartitions`` splits large topic partitions over several tasks, so a
+    hot partition does not become one long task.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -52,6 +55,8 @@ def read_kafka(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load()
