@@ -254,3 +254,31 @@ def test_dedup_within_watermark_on_stream(spark, scratch):
     _write_silver_file(spark, src, [txn("a", ingested=dt.datetime(2024, 1, 1, 10, 2))], 2)
     out = RP.run_to_table(I.dedup_stream(lake.read_silver_stream(spark, src, 1)), spark, "dedup_stream")
     assert sorted(r.transaction_id for r in out.collect()) == ["a", "b"]
+
+
+def test_layered_streams_then_batch_consolidation(spark, scratch):
+    """text → bronze → silver → gold as streams (date-partitioned sinks), then
+    the batch consolidation job over the gold tables: same 93 rows as batch."""
+    from pyspark.sql import functions as F
+
+    from txnguard.operators import consolidate as C
+    from txnguard.plans import jobs
+    from txnguard.schemas import TXN_COLS
+
+    silver_ref = read_transactions(spark, SF_SMALL)
+    raw = f"{scratch}/raw"
+    I.to_wire_json(silver_ref).select("value").coalesce(2).write.text(raw)
+    # one folder, one sink per layer: file sinks sharing a folder share its commit log
+    _write_text(raw, "zz_flush", [_json_line("flush", "zz", 1.0, "2099-01-01T00:00:00", False)])
+    bronze, silver, gold, ck = f"{scratch}/bronze", f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/ck"
+    J.drain([J.start_bronze(lake.read_text_stream(spark, raw), bronze, ck, AVAILABLE_NOW)])
+    J.drain([J.start_silver(spark, bronze, silver, ck, AVAILABLE_NOW)])
+    J.drain(J.start_gold(spark, silver, gold, f"{ck}/g", AVAILABLE_NOW, max_files_per_trigger=1))
+    assert spark.read.parquet(f"{gold}/velocity_fraud").count() == 14
+    jobs.consolidate_gold(spark, silver, gold)
+    out = spark.read.parquet(f"{gold}/fraud_union")
+    expected = C.consolidate(R.high_amount(silver_ref), R.velocity(silver_ref), silver_ref)
+    cols = [c for c in TXN_COLS if c != "ingestion_time"] + ["triggered_rules"]
+    assert out.count() == 93
+    assert _same(out.select(*cols), expected.select(*cols))
+    assert out.filter(F.col("event_date").isNull()).count() == 0

@@ -14,6 +14,10 @@ Operational notes
   and stops (backfills, tests).
 * The velocity sink is append mode: a window is written once, when the
   watermark passes its end; update mode (K6) shows running counts.
+* One sink per folder: a file sink commits through ``<path>/_spark_metadata``,
+  so a second query writing the same folder sees its batch ids as already
+  committed and silently skips them. Readers of a sink folder (batch and
+  stream) list only files in that log.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.operators import ingest, rules
-from txnguard.schemas import EVENT_SCHEMA
+from txnguard.schemas import EVENT_DATE, EVENT_SCHEMA, TXN_COLS
 from txnguard.sources import lake
 
 
@@ -72,10 +76,20 @@ def start_silver(
     checkpoint: str,
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
+    partition_by_date: bool = True,
 ) -> StreamingQuery:
-    """Bronze stream → parse + flatten → silver Parquet."""
+    """Bronze stream → parse + flatten → silver Parquet.
+
+    By default silver is partitioned by ``event_date`` so batch readers
+    (consolidation, marts) prune to the days they need; a stream over the
+    folder picks the column up from the partition paths.
+    """
     bronze = lake.read_bronze_stream(spark, bronze_path, max_files_per_trigger)
-    return write_stream(ingest.to_silver(bronze), f"{checkpoint}/silver", silver_path, trigger=trigger)
+    silver = ingest.to_silver(bronze)
+    if partition_by_date:
+        return write_stream(ingest.with_event_date(silver), f"{checkpoint}/silver", silver_path,
+                            trigger=trigger, partition_by=[EVENT_DATE])
+    return write_stream(silver, f"{checkpoint}/silver", silver_path, trigger=trigger)
 
 
 def start_gold(
@@ -86,6 +100,7 @@ def start_gold(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
     debug_console: bool = False,
+    partition_by_date: bool = True,
     **velocity_params,
 ) -> list[StreamingQuery]:
     """Silver stream → high-amount (stateless) and velocity (stateful)
@@ -95,11 +110,18 @@ def start_gold(
     each keeps its own offsets, so one failing does not stall the other.
     """
     silver = lake.read_silver_stream(spark, silver_path, max_files_per_trigger)
-    high = rules.high_amount_gold(silver)
-    vel = rules.velocity_gold(silver, **velocity_params)
+    high = rules.high_amount_gold(silver.select(*TXN_COLS))
+    vel = rules.velocity_gold(silver.select(*TXN_COLS), **velocity_params)
+    parts = None
+    if partition_by_date:
+        high = ingest.with_event_date(high)
+        vel = vel.withColumn(EVENT_DATE, F.to_date(F.col("window.start")))
+        parts = [EVENT_DATE]
     out = [
-        write_stream(high, f"{checkpoint}/high_amount", f"{gold_root}/high_amount_fraud", trigger=trigger),
-        write_stream(vel, f"{checkpoint}/velocity", f"{gold_root}/velocity_fraud", trigger=trigger),
+        write_stream(high, f"{checkpoint}/high_amount", f"{gold_root}/high_amount_fraud",
+                     trigger=trigger, partition_by=parts),
+        write_stream(vel, f"{checkpoint}/velocity", f"{gold_root}/velocity_fraud",
+                     trigger=trigger, partition_by=parts),
     ]
     if debug_console:
         out.append(console(high, f"{checkpoint}/high_amount_console", "append", trigger))
