@@ -35,7 +35,7 @@ from txnguard.schemas import (
     VELOCITY_WINDOW,
 )
 from txnguard.session import work_dir
-from txnguard.streaming.jobs import drain, write_stream
+from txnguard.streaming.jobs import drain, state_partitions, write_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -103,6 +103,7 @@ def group_hit_tables(spark: SparkSession, hits_root: str) -> DataFrame:
 def consolidate_stream(spark: SparkSession, silver: DataFrame, name: str = "consolidate") -> tuple[DataFrame, list]:
     """Drain both hit streams (availableNow) and group in batch."""
     root = work_dir(spark, "stream_consolidate", name, unique=True)
-    queries = start_hit_streams(silver, f"{root}/hits", f"{root}/_ckpt", trigger=AVAILABLE_NOW)
+    with state_partitions(spark):
+        queries = start_hit_streams(silver, f"{root}/hits", f"{root}/_ckpt", trigger=AVAILABLE_NOW)
     drain(queries)
     return group_hit_tables(spark, f"{root}/hits"), queries

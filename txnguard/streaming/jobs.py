@@ -22,6 +22,8 @@ Operational notes
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +33,27 @@ from txnguard.schemas import EVENT_DATE, EVENT_SCHEMA, TXN_COLS
 from txnguard.sources import lake
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start stateful queries with ``n`` state partitions (default: the
+    cluster's default parallelism), restoring the session setting after.
+
+    A streaming query copies the session configuration when it starts and
+    records its shuffle (state) partition count in the checkpoint, so the
+    value only matters at ``start()`` of a new checkpoint. AQE does not
+    coalesce stateful shuffles, so a small bounded replay on 200 default
+    partitions pays 200 state stores per micro-batch.
+    """
+    n = n or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, old)
+
+
 def write_stream(
     df: DataFrame,
     checkpoint: str,

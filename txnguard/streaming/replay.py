@@ -7,6 +7,9 @@ checkpoint folder, and the next layer streams from the previous one's
 directory (its ``_spark_metadata`` log). Results are read back as batch
 tables, so the lineage ends at the written files.
 
+Stateful replays start with the cluster's default parallelism as their state
+partition count (``state_partitions``), not the session's shuffle setting.
+
 Append-mode velocity only emits a window once the watermark passes its end,
 so the newest windows stay in state at the end of a bounded replay. A
 **flush sentinel** — one silver row dated 2099-01-01 for a user outside the
@@ -26,7 +29,7 @@ from txnguard.schemas import SILVER_SCHEMA, TXN_COLS
 from txnguard.session import work_dir
 from txnguard.sources import lake
 from txnguard.sources.tables import transactions_from_events
-from txnguard.streaming.jobs import drain, write_stream
+from txnguard.streaming.jobs import drain, state_partitions, write_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -88,7 +91,9 @@ def silver_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> Data
 def run_to_table(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
     """Drain a streaming DataFrame into a Parquet table and read it back."""
     root = work_dir(spark, "replay", name, unique=True)
-    drain([write_stream(df, f"{root}/_ckpt", f"{root}/data", mode=mode, trigger=AVAILABLE_NOW)])
+    with state_partitions(spark):
+        q = write_stream(df, f"{root}/_ckpt", f"{root}/data", mode=mode, trigger=AVAILABLE_NOW)
+    drain([q])
     return spark.read.schema(df.schema).parquet(f"{root}/data")
 
 
@@ -103,13 +108,14 @@ def run_updates(df: DataFrame, spark: SparkSession, name: str, keys: list[str])
     def _append(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (
-        df.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{root}/_ckpt")
-        .foreachBatch(_append)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_partitions(spark):
+        q = (
+            df.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{root}/_ckpt")
+            .foreachBatch(_append)
+            .trigger(availableNow=True)
+            .start()
+        )
     drain([q])
     values = [c for c in df.columns if c not in keys]
     hist = spark.read.parquet(out)
