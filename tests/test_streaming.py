@@ -282,3 +282,20 @@ def test_layered_streams_then_batch_consolidation(spark, scratch):
     assert out.count() == 93
     assert _same(out.select(*cols), expected.select(*cols))
     assert out.filter(F.col("event_date").isNull()).count() == 0
+
+
+def test_console_sinks_and_processing_time_trigger(spark, scratch, capfd):
+    # K5 append console, K6 update console, W6 processing-time trigger
+    src = f"{scratch}/in"
+    _write_silver_file(spark, src, [txn(f"x{i}", user="x", amount=30000.0, intl=True,
+                                        time="2024-01-01T10:00:00") for i in range(7)], 1)
+    qs = J.start_gold(spark, src, f"{scratch}/gold", f"{scratch}/ck",
+                      trigger={"processingTime": "1 second"}, debug_console=True)
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    assert len(qs) == 4 and all(q.exception() is None for q in qs)
+    assert spark.read.parquet(f"{scratch}/gold/high_amount_fraud").count() == 7

@@ -36,7 +36,12 @@ from txnguard.functions.columns import event_time, interval_micros
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
 
 ROW_COLS = TXN_COLS + ["event_us"]
-PENDING_ROW = T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField("event_us", T.LongType())])
+# rows not yet released, stored column-wise (one array per column): filled and
+# read back with whole-column conversions instead of a Python loop per row
+PENDING = T.StructType(
+    [T.StructField(f.name, T.ArrayType(f.dataType)) for f in SILVER_SCHEMA.fields]
+    + [T.StructField("event_us", T.ArrayType(T.LongType()))]
+)
 CARRY = T.StructType([
     T.StructField("n", T.LongType()),           # D1 count / D4 seen (0/1)
     T.StructField("total", T.DoubleType()),     # D1 sum of amounts
@@ -47,7 +52,7 @@ CARRY = T.StructType([
 ])
 STATE_SCHEMA = T.StructType([
     T.StructField("carry", CARRY),
-    T.StructField("pending", T.ArrayType(PENDING_ROW)),   # rows not yet released
+    T.StructField("pending", PENDING),
 ])
 EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None, "first_us": None,
                "devices": None}
@@ -64,8 +69,8 @@ def _ordered_release(process: Process, out_cols: list[str]):
             if c is not None:
                 carry = c.asDict()
         frames = [p[ROW_COLS] for p in pdfs if len(p)]
-        if pending:
-            frames.append(pd.DataFrame([tuple(r) for r in pending], columns=ROW_COLS))
+        if pending is not None:
+            frames.append(pd.DataFrame({c: list(pending[c]) for c in ROW_COLS}))
         rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=ROW_COLS)
         wm_us = state.getCurrentWatermarkMs() * 1000
         rows = rows.sort_values(["event_us", "transaction_id"], kind="mergesort")
@@ -80,7 +85,7 @@ def _ordered_release(process: Process, out_cols: list[str]):
 
         if len(later):
             keep = later.astype(object).where(later.notna(), None)
-            state.update((carry, [tuple(r) for r in keep.itertuples(index=False)]))
+            state.update((carry, tuple(keep[c].tolist() for c in ROW_COLS)))
             state.setTimeoutTimestamp(int(later["event_us"].min() // 1000) + 1)
         elif keep_until is None and carry != EMPTY_CARRY:
             state.update((carry, None))            # carry lives as long as the key
