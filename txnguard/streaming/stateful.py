@@ -1,31 +1,36 @@
 """Custom stateful streaming rules: D1, D3, D4 and D5 on a stream.
 
-Spark has no streaming ``lag`` or running window, so these rules keep
-per-key state with ``applyInPandasWithState`` (Arrow batches, RocksDB state
-store). One mechanism serves all four:
-
-* rows of a key are buffered until the watermark passes their event time,
-  then released in (event time, transaction_id) order — arrival order does
-  not change the answer, which equals the batch rule;
-* a small per-rule *carry* summarises everything released so far
-  (D1: sum and count of amounts; D3: last time and location; D4: devices
+Spark has no streaming ``lag`` or running window, so these rules keep state
+with ``applyInPandasWithState`` (Arrow batches, RocksDB state store). One
+mechanism serves all four:
+
+* rows are buffered until the watermark passes their event time, then
+  released per user in (event time, transaction_id) order — arrival order
+  does not change the answer, which equals the batch rule;
+* a small per-user *carry* summarises everything released so far
+  (D1: count and sum of amounts; D3: last time and location; D4: devices
   seen; D5: first sighting);
-* an event-time timeout wakes the key up when the watermark passes, so rows
-  are released even when the key sends nothing new; state that can no longer
-  matter (D3: last row older than the gap) is removed.
+* an event-time timeout wakes a key up when the watermark passes, so rows
+  are released even when nothing new arrives; carries that can no longer
+  matter (D3: last row older than the gap) are dropped.
+
+State keys are **user slots** (``pmod(xxhash64(user), slots)``), not single
+users: a Python call has a fixed cost of tens of milliseconds, so one call per
+slot and micro-batch handles all of the slot's users with vectorised pandas
+(group-wise shift / cumsum), and the carries of a slot are stored column-wise.
+``slots`` trades calls per batch against state value size; the default is
+``SLOTS_PER_PARTITION`` × the state partition count.
 
 Rows later than the watermark are dropped by Spark before they reach the
-state (the usual streaming contract). A key's rows within one micro-batch
+state (the usual streaming contract). A slot's rows within one micro-batch
 arrive in one call; they are bounded by the trigger interval, not by the
-table. Keys are users, so one Python call serves all of a user's rows in a
-micro-batch; the carry is a few numbers per user (D4: the user's devices).
+table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,81 +40,103 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from txnguard.functions.columns import event_time, interval_micros
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
 
-ROW_COLS = TXN_COLS + ["event_us"]
-# rows not yet released, stored column-wise (one array per column): filled and
-# read back with whole-column conversions instead of a Python loop per row
+SLOTS_PER_PARTITION = 4
+_UK = "_ukey"                 # user key with NULL mapped to a marker (pandas drops NaN keys)
+_NULL_KEY = "\x00null"
+ROW_COLS = TXN_COLS + ["event_us", _UK]
+
+# rows not yet released, column-wise
 PENDING = T.StructType(
     [T.StructField(f.name, T.ArrayType(f.dataType)) for f in SILVER_SCHEMA.fields]
-    + [T.StructField("event_us", T.ArrayType(T.LongType()))]
+    + [T.StructField("event_us", T.ArrayType(T.LongType())), T.StructField(_UK, T.ArrayType(T.StringType()))]
 )
-CARRY = T.StructType([
-    T.StructField("n", T.LongType()),           # D1 count / D4 seen (0/1)
-    T.StructField("total", T.DoubleType()),     # D1 sum of amounts
-    T.StructField("last_us", T.LongType()),     # D3 last event time
-    T.StructField("last_loc", T.StringType()),  # D3 last location
-    T.StructField("first_us", T.LongType()),    # D5 first sighting of the user
-    T.StructField("devices", T.ArrayType(T.StringType())),  # D4 devices seen
-])
-STATE_SCHEMA = T.StructType([
-    T.StructField("carry", CARRY),
-    T.StructField("pending", PENDING),
-])
-EMPTY_CARRY = {"n": None, "total": None, "last_us": None, "last_loc": None, "first_us": None,
-               "devices": None}
-
-# process(ready rows in order, carry) -> (hits or None, new carry, keep state until (µs) or None)
-Process = Callable[[pd.DataFrame, dict], tuple]
-
-
-def _ordered_release(process: Process, out_cols: list[str]):
+# per-user carries of a slot, column-wise (one entry per user)
+CARRY_FIELDS = [
+    ("user", T.StringType()),
+    ("n", T.LongType()),                        # D1 count of amounts
+    ("total", T.DoubleType()),                  # D1 sum of amounts
+    ("last_us", T.LongType()),                  # D3 last event time
+    ("last_loc", T.StringType()),               # D3 last location
+    ("first_us", T.LongType()),                 # D5 first sighting
+    ("devices", T.ArrayType(T.StringType())),   # D4 devices seen
+    ("keep_until", T.LongType()),               # drop the carry once the watermark passes
+]
+CARRY_COLS = [n for n, _ in CARRY_FIELDS]
+CARRIES = T.StructType([T.StructField(n, T.ArrayType(t)) for n, t in CARRY_FIELDS])
+STATE_SCHEMA = T.StructType([T.StructField("carries", CARRIES), T.StructField("pending", PENDING)])
+
+# process(ready rows sorted by user/time/id, carries indexed by user)
+#   -> (hits, carries for the users in ready)
+Process = Callable[[pd.DataFrame, pd.DataFrame], tuple]
+
+
+def _from_columns(struct, cols) -> pd.DataFrame:
+    return pd.DataFrame({c: list(struct[c] or []) for c in cols})
+
+
+def _to_columns(df: pd.DataFrame, cols) -> tuple:
+    clean = df[cols].astype(object).where(df[cols].notna(), None)
+    return tuple(clean[c].tolist() for c in cols)
+
+
+def _slot_release(process: Process, out_cols: list[str]):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carry, pending = dict(EMPTY_CARRY), None
+        carries = pd.DataFrame({c: [] for c in CARRY_COLS})
+        frames = [p[ROW_COLS] for p in pdfs if len(p)]
         if state.exists:
             c, pending = state.get
             if c is not None:
-                carry = c.asDict()
-        frames = [p[ROW_COLS] for p in pdfs if len(p)]
-        if pending is not None:
-            frames.append(pd.DataFrame({c: list(pending[c]) for c in ROW_COLS}))
+                carries = _from_columns(c, CARRY_COLS)
+            if pending is not None:
+                frames.append(_from_columns(pending, ROW_COLS))
+        carries = carries.set_index("user", drop=False)
         rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=ROW_COLS)
         wm_us = state.getCurrentWatermarkMs() * 1000
-        rows = rows.sort_values(["event_us", "transaction_id"], kind="mergesort")
+        rows = rows.sort_values([_UK, "event_us", "transaction_id"], kind="mergesort")
         ready = rows[rows["event_us"] < wm_us].reset_index(drop=True)
         later = rows[rows["event_us"] >= wm_us]
 
-        keep_until = None
         if len(ready):
-            hits, carry, keep_until = process(ready, carry)
+            hits, updated = process(ready, carries)
             if hits is not None and len(hits):
                 yield hits[out_cols]
-
-        if len(later):
-            keep = later.astype(object).where(later.notna(), None)
-            state.update((carry, tuple(keep[c].tolist() for c in ROW_COLS)))
-            state.setTimeoutTimestamp(int(later["event_us"].min() // 1000) + 1)
-        elif keep_until is None and carry != EMPTY_CARRY:
-            state.update((carry, None))            # carry lives as long as the key
-        elif keep_until is not None and keep_until >= wm_us:
-            state.update((carry, None))
-            state.setTimeoutTimestamp(int(keep_until // 1000) + 1)
+            carries = pd.concat([carries.drop(index=updated.index, errors="ignore"), updated])
+        # a carry with keep_until below the watermark can no longer matter
+        expired = carries["keep_until"].notna() & (
+            pd.to_numeric(carries["keep_until"], errors="coerce") < wm_us)
+        carries = carries[~expired]
+
+        if len(later) or len(carries):
+            state.update((_to_columns(carries, CARRY_COLS), _to_columns(later, ROW_COLS)))
+            wake = [int(later["event_us"].min())] if len(later) else []
+            ku = pd.to_numeric(carries["keep_until"], errors="coerce").dropna()
+            if len(ku):
+                wake.append(int(ku.min()))
+            if wake:
+                state.setTimeoutTimestamp(min(wake) // 1000 + 1)
         elif state.exists:
             state.remove()
 
     return fn
 
 
-def _prepare(silver: DataFrame, watermark: str) -> DataFrame:
+def _prepare(silver: DataFrame, watermark: str, slots: int) -> DataFrame:
     return (
         silver.withColumn("_et", event_time("transaction_time"))
         .filter(F.col("_et").isNotNull())
         .withColumn("event_us", F.unix_micros("_et"))
+        .withColumn(_UK, F.coalesce(F.col("user_id"), F.lit(_NULL_KEY)))
+        .withColumn("_slot", F.pmod(F.xxhash64(_UK), F.lit(slots)))
         .withWatermark("_et", watermark)
     )
 
 
-def _run(silver, keys, process, out_schema, watermark):
-    return _prepare(silver, watermark).groupBy(*keys).applyInPandasWithState(
-        _ordered_release(process, [f.name for f in out_schema.fields]),
+def _run(silver: DataFrame, process: Process, out_schema: T.StructType, watermark: str,
+         slots: int | None) -> DataFrame:
+    spark = silver.sparkSession
+    slots = slots or SLOTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _prepare(silver, watermark, slots).groupBy("_slot").applyInPandasWithState(
+        _slot_release(process, [f.name for f in out_schema.fields]),
         out_schema,
         STATE_SCHEMA,
         "append",
@@ -121,34 +148,56 @@ def _schema_plus(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField(n, t) for n, t in fields])
 
 
+def _carry_of(ready: pd.DataFrame, carries: pd.DataFrame, col: str) -> pd.Series:
+    """The stored carry value for each ready row's user (None if none)."""
+    if not len(carries):
+        return pd.Series([None] * len(ready), index=ready.index, dtype=object)
+    return ready[_UK].map(carries[col])
+
+
+def _updated(ready: pd.DataFrame, carries: pd.DataFrame, **cols: pd.Series) -> pd.DataFrame:
+    """Carries for the users in ``ready``: stored values overlaid with ``cols``
+    (each a Series indexed by user)."""
+    users = pd.Index(ready[_UK].unique())
+    out = carries.reindex(users)
+    out["user"] = users
+    for name, values in cols.items():
+        out[name] = values.reindex(users)
+    return out[CARRY_COLS]
+
+
 # --- D3 -----------------------------------------------------------------------------
 
 JUMP_SCHEMA = _schema_plus(("prev_location", T.StringType()), ("gap_seconds", T.DoubleType()))
 
 
 def _jump_process(g_us: int) -> Process:
-    def process(ready: pd.DataFrame, carry: dict):
-        prev_us = ready["event_us"].shift(1).astype("float64")
-        prev_loc = ready["location"].shift(1)
-        prev_us.iloc[0] = np.nan if carry["last_us"] is None else float(carry["last_us"])
-        prev_loc.iloc[0] = carry["last_loc"]
-        gap = ready["event_us"] - prev_us
+    def process(ready: pd.DataFrame, carries: pd.DataFrame):
+        by_user = ready.groupby(_UK, sort=False)
+        prev_us = by_user["event_us"].shift(1).astype("float64")
+        prev_loc = by_user["location"].shift(1).astype(object)
+        first = ~ready[_UK].duplicated()
+        prev_us[first] = pd.to_numeric(_carry_of(ready, carries, "last_us")[first], errors="coerce")
+        prev_loc[first] = _carry_of(ready, carries, "last_loc")[first]
+        gap = ready["event_us"].astype("float64") - prev_us
         hit = (gap < g_us) & prev_loc.notna() & ready["location"].notna() & (ready["location"] != prev_loc)
         out = ready[hit].copy()
         out["prev_location"] = prev_loc[hit]
         out["gap_seconds"] = gap[hit] / 1e6
-        last_us = int(ready["event_us"].iloc[-1])
-        new = dict(carry, last_us=last_us, last_loc=ready["location"].iloc[-1])
-        return out, new, last_us + g_us   # the last row matters until the gap has passed
+        last = by_user.last()
+        upd = _updated(ready, carries, last_us=last["event_us"], last_loc=last["location"],
+                       keep_until=last["event_us"] + g_us)   # matters until the gap has passed
+        return out, upd
 
     return process
 
 
 def location_jump_stream(
-    silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK
+    silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK,
+    slots: int | None = None,
 ) -> DataFrame:
     """D3 on a stream (append mode): flagged rows with prev_location and gap."""
-    return _run(silver, ["user_id"], _jump_process(interval_micros(max_gap)), JUMP_SCHEMA, watermark)
+    return _run(silver, _jump_process(interval_micros(max_gap)), JUMP_SCHEMA, watermark, slots)
 
 
 # --- D1 -----------------------------------------------------------------------------
@@ -157,54 +206,64 @@ AVG_SCHEMA = _schema_plus(("prior_n", T.LongType()), ("prior_avg", T.DoubleType(
 
 
 def _avg_process(factor: float) -> Process:
-    def process(ready: pd.DataFrame, carry: dict):
+    def process(ready: pd.DataFrame, carries: pd.DataFrame):
         amt = pd.to_numeric(ready["transaction_amount"], errors="coerce").astype("float64")
-        n0, s0 = carry["n"] or 0, carry["total"] or 0.0
+        n0 = pd.to_numeric(_carry_of(ready, carries, "n"), errors="coerce").fillna(0).astype("int64")
+        s0 = pd.to_numeric(_carry_of(ready, carries, "total"), errors="coerce").fillna(0.0)
         seen = amt.notna().astype("int64")
-        cnt = seen.cumsum().shift(1, fill_value=0) + n0
-        tot = amt.fillna(0.0).cumsum().shift(1, fill_value=0.0) + s0
+        val = amt.fillna(0.0)
+        g = ready[_UK]
+        cnt = seen.groupby(g, sort=False).cumsum() - seen + n0
+        # sum of the user's earlier amounts: prefix sums shifted by one row
+        tot = val.groupby(g, sort=False).cumsum().groupby(g, sort=False).shift(1, fill_value=0.0) + s0
         avg = (tot / cnt).where(cnt > 0)
         hit = (amt > factor * avg).fillna(False)
         out = ready[hit].copy()
         out["prior_n"] = cnt[hit]
         out["prior_avg"] = avg[hit]
-        new = dict(carry, n=int(n0 + seen.sum()), total=float(s0 + amt.fillna(0.0).sum()))
-        return out, new, None
+        last = pd.DataFrame({"k": g, "n": cnt + seen, "t": tot + val}).groupby("k", sort=False).last()
+        return out, _updated(ready, carries, n=last["n"], total=last["t"])
 
     return process
 
 
 def amount_vs_history_stream(
-    silver: DataFrame, factor: float = 3.0, watermark: str = VELOCITY_WATERMARK
+    silver: DataFrame, factor: float = 3.0, watermark: str = VELOCITY_WATERMARK, slots: int | None = None,
 ) -> DataFrame:
     """D1 on a stream: amount > factor × mean of the user's earlier amounts."""
-    return _run(silver, ["user_id"], _avg_process(factor), AVG_SCHEMA, watermark)
+    return _run(silver, _avg_process(factor), AVG_SCHEMA, watermark, slots)
 
 
 # --- D4 -----------------------------------------------------------------------------
 
-
 _NULL_DEVICE = "\x00null"   # stands for a NULL device_id inside the seen set
 
 
 def _device_process(threshold: float) -> Process:
-    def process(ready: pd.DataFrame, carry: dict):
-        seen = set(carry["devices"] or [])
+    def process(ready: pd.DataFrame, carries: pd.DataFrame):
         dev = ready["device_id"].astype(object).where(ready["device_id"].notna(), _NULL_DEVICE)
-        first = ~dev.isin(seen) & ~dev.duplicated()
+        stored = _carry_of(ready, carries, "devices")
+        known = pd.Series([d in set(s) if s is not None else False for d, s in zip(dev, stored)],
+                          index=ready.index, dtype=bool)
+        first = ~known & ~pd.DataFrame({"u": ready[_UK], "d": dev}).duplicated()
         amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
         out = ready[(first & (amt > threshold)).fillna(False)]
-        seen.update(dev[first].tolist())
-        return out, dict(carry, devices=sorted(seen)), None   # devices stay "seen" for good
+        new = pd.DataFrame({"u": ready[_UK][first], "d": dev[first]}).groupby("u", sort=False)["d"].agg(list)
+        merged = {}
+        for u in ready[_UK].unique():
+            old = carries["devices"].get(u) if len(carries) else None
+            merged[u] = sorted(set(old if old is not None else []) | set(new.get(u, [])))
+        return out, _updated(ready, carries, devices=pd.Series(merged, dtype=object))
 
     return process
 
 
 def new_device_stream(
-    silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK
+    silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK,
+    slots: int | None = None,
 ) -> DataFrame:
     """D4 on a stream: first (user, device) sighting with amount > threshold."""
-    return _run(silver, ["user_id"], _device_process(threshold), SILVER_SCHEMA, watermark)
+    return _run(silver, _device_process(threshold), SILVER_SCHEMA, watermark, slots)
 
 
 # --- D5 -----------------------------------------------------------------------------
@@ -213,16 +272,19 @@ AGE_SCHEMA = _schema_plus(("account_age_seconds", T.DoubleType()))
 
 
 def _age_process(max_age_us: int, threshold: float) -> Process:
-    def process(ready: pd.DataFrame, carry: dict):
-        first = carry["first_us"] if carry["first_us"] is not None else int(ready["event_us"].iloc[0])
-        age = ready["event_us"] - first
+    def process(ready: pd.DataFrame, carries: pd.DataFrame):
+        stored = pd.to_numeric(_carry_of(ready, carries, "first_us"), errors="coerce")
+        first_here = ready.groupby(_UK, sort=False)["event_us"].transform("first").astype("float64")
+        first = stored.fillna(first_here)
+        age = ready["event_us"].astype("float64") - first
         amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
         hit = ((amt > threshold) & (age < max_age_us)).fillna(False)
         out = ready[hit].copy()
         out["account_age_seconds"] = age[hit] / 1e6
         # the first sighting is kept for the user's lifetime: dropping it would
         # make a later row look like a new account
-        return out, dict(carry, first_us=first), None
+        per_user = pd.DataFrame({"k": ready[_UK], "f": first}).groupby("k", sort=False)["f"].first()
+        return out, _updated(ready, carries, first_us=per_user.astype("int64"))
 
     return process
 
@@ -232,6 +294,7 @@ def young_account_stream(
     max_age: str = "7 days",
     threshold: float = HIGH_AMOUNT_THRESHOLD,
     watermark: str = VELOCITY_WATERMARK,
+    slots: int | None = None,
 ) -> DataFrame:
     """D5 on a stream: amount above threshold within max_age of first sighting."""
-    return _run(silver, ["user_id"], _age_process(interval_micros(max_age), threshold), AGE_SCHEMA, watermark)
+    return _run(silver, _age_process(interval_micros(max_age), threshold), AGE_SCHEMA, watermark, slots)
