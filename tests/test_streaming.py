@@ -299,3 +299,36 @@ def test_console_sinks_and_processing_time_trigger(spark, scratch, capfd):
             q.stop()
     assert len(qs) == 4 and all(q.exception() is None for q in qs)
     assert spark.read.parquet(f"{scratch}/gold/high_amount_fraud").count() == 7
+
+
+def test_continuous_consolidation_regroups_touched_dates(spark, scratch):
+    from txnguard.operators import consolidate as C
+    from txnguard.streaming import consolidate as SC
+    from txnguard.streaming.jobs import state_partitions
+
+    silver_ref = read_transactions(spark, SF_SMALL)
+    hits, out = f"{scratch}/hits", f"{scratch}/fraud_union"
+    with state_partitions(spark):
+        qs = SC.start_hit_streams(RP.silver_stream(spark, SF_SMALL, flush=True), hits, f"{scratch}/ck",
+                                  trigger=AVAILABLE_NOW)
+    J.drain(qs)
+    J.drain([SC.start_consolidation(spark, hits, out, f"{scratch}/ck/cons", trigger=AVAILABLE_NOW)])
+    expected = C.consolidate(R.high_amount(silver_ref), R.velocity(silver_ref), silver_ref)
+    got = spark.read.parquet(out).drop("event_date")
+    assert got.count() == 93 and _same(got, expected)
+    # replaying every batch on a fresh checkpoint rewrites the same dates: same table
+    J.drain([SC.start_consolidation(spark, hits, out, f"{scratch}/ck/cons2", trigger=AVAILABLE_NOW)])
+    assert spark.read.parquet(out).count() == 93
+
+
+def test_checked_silver_stream_splits_valid_and_rejected(spark, scratch):
+    raw = f"{scratch}/raw"
+    _write_text(raw, "a", [_json_line("ok1", "u", 10.0, "2024-01-01T10:00:00", False), "not json",
+                           '{"testing_key":"testing_pair"}', _json_line("ok2", "u", 5.0, "bad time", True)])
+    bronze, root = f"{scratch}/bronze", f"{scratch}/silver"
+    J.drain([J.start_bronze(lake.read_text_stream(spark, raw), bronze, f"{scratch}/ck", AVAILABLE_NOW)])
+    J.drain([J.start_silver_checked(spark, bronze, root, f"{scratch}/ck", AVAILABLE_NOW)])
+    table = spark.read.parquet(root)
+    assert [r.transaction_id for r in table.filter("_status = 'valid'").collect()] == ["ok1"]
+    reasons = sorted(r.reject_reason for r in table.filter("_status = 'rejected'").collect())
+    assert reasons == ["bad_transaction_time", "malformed_json", "missing_transaction_id"]

@@ -79,6 +79,13 @@ def _parquet_stream(spark, schema, path, max_files_per_trigger, glob=None) -> Da
     return reader.parquet(path)
 
 
+def read_parquet_stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Any Parquet table (e.g. a partitioned hit table) as a stream."""
+    return _parquet_stream(spark, schema, path, max_files_per_trigger)
+
+
 def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Bronze directory as a stream (value string, ingestion_time)."""
     return _parquet_stream(spark, BRONZE_SCHEMA, path, max_files_per_trigger)

@@ -22,12 +22,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.functions.columns import bucket_micros, event_time, interval_micros
 from txnguard.operators import consolidate as C
 from txnguard.operators import rules as R
+from txnguard.operators.ingest import with_event_date
 from txnguard.schemas import (
+    EVENT_DATE,
     HIT_COLS,
+    SILVER_SCHEMA,
     RULE_HIGH_VELOCITY,
     TXN_COLS,
     VELOCITY_MIN_EXCLUSIVE,
@@ -35,8 +40,14 @@ from txnguard.schemas import (
     VELOCITY_WINDOW,
 )
 from txnguard.session import work_dir
+from txnguard.sources import lake
 from txnguard.streaming.jobs import drain, state_partitions, write_stream
 
+HIT_STREAM_SCHEMA = T.StructType(
+    list(SILVER_SCHEMA.fields)
+    + [T.StructField("triggered_rule", T.StringType()), T.StructField(EVENT_DATE, T.DateType())]
+)
+
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -84,15 +95,69 @@ def expand_velocity_stream(
 def start_hit_streams(
     silver: DataFrame, hits_root: str, checkpoint: str, trigger: dict | None = None, **velocity_params
 ) -> list:
-    """Two append queries writing standardised hits to their own tables."""
-    high = C.standardize_high_amount(R.high_amount(silver))
-    vel = expand_velocity_stream(silver, **velocity_params)
+    """Two append queries writing standardised hits to their own tables,
+    partitioned by ``event_date`` (of the transaction)."""
+    silver = silver.select(*TXN_COLS)
+    high = with_event_date(C.standardize_high_amount(R.high_amount(silver)))
+    vel = with_event_date(expand_velocity_stream(silver, **velocity_params))
     return [
-        write_stream(high, f"{checkpoint}/high_hits", f"{hits_root}/high_amount", trigger=trigger),
-        write_stream(vel, f"{checkpoint}/velocity_hits", f"{hits_root}/velocity", trigger=trigger),
+        write_stream(high, f"{checkpoint}/high_hits", f"{hits_root}/high_amount", trigger=trigger,
+                     partition_by=[EVENT_DATE]),
+        write_stream(vel, f"{checkpoint}/velocity_hits", f"{hits_root}/velocity", trigger=trigger,
+                     partition_by=[EVENT_DATE]),
     ]
 
 
+def regroup_dates(spark: SparkSession, hits_root: str, out_path: str, touched: DataFrame) -> None:
+    """Rebuild the consolidated rows of the ``touched`` event dates.
+
+    The distinct dates of a micro-batch are a handful of values (control
+    data, bounded by the days a batch spans, not by its rows); as a literal
+    partition filter they prune the partitioned hit tables to those days, and
+    the dynamic partition overwrite replaces exactly those days: re-running a
+    micro-batch gives the same table.
+    """
+    dates = [r[0] for r in touched.select(EVENT_DATE).distinct().collect() if r[0] is not None]
+    if not dates:
+        return
+    parts = [
+        spark.read.parquet(f"{hits_root}/{name}").filter(F.col(EVENT_DATE).isin(dates)).select(*HIT_COLS)
+        for name in ("high_amount", "velocity")
+    ]
+    grouped = C.group_hits(C.union_hits(*parts))
+    (
+        with_event_date(grouped)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(EVENT_DATE)
+        .parquet(out_path)
+    )
+
+
+def start_consolidation(
+    spark: SparkSession, hits_root: str, out_path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """R7 as a continuous job: each micro-batch of new hits regroups the
+    dates it touched (``foreachBatch``; at-least-once, idempotent writes).
+
+    The grouping reads hit *tables*, never a windowed aggregate downstream of
+    the join, which would drop the late-emitted hits (G17).
+    """
+    new_hits = lake.read_parquet_stream(spark, f"{hits_root}/high_amount", HIT_STREAM_SCHEMA).unionByName(
+        lake.read_parquet_stream(spark, f"{hits_root}/velocity", HIT_STREAM_SCHEMA)
+    )
+
+    def _regroup(batch: DataFrame, batch_id: int) -> None:
+        regroup_dates(spark, hits_root, out_path, batch.select(EVENT_DATE))
+
+    return (
+        new_hits.select(EVENT_DATE).writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(_regroup)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def group_hit_tables(spark: SparkSession, hits_root: str) -> DataFrame:
     """Batch A2 over the streamed hit tables."""
     high = spark.read.parquet(f"{hits_root}/high_amount").select(*HIT_COLS)

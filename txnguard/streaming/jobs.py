@@ -115,6 +115,33 @@ def start_silver(
     return write_stream(silver, f"{checkpoint}/silver", silver_path, trigger=trigger)
 
 
+def start_silver_checked(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """R4 with schema enforcement (D8) in a stream: one exactly-once file
+    sink partitioned by ``_status`` (valid / rejected) and event date, so
+    each record is parsed once. Read valid rows from ``silver_root`` with
+    ``_status = 'valid'`` (partition pruning through the sink log), never from
+    the subfolder directly (it bypasses the log).
+    """
+    bronze = lake.read_bronze_stream(spark, bronze_path, max_files_per_trigger)
+    checked = ingest.with_event_date(ingest.to_silver_checked(bronze))
+    out = checked.select(
+        *TXN_COLS,
+        F.col("_raw").alias("value"),
+        F.col("_reject_reason").alias("reject_reason"),
+        F.when(F.col("_reject_reason").isNull(), "valid").otherwise("rejected").alias("_status"),
+        EVENT_DATE,
+    )
+    return write_stream(out, f"{checkpoint}/silver_checked", silver_root, trigger=trigger,
+                        partition_by=["_status", EVENT_DATE])
+
+
 def start_gold(
     spark: SparkSession,
     silver_path: str,
