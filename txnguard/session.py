@@ -20,15 +20,16 @@ from pyspark.sql import SparkSession
 #  * AQE with skew-join splitting: a hot user / window key is split at run
 #    time instead of landing in one task; small join sides found at run time
 #    become broadcasts.
-#  * Runtime bloom filters: the big silver side of the alert expansion join
-#    is pre-filtered by the (small) set of flagged windows.
+#  * Runtime bloom filters where Spark can build them (filtered scans on the
+#    small side of a shuffle join).
+#  Partition overwrite mode is not set session-wide: writers here pass
+#  ``partitionOverwriteMode=dynamic`` per write, other writes keep theirs.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # RocksDB keeps streaming state off the JVM heap; it is read when a query
     # starts for the first time on a checkpoint, so it must be set up front.
     "spark.sql.streaming.stateStore.providerClass":
