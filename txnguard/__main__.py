@@ -1,5 +1,6 @@
-"""Command-line apps (``spark-submit -m txnguard <command>`` or
-``python -m txnguard <command>``), one per pipeline stage:
+"""Command-line apps, one per pipeline stage: ``python -m txnguard <command>``,
+or on a cluster ``spark-submit --py-files txnguard.zip txnguard/__main__.py
+<command>``:
 
   ingest       Kafka topic (or a folder of JSON lines) → bronze      (stream)
   silver       bronze → silver [--checked: with quarantine]           (stream)
