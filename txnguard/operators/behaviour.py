@@ -83,26 +83,35 @@ def amount_vs_history(
 ) -> DataFrame:
     """D1. Adds ``prior_n`` (earlier non-NULL amounts), ``prior_avg`` and
     ``amount_vs_avg`` (flag); returns flagged rows unless ``keep_all``."""
-    rows = timed(silver).withColumn(_B, _bucket_of(F.col(_US), interval_micros(bucket)))
+    # NULL users form one group, as in GROUP BY / window partitioning; the
+    # (text, is-null) key pair keeps them apart from any real id and, unlike a
+    # null-safe join condition, stays a plain hash key shared by join and window
+    rows = (
+        timed(silver)
+        .withColumn(_B, _bucket_of(F.col(_US), interval_micros(bucket)))
+        .withColumn("_uk", F.coalesce(F.col("user_id"), F.lit("")))
+        .withColumn("_un", F.col("user_id").isNull())
+    )
     amount = F.col("transaction_amount")
 
-    per_bucket = rows.groupBy("user_id", _B).agg(
+    per_bucket = rows.groupBy("_uk", "_un", _B).agg(
         F.sum(amount).alias("_bs"), F.count(amount).alias("_bn")
     )
-    before = Window.partitionBy("user_id").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_uk", "_un").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_bucket.select(
-        "user_id",
+        "_uk",
+        "_un",
         _B,
         F.coalesce(F.sum("_bs").over(before), F.lit(0.0)).alias("_ps"),
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
     )
 
     inside = (
-        Window.partitionBy("user_id", _B)
+        Window.partitionBy("_uk", "_un", _B)
         .orderBy(_US, "transaction_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = rows.join(prefix, ["user_id", _B], "inner")
+    joined = rows.join(prefix, ["_uk", "_un", _B], "inner")
     prior_sum = F.col("_ps") + F.coalesce(F.sum(amount).over(inside), F.lit(0.0))
     prior_n = F.col("_pn") + F.coalesce(F.count(amount).over(inside), F.lit(0))
     out = (

@@ -89,10 +89,10 @@ def user_features(silver: DataFrame, hits: DataFrame, exact: bool = False) -> Da
         F.min(et).alias("first_seen"),
         F.max(et).alias("last_seen"),
     )
-    per_user_hits = hits.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_flagged"))
-    return base.join(per_user_hits, "user_id", "left").withColumn(
-        "n_flagged", F.coalesce("n_flagged", F.lit(0))
-    )
+    per_user_hits = hits.groupBy(F.col("user_id").alias("_hu")).agg(F.count(F.lit(1)).alias("n_flagged"))
+    # null-safe: the NULL-user group keeps its flagged count too
+    joined = base.join(per_user_hits, base["user_id"].eqNullSafe(per_user_hits["_hu"]), "left")
+    return joined.drop("_hu").withColumn("n_flagged", F.coalesce("n_flagged", F.lit(0)))
 
 
 def report(consolidated: DataFrame) -> DataFrame:

@@ -265,7 +265,8 @@ SELECT b.*, coalesce(h.n_flagged, 0) AS n_flagged FROM (
          count(CASE WHEN is_international THEN 1 END) AS n_international,
          min(event_time) AS first_seen, max(event_time) AS last_seen
   FROM timed GROUP BY user_id
-) b LEFT JOIN (SELECT user_id, count(*) AS n_flagged FROM cons GROUP BY user_id) h USING (user_id)"""
+) b LEFT JOIN (SELECT user_id AS hu, count(*) AS n_flagged FROM cons GROUP BY user_id) h
+  ON b.user_id IS NOT DISTINCT FROM h.hu"""
     q["report"] = _with(*_base(), CONS_CTE) + f"""
 SELECT {TXN_COLS_SQL}, array_to_string(rules, ',') AS triggered_rules,
        CAST(len(rules) AS INTEGER) AS n_rules,
