@@ -57,3 +57,34 @@ def test_bucketed_behaviour_equals_plain_windows(spark, evs):
     assert _ids(B.amount_vs_history(silver, bucket="1 minute")) == _ids(d1)
     assert _ids(B.rolling_velocity(silver, bucket="2 minutes")) == _ids(d2)
     assert _ids(B.location_jump(silver, max_gap="10 seconds", bucket="1 minute")) == _ids(d3)
+
+
+devices = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]), offsets, st.sampled_from(["d1", "d2", None]),
+              st.sampled_from([10.0, 25000.0])),
+    min_size=4,
+    max_size=30,
+)
+
+
+@SETTINGS
+@given(evs=devices)
+def test_device_and_age_rules_equal_plain_windows(spark, evs):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from txnguard.functions.columns import event_time
+
+    rows = [
+        txn(f"t{i}", user=u, device=d, amount=amt, time=(BASE + dt.timedelta(seconds=s)).isoformat())
+        for i, (u, s, d, amt) in enumerate(evs)
+    ]
+    silver = silver_df(spark, rows)
+    t = silver.withColumn("et", event_time("transaction_time"))
+    rn = F.row_number().over(Window.partitionBy("user_id", "device_id").orderBy("et", "transaction_id"))
+    d4 = t.withColumn("rn", rn).filter("rn = 1 AND transaction_amount > 20000")
+    first = F.min(F.unix_micros("et")).over(Window.partitionBy("user_id"))
+    d5 = t.withColumn("age", F.unix_micros("et") - first).filter(
+        "transaction_amount > 20000 AND age < 90000000")
+    assert _ids(B.new_device(silver)) == _ids(d4)
+    assert _ids(B.young_account(silver, max_age="90 seconds")) == _ids(d5)
