@@ -182,6 +182,7 @@ FROM txn WHERE transaction_amount > 20000 AND is_international = true"""
 SELECT user_id, window_start, window_end, "count", 'velocity' AS fraud_type FROM vel"""
     q["velocity_expanded"] = _with(*_base()) + "SELECT * FROM vel_hits"
     q["velocity_expanded_range"] = q["velocity_expanded"]
+    q["velocity_expanded_bucketed"] = q["velocity_expanded"]
     q["fraud_union"] = _with(*_base()) + "SELECT * FROM high UNION ALL SELECT * FROM vel_hits"
     q["fraud_consolidated"] = _consolidated_sql()
     q["bronze_raw"] = _with(TXN_CTE) + """

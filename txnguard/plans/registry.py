@@ -78,6 +78,10 @@ def q_velocity_expanded_range(spark, sf_dir):
     return q_velocity_expanded(spark, sf_dir, method="range")
 
 
+def q_velocity_expanded_bucketed(spark, sf_dir):
+    return q_velocity_expanded(spark, sf_dir, method="bucketed")
+
+
 def q_fraud_union(spark, sf_dir):
     silver = _silver(spark, sf_dir)
     hits = C.union_hits(
@@ -294,6 +298,7 @@ def queries() -> dict[str, Query]:
         "velocity": q_velocity,
         "velocity_expanded": q_velocity_expanded,
         "velocity_expanded_range": q_velocity_expanded_range,
+        "velocity_expanded_bucketed": q_velocity_expanded_bucketed,
         "fraud_union": q_fraud_union,
         "fraud_consolidated": q_fraud_consolidated,
         "bronze_raw": q_bronze_raw,
