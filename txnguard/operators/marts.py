@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnguard.functions.columns import event_time, risk_score
 from txnguard.schemas import EVENT_DATE, TXN_COLS
@@ -105,29 +106,60 @@ def report(consolidated: DataFrame) -> DataFrame:
     )
 
 
+def _distinct_key(df: DataFrame, c: str) -> Column:
+    """Value of ``c`` as text for distinct counting; -0.0 is folded into 0.0
+    (typed DISTINCT treats them as one value)."""
+    col = F.col(c)
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        col = F.when(col == 0, F.lit(0.0)).otherwise(col)
+    return col.cast("string")
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, min, max.
 
-    One aggregate pass over the table produces a single wide row, which is
-    then unpivoted (a one-row operation).
+    One aggregate pass gives a single wide row (NULL counts, typed min/max,
+    and HyperLogLog distinct counts unless ``exact``), unpivoted to one row
+    per column. Exact distinct counts come from a long form instead — one
+    (column, value) row per cell, deduplicated by a partial aggregate
+    map-side, then counted per column — which is cheaper than Spark's
+    Expand-based plan for many distinct aggregates in one query.
     """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in df.columns:
         aggs += [
             F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls"),
-            _distinct(c, exact).alias(f"{c}__distinct"),
             F.min(c).cast("string").alias(f"{c}__min"),
             F.max(c).cast("string").alias(f"{c}__max"),
         ]
+        if not exact:
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"{c}__distinct"))
     wide = df.agg(*aggs)
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
             F.col(f"{c}__nulls").alias("n_null"),
-            F.col(f"{c}__distinct").alias("n_distinct"),
+            (F.lit(None).cast("long") if exact else F.col(f"{c}__distinct")).alias("n_distinct"),
             F.col(f"{c}__min").alias("min_value"),
             F.col(f"{c}__max").alias("max_value"),
         )
         for c in df.columns
     ]
-    return wide.select("n_rows", F.explode(F.array(*rows)).alias("_p")).select("_p.*", "n_rows")
+    per_column = wide.select("n_rows", F.explode(F.array(*rows)).alias("_p")).select("_p.*", "n_rows")
+    if not exact:
+        return per_column
+    cells = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), _distinct_key(df, c).alias("v")) for c in df.columns])
+        ).alias("_c")
+    ).select("_c.*")
+    distinct = (
+        cells.filter(F.col("v").isNotNull())
+        .dropDuplicates(["column_name", "v"])
+        .groupBy("column_name").agg(F.count(F.lit(1)).alias("_nd"))
+    )
+    # both sides have one row per column
+    out = per_column.drop("n_distinct").join(F.broadcast(distinct), "column_name", "left")
+    return out.select(
+        "column_name", "n_null", F.coalesce("_nd", F.lit(0)).alias("n_distinct"), "min_value", "max_value", "n_rows"
+    )
