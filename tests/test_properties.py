@@ -41,12 +41,25 @@ def _silver(spark, evs):
 @SETTINGS
 @given(evs=events)
 def test_bucketed_expansion_equals_range_join(spark, evs):
+    from pyspark.sql import functions as F
+
+    from txnguard.functions.columns import event_time
+
     silver = _silver(spark, evs)
     vel = R.velocity(silver, min_exclusive=2)
+    # the literal reference join (user only + BETWEEN), fine on tiny inputs
+    v, s = C.flatten_windows(vel).alias("v"), silver.alias("s")
+    et = event_time(F.col("s.transaction_time"))
+    literal = {
+        "both": v.join(s, (F.col("v.user_id") == F.col("s.user_id")) & et.between(F.col("v.start"), F.col("v.end"))),
+        "left": v.join(s, (F.col("v.user_id") == F.col("s.user_id")) & (et >= F.col("v.start"))
+                       & (et < F.col("v.end"))),
+    }
     for closed in ("both", "left"):
-        a = C.expand_velocity(vel, silver, method="range", closed=closed)
-        b = C.expand_velocity(vel, silver, method="bucketed", closed=closed)
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        want = sorted(r.transaction_id for r in literal[closed].select("s.transaction_id").collect())
+        for method in ("bucketed", "range"):
+            got = C.expand_velocity(vel, silver, method=method, closed=closed)
+            assert sorted(r.transaction_id for r in got.collect()) == want
 
 
 @SETTINGS

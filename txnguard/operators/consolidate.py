@@ -5,7 +5,7 @@ its windows are joined back to silver to find the member transactions; the
 result is unioned with the high-amount hits and collapsed to one row per
 transaction with the set of rules it triggered.
 
-Join forms
+Join forms (neither pairs whole groups: both join on equi keys)
 * ``method="bucketed"`` (default): a pure equi-join on
   ``(user_id, window_start)``. Every transaction computes the start of the
   tumbling window it falls in; a transaction lying exactly on a window start
@@ -13,9 +13,11 @@ Join forms
   inclusive ``BETWEEN start AND end``. The velocity side holds one row per
   key, so the join is many-to-one: no pair explosion, and a hot user is
   spread over all its windows instead of sitting on one sort-merge key.
-* ``method="range"``: the literal reference form, equi on user plus a
-  range residual. Kept for parity checks; it pairs every window of a user
-  with every transaction of that user inside one task.
+* ``method="range"``: the same candidate keys plus the reference's literal
+  predicate ``event_time BETWEEN start AND end`` as a residual, for parity
+  checks. (A join on ``user_id`` alone with that residual would pair every
+  flagged window of a user with every transaction of the user before
+  filtering; that form is deliberately not offered.)
 
 ``closed="both"`` reproduces the reference (a transaction at exactly
 ``end`` is attached to the earlier window too); ``closed="left"`` attaches
@@ -47,18 +49,8 @@ def flatten_windows(velocity_df: DataFrame) -> DataFrame:
     )
 
 
-def _expand_range(windows: DataFrame, silver: DataFrame, closed: str) -> DataFrame:
-    v = windows.alias("v")
-    s = silver.alias("s")
-    et = event_time(F.col("s.transaction_time"))
-    if closed == "both":
-        in_window = et.between(F.col("v.start"), F.col("v.end"))
-    else:
-        in_window = (et >= F.col("v.start")) & (et < F.col("v.end"))
-    return v.join(s, (F.col("v.user_id") == F.col("s.user_id")) & in_window, "inner")
-
-
-def _expand_bucketed(windows: DataFrame, silver: DataFrame, window: str, closed: str) -> DataFrame:
+def _candidates(silver: DataFrame, window: str, closed: str) -> DataFrame:
+    """Silver rows with the start(s) of the window(s) they can belong to."""
     d = interval_micros(window)
     et = event_time(F.col("transaction_time"))
     b0 = bucket_micros(et, window)
@@ -68,9 +60,19 @@ def _expand_bucketed(windows: DataFrame, silver: DataFrame, window: str, closed:
     else:
         starts = F.array(b0)
     # NULL event time → NULL array → explode emits nothing (no range match).
-    s = silver.withColumn("_wstart_us", F.explode(starts)).alias("s")
+    return silver.withColumn("_wstart_us", F.explode(starts))
+
+
+def _expand(windows: DataFrame, silver: DataFrame, window: str, closed: str, check_range: bool) -> DataFrame:
+    s = _candidates(silver, window, closed).alias("s")
     v = windows.withColumn("_wstart_us", F.unix_micros(F.col("start"))).alias("v")
     cond = (F.col("v.user_id") == F.col("s.user_id")) & (F.col("v._wstart_us") == F.col("s._wstart_us"))
+    if check_range:
+        et = event_time(F.col("s.transaction_time"))
+        if closed == "both":
+            cond = cond & et.between(F.col("v.start"), F.col("v.end"))
+        else:
+            cond = cond & (et >= F.col("v.start")) & (et < F.col("v.end"))
     return v.join(s, cond, "inner")
 
 
@@ -88,13 +90,10 @@ def expand_velocity(
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")
-    windows = flatten_windows(velocity_df).select("user_id", "start", "end")
-    if method == "range":
-        joined = _expand_range(windows, silver, closed)
-    elif method == "bucketed":
-        joined = _expand_bucketed(windows, silver, window, closed)
-    else:
+    if method not in ("bucketed", "range"):
         raise ValueError(f"unknown method {method!r}")
+    windows = flatten_windows(velocity_df).select("user_id", "start", "end")
+    joined = _expand(windows, silver, window, closed, check_range=(method == "range"))
     cols = [F.col("v.user_id") if c == "user_id" else F.col(f"s.{c}") for c in TXN_COLS]
     return joined.select(*cols, F.lit(RULE_HIGH_VELOCITY).alias("triggered_rule"))
 
