@@ -69,3 +69,25 @@ def test_schema_assertion_and_preview(spark, lake):
     with pytest.raises(AssertionError):
         jobs.assert_schema(silver.drop("location"), SILVER_SCHEMA)
     assert len(jobs.preview(silver, 5)) == 5
+
+
+def test_compaction_rewrites_batch_tables_only(spark, lake):
+    import os
+
+    from txnguard.sources import lake as L
+    from txnguard.streaming import jobs as J
+
+    root, info = lake
+    table = f"{root}/many_files"
+    spark.read.parquet(f"{info['gold']}/fraud_union").repartition(20).write.partitionBy("event_date").parquet(table)
+    before = sorted(map(repr, spark.read.parquet(table).collect()))   # small: 93 rows
+    jobs.compact_table(spark, table)
+    assert sorted(map(repr, spark.read.parquet(table).collect())) == before
+    files = [f for _, _, fs in os.walk(table) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 1
+
+    sink = f"{root}/sink"
+    J.drain([J.write_stream(L.read_silver_stream(spark, info["silver"]), f"{root}/sink_ck", sink,
+                            trigger={"availableNow": True})])
+    with pytest.raises(ValueError):
+        jobs.compact_table(spark, sink)

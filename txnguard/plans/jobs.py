@@ -28,6 +28,7 @@ from txnguard.functions.columns import event_time
 from txnguard.operators import consolidate as C
 from txnguard.operators import ingest, rules
 from txnguard.schemas import EVENT_DATE, TXN_COLS
+from txnguard.session import checkpoint_root
 
 # Upper bound on bytes per flagged window row (user_id text + two timestamps
 # + row overhead) used to turn a row count into a broadcast size estimate.
@@ -62,6 +63,42 @@ def assert_schema(df: DataFrame, expected: T.StructType, check_nullable: bool =
         raise AssertionError(f"schema mismatch:\n got  {got}\n want {want}")
 
 
+def compact_table(
+    spark: SparkSession,
+    path: str,
+    dates: list[str] | None = None,
+    target_file_bytes: int = 256 * 1024 * 1024,
+) -> int:
+    """Rewrite date partitions of a batch table into ~``target_file_bytes``
+    files (frequent small writes leave many tiny files). Returns the number
+    of files written per partition.
+
+    Only for tables written by batch jobs. A streaming sink folder lists its
+    files in ``_spark_metadata``; rewriting them in place breaks every reader
+    of the folder, so sinks are sized with the trigger interval instead.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_spark_metadata")):
+        raise ValueError(f"{path} is a streaming sink folder; compaction would break its log")
+    df = _dates_filter(spark.read.parquet(path), dates)
+    size = fs.getContentSummary(hpath).getLength()
+    n_parts = max(1, len(dates)) if dates else max(1, df.select(EVENT_DATE).distinct().count())
+    per_part = max(1, int(size / max(n_parts, 1) / target_file_bytes) + 1)
+    # materialise before overwriting the partitions it was read from
+    checkpoint_root(spark)
+    df = df.checkpoint(eager=True)
+    (
+        df.repartition(n_parts * per_part, EVENT_DATE, F.pmod(F.xxhash64(*df.columns), F.lit(per_part)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(EVENT_DATE)
+        .parquet(path)
+    )
+    return per_part
+
+
 # --- helpers -------------------------------------------------------------------------
 
 
