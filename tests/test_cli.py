@@ -18,7 +18,19 @@ def test_cli_stream_stages_then_batch_consolidation(spark, scratch):
     main(["gold", "--silver", silver, "--gold", gold, "--checkpoint", f"{scratch}/ck/g", "--once"], spark)
     info = main(["consolidate", "--silver", silver, "--gold", gold], spark)
     assert info["broadcast_windows"] is True
-    assert spark.read.parquet(f"{gold}/fraud_union").count() == 93
+    union = spark.read.parquet(f"{gold}/fraud_union")
+    assert union.count() == 93
+    # the reference table layouts, plus our event_date partition column
+    from pyspark.sql import types as T
+
+    from txnguard.schemas import FRAUD_UNION_COLS, HIGH_AMOUNT_COLS, VELOCITY_COLS
+
+    assert spark.read.parquet(f"{gold}/high_amount_fraud").columns == HIGH_AMOUNT_COLS + ["event_date"]
+    vel = spark.read.parquet(f"{gold}/velocity_fraud")
+    assert vel.columns == VELOCITY_COLS + ["event_date"]
+    assert [f.name for f in vel.schema["window"].dataType.fields] == ["start", "end"]
+    assert union.columns == FRAUD_UNION_COLS + ["event_date"]
+    assert union.schema["triggered_rules"].dataType == T.ArrayType(T.StringType(), True)
 
 
 def test_cli_help_lists_commands(capsys):
