@@ -125,3 +125,23 @@ def test_fraud_model_scores_every_user(spark):
     rows = out.collect()
     assert len(rows) == read_transactions(spark, SF_SMALL).select("user_id").distinct().count()
     assert all(0.0 <= r.fraud_probability <= 1.0 for r in rows)
+
+
+@pytest.mark.parametrize("bucket", [None, "3 minutes"])
+def test_transaction_features_equal_plain_windows(spark, bucket):
+    silver = read_transactions(spark, SF_SMALL)
+    got = B.transaction_features(silver, trailing="60 seconds", bucket=bucket)
+    t = silver.withColumn("us", F.unix_micros(event_time("transaction_time"))).filter("us IS NOT NULL")
+    wr = Window.partitionBy("user_id").orderBy("us").rangeBetween(-59_999_999, 0)
+    wo = Window.partitionBy("user_id").orderBy("us", "transaction_id")
+    gap = F.col("us") - F.lag("us").over(wo)
+    want = t.select(
+        "transaction_id",
+        F.count(F.lit(1)).over(wr).alias("trailing_count"),
+        F.size(F.collect_set("device_id").over(wr)).cast("long").alias("trailing_devices"),
+        F.count("transaction_amount").over(wo.rowsBetween(Window.unboundedPreceding, -1)).alias("prior_n"),
+        F.when(gap < 60_000_000, gap / 1e6).alias("seconds_since_prev"),
+    )
+    cols = ["transaction_id", "trailing_count", "trailing_devices", "prior_n", "seconds_since_prev"]
+    a, b = got.select(*cols), want.select(*cols)
+    assert a.count() == 1000 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

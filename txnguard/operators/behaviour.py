@@ -218,3 +218,66 @@ def young_account(
 def as_hits(flagged: DataFrame, rule: str) -> DataFrame:
     """Standardise any rule's flagged rows to ``HIT_COLS``."""
     return flagged.select(*TXN_COLS, F.lit(rule).alias("triggered_rule"))
+
+
+# --- D12 (per transaction) ----------------------------------------------------------
+
+
+def transaction_features(
+    silver: DataFrame, trailing: str = "10 minutes", bucket: str | None = None
+) -> DataFrame:
+    """Per-transaction features in one pass over (user, time bucket).
+
+    * ``trailing_count`` / ``trailing_amount`` / ``trailing_devices``: the
+      user's transactions, summed amount and distinct devices in
+      ``(t - trailing, t]`` (this row included);
+    * ``prior_n`` / ``prior_sum`` / ``prior_avg``: count, sum and mean of all
+      the user's earlier amounts (lifetime, as in D1);
+    * ``seconds_since_prev``: gap to the user's previous transaction when it
+      lies within ``trailing`` (NULL otherwise).
+
+    Rows are grouped by (user, bucket) with the previous bucket's last
+    ``trailing`` copied in (D2/D3 pattern) and joined to the per-bucket
+    lifetime prefix (D1 pattern) on the same key, so the big side is
+    shuffled once for all features.
+    """
+    w_us = interval_micros(trailing)
+    bucket = bucket or f"{10 * w_us} microseconds"
+    amount = F.col("transaction_amount")
+    rows = with_carried_tail(timed(silver), bucket, trailing)
+    rows = rows.withColumn("_uk", F.coalesce(F.col("user_id"), F.lit(""))).withColumn(
+        "_un", F.col("user_id").isNull()
+    )
+
+    own = rows.filter(F.col(_OWN))
+    per_bucket = own.groupBy("_uk", "_un", _B).agg(F.sum(amount).alias("_bs"), F.count(amount).alias("_bn"))
+    before = Window.partitionBy("_uk", "_un").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_bucket.select(
+        "_uk", "_un", _B,
+        F.coalesce(F.sum("_bs").over(before), F.lit(0.0)).alias("_ps"),
+        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
+    )
+    part = Window.partitionBy("_uk", "_un", _B)
+    frame = part.orderBy(_US).rangeBetween(-(w_us - 1), 0)
+    ordered = part.orderBy(_US, "transaction_id")
+    earlier_own = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    own_amount = F.when(F.col(_OWN), amount)
+    gap = F.col(_US) - F.lag(_US).over(ordered)
+    out = (
+        rows.join(prefix, ["_uk", "_un", _B], "left")
+        .withColumn("trailing_count", F.count(F.lit(1)).over(frame))
+        .withColumn("trailing_amount", F.sum(amount).over(frame))
+        .withColumn("trailing_devices", F.size(F.collect_set("device_id").over(frame)).cast("long"))
+        .withColumn("_wn", F.count(own_amount).over(earlier_own))
+        .withColumn("_ws", F.sum(own_amount).over(earlier_own))
+        .withColumn("_gap", gap)
+        .filter(F.col(_OWN))
+        .withColumn("prior_n", F.coalesce("_pn", F.lit(0)) + F.col("_wn"))
+        .withColumn("prior_sum", F.coalesce("_ps", F.lit(0.0)) + F.coalesce("_ws", F.lit(0.0)))
+        .withColumn("prior_avg", F.when(F.col("prior_n") > 0, F.col("prior_sum") / F.col("prior_n")))
+        .withColumn("seconds_since_prev", F.when(F.col("_gap") < F.lit(w_us), F.col("_gap") / 1e6))
+    )
+    return out.select(
+        *silver.columns, "trailing_count", "trailing_amount", "trailing_devices", "prior_n", "prior_sum",
+        "prior_avg", "seconds_since_prev",
+    )

@@ -268,6 +268,23 @@ SELECT b.*, coalesce(h.n_flagged, 0) AS n_flagged FROM (
   FROM timed GROUP BY user_id
 ) b LEFT JOIN (SELECT user_id AS hu, count(*) AS n_flagged FROM cons GROUP BY user_id) h
   ON b.user_id IS NOT DISTINCT FROM h.hu"""
+    q["transaction_features"] = _with(TXN_CTE, TIMED_CTE) + f"""
+SELECT {TXN_COLS_SQL},
+       count(*) OVER wr AS trailing_count,
+       round(sum(transaction_amount) OVER wr, 2) AS trailing_amount,
+       count(DISTINCT device_id) OVER wr AS trailing_devices,
+       count(transaction_amount) OVER wp AS prior_n,
+       round(coalesce(sum(transaction_amount) OVER wp, 0.0), 2) AS prior_sum,
+       CASE WHEN gap_us < 60000000 THEN gap_us / 1e6 END AS seconds_since_prev
+FROM (
+  SELECT *, epoch_us(event_time) AS us,
+         epoch_us(event_time) - lag(epoch_us(event_time)) OVER (
+           PARTITION BY user_id ORDER BY event_time, transaction_id) AS gap_us
+  FROM timed WHERE event_time IS NOT NULL
+)
+WINDOW wr AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW),
+       wp AS (PARTITION BY user_id ORDER BY event_time, transaction_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
     q["report"] = _with(*_base(), CONS_CTE) + f"""
 SELECT {TXN_COLS_SQL}, array_to_string(rules, ',') AS triggered_rules,
        CAST(len(rules) AS INTEGER) AS n_rules,

@@ -136,6 +136,7 @@ def q_silver_normalized(spark, sf_dir):
 # The driver events are time-compressed 1440x (one day -> one minute), so the
 # prose's "5 minutes" gap and "7 days" account age are scaled to the data.
 FIXTURE_RULE_PARAMS = {"max_gap": "10 seconds", "max_age": "7 minutes"}
+FIXTURE_TRAILING = "60 seconds"
 
 
 def _txn_out(df: DataFrame, *extra: str) -> DataFrame:
@@ -164,6 +165,16 @@ def q_rule_young_account(spark, sf_dir):
     return _txn_out(out, "account_age_seconds")
 
 
+def q_transaction_features(spark, sf_dir):
+    out = B.transaction_features(_silver(spark, sf_dir), trailing=FIXTURE_TRAILING)
+    # sums of near-integer amounts round stably; means (k/40 = x.xx5 ...) do not,
+    # so the comparison uses the prior sum and leaves the mean to the library
+    out = out.withColumn("trailing_amount", F.round("trailing_amount", 2)).withColumn(
+        "prior_sum", F.round("prior_sum", 2))
+    return _txn_out(out, "trailing_count", "trailing_amount", "trailing_devices", "prior_n", "prior_sum",
+                    "seconds_since_prev")
+
+
 def _scored(spark, sf_dir):
     return SC.scored_transactions(_silver(spark, sf_dir), **FIXTURE_RULE_PARAMS)
 
@@ -316,6 +327,7 @@ def queries() -> dict[str, Query]:
         "risk_label": q_risk_label,
         "metrics_rollup": q_metrics_rollup,
         "user_features": q_user_features,
+        "transaction_features": q_transaction_features,
         "report": q_report,
         "profile": q_profile,
         "fraud_model": q_fraud_model,
