@@ -141,6 +141,8 @@ def test_stateful_streams_equal_batch_for_any_arrival_order(spark, evs, order):
         (ST.amount_vs_history_stream, B.amount_vs_history, {}),
         (ST.new_device_stream, B.new_device, {}),
         (ST.young_account_stream, lambda s: B.young_account(s, max_age="30 seconds"), {"max_age": "30 seconds"}),
+        (ST.rolling_velocity_stream, lambda s: B.rolling_velocity(s, window="20 seconds", min_exclusive=2),
+         {"window": "20 seconds", "min_exclusive": 2}),
     ]
     for stream_rule, batch_rule, kw in pairs:
         stream = lake.read_silver_stream(spark, src, max_files_per_trigger=1)

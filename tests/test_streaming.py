@@ -332,3 +332,13 @@ def test_checked_silver_stream_splits_valid_and_rejected(spark, scratch):
     assert [r.transaction_id for r in table.filter("_status = 'valid'").collect()] == ["ok1"]
     reasons = sorted(r.reject_reason for r in table.filter("_status = 'rejected'").collect())
     assert reasons == ["bad_transaction_time", "malformed_json", "missing_transaction_id"]
+
+
+def test_stateful_rolling_velocity_equals_batch(spark):
+    from txnguard.operators import behaviour as B
+    from txnguard.streaming import stateful as ST
+
+    out = RP.run_to_table(ST.rolling_velocity_stream(RP.silver_stream(spark, SF_SMALL, flush=True)),
+                          spark, "st_rolling")
+    batch = B.rolling_velocity(read_transactions(spark, SF_SMALL)).select(*out.columns)
+    assert out.count() == 73 and _same(out, batch)

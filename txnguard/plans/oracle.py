@@ -245,6 +245,7 @@ FROM txn"""
     q["stream_amount_vs_avg"] = q["rule_amount_vs_avg"]
     q["stream_new_device"] = q["rule_new_device"]
     q["stream_young_account"] = q["rule_young_account"]
+    q["stream_velocity_rolling"] = q["velocity_rolling"]
     q["risk_score"] = scored + (
         f"SELECT {TXN_COLS_SQL}, triggered_rules, n_rules, risk_score FROM scored")
     q["risk_label"] = scored + "SELECT transaction_id, ingestion_time, risk_score, is_fraud FROM scored"

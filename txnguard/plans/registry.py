@@ -294,6 +294,13 @@ def q_stream_new_device(spark, sf_dir):
     return _txn_out(out)
 
 
+def q_stream_velocity_rolling(spark, sf_dir):
+    configure(spark)
+    rule = STATE.rolling_velocity_stream(S.silver_stream(spark, sf_dir, flush=True))
+    out = S.run_to_table(rule, spark, "velocity_rolling").filter(F.col("user_id") != S.SENTINEL_USER)
+    return _txn_out(out, "rolling_count")
+
+
 def q_stream_young_account(spark, sf_dir):
     configure(spark)
     rule = STATE.young_account_stream(S.silver_stream(spark, sf_dir, flush=True),
@@ -341,6 +348,7 @@ def queries() -> dict[str, Query]:
         "stream_amount_vs_avg": q_stream_amount_vs_avg,
         "stream_new_device": q_stream_new_device,
         "stream_young_account": q_stream_young_account,
+        "stream_velocity_rolling": q_stream_velocity_rolling,
     }
 
 

@@ -1,15 +1,15 @@
-"""Custom stateful streaming rules: D1, D3, D4 and D5 on a stream.
+"""Custom stateful streaming rules: D1–D5 on a stream.
 
 Spark has no streaming ``lag`` or running window, so these rules keep state
 with ``applyInPandasWithState`` (Arrow batches, RocksDB state store). One
-mechanism serves all four:
+mechanism serves all five:
 
 * rows are buffered until the watermark passes their event time, then
   released per user in (event time, transaction_id) order — arrival order
   does not change the answer, which equals the batch rule;
 * a small per-user *carry* summarises everything released so far
-  (D1: count and sum of amounts; D3: last time and location; D4: devices
-  seen; D5: first sighting);
+  (D1: count and sum of amounts; D2: event times of the last window; D3:
+  last time and location; D4: devices seen; D5: first sighting);
 * an event-time timeout wakes a key up when the watermark passes, so rows
   are released even when nothing new arrives; carries that can no longer
   matter (D3: last row older than the gap) are dropped.
@@ -59,6 +59,7 @@ CARRY_FIELDS = [
     ("last_loc", T.StringType()),               # D3 last location
     ("first_us", T.LongType()),                 # D5 first sighting
     ("devices", T.ArrayType(T.StringType())),   # D4 devices seen
+    ("recent", T.ArrayType(T.LongType())),      # D2 event times within the trailing window
     ("keep_until", T.LongType()),               # drop the carry once the watermark passes
 ]
 CARRY_COLS = [n for n, _ in CARRY_FIELDS]
@@ -298,3 +299,45 @@ def young_account_stream(
 ) -> DataFrame:
     """D5 on a stream: amount above threshold within max_age of first sighting."""
     return _run(silver, _age_process(interval_micros(max_age), threshold), AGE_SCHEMA, watermark, slots)
+
+
+# --- D2 -----------------------------------------------------------------------------
+
+ROLLING_SCHEMA = _schema_plus(("rolling_count", T.LongType()))
+
+
+def _rolling_process(w_us: int, min_exclusive: int) -> Process:
+    import numpy as np
+
+    def process(ready: pd.DataFrame, carries: pd.DataFrame):
+        stored = _carry_of(ready, carries, "recent")
+        counts = np.zeros(len(ready), dtype="int64")
+        recent, until = {}, {}
+        times = ready["event_us"].astype("int64").to_numpy()
+        for user, idx in ready.groupby(_UK, sort=False).indices.items():
+            prev = stored.iloc[idx[0]]
+            t = times[idx]                                   # sorted within the user
+            all_t = np.concatenate([np.asarray(prev if prev is not None else [], dtype="int64"), t])
+            # rows in (t - w, t], peers at t included, as the batch range frame
+            counts[idx] = np.searchsorted(all_t, t, "right") - np.searchsorted(all_t, t - w_us + 1, "left")
+            last = int(t[-1])
+            recent[user] = all_t[all_t > last - w_us].tolist()   # only the last window can matter
+            until[user] = last + w_us
+        out = ready.assign(rolling_count=counts)
+        out = out[out["rolling_count"] > min_exclusive]
+        return out, _updated(ready, carries, recent=pd.Series(recent, dtype=object),
+                             keep_until=pd.Series(until, dtype="int64"))
+
+    return process
+
+
+def rolling_velocity_stream(
+    silver: DataFrame,
+    window: str = "60 seconds",
+    min_exclusive: int = 5,
+    watermark: str = VELOCITY_WATERMARK,
+    slots: int | None = None,
+) -> DataFrame:
+    """D2 on a stream: more than ``min_exclusive`` of the user's transactions
+    in ``(t - window, t]``, evaluated at every transaction."""
+    return _run(silver, _rolling_process(interval_micros(window), min_exclusive), ROLLING_SCHEMA, watermark, slots)
