@@ -351,5 +351,3 @@ def queries() -> dict[str, Query]:
         "stream_velocity_rolling": q_stream_velocity_rolling,
     }
 
-
-__all__ = ["queries", "TXN_COLS"]
