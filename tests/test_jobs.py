@@ -91,3 +91,17 @@ def test_compaction_rewrites_batch_tables_only(spark, lake):
                             trigger={"availableNow": True})])
     with pytest.raises(ValueError):
         jobs.compact_table(spark, sink)
+
+
+def test_bronze_days_pruned_with_lateness_bound(spark, lake):
+    from txnguard.plans import inspect as P
+
+    root, info = lake
+    bronze = f"{root}/bronze_by_day"
+    spark.read.parquet(f"{root}/bronze").withColumn("ingest_date", F.to_date("ingestion_time")) \
+        .write.partitionBy("ingest_date").parquet(bronze)
+    silver, _ = jobs.bronze_to_silver(spark, bronze, f"{root}/silver_by_day", dates=["2024-01-01"],
+                                      lateness_days=40)
+    assert spark.read.parquet(silver).count() == 1000
+    pruned = spark.read.parquet(bronze).filter(F.col("ingest_date").between("2023-12-31", "2024-01-02"))
+    assert "ingest_date" in P.formatted_plan(pruned).split("PartitionFilters:")[1].split("\n")[0]

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from txnguard.functions.columns import event_time
 from txnguard.operators import consolidate as C
 from txnguard.operators import ingest, rules
-from txnguard.schemas import EVENT_DATE, TXN_COLS
+from txnguard.schemas import EVENT_DATE, INGEST_DATE, TXN_COLS
 from txnguard.session import checkpoint_root
 
 # Upper bound on bytes per flagged window row (user_id text + two timestamps
@@ -135,15 +135,28 @@ def checked_broadcast(windows: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYT
 
 
 def bronze_to_silver(
-    spark: SparkSession, bronze_path: str, silver_root: str, dates: list[str] | None = None
+    spark: SparkSession,
+    bronze_path: str,
+    silver_root: str,
+    dates: list[str] | None = None,
+    lateness_days: int | None = None,
 ) -> tuple[str, str]:
     """Batch R4 with schema enforcement: returns (silver path, rejects path).
 
     One pass writes ``_status=valid`` and ``_status=rejected`` partitions;
     both are further partitioned by event date (ingestion date for rows
     whose time cannot be parsed).
+
+    With ``dates`` and ``lateness_days`` and a bronze table partitioned by
+    ``ingest_date``, only ingestion days from min(dates) - 1 (clock skew) to
+    max(dates) + lateness are read. Without a lateness bound every bronze
+    day is read: an event may arrive arbitrarily late.
     """
     bronze = spark.read.parquet(bronze_path)
+    if dates and lateness_days is not None and INGEST_DATE in bronze.columns:
+        days = sorted(dt.date.fromisoformat(d) for d in dates)
+        lo, hi = days[0] - dt.timedelta(days=1), days[-1] + dt.timedelta(days=lateness_days)
+        bronze = bronze.filter(F.col(INGEST_DATE).between(lo, hi))
     checked = ingest.with_event_date(ingest.to_silver_checked(bronze))
     out = checked.select(
         *TXN_COLS,

@@ -63,3 +63,5 @@ REQUIRED_FIELDS = tuple(EVENT_COLS)
 
 # Partition column added to lake tables so jobs can prune and overwrite by day.
 EVENT_DATE = "event_date"
+# Partition column of bronze: the day a record was ingested.
+INGEST_DATE = "ingest_date"

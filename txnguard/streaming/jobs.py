@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.operators import ingest, rules
-from txnguard.schemas import EVENT_DATE, EVENT_SCHEMA, TXN_COLS
+from txnguard.schemas import EVENT_DATE, EVENT_SCHEMA, INGEST_DATE, TXN_COLS
 from txnguard.sources import lake
 
 
@@ -86,10 +86,21 @@ def console(df: DataFrame, checkpoint: str, mode: str = "append", trigger: dict
 
 
 def start_bronze(
-    raw: DataFrame, bronze_path: str, checkpoint: str, trigger: dict | None = None
+    raw: DataFrame, bronze_path: str, checkpoint: str, trigger: dict | None = None,
+    partition_by_date: bool = True,
 ) -> StreamingQuery:
-    """Raw records (Kafka or text) → bronze Parquet, stored as-is."""
-    return write_stream(ingest.to_bronze(raw), f"{checkpoint}/bronze", bronze_path, trigger=trigger)
+    """Raw records (Kafka or text) → bronze Parquet, stored as-is.
+
+    Partitioned by ingestion date (``ingest_date``) so that rebuilding a few
+    event dates reads only the bronze days that can hold them (see
+    ``plans.jobs.bronze_to_silver(lateness_days=...)``).
+    """
+    bronze = ingest.to_bronze(raw)
+    if partition_by_date:
+        bronze = bronze.withColumn(INGEST_DATE, F.to_date("ingestion_time"))
+        return write_stream(bronze, f"{checkpoint}/bronze", bronze_path, trigger=trigger,
+                            partition_by=[INGEST_DATE])
+    return write_stream(bronze, f"{checkpoint}/bronze", bronze_path, trigger=trigger)
 
 
 def start_silver(
