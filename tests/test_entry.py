@@ -43,3 +43,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert got_cols == want_cols
     assert len(got) == len(want)
     assert got == want
+
+
+def test_only_the_model_lacks_an_oracle():
+    assert set(queries()) - set(oracle_sql()) == {"fraud_model"}
+
+
+@pytest.mark.parametrize("name", sorted(k for k in queries() if not k.startswith("stream_")))
+def test_registered_query_scans_the_events_table(spark, name):
+    from txnguard.plans import inspect as P
+
+    assert "events.parquet" in P.formatted_plan(queries()[name](spark, SF_SMALL))
