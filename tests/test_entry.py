@@ -49,7 +49,9 @@ def test_only_the_model_lacks_an_oracle():
     assert set(queries()) - set(oracle_sql()) == {"fraud_model"}
 
 
-@pytest.mark.parametrize("name", sorted(k for k in queries() if not k.startswith("stream_")))
+# stream queries read replayed tables; fraud_model reads its checkpointed
+# training set (lineage cut on purpose), both derived from events by Spark
+@pytest.mark.parametrize("name", sorted(k for k in queries() if not k.startswith("stream_") and k != "fraud_model"))
 def test_registered_query_scans_the_events_table(spark, name):
     from txnguard.plans import inspect as P
 
