@@ -76,3 +76,9 @@ def test_velocity_counts_exact_under_skew(hot):
         .first()[0]
     )
     assert got == want
+
+
+def test_bucket_load_shows_the_hot_user_spread(hot):
+    top = B.bucket_load(hot, "1 minute", top=5).collect()
+    assert len(top) == 5 and top[0].user_id == "user_hot"
+    assert top[0].share < 0.2   # the hot user's biggest minute is a small slice of the table

@@ -281,3 +281,26 @@ def transaction_features(
         *silver.columns, "trailing_count", "trailing_amount", "trailing_devices", "prior_n", "prior_sum",
         "prior_avg", "seconds_since_prev",
     )
+
+
+def bucket_load(silver: DataFrame, bucket: str = "1 minute", top: int = 20) -> DataFrame:
+    """The ``top`` largest (user, time bucket) groups for a bucket size, with
+    their share of all rows: the task size the D1–D3 window stages will see.
+
+    A partial aggregate (one row per group per input task) plus a top-k
+    report; use it to pick a bucket small enough that the largest group fits
+    comfortably in one task.
+    """
+    rows = timed(silver).withColumn(_B, _bucket_of(F.col(_US), interval_micros(bucket)))
+    total = max(rows.count(), 1)   # one number from a distributed count
+    groups = rows.groupBy("user_id", _B).agg(F.count(F.lit(1)).alias("rows"))
+    return (
+        groups.orderBy(F.col("rows").desc(), "user_id", _B)
+        .limit(top)
+        .select(
+            "user_id",
+            F.timestamp_micros(_B).alias("bucket_start"),
+            "rows",
+            (F.col("rows") / F.lit(total)).alias("share"),
+        )
+    )
