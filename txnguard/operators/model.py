@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from txnguard.session import checkpoint_root
 
+ROWS_PER_PARTITION = 500_000
+
 FEATURES = [
     "n_txn",
     "total_amount",
@@ -49,6 +51,13 @@ def fit_and_score(train: DataFrame, max_iter: int = 20, reg: float = 0.01) -> Da
     """
     checkpoint_root(train.sparkSession)
     train = train.checkpoint(eager=True)
+    # each iteration schedules one task per partition: keep ~ROWS_PER_PARTITION
+    # rows per task (only ever fewer partitions; large sets keep theirs)
+    n = train.count()
+    parts = train.rdd.getNumPartitions()
+    wanted = max(1, -(-n // ROWS_PER_PARTITION))
+    if wanted < parts:
+        train = train.coalesce(wanted)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(train)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
     scaled = scaler.transform(assembled)
