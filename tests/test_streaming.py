@@ -342,3 +342,21 @@ def test_stateful_rolling_velocity_equals_batch(spark):
                           spark, "st_rolling")
     batch = B.rolling_velocity(read_transactions(spark, SF_SMALL)).select(*out.columns)
     assert out.count() == 73 and _same(out, batch)
+
+
+def test_regroup_with_an_empty_hit_sink(spark, scratch):
+    # no high-amount hit yet: its sink folder exists without data files
+    from txnguard.streaming import consolidate as SC
+    from txnguard.streaming.jobs import state_partitions
+
+    src = f"{scratch}/in"
+    rows = [txn(f"v{i}", user="u", time=f"2024-01-01T10:00:0{i}") for i in range(6)]
+    rows.append(txn("flush", user="zz", time="2099-01-01T00:00:00"))
+    _write_silver_file(spark, src, rows, 1)
+    hits, out = f"{scratch}/hits", f"{scratch}/union"
+    with state_partitions(spark):
+        J.drain(SC.start_hit_streams(lake.read_silver_stream(spark, src), hits, f"{scratch}/ck",
+                                     trigger=AVAILABLE_NOW))
+    J.drain([SC.start_consolidation(spark, hits, out, f"{scratch}/ck/cons", trigger=AVAILABLE_NOW)])
+    got = spark.read.parquet(out)
+    assert got.count() == 6 and {tuple(r.triggered_rules) for r in got.collect()} == {("HIGH_VELOCITY",)}

@@ -120,8 +120,10 @@ def regroup_dates(spark: SparkSession, hits_root: str, out_path: str, touched: D
     dates = [r[0] for r in touched.select(EVENT_DATE).distinct().collect() if r[0] is not None]
     if not dates:
         return
+    # explicit schema: a hit sink that has not written a file yet reads as empty
     parts = [
-        spark.read.parquet(f"{hits_root}/{name}").filter(F.col(EVENT_DATE).isin(dates)).select(*HIT_COLS)
+        spark.read.schema(HIT_STREAM_SCHEMA).parquet(f"{hits_root}/{name}")
+        .filter(F.col(EVENT_DATE).isin(dates)).select(*HIT_COLS)
         for name in ("high_amount", "velocity")
     ]
     grouped = C.group_hits(C.union_hits(*parts))
@@ -160,8 +162,8 @@ def start_consolidation(
 
 def group_hit_tables(spark: SparkSession, hits_root: str) -> DataFrame:
     """Batch A2 over the streamed hit tables."""
-    high = spark.read.parquet(f"{hits_root}/high_amount").select(*HIT_COLS)
-    vel = spark.read.parquet(f"{hits_root}/velocity").select(*HIT_COLS)
+    high = spark.read.schema(HIT_STREAM_SCHEMA).parquet(f"{hits_root}/high_amount").select(*HIT_COLS)
+    vel = spark.read.schema(HIT_STREAM_SCHEMA).parquet(f"{hits_root}/velocity").select(*HIT_COLS)
     return C.group_hits(C.union_hits(high, vel))
 
 
