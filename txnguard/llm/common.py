@@ -27,12 +27,30 @@ def fold(doc_id: str, modulus: int, held: int) -> Column:
     return F.coalesce(crc % F.lit(modulus) == F.lit(held), F.lit(False))
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back:
-    the lineage is cut there, so a lost executor costs a re-read and no recomputation."""
-    path = work_dir(df.sparkSession, "llm", name, unique=True)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the lineage is cut there, so a lost executor costs a re-read and no recomputation.
+    The write's own shuffle files are of no use afterwards and are dropped with it."""
+    spark = df.sparkSession
+    path = work_dir(spark, "llm", name, unique=True)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def hash_cut(keys: DataFrame, rows: int) -> int | None:
+    """The ``rows``-th smallest of the distinct values of ``keys``' one long column, or the largest there is:
+    a bounded sample is what lies at or below it, whichever way the rows are dealt out."""
+    name = keys.columns[0]
+    lowest = keys.distinct().orderBy(name).limit(rows)
+    return lowest.agg(F.max(name)).first()[0]
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -6,19 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import language_id, packing
+from txnguard.llm import language_id, packing, quality_pu, quality_rules
 from txnguard.llm.common import fold, table
 from txnguard.session import configure
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from positives and unlabelled text of the training fold."""
+    configure(spark)
+    docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 3, 1)
+    model = quality_pu.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    scored = quality_pu.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 4096 tokens."""
     configure(spark)
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), capacity=4096, end_id=1)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether the rules keep it."""
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.apply(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     configure(spark)
