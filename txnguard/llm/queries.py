@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import language_id, packing, quality_pu, quality_rules
+from txnguard.llm import language_id, packing, quality_pu, quality_rules, simhash_gray, substring_dedup
 from txnguard.llm.common import fold, table
 from txnguard.session import configure
 
@@ -22,6 +22,13 @@ def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash of every document and its component of fingerprints within 2 bits."""
+    configure(spark)
+    found = simhash_gray.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 4096 tokens."""
     configure(spark)
@@ -35,6 +42,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-word windows that a document with a smaller id has."""
+    configure(spark)
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), window=50).drop("kept")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     configure(spark)
