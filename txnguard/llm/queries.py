@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import chat_format, language_id, packing, quality_pu, quality_rules, simhash_gray, substring_dedup
+from txnguard.llm import chat_format, decontaminate, language_id, packing, quality_pu, quality_rules, secret_scan, simhash_gray, substring_dedup
 from txnguard.llm.common import fold, table
 from txnguard.session import configure
 
@@ -35,6 +35,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), capacity=4096, end_id=1)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of all documents with its place, score and verdict; the secret itself as a digest."""
+    configure(spark)
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 10-word window of a benchmark item."""
+    configure(spark)
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and whether the rules keep it."""
     configure(spark)
