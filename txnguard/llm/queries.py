@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import chat_format, decontaminate, language_id, packing, quality_pu, quality_rules, secret_scan, simhash_gray, substring_dedup
+from txnguard.llm import attention_lm, chat_format, decontaminate, language_id, packing, quality_pu, quality_rules, secret_scan, simhash_gray, substring_dedup
 from txnguard.llm.common import fold, table
 from txnguard.session import configure
 
@@ -68,6 +68,14 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns))
 
 
+def op8_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attention model's and the unigram model's log10 probability of every document, learned from six sevenths of them."""
+    configure(spark)
+    docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 7, 2)
+    found = attention_lm.score(docs, ~held, public_tokenizers.path(WORD_BPE), end_id=49407)
+    return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 50-word windows that a document with a smaller id has."""
     configure(spark)

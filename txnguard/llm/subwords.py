@@ -1,10 +1,14 @@
 """Subword ids by a public tokenizer, as fast as its vocabulary of words allows.
 
 ``encoder(path)`` returns a function from texts to the little-endian 32-bit ids
-that the tokenizer's own ``encode(text, add_special_tokens=False)`` gives. Merges
-never cross what the tokenizer's pre-tokenizer splits, and white space is dropped,
-so each distinct word is encoded once per worker and then looked up. The lookup
-tables are emptied when they are full, which changes speed alone.
+that the tokenizer's own ``encode(text, add_special_tokens=False)`` gives. It is
+for BPE files with a word-end suffix, whose pre-tokenizer drops white space:
+merges never cross what the pre-tokenizer splits, so each distinct part of a word
+is encoded once per worker and then looked up. New parts go through the
+tokenizer's model together; the word-end suffix tells them apart again. Words
+with characters on which regular-expression and Unicode libraries may differ go
+through the whole tokenizer. The lookup tables are emptied when they are full,
+which changes speed alone.
 """
 
 from __future__ import annotations
@@ -13,15 +17,8 @@ import json
 from collections.abc import Callable
 from functools import lru_cache
 
-_FULL = 400_000  # words a worker remembers
-
-
-def _byte_letters() -> dict[int, str]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {b: chr(b) for b in shown}
-    hidden = [b for b in range(256) if b not in letters]
-    return letters | {b: chr(256 + i) for i, b in enumerate(hidden)}
+_FULL = 700_000  # words, and parts of words, that a worker remembers
+_LONG = 64  # bytes; longer words are not remembered
 
 
 @lru_cache(maxsize=4)
@@ -32,46 +29,60 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
     tokenizer = Tokenizer.from_file(path)
     spec = json.loads(tokenizer.to_str())
-    split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-    special = [t["content"] for t in spec["added_tokens"]]
-    odd = regex.compile("[\x1c-\x1f]")
-    letters = _byte_letters()
-    model, normalize = tokenizer.model, tokenizer.normalizer.normalize_str
+    split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] + "|\n")
+    # up to U+024F composition changes nothing and lower case is the same everywhere; 1C to 1F are white
+    # space to some libraries; added tokens are matched before the text is normalised
+    odd = regex.compile("[\x1c-\x1fɐ-\U0010ffff]|" + "|".join(regex.escape(t["content"]) for t in spec["added_tokens"]))
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}
+    bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}))
+    suffix = spec["model"]["end_of_word_suffix"]
+    ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    ends[[i for x, i in tokenizer.get_vocab().items() if x.endswith(suffix)]] = True
     words: dict[bytes, bytes] = {}
     parts: dict[str, bytes] = {}
 
-    def of_part(part: str) -> bytes:
-        ids = [t.id for t in model.tokenize("".join(map(letters.__getitem__, part.encode())))]
-        return np.array(ids, dtype="<u4").tobytes()
+    def learn_parts(new: list[str]) -> None:
+        for lo in range(0, len(new), 4096):
+            some = new[lo : lo + 4096]
+            ids = np.array(bare.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            at, raw, start = (np.flatnonzero(ends[ids]) + 1) * 4, ids.tobytes(), 0
+            for part, end in zip(some, at.tolist(), strict=True):
+                parts[part] = raw[start:end]
+                start = end
 
-    def of_word(word: bytes) -> bytes:
-        text = word.decode()
-        # added tokens are matched before the text is normalised; beyond Latin letters, and for the
-        # separators 1C to 1F, character classes differ between regular-expression libraries
-        if max(text) > "\u024f" or odd.search(text) or any(s in text for s in special):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        out = []
-        for part in split.findall(text.lower() if text.isascii() else normalize(text)):
-            ids = parts.get(part)
-            if ids is None:
-                if len(parts) >= _FULL:
-                    parts.clear()
-                ids = of_part(part)
-                if len(part) < 64:
-                    parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
+    def learn_words(new: list[bytes]) -> None:
+        text = b"\n".join(new).decode()
+        if odd.search(text):
+            for word in [w for w in new if odd.search(w.decode())]:
+                words[word] = np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+            new = [w for w in new if w not in words]
+            text = b"\n".join(new).decode()
+        found = split.findall(text.lower())
+        if len(parts) >= _FULL:
+            parts.clear()
+        learn_parts(list({p for p in found if p not in parts} - {"\n"}))
+        own, at = [], 0
+        for part in found:
+            if part == "\n":
+                words[new[at]] = b"".join(own)
+                own, at = [], at + 1
+            else:
+                own.append(parts[part])
+        if new:
+            words[new[at]] = b"".join(own)
 
     def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            own = text.encode().split()
-            if len(words) >= _FULL:
-                words.clear()
-            for word in own:
-                if word not in words and len(word) < 64:
-                    words[word] = of_word(word)
-            out.append(b"".join([words[w] if len(w) < 64 else of_word(w) for w in own]))
+        """Call it with slices of ``small_batches``: the new words of a call are held at once."""
+        split_texts = [t.encode().split() for t in texts]
+        if len(words) >= _FULL:
+            words.clear()
+        new = [w for w in set().union(*split_texts) if w not in words]
+        if new:
+            learn_words(new)
+        out = [b"".join(map(words.__getitem__, own)) for own in split_texts]
+        for w in new:
+            if len(w) > _LONG:
+                del words[w]
         return out
 
     return encode
