@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import hash_cut, materialize
+from txnguard.llm.common import free_name, hash_cut, materialize
 
 # Prefixes of public key formats.
 PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_|AIza"
@@ -126,7 +126,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
-    """The rows, with their own columns, every secret in ``text`` replaced by ``mark``."""
+    """The rows, with their own columns, every secret in ``text`` replaced by ``mark``; ``n_chars``, if there is one, follows."""
     secret = scan(docs, **options).where("secret")
     each = materialize(secret.groupBy("doc_id", "t").agg(F.array_sort(F.collect_list(F.struct("start", "candidate"))).alias("found")), "secrets").alias("s")
     joined = docs.alias("d").join(each, F.expr("d.doc_id <=> s.doc_id and xxhash64(d.text) = s.t"), "left")
@@ -139,4 +139,9 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     text = F.when(F.col("s.found").isNull(), F.col("d.text")).otherwise(
         F.aggregate("s.found", zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("d.text"), acc["at"], F.length("d.text"))))
     )
-    return joined.select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
+    own = [text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
+    out = joined.select(*own, F.col("s.found").isNotNull().alias(changed := free_name(docs, "changed")))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(changed), size).otherwise(F.col("n_chars")))
+    return out.drop(changed)

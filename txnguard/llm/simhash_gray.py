@@ -64,15 +64,15 @@ def fingerprint(text: str, shingle: int = 3, part: int = 1 << 15) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed long."""
+    """(doc_id, t, fp) of every row: a hash of the text, and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             fps = np.array([fingerprint(t, shingle) for t in texts_of(batch)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(fps, pa.int64())], names=["doc_id", "t", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(run, f"doc_id {kind}, t long, fp long")
 
 
 # --- routing --------------------------------------------------------------------------
@@ -209,12 +209,26 @@ def links(fps: DataFrame, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS) ->
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
+    """(doc_id, t, fp, component, component_id) of every row; ``component`` is the component's smallest fingerprint."""
     marked = materialize(fingerprints(docs, shingle), "fingerprints")
-    lowest = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    lowest = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
     found = components(links(lowest.select("fp"), max_bits, bucket_rows))
     named = lowest.join(found.withColumnRenamed("vertex", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = materialize(named, "named")
     ids = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
-    classes = materialize(named.join(ids, "component").select("fp", "component_id"), "classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = materialize(named.select("fp", "component").join(ids, "component").select("fp", "component", "component_id"), "classes")
+    return marked.join(classes, "fp").select("doc_id", "t", "fp", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """One row, with its own columns, of each component: that of the smallest id, then of the smallest text hash; null ids come last."""
+    marks = materialize(near_duplicates(docs, **options), "marks")
+    first = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "t")
+    chosen = marks.groupBy("component").agg(F.min(first).alias("c")).select("c.doc_id", "c.t").alias("c")
+    times = marks.groupBy("doc_id", "t").count().alias("n")
+    chosen = materialize(chosen.join(times, F.expr("c.doc_id <=> n.doc_id and c.t = n.t")).select("c.doc_id", "c.t", "count"), "chosen")
+
+    def rows(some: DataFrame) -> DataFrame:
+        return docs.alias("d").join(some.alias("c"), F.expr("d.doc_id <=> c.doc_id and xxhash64(d.text) = c.t"), "left_semi")
+
+    return rows(chosen.where("count = 1")).unionByName(rows(chosen.where("count > 1")).dropDuplicates(["doc_id", "text"]))
