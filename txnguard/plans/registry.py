@@ -274,7 +274,7 @@ def q_stream_consolidated(spark, sf_dir):
 
 def q_stream_location_jump(spark, sf_dir):
     configure(spark)
-    rule = STATE.location_jump_stream(S.silver_stream(spark, sf_dir, flush=True),
+    rule = STATE.location_jump_stream(S.silver_slices(spark, sf_dir),
                                       max_gap=FIXTURE_RULE_PARAMS["max_gap"])
     out = S.run_to_table(rule, spark, "location_jump").filter(F.col("user_id") != S.SENTINEL_USER)
     return _txn_out(out, "prev_location", "gap_seconds")
@@ -282,28 +282,28 @@ def q_stream_location_jump(spark, sf_dir):
 
 def q_stream_amount_vs_avg(spark, sf_dir):
     configure(spark)
-    rule = STATE.amount_vs_history_stream(S.silver_stream(spark, sf_dir, flush=True))
+    rule = STATE.amount_vs_history_stream(S.silver_slices(spark, sf_dir))
     out = S.run_to_table(rule, spark, "amount_vs_avg").filter(F.col("user_id") != S.SENTINEL_USER)
     return _txn_out(out, "prior_n")
 
 
 def q_stream_new_device(spark, sf_dir):
     configure(spark)
-    rule = STATE.new_device_stream(S.silver_stream(spark, sf_dir, flush=True))
+    rule = STATE.new_device_stream(S.silver_slices(spark, sf_dir))
     out = S.run_to_table(rule, spark, "new_device").filter(F.col("user_id") != S.SENTINEL_USER)
     return _txn_out(out)
 
 
 def q_stream_velocity_rolling(spark, sf_dir):
     configure(spark)
-    rule = STATE.rolling_velocity_stream(S.silver_stream(spark, sf_dir, flush=True))
+    rule = STATE.rolling_velocity_stream(S.silver_slices(spark, sf_dir))
     out = S.run_to_table(rule, spark, "velocity_rolling").filter(F.col("user_id") != S.SENTINEL_USER)
     return _txn_out(out, "rolling_count")
 
 
 def q_stream_young_account(spark, sf_dir):
     configure(spark)
-    rule = STATE.young_account_stream(S.silver_stream(spark, sf_dir, flush=True),
+    rule = STATE.young_account_stream(S.silver_slices(spark, sf_dir),
                                       max_age=FIXTURE_RULE_PARAMS["max_age"])
     out = S.run_to_table(rule, spark, "young_account").filter(F.col("user_id") != S.SENTINEL_USER)
     return _txn_out(out, "account_age_seconds")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from txnguard.operators import ingest, rules
 from txnguard.schemas import SILVER_SCHEMA, TXN_COLS
 from txnguard.session import work_dir
+from txnguard.functions.columns import event_time
 from txnguard.sources import lake
 from txnguard.sources.tables import transactions_from_events
 from txnguard.streaming.jobs import drain, state_partitions, write_stream
@@ -88,6 +89,22 @@ def silver_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> Data
     return silver
 
 
+def silver_slices(spark: SparkSession, sf_dir: str, slices: int = 12) -> DataFrame:
+    """Silver as a stream of ``slices`` files in event-time order, one per
+    micro-batch, and the flush sentinel as the last file: state carries over
+    batch borders as it does in production."""
+    silver = spark.read.schema(SILVER_SCHEMA).parquet(replay_silver(spark, sf_dir))
+    path = work_dir(spark, "replay", "slices", unique=True)
+    at = F.unix_micros(event_time("transaction_time"))
+    low, high = silver.agg(F.min(at), F.max(at)).first()
+    step = max(1, ((high or 0) - (low or 0)) // slices + 1)
+    place = F.coalesce(F.floor((at - F.lit(low or 0)) / F.lit(step)), F.lit(0))
+    for i in range(slices):  # one after the other: the file source takes them by modification time
+        silver.where(place == i).coalesce(1).write.mode("append").parquet(path)
+    spark.read.schema(SILVER_SCHEMA).parquet(_sentinel_dir(spark)).coalesce(1).write.mode("append").parquet(path)
+    return lake.read_silver_stream(spark, path, 1)
+
+
 def run_to_table(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
     """Drain a streaming DataFrame into a Parquet table and read it back."""
     root = work_dir(spark, "replay", name, unique=True)

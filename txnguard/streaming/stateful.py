@@ -1,147 +1,126 @@
 """Custom stateful streaming rules: D1–D5 on a stream.
 
-Spark has no streaming ``lag`` or running window, so these rules keep state
-with ``applyInPandasWithState`` (Arrow batches, RocksDB state store). One
-mechanism serves all five:
-
-* rows are buffered until the watermark passes their event time, then
-  released per user in (event time, transaction_id) order — arrival order
-  does not change the answer, which equals the batch rule;
-* a small per-user *carry* summarises everything released so far
-  (D1: count and sum of amounts; D2: event times of the last window; D3:
-  last time and location; D4: devices seen; D5: first sighting);
-* an event-time timeout wakes a key up when the watermark passes, so rows
-  are released even when nothing new arrives; carries that can no longer
-  matter (D3: last row older than the gap) are dropped.
-
-State keys are **user slots** (``pmod(xxhash64(user), slots)``), not single
-users: a Python call has a fixed cost of tens of milliseconds, so one call per
-slot and micro-batch handles all of the slot's users with vectorised pandas
-(group-wise shift / cumsum), and the carries of a slot are stored column-wise.
-``slots`` trades calls per batch against state value size; the default is
-``SLOTS_PER_PARTITION`` × the state partition count.
-
-Rows later than the watermark are dropped by Spark before they reach the
-state (the usual streaming contract). A slot's rows within one micro-batch
-arrive in one call; they are bounded by the trigger interval, not by the
-table.
+Spark has no streaming ``lag`` or running window, so these rules keep state per
+user with ``transformWithState`` (RocksDB state store, typed state fields):
+
+* rows wait in a list state until the watermark passes their event time, then
+  an event-time timer releases them in (event time, transaction_id) order —
+  arrival order does not change the answer, which equals the batch rule;
+* a small *carry* holds what the rule needs of the rows released so far
+  (D1: count and sum of amounts; D2: event times of the last window; D3: last
+  time and location; D5: first sighting; D4: a map state with one entry per
+  device, so a new device costs one entry);
+* carries that can no longer matter (D2, D3) are dropped by a timer.
+
+The key is the user alone. It does not depend on any setting, so a checkpoint
+can be restarted under other ones; the number of state partitions is fixed in
+the checkpoint by Spark. What a call holds is one user's unreleased rows, which
+the watermark delay bounds. Rows later than the watermark are dropped by Spark
+before they reach the state (the usual streaming contract).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from txnguard.functions.columns import event_time, interval_micros
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
 
-SLOTS_PER_PARTITION = 4
-_UK = "_ukey"                 # user key with NULL mapped to a marker (pandas drops NaN keys)
-_NULL_KEY = "\x00null"
-ROW_COLS = TXN_COLS + ["event_us", _UK]
-
-# rows not yet released, column-wise
-PENDING = T.StructType(
-    [T.StructField(f.name, T.ArrayType(f.dataType)) for f in SILVER_SCHEMA.fields]
-    + [T.StructField("event_us", T.ArrayType(T.LongType())), T.StructField(_UK, T.ArrayType(T.StringType()))]
+_UK = "_ukey"  # user key with NULL mapped to a marker
+_NULL = "\x00null"
+PENDING = T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField("event_us", T.LongType())])
+ROW_COLS = [f.name for f in PENDING.fields]
+CARRY = T.StructType(
+    [
+        T.StructField("n", T.LongType()),            # D1 count of amounts
+        T.StructField("total", T.DoubleType()),      # D1 sum of amounts
+        T.StructField("last_us", T.LongType()),      # D3 last event time
+        T.StructField("last_loc", T.StringType()),   # D3 last location
+        T.StructField("first_us", T.LongType()),     # D5 first sighting
+        T.StructField("recent", T.ArrayType(T.LongType())),  # D2 event times within the window
+    ]
 )
-# per-user carries of a slot, column-wise (one entry per user)
-CARRY_FIELDS = [
-    ("user", T.StringType()),
-    ("n", T.LongType()),                        # D1 count of amounts
-    ("total", T.DoubleType()),                  # D1 sum of amounts
-    ("last_us", T.LongType()),                  # D3 last event time
-    ("last_loc", T.StringType()),               # D3 last location
-    ("first_us", T.LongType()),                 # D5 first sighting
-    ("devices", T.ArrayType(T.StringType())),   # D4 devices seen
-    ("recent", T.ArrayType(T.LongType())),      # D2 event times within the trailing window
-    ("keep_until", T.LongType()),               # drop the carry once the watermark passes
-]
-CARRY_COLS = [n for n, _ in CARRY_FIELDS]
-CARRIES = T.StructType([T.StructField(n, T.ArrayType(t)) for n, t in CARRY_FIELDS])
-STATE_SCHEMA = T.StructType([T.StructField("carries", CARRIES), T.StructField("pending", PENDING)])
-
-# process(ready rows sorted by user/time/id, carries indexed by user)
-#   -> (hits, carries for the users in ready)
-Process = Callable[[pd.DataFrame, pd.DataFrame], tuple]
-
-
-def _from_columns(struct, cols) -> pd.DataFrame:
-    return pd.DataFrame({c: list(struct[c] or []) for c in cols})
-
-
-def _to_columns(df: pd.DataFrame, cols) -> tuple:
-    clean = df[cols].astype(object).where(df[cols].notna(), None)
-    return tuple(clean[c].tolist() for c in cols)
-
-
-def _slot_release(process: Process, out_cols: list[str]):
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carries = pd.DataFrame({c: [] for c in CARRY_COLS})
-        frames = [p[ROW_COLS] for p in pdfs if len(p)]
-        if state.exists:
-            c, pending = state.get
-            if c is not None:
-                carries = _from_columns(c, CARRY_COLS)
-            if pending is not None:
-                frames.append(_from_columns(pending, ROW_COLS))
-        carries = carries.set_index("user", drop=False)
-        rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=ROW_COLS)
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        rows = rows.sort_values([_UK, "event_us", "transaction_id"], kind="mergesort")
-        ready = rows[rows["event_us"] < wm_us].reset_index(drop=True)
-        later = rows[rows["event_us"] >= wm_us]
-
-        if len(ready):
-            hits, updated = process(ready, carries)
-            if hits is not None and len(hits):
-                yield hits[out_cols]
-            carries = pd.concat([carries.drop(index=updated.index, errors="ignore"), updated])
-        # a carry with keep_until below the watermark can no longer matter
-        expired = carries["keep_until"].notna() & (
-            pd.to_numeric(carries["keep_until"], errors="coerce") < wm_us)
-        carries = carries[~expired]
-
-        if len(later) or len(carries):
-            state.update((_to_columns(carries, CARRY_COLS), _to_columns(later, ROW_COLS)))
-            wake = [int(later["event_us"].min())] if len(later) else []
-            ku = pd.to_numeric(carries["keep_until"], errors="coerce").dropna()
-            if len(ku):
-                wake.append(int(ku.min()))
-            if wake:
-                state.setTimeoutTimestamp(min(wake) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-
-    return fn
-
-
-def _prepare(silver: DataFrame, watermark: str, slots: int) -> DataFrame:
-    return (
+EMPTY = {"n": 0, "total": 0.0, "last_us": None, "last_loc": None, "first_us": None, "recent": []}
+
+# rule(rows of one user in order, carry, seen) -> (hits with the rule's own values; microseconds after
+# which the carry no longer matters, or None); ``seen(device)`` is True from a device's second time on
+Rule = Callable[[list[Row], dict, Callable[[str], bool]], tuple[list[tuple[Row, tuple]], int | None]]
+
+
+class UserRule(StatefulProcessor):
+    """Buffers a user's rows until the watermark passes them, then runs ``rule`` over them in order."""
+
+    def __init__(self, rule: Rule, names: list[str]):
+        self.rule, self.names = rule, names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", PENDING)
+        self.carry = handle.getValueState("carry", CARRY)
+        self.devices = handle.getMapState("devices", T.StructType([T.StructField("device", T.StringType())]), T.StructType([T.StructField("seen", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [tuple(r[c] for c in ROW_COLS) for r in rows]
+        self.pending.appendList(new)
+        self.handle.registerTimer(min(r[-1] for r in new) // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = [Row(*ROW_COLS)(*r) for r in self.pending.get()] if self.pending.exists() else []
+        ready = sorted((r for r in rows if r.event_us < passed), key=lambda r: (r.event_us, r.transaction_id is not None, r.transaction_id or ""))
+        later = [tuple(r) for r in rows if r.event_us >= passed]
+        if not ready:
+            if not rows and self.carry.exists() and self._expired(passed):
+                self.carry.clear()
+            return iter(())
+        if later:
+            self.pending.put(later)
+            self.handle.registerTimer(min(r[-1] for r in later) // 1000 + 1)
+        else:
+            self.pending.clear()
+        carry = dict(zip(CARRY.names, self.carry.get())) if self.carry.exists() else dict(EMPTY)
+        carry["recent"] = list(carry["recent"] or [])
+        hits, keep_until = self.rule(ready, carry, self._seen)
+        self.carry.update(tuple(carry[c] for c in CARRY.names))
+        if keep_until is not None:
+            self.handle.registerTimer(keep_until // 1000 + 1)
+        out = Row(*self.names)
+        return iter([out(*[r[c] for c in TXN_COLS], *extra) for r, extra in hits])
+
+    def _expired(self, passed: int) -> bool:
+        """Whether the timer that fired is the carry's own: every rule with one keeps its latest event time."""
+        last = self.carry.get()[CARRY.names.index("last_us")]
+        return last is not None and self.rule.keeps is not None and last + self.rule.keeps < passed
+
+    def _seen(self, device: str | None) -> bool:
+        key = (_NULL if device is None else device,)
+        if self.devices.containsKey(key):
+            return True
+        self.devices.updateValue(key, (True,))
+        return False
+
+    def close(self) -> None:
+        pass
+
+
+def _run(silver: DataFrame, rule: Rule, out_schema: T.StructType, watermark: str, keeps: int | None = None) -> DataFrame:
+    rule.keeps = keeps
+    rows = (
         silver.withColumn("_et", event_time("transaction_time"))
         .filter(F.col("_et").isNotNull())
         .withColumn("event_us", F.unix_micros("_et"))
-        .withColumn(_UK, F.coalesce(F.col("user_id"), F.lit(_NULL_KEY)))
-        .withColumn("_slot", F.pmod(F.xxhash64(_UK), F.lit(slots)))
+        .withColumn(_UK, F.coalesce(F.col("user_id"), F.lit(_NULL)))
         .withWatermark("_et", watermark)
     )
-
-
-def _run(silver: DataFrame, process: Process, out_schema: T.StructType, watermark: str,
-         slots: int | None) -> DataFrame:
-    spark = silver.sparkSession
-    slots = slots or SLOTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _prepare(silver, watermark, slots).groupBy("_slot").applyInPandasWithState(
-        _slot_release(process, [f.name for f in out_schema.fields]),
-        out_schema,
-        STATE_SCHEMA,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    return rows.groupBy(_UK).transformWithState(
+        UserRule(rule, out_schema.names), outputStructType=out_schema, outputMode="Append", timeMode="EventTime"
     )
 
 
@@ -149,195 +128,106 @@ def _schema_plus(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField(n, t) for n, t in fields])
 
 
-def _carry_of(ready: pd.DataFrame, carries: pd.DataFrame, col: str) -> pd.Series:
-    """The stored carry value for each ready row's user (None if none)."""
-    if not len(carries):
-        return pd.Series([None] * len(ready), index=ready.index, dtype=object)
-    return ready[_UK].map(carries[col])
+# --- D1 -----------------------------------------------------------------------------
 
+AVG_SCHEMA = _schema_plus(("prior_n", T.LongType()), ("prior_avg", T.DoubleType()))
 
-def _updated(ready: pd.DataFrame, carries: pd.DataFrame, **cols: pd.Series) -> pd.DataFrame:
-    """Carries for the users in ``ready``: stored values overlaid with ``cols``
-    (each a Series indexed by user)."""
-    users = pd.Index(ready[_UK].unique())
-    out = carries.reindex(users)
-    out["user"] = users
-    for name, values in cols.items():
-        out[name] = values.reindex(users)
-    return out[CARRY_COLS]
 
+def amount_vs_history_stream(silver: DataFrame, factor: float = 3.0, watermark: str = VELOCITY_WATERMARK) -> DataFrame:
+    """D1 on a stream: amount > factor × mean of the user's earlier amounts."""
 
-# --- D3 -----------------------------------------------------------------------------
+    def rule(rows, carry, seen):
+        hits = []
+        for r in rows:
+            amount = r.transaction_amount
+            if amount is None:
+                continue
+            if carry["n"] and amount > factor * (carry["total"] / carry["n"]):
+                hits.append((r, (carry["n"], carry["total"] / carry["n"])))
+            carry["n"], carry["total"] = carry["n"] + 1, carry["total"] + amount
+        return hits, None
 
-JUMP_SCHEMA = _schema_plus(("prev_location", T.StringType()), ("gap_seconds", T.DoubleType()))
+    return _run(silver, rule, AVG_SCHEMA, watermark)
 
 
-def _jump_process(g_us: int) -> Process:
-    def process(ready: pd.DataFrame, carries: pd.DataFrame):
-        by_user = ready.groupby(_UK, sort=False)
-        prev_us = by_user["event_us"].shift(1).astype("float64")
-        prev_loc = by_user["location"].shift(1).astype(object)
-        first = ~ready[_UK].duplicated()
-        prev_us[first] = pd.to_numeric(_carry_of(ready, carries, "last_us")[first], errors="coerce")
-        prev_loc[first] = _carry_of(ready, carries, "last_loc")[first]
-        gap = ready["event_us"].astype("float64") - prev_us
-        hit = (gap < g_us) & prev_loc.notna() & ready["location"].notna() & (ready["location"] != prev_loc)
-        out = ready[hit].copy()
-        out["prev_location"] = prev_loc[hit]
-        out["gap_seconds"] = gap[hit] / 1e6
-        last = by_user.last()
-        upd = _updated(ready, carries, last_us=last["event_us"], last_loc=last["location"],
-                       keep_until=last["event_us"] + g_us)   # matters until the gap has passed
-        return out, upd
-
-    return process
-
-
-def location_jump_stream(
-    silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK,
-    slots: int | None = None,
+# --- D2 -----------------------------------------------------------------------------
+
+ROLLING_SCHEMA = _schema_plus(("rolling_count", T.LongType()))
+
+
+def rolling_velocity_stream(
+    silver: DataFrame, window: str = "60 seconds", min_exclusive: int = 5, watermark: str = VELOCITY_WATERMARK
 ) -> DataFrame:
-    """D3 on a stream (append mode): flagged rows with prev_location and gap."""
-    return _run(silver, _jump_process(interval_micros(max_gap)), JUMP_SCHEMA, watermark, slots)
+    """D2 on a stream: more than ``min_exclusive`` of the user's transactions
+    in ``(t - window, t]``, evaluated at every transaction."""
+    w_us = interval_micros(window)
 
+    def rule(rows, carry, seen):
+        hits, recent = [], carry["recent"]
+        for t, peers in groupby(rows, key=lambda r: r.event_us):
+            peers = list(peers)
+            recent = [x for x in recent if x > t - w_us] + [t] * len(peers)
+            if len(recent) > min_exclusive:
+                hits += [(r, (len(recent),)) for r in peers]
+        carry["recent"], carry["last_us"] = recent, rows[-1].event_us
+        return hits, rows[-1].event_us + w_us
 
-# --- D1 -----------------------------------------------------------------------------
+    return _run(silver, rule, ROLLING_SCHEMA, watermark, keeps=w_us)
 
-AVG_SCHEMA = _schema_plus(("prior_n", T.LongType()), ("prior_avg", T.DoubleType()))
 
+# --- D3 -----------------------------------------------------------------------------
 
-def _avg_process(factor: float) -> Process:
-    def process(ready: pd.DataFrame, carries: pd.DataFrame):
-        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce").astype("float64")
-        n0 = pd.to_numeric(_carry_of(ready, carries, "n"), errors="coerce").fillna(0).astype("int64")
-        s0 = pd.to_numeric(_carry_of(ready, carries, "total"), errors="coerce").fillna(0.0)
-        seen = amt.notna().astype("int64")
-        val = amt.fillna(0.0)
-        g = ready[_UK]
-        cnt = seen.groupby(g, sort=False).cumsum() - seen + n0
-        # sum of the user's earlier amounts: prefix sums shifted by one row
-        tot = val.groupby(g, sort=False).cumsum().groupby(g, sort=False).shift(1, fill_value=0.0) + s0
-        avg = (tot / cnt).where(cnt > 0)
-        hit = (amt > factor * avg).fillna(False)
-        out = ready[hit].copy()
-        out["prior_n"] = cnt[hit]
-        out["prior_avg"] = avg[hit]
-        last = pd.DataFrame({"k": g, "n": cnt + seen, "t": tot + val}).groupby("k", sort=False).last()
-        return out, _updated(ready, carries, n=last["n"], total=last["t"])
-
-    return process
-
-
-def amount_vs_history_stream(
-    silver: DataFrame, factor: float = 3.0, watermark: str = VELOCITY_WATERMARK, slots: int | None = None,
-) -> DataFrame:
-    """D1 on a stream: amount > factor × mean of the user's earlier amounts."""
-    return _run(silver, _avg_process(factor), AVG_SCHEMA, watermark, slots)
+JUMP_SCHEMA = _schema_plus(("prev_location", T.StringType()), ("gap_seconds", T.DoubleType()))
 
 
-# --- D4 -----------------------------------------------------------------------------
+def location_jump_stream(silver: DataFrame, max_gap: str = "5 minutes", watermark: str = VELOCITY_WATERMARK) -> DataFrame:
+    """D3 on a stream: flagged rows with prev_location and gap. The previous row
+    counts even if its location is NULL; it then gives no jump."""
+    g_us = interval_micros(max_gap)
 
-_NULL_DEVICE = "\x00null"   # stands for a NULL device_id inside the seen set
+    def rule(rows, carry, seen):
+        hits = []
+        for r in rows:
+            gap = None if carry["last_us"] is None else r.event_us - carry["last_us"]
+            before = carry["last_loc"]
+            if gap is not None and gap < g_us and before is not None and r.location is not None and r.location != before:
+                hits.append((r, (before, gap / 1e6)))
+            carry["last_us"], carry["last_loc"] = r.event_us, r.location
+        return hits, carry["last_us"] + g_us
 
+    return _run(silver, rule, JUMP_SCHEMA, watermark, keeps=g_us)
 
-def _device_process(threshold: float) -> Process:
-    def process(ready: pd.DataFrame, carries: pd.DataFrame):
-        dev = ready["device_id"].astype(object).where(ready["device_id"].notna(), _NULL_DEVICE)
-        stored = _carry_of(ready, carries, "devices")
-        known = pd.Series([d in set(s) if s is not None else False for d, s in zip(dev, stored)],
-                          index=ready.index, dtype=bool)
-        first = ~known & ~pd.DataFrame({"u": ready[_UK], "d": dev}).duplicated()
-        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
-        out = ready[(first & (amt > threshold)).fillna(False)]
-        new = pd.DataFrame({"u": ready[_UK][first], "d": dev[first]}).groupby("u", sort=False)["d"].agg(list)
-        merged = {}
-        for u in ready[_UK].unique():
-            old = carries["devices"].get(u) if len(carries) else None
-            merged[u] = sorted(set(old if old is not None else []) | set(new.get(u, [])))
-        return out, _updated(ready, carries, devices=pd.Series(merged, dtype=object))
 
-    return process
+# --- D4 -----------------------------------------------------------------------------
 
 
 def new_device_stream(
-    silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK,
-    slots: int | None = None,
+    silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK
 ) -> DataFrame:
     """D4 on a stream: first (user, device) sighting with amount > threshold."""
-    return _run(silver, _device_process(threshold), SILVER_SCHEMA, watermark, slots)
 
+    def rule(rows, carry, seen):
+        return [(r, ()) for r in rows if not seen(r.device_id) and r.transaction_amount is not None and r.transaction_amount > threshold], None
 
-# --- D5 -----------------------------------------------------------------------------
-
-AGE_SCHEMA = _schema_plus(("account_age_seconds", T.DoubleType()))
+    return _run(silver, rule, SILVER_SCHEMA, watermark)
 
 
-def _age_process(max_age_us: int, threshold: float) -> Process:
-    def process(ready: pd.DataFrame, carries: pd.DataFrame):
-        stored = pd.to_numeric(_carry_of(ready, carries, "first_us"), errors="coerce")
-        first_here = ready.groupby(_UK, sort=False)["event_us"].transform("first").astype("float64")
-        first = stored.fillna(first_here)
-        age = ready["event_us"].astype("float64") - first
-        amt = pd.to_numeric(ready["transaction_amount"], errors="coerce")
-        hit = ((amt > threshold) & (age < max_age_us)).fillna(False)
-        out = ready[hit].copy()
-        out["account_age_seconds"] = age[hit] / 1e6
-        # the first sighting is kept for the user's lifetime: dropping it would
-        # make a later row look like a new account
-        per_user = pd.DataFrame({"k": ready[_UK], "f": first}).groupby("k", sort=False)["f"].first()
-        return out, _updated(ready, carries, first_us=per_user.astype("int64"))
+# --- D5 -----------------------------------------------------------------------------
 
-    return process
+AGE_SCHEMA = _schema_plus(("account_age_seconds", T.DoubleType()))
 
 
 def young_account_stream(
-    silver: DataFrame,
-    max_age: str = "7 days",
-    threshold: float = HIGH_AMOUNT_THRESHOLD,
-    watermark: str = VELOCITY_WATERMARK,
-    slots: int | None = None,
+    silver: DataFrame, max_age: str = "7 days", threshold: float = HIGH_AMOUNT_THRESHOLD, watermark: str = VELOCITY_WATERMARK
 ) -> DataFrame:
-    """D5 on a stream: amount above threshold within max_age of first sighting."""
-    return _run(silver, _age_process(interval_micros(max_age), threshold), AGE_SCHEMA, watermark, slots)
+    """D5 on a stream: amount above threshold within max_age of first sighting.
+    The first sighting is kept for the user's lifetime."""
+    age_us = interval_micros(max_age)
 
+    def rule(rows, carry, seen):
+        if carry["first_us"] is None:
+            carry["first_us"] = rows[0].event_us
+        ages = [(r, r.event_us - carry["first_us"]) for r in rows]
+        return [(r, (age / 1e6,)) for r, age in ages if age < age_us and r.transaction_amount is not None and r.transaction_amount > threshold], None
 
-# --- D2 -----------------------------------------------------------------------------
-
-ROLLING_SCHEMA = _schema_plus(("rolling_count", T.LongType()))
-
-
-def _rolling_process(w_us: int, min_exclusive: int) -> Process:
-    import numpy as np
-
-    def process(ready: pd.DataFrame, carries: pd.DataFrame):
-        stored = _carry_of(ready, carries, "recent")
-        counts = np.zeros(len(ready), dtype="int64")
-        recent, until = {}, {}
-        times = ready["event_us"].astype("int64").to_numpy()
-        for user, idx in ready.groupby(_UK, sort=False).indices.items():
-            prev = stored.iloc[idx[0]]
-            t = times[idx]                                   # sorted within the user
-            all_t = np.concatenate([np.asarray(prev if prev is not None else [], dtype="int64"), t])
-            # rows in (t - w, t], peers at t included, as the batch range frame
-            counts[idx] = np.searchsorted(all_t, t, "right") - np.searchsorted(all_t, t - w_us + 1, "left")
-            last = int(t[-1])
-            recent[user] = all_t[all_t > last - w_us].tolist()   # only the last window can matter
-            until[user] = last + w_us
-        out = ready.assign(rolling_count=counts)
-        out = out[out["rolling_count"] > min_exclusive]
-        return out, _updated(ready, carries, recent=pd.Series(recent, dtype=object),
-                             keep_until=pd.Series(until, dtype="int64"))
-
-    return process
-
-
-def rolling_velocity_stream(
-    silver: DataFrame,
-    window: str = "60 seconds",
-    min_exclusive: int = 5,
-    watermark: str = VELOCITY_WATERMARK,
-    slots: int | None = None,
-) -> DataFrame:
-    """D2 on a stream: more than ``min_exclusive`` of the user's transactions
-    in ``(t - window, t]``, evaluated at every transaction."""
-    return _run(silver, _rolling_process(interval_micros(window), min_exclusive), ROLLING_SCHEMA, watermark, slots)
+    return _run(silver, rule, AGE_SCHEMA, watermark)
