@@ -145,3 +145,17 @@ def test_transaction_features_equal_plain_windows(spark, bucket):
     cols = ["transaction_id", "trailing_count", "trailing_devices", "prior_n", "seconds_since_prev"]
     a, b = got.select(*cols), want.select(*cols)
     assert a.count() == 1000 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_new_device_flags_a_redelivered_sighting_once_and_null_ids(spark):
+    rows = [txn("a", amount=30000.0), txn("a", amount=30000.0, ingested="2024-01-01 11:00:00"), txn(None, user="u2", amount=30000.0)]
+    got = B.new_device(silver_df(spark, rows)).collect()
+    assert sorted((r.user_id, r.transaction_id) for r in got) == [("u1", "a"), ("u2", None)]
+
+
+def test_null_user_keeps_its_label(spark):
+    from txnguard.operators import model as M
+
+    features = spark.createDataFrame([(None, *[1.0] * 8), ("u", *[1.0] * 8)], "user_id string, " + ", ".join(f"{c} double" for c in M.FEATURES))
+    labels = spark.createDataFrame([(None, 1.0)], "user_id string, label double")
+    assert {r.user_id: r.label for r in M.training_set(features, labels).collect()} == {None: 1.0, "u": 0.0}

@@ -115,3 +115,8 @@ def test_normalize(spark):
     assert a.merchant_known and a.location_known
     b = out["t2"]
     assert not b.merchant_known and not b.location_known and b.location == "Mars"
+
+
+def test_dedup_lets_rows_without_an_id_through(spark):
+    rows = [txn(None), txn(None, user="u2"), txn("a"), txn("a", ingested="2024-01-01 11:00:00")]
+    assert I.dedup_earliest(silver_df(spark, rows)).count() == 3

@@ -5,11 +5,14 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, silver_df, txn
+from txnguard.operators import consolidate as C
 from txnguard.operators import ingest as I
+from txnguard.operators import rules as R
 from txnguard.plans import inspect as P
 from txnguard.plans import jobs
 from txnguard.schemas import FRAUD_UNION_COLS, SILVER_SCHEMA
+from txnguard.sources import lake as L
 from txnguard.sources.tables import read_table, read_transactions
 
 
@@ -93,15 +96,73 @@ def test_compaction_rewrites_batch_tables_only(spark, lake):
         jobs.compact_table(spark, sink)
 
 
-def test_bronze_days_pruned_with_lateness_bound(spark, lake):
-    from txnguard.plans import inspect as P
+def _lake(spark, root, rows):
+    """Run the lake jobs over these silver rows (as bronze JSON)."""
+    I.to_wire_json(silver_df(spark, rows)).write.mode("overwrite").parquet(f"{root}/bronze")
+    return jobs.run_all(spark, f"{root}/bronze", f"{root}/lake")
 
-    root, info = lake
-    bronze = f"{root}/bronze_by_day"
-    spark.read.parquet(f"{root}/bronze").withColumn("ingest_date", F.to_date("ingestion_time")) \
-        .write.partitionBy("ingest_date").parquet(bronze)
-    silver, _ = jobs.bronze_to_silver(spark, bronze, f"{root}/silver_by_day", dates=["2024-01-01"],
-                                      lateness_days=40)
-    assert spark.read.parquet(silver).count() == 1000
-    pruned = spark.read.parquet(bronze).filter(F.col("ingest_date").between("2023-12-31", "2024-01-02"))
-    assert "ingest_date" in P.formatted_plan(pruned).split("PartitionFilters:")[1].split("\n")[0]
+
+def _union_ids(spark, info):
+    return sorted(r.transaction_id for r in L.read_high_amount(spark, f"{info['gold']}/fraud_union").collect())
+
+
+def test_rebuilding_a_date_keeps_rows_ingested_long_after_it(spark, scratch):
+    rows = [txn("a"), txn("late", ingested="2024-03-01 00:00:00")]
+    bronze = I.to_wire_json(silver_df(spark, rows)).withColumn("ingest_date", F.to_date("ingestion_time"))
+    bronze.write.partitionBy("ingest_date").parquet(f"{scratch}/bronze")
+    for dates in (None, ["2024-01-01"]):
+        silver, _ = jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/silver", dates=dates)
+        assert sorted(r.transaction_id for r in spark.read.parquet(silver).collect()) == ["a", "late"]
+
+
+@pytest.mark.parametrize("dates", [None, ["2024-01-01"]])
+def test_rerun_clears_a_day_that_lost_its_hits(spark, scratch, dates):
+    rows = [txn("x", amount=30000.0, intl=True), txn("y", amount=30000.0, intl=True, time="2024-01-02T10:00:00")]
+    info = _lake(spark, scratch, rows)
+    assert _union_ids(spark, info) == ["x", "y"]
+    rows[0] = txn("x", amount=30.0, intl=True)
+    I.to_wire_json(silver_df(spark, rows)).write.mode("overwrite").parquet(f"{scratch}/bronze")
+    info = jobs.run_all(spark, f"{scratch}/bronze", f"{scratch}/lake", dates)
+    assert _union_ids(spark, info) == ["y"]
+
+
+def test_rerun_of_one_date_keeps_other_days_hits_without_a_time(spark, scratch):
+    rows = [txn("p", amount=30000.0, intl=True, time="?", ingested="2024-01-01 10:00:00"),
+            txn("q", amount=30000.0, intl=True, time="?", ingested="2024-01-02 10:00:00")]
+    silver = I.with_event_date(silver_df(spark, rows))
+    silver.write.partitionBy("event_date").parquet(f"{scratch}/silver")
+    info = {"gold": f"{scratch}/gold"}
+    for dates in (None, ["2024-01-01"]):
+        jobs.silver_to_gold(spark, f"{scratch}/silver", info["gold"], dates)
+        jobs.consolidate_gold(spark, f"{scratch}/silver", info["gold"], dates)
+        assert _union_ids(spark, info) == ["p", "q"]
+
+
+def test_empty_gold_consolidates_to_nothing(spark, scratch):
+    info = _lake(spark, scratch, [txn("a")])
+    assert _union_ids(spark, info) == []
+
+
+def test_five_minute_windows_find_all_their_members(spark, scratch):
+    rows = [txn(f"t{i}", time=f"2024-01-01T10:0{i % 5}:10.0000{i:02d}") for i in range(7)]
+    silver = silver_df(spark, rows)
+    vel = R.velocity_gold(silver, window="5 minutes")
+    for how in ("bucketed", "range"):
+        assert C.expand_velocity(vel, silver, method=how, window="5 minutes").count() == 7
+    assert C.expand_velocity(vel, silver, method="range").count() == 7
+    with pytest.raises(Exception, match="window length"):
+        C.expand_velocity(vel, silver).count()
+    I.with_event_date(silver).write.partitionBy("event_date").parquet(f"{scratch}/silver")
+    jobs.silver_to_gold(spark, f"{scratch}/silver", f"{scratch}/gold", window="5 minutes")
+    jobs.consolidate_gold(spark, f"{scratch}/silver", f"{scratch}/gold", ["2024-01-01"], window="5 minutes")
+    assert len(_union_ids(spark, {"gold": f"{scratch}/gold"})) == 7
+
+
+def test_compaction_sizes_the_selected_days(spark, scratch):
+    import os
+
+    rows = spark.range(20000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 20 as int)) event_date", "repeat(uuid(), 3) pad")
+    rows.coalesce(1).write.partitionBy("event_date").parquet(f"{scratch}/t")
+    jobs.compact_table(spark, f"{scratch}/t", ["2024-01-03"], target_file_bytes=1 << 20)
+    files = [f for f in os.listdir(f"{scratch}/t/event_date=2024-01-03".replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 1

@@ -8,6 +8,8 @@ import json
 import os
 import time
 
+import pytest
+
 
 from conftest import SF_SMALL, silver_df, txn
 from txnguard.operators import ingest as I
@@ -360,3 +362,81 @@ def test_regroup_with_an_empty_hit_sink(spark, scratch):
     J.drain([SC.start_consolidation(spark, hits, out, f"{scratch}/ck/cons", trigger=AVAILABLE_NOW)])
     got = spark.read.parquet(out)
     assert got.count() == 6 and {tuple(r.triggered_rules) for r in got.collect()} == {("HIGH_VELOCITY",)}
+
+
+AVAILABLE = {"availableNow": True}
+
+
+def _slices(spark, path, groups):
+    """Each group of rows as one file, in order, and a far-future row last."""
+    for rows in [*groups, [txn("end", user="__end__", time="2099-01-01T00:00:00")]]:
+        silver_df(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def _many_batches(users=6, hours=4):
+    """Per file one hour later; a new user in every file; one NULL location in between."""
+    groups = []
+    for h in range(hours):
+        own = []
+        for u in [*range(users), 100 + h]:
+            own.append(txn(f"{u}-{h}-a", user=f"u{u}", time=f"2024-01-01T{10 + h}:00:00", amount=100.0 if h < 3 else 30000.0,
+                           location=None if (u, h) == (1, 2) else ("India" if h % 2 else "USA"), device=f"d{h // 2}"))
+            own += [txn(f"{u}-{h}-{i}", user=f"u{u}", time=f"2024-01-01T{10 + h}:00:0{i}", device=f"d{h // 2}", location="UK") for i in range(1, 7)]
+        groups.append(own)
+    return groups
+
+
+@pytest.mark.parametrize("stream, batch", [
+    ("amount_vs_history_stream", lambda B, s: B.amount_vs_history(s)),
+    ("rolling_velocity_stream", lambda B, s: B.rolling_velocity(s)),
+    ("location_jump_stream", lambda B, s: B.location_jump(s, max_gap="2 hours")),
+    ("new_device_stream", lambda B, s: B.new_device(s)),
+    ("young_account_stream", lambda B, s: B.young_account(s)),
+])
+def test_stateful_rules_over_many_micro_batches_and_a_restart(spark, scratch, stream, batch):
+    from txnguard.operators import behaviour as B
+    from txnguard.streaming import stateful as ST
+
+    groups = _many_batches()
+    want = sorted(r.transaction_id for r in batch(B, silver_df(spark, [r for g in groups for r in g])).collect())
+    options = {"max_gap": "2 hours"} if stream == "location_jump_stream" else {}
+
+    def drain():
+        rule = getattr(ST, stream)(lake.read_silver_stream(spark, f"{scratch}/in", 1), **options)
+        J.drain([J.write_stream(rule, f"{scratch}/ck", f"{scratch}/out", trigger=AVAILABLE)])
+
+    for rows in groups[:2]:
+        silver_df(spark, rows).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        drain()
+        spark.conf.set("spark.sql.shuffle.partitions", "5")  # a restart under another setting keeps every user's state
+        _slices(spark, f"{scratch}/in", groups[2:])
+        drain()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = sorted(r.transaction_id for r in spark.read.parquet(f"{scratch}/out").collect() if r.user_id != "__end__")
+    assert want and got == want
+
+
+def test_gold_ignores_rejected_silver(spark, scratch):
+    good, bad = txn("ok", amount=30000.0, intl=True), txn("bad", amount=30000.0, intl=True, merchant=None)
+    I.to_wire_json(silver_df(spark, [good, bad])).write.parquet(f"{scratch}/bronze")
+    J.drain([J.start_silver_checked(spark, f"{scratch}/bronze", f"{scratch}/silver", f"{scratch}/ck", AVAILABLE)])
+    J.drain(J.start_gold(spark, f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/ckg", AVAILABLE))
+    got = spark.read.parquet(f"{scratch}/gold/high_amount_fraud").collect()
+    assert [r.transaction_id for r in got] == ["ok"]
+
+
+def test_await_any_waits_although_an_earlier_query_has_ended(spark, scratch):
+    import time
+
+    src = f"{scratch}/src"
+    silver_df(spark, [txn("a")]).write.parquet(src)
+    J.drain([J.write_stream(lake.read_silver_stream(spark, src), f"{scratch}/ck0", f"{scratch}/o0", trigger=AVAILABLE)])
+    q = J.write_stream(lake.read_silver_stream(spark, src), f"{scratch}/ck1", f"{scratch}/o1", trigger={"processingTime": "1 second"})
+    t = time.monotonic()
+    J.await_any(spark, [q], timeout=2)
+    assert time.monotonic() - t >= 2 and q.isActive
+    q.stop()

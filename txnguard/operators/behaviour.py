@@ -182,7 +182,9 @@ def location_jump(
 
 
 def new_device(silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD) -> DataFrame:
-    """D4. First (user, device) sighting whose amount is above threshold."""
+    """D4. First (user, device) sighting whose amount is above threshold.
+    A first sighting delivered more than once is flagged once; a NULL
+    transaction_id is an id like any other and comes first."""
     rows = timed(silver)
     firsts = rows.groupBy("user_id", "device_id").agg(
         F.min(F.struct(F.col(_US), F.col("transaction_id"))).alias("_first")
@@ -193,9 +195,12 @@ def new_device(silver: DataFrame, threshold: float = HIGH_AMOUNT_THRESHOLD) -> D
         F.col("h.user_id").eqNullSafe(F.col("f.user_id"))
         & F.col("h.device_id").eqNullSafe(F.col("f.device_id"))
         & (F.col(f"h.{_US}") == F.col("f._first._us"))
-        & (F.col("h.transaction_id") == F.col("f._first.transaction_id"))
+        & F.col("h.transaction_id").eqNullSafe(F.col("f._first.transaction_id"))
     )
-    return high.join(f, cond, "left_semi").drop(_US)
+    # only flagged rows are left here: one of each pair's copies, the smallest
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    found = high.join(f, cond, "left_semi").groupBy("user_id", "device_id").agg(F.min(row).alias("_r"))
+    return found.select(*[F.col(f"_r.{c}").alias(c) for c in silver.columns])
 
 
 def young_account(

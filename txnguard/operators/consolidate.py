@@ -13,11 +13,14 @@ Join forms (neither pairs whole groups: both join on equi keys)
   inclusive ``BETWEEN start AND end``. The velocity side holds one row per
   key, so the join is many-to-one: no pair explosion, and a hot user is
   spread over all its windows instead of sitting on one sort-merge key.
-* ``method="range"``: the same candidate keys plus the reference's literal
-  predicate ``event_time BETWEEN start AND end`` as a residual, for parity
-  checks. (A join on ``user_id`` alone with that residual would pair every
-  flagged window of a user with every transaction of the user before
-  filtering; that form is deliberately not offered.)
+  The length of the windows must be ``window``; a table with any other one
+  fails instead of losing hits.
+* ``method="range"``: the reference's literal predicate ``event_time BETWEEN
+  start AND end`` on windows of any length. Windows name the minutes they
+  touch, transactions the minute they fall in, and the predicate is a residual
+  of the equi-join on (user, minute). (A join on ``user_id`` alone with that
+  residual would pair every flagged window of a user with every transaction of
+  the user before filtering; that form is deliberately not offered.)
 
 ``closed="both"`` reproduces the reference (a transaction at exactly
 ``end`` is attached to the earlier window too); ``closed="left"`` attaches
@@ -63,19 +66,26 @@ def _candidates(silver: DataFrame, window: str, closed: str) -> DataFrame:
     return silver.withColumn("_wstart_us", F.explode(starts))
 
 
-def _expand(windows: DataFrame, silver: DataFrame, window: str, closed: str, check_range: bool) -> DataFrame:
+def _by_bucket(windows: DataFrame, silver: DataFrame, window: str, closed: str) -> DataFrame:
     s = _candidates(silver, window, closed).alias("s")
-    v = windows.withColumn("_wstart_us", F.unix_micros(F.col("start"))).alias("v")
+    start, end = F.unix_micros(F.col("start")), F.unix_micros(F.col("end"))
+    wrong = F.raise_error(F.lit(f"a velocity window is not {window} long: pass the table's window length"))
+    keyed = F.when(end - start == F.lit(interval_micros(window)), start).otherwise(wrong.cast("long"))
+    v = windows.withColumn("_wstart_us", keyed).alias("v")
     cond = (F.col("v.user_id") == F.col("s.user_id")) & (F.col("v._wstart_us") == F.col("s._wstart_us"))
-    if check_range:
-        et = event_time(F.col("s.transaction_time"))
-        if closed == "both":
-            cond = cond & et.between(F.col("v.start"), F.col("v.end"))
-        else:
-            cond = cond & (et >= F.col("v.start")) & (et < F.col("v.end"))
     return v.join(s, cond, "inner")
 
 
+def _by_range(windows: DataFrame, silver: DataFrame, closed: str) -> DataFrame:
+    minute = F.lit(60_000_000)
+    cell = lambda t: F.floor(F.unix_micros(t) / minute)
+    v = windows.withColumn("_cell", F.explode(F.sequence(cell(F.col("start")), cell(F.col("end"))))).alias("v")
+    s = silver.withColumn("_cell", cell(event_time(F.col("transaction_time")))).alias("s")
+    et = event_time(F.col("s.transaction_time"))
+    inside = et.between(F.col("v.start"), F.col("v.end")) if closed == "both" else (et >= F.col("v.start")) & (et < F.col("v.end"))
+    return v.join(s, (F.col("v.user_id") == F.col("s.user_id")) & (F.col("v._cell") == F.col("s._cell")) & inside, "inner")
+
+
 def expand_velocity(
     velocity_df: DataFrame,
     silver: DataFrame,
@@ -93,7 +103,7 @@ def expand_velocity(
     if method not in ("bucketed", "range"):
         raise ValueError(f"unknown method {method!r}")
     windows = flatten_windows(velocity_df).select("user_id", "start", "end")
-    joined = _expand(windows, silver, window, closed, check_range=(method == "range"))
+    joined = _by_range(windows, silver, closed) if method == "range" else _by_bucket(windows, silver, window, closed)
     cols = [F.col("v.user_id") if c == "user_id" else F.col(f"s.{c}") for c in TXN_COLS]
     return joined.select(*cols, F.lit(RULE_HIGH_VELOCITY).alias("triggered_rule"))
 

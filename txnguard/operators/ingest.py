@@ -62,7 +62,7 @@ def parse_events(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Data
     )
 
 
-def _parse_flat(json_text, schema: T.StructType, options: dict | None = None):
+def parse_flat(json_text, schema: T.StructType, options: dict | None = None):
     """Parse + flatten as one generator: ``inline(array(from_json(..)))``.
 
     Same rows as ``select(from_json(..).alias("data")).select("data.*")``
@@ -79,7 +79,7 @@ def to_silver(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFra
     """R4 body: parse + flatten (P3/P4). Unparseable rows become all-NULL rows
     and are kept, exactly like the reference; see ``split_valid`` to reject.
     """
-    return bronze.select(_parse_flat(F.col("value").cast("string"), schema), F.col("ingestion_time"))
+    return bronze.select(parse_flat(F.col("value").cast("string"), schema), F.col("ingestion_time"))
 
 
 def to_silver_checked(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -89,7 +89,7 @@ def to_silver_checked(bronze: DataFrame, schema: T.StructType = EVENT_SCHEMA) ->
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     parsed = bronze.select(
-        _parse_flat(F.col("value").cast("string"), with_corrupt, opts),
+        parse_flat(F.col("value").cast("string"), with_corrupt, opts),
         F.col("value").cast("string").alias("_raw"),
         F.col("ingestion_time"),
     )
@@ -133,13 +133,15 @@ def dedup_earliest(silver: DataFrame, key: str = "transaction_id") -> DataFrame:
     An aggregate, not a window: ``min_by`` over the key runs partial
     aggregation map-side, so a transaction delivered a million times is
     collapsed before the shuffle instead of sorted inside one task. Ties on
-    ingestion time break on the full row text, deterministically.
+    ingestion time break on the full row text, deterministically. Rows without
+    a key are not copies of each other: they all pass through.
     """
     others = [c for c in TXN_COLS if c != key]
     order = F.struct(F.col("ingestion_time"), *[F.col(c).cast("string") for c in others])
     row = F.struct(*[F.col(c) for c in others])
-    picked = silver.groupBy(key).agg(F.min_by(row, order).alias("_r"))
-    return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*TXN_COLS)
+    picked = silver.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(row, order).alias("_r"))
+    kept = picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*TXN_COLS)
+    return kept.unionByName(silver.filter(F.col(key).isNull()).select(*TXN_COLS))
 
 
 def dedup_stream(silver: DataFrame, key: str = "transaction_id", delay: str = "10 minutes") -> DataFrame:

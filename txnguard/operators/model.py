@@ -37,7 +37,8 @@ def user_labels(scored: DataFrame) -> DataFrame:
 
 
 def training_set(features: DataFrame, labels: DataFrame) -> DataFrame:
-    out = features.join(labels, "user_id", "left").withColumn("label", F.coalesce("label", F.lit(0.0)))
+    own = labels.withColumnRenamed("user_id", "_user")
+    out = features.join(own, features["user_id"].eqNullSafe(own["_user"]), "left").withColumn("label", F.coalesce("label", F.lit(0.0)))
     return out.select("user_id", *[F.col(c).cast("double").alias(c) for c in FEATURES], "label").na.fill(0.0)
 
 

@@ -2,10 +2,12 @@
 
 Design for scale
 * Tables are Parquet partitioned by ``event_date``; jobs take an optional
-  list of dates, which becomes partition pruning on read and a dynamic
-  partition overwrite on write. Re-running a day replaces exactly that day:
-  idempotent, unlike the reference's append (which duplicated every earlier
-  row on each run).
+  list of dates, which becomes partition pruning on read and replaces exactly
+  those days on write: a day that has no rows any more is cleared, and a run
+  over all dates replaces the table. Reruns are idempotent, unlike the
+  reference's append (which duplicated every earlier row on each run).
+* Bronze is always read whole: an event may arrive any number of days late, and
+  overwriting a day from a part of its rows would lose the others.
 * Each stage writes its table before the next reads it, so lineage is cut
   at shared storage: a lost executor recomputes at most one stage.
 * The alert expansion broadcasts the flagged windows only after counting
@@ -24,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnguard.functions.columns import event_time
+from txnguard.functions.columns import interval_micros
 from txnguard.operators import consolidate as C
 from txnguard.operators import ingest, rules
-from txnguard.schemas import EVENT_DATE, INGEST_DATE, TXN_COLS
+from txnguard.schemas import BRONZE_SCHEMA, EVENT_DATE, TXN_COLS, VELOCITY_WINDOW
 from txnguard.session import checkpoint_root
+from txnguard.sources import lake
 
 # Upper bound on bytes per flagged window row (user_id text + two timestamps
 # + row overhead) used to turn a row count into a broadcast size estimate.
@@ -39,15 +42,41 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # --- K7 / K11 / K12 ----------------------------------------------------------------
 
 
-def write_table(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite"
-) -> None:
-    """K7: Parquet write. With ``partition_by`` and ``overwrite`` only the
-    partitions present in ``df`` are replaced (dynamic overwrite)."""
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+def _files(fs, pattern) -> dict[str, set[str]]:
+    """Data files of the folders that match a Hadoop path pattern."""
+    found = {}
+    for folder in fs.globStatus(pattern) or []:
+        names = {f.getPath().getName() for f in fs.listStatus(folder.getPath())}
+        found[folder.getPath().toString()] = {n for n in names if not n.startswith(("_", "."))}
+    return found
+
+
+def _dated_files(spark: SparkSession, path: str, dates: list[str]) -> tuple[object, dict[str, set[str]]]:
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for d in dates:
+        for level in ("", "/_status=*"):
+            found |= _files(fs, jvm.org.apache.hadoop.fs.Path(f"{path}{level}/{EVENT_DATE}={d}"))
+    return fs, found
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, dates: list[str] | None = None) -> None:
+    """K7: Parquet write that replaces the table, or with ``dates`` exactly those
+    event dates: their partitions that ``df`` has rows for are overwritten, their
+    other ones removed afterwards."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dates else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if not dates:
+        return w.parquet(path)
+    spark = df.sparkSession
+    _, before = _dated_files(spark, path, dates)
     w.parquet(path)
+    fs, after = _dated_files(spark, path, dates)
+    for folder, names in after.items():
+        if names & before.get(folder, set()):  # not overwritten, so nothing of these days belongs here
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def preview(df: DataFrame, n: int = 20) -> list:
@@ -83,9 +112,11 @@ def compact_table(
     if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_spark_metadata")):
         raise ValueError(f"{path} is a streaming sink folder; compaction would break its log")
     df = _dates_filter(spark.read.parquet(path), dates)
-    size = fs.getContentSummary(hpath).getLength()
-    n_parts = max(1, len(dates)) if dates else max(1, df.select(EVENT_DATE).distinct().count())
-    per_part = max(1, int(size / max(n_parts, 1) / target_file_bytes) + 1)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{EVENT_DATE}=*")) or []
+    wanted = None if dates is None else {f"{EVENT_DATE}={d}" for d in dates}
+    sizes = [fs.getContentSummary(f.getPath()).getLength() for f in found if wanted is None or f.getPath().getName() in wanted]
+    n_parts = max(1, len(sizes))
+    per_part = max(1, -(-sum(sizes) // n_parts // target_file_bytes))
     # materialise before overwriting the partitions it was read from
     checkpoint_root(spark)
     df = df.checkpoint(eager=True)
@@ -108,16 +139,15 @@ def _dates_filter(df: DataFrame, dates: list[str] | None) -> DataFrame:
     return df.filter(F.col(EVENT_DATE).isin([dt.date.fromisoformat(d) for d in dates]))
 
 
-def _with_prev_day(dates: list[str] | None) -> list[str] | None:
-    """A transaction at exactly 00:00 also belongs to the window that started
-    at 23:59 the day before (inclusive end), so expansion of day d needs the
-    windows of d - 1 too."""
+def _with_days_before(dates: list[str] | None, window: str) -> list[str] | None:
+    """A transaction after midnight may belong to a window that started the day
+    before (or more days before, for longer windows), so expansion of day d
+    needs the windows of those days too."""
     if not dates:
         return None
-    out = set(dates)
-    for d in dates:
-        out.add((dt.date.fromisoformat(d) - dt.timedelta(days=1)).isoformat())
-    return sorted(out)
+    back = -(-interval_micros(window) // 86_400_000_000)
+    days = {dt.date.fromisoformat(d) - dt.timedelta(days=i) for d in dates for i in range(back + 1)}
+    return sorted(d.isoformat() for d in days)
 
 
 def checked_broadcast(windows: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
@@ -139,24 +169,14 @@ def bronze_to_silver(
     bronze_path: str,
     silver_root: str,
     dates: list[str] | None = None,
-    lateness_days: int | None = None,
 ) -> tuple[str, str]:
     """Batch R4 with schema enforcement: returns (silver path, rejects path).
 
     One pass writes ``_status=valid`` and ``_status=rejected`` partitions;
     both are further partitioned by event date (ingestion date for rows
     whose time cannot be parsed).
-
-    With ``dates`` and ``lateness_days`` and a bronze table partitioned by
-    ``ingest_date``, only ingestion days from min(dates) - 1 (clock skew) to
-    max(dates) + lateness are read. Without a lateness bound every bronze
-    day is read: an event may arrive arbitrarily late.
     """
-    bronze = spark.read.parquet(bronze_path)
-    if dates and lateness_days is not None and INGEST_DATE in bronze.columns:
-        days = sorted(dt.date.fromisoformat(d) for d in dates)
-        lo, hi = days[0] - dt.timedelta(days=1), days[-1] + dt.timedelta(days=lateness_days)
-        bronze = bronze.filter(F.col(INGEST_DATE).between(lo, hi))
+    bronze = spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
     checked = ingest.with_event_date(ingest.to_silver_checked(bronze))
     out = checked.select(
         *TXN_COLS,
@@ -165,7 +185,7 @@ def bronze_to_silver(
         F.when(F.col("_reject_reason").isNull(), "valid").otherwise("rejected").alias("_status"),
         EVENT_DATE,
     )
-    write_table(_dates_filter(out, dates), silver_root, ["_status", EVENT_DATE])
+    write_table(_dates_filter(out, dates), silver_root, ["_status", EVENT_DATE], dates)
     return f"{silver_root}/_status=valid", f"{silver_root}/_status=rejected"
 
 
@@ -173,13 +193,13 @@ def silver_to_gold(
     spark: SparkSession, silver_path: str, gold_root: str, dates: list[str] | None = None, **velocity_params
 ) -> None:
     """Batch R5: high-amount and velocity gold tables by event date."""
-    silver = _dates_filter(spark.read.parquet(silver_path), dates)
+    silver = _dates_filter(lake.read_silver(spark, silver_path), dates)
     high = rules.high_amount_gold(silver)
-    write_table(high, f"{gold_root}/high_amount_fraud", [EVENT_DATE])
+    write_table(high, f"{gold_root}/high_amount_fraud", [EVENT_DATE], dates)
     vel = rules.velocity_gold(silver.select(*TXN_COLS), **velocity_params).withColumn(
         EVENT_DATE, F.to_date(F.col("window.start"))
     )
-    write_table(vel, f"{gold_root}/velocity_fraud", [EVENT_DATE])
+    write_table(vel, f"{gold_root}/velocity_fraud", [EVENT_DATE], dates)
 
 
 def consolidate_gold(
@@ -190,16 +210,18 @@ def consolidate_gold(
     method: str = "bucketed",
     broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES,
     closed: str = "both",
+    window: str = VELOCITY_WINDOW,
 ) -> dict:
-    """Batch R6 + R7 (S4–S6 → K7): the fraud_union table by event date."""
-    silver = _dates_filter(spark.read.parquet(silver_path), dates).select(*TXN_COLS)
-    high = _dates_filter(spark.read.parquet(f"{gold_root}/high_amount_fraud"), dates)
-    windows = _dates_filter(spark.read.parquet(f"{gold_root}/velocity_fraud"), _with_prev_day(dates))
+    """Batch R6 + R7 (S4–S6 → K7): the fraud_union table by event date.
+    ``window``: the length that the velocity table's windows were made with."""
+    silver = _dates_filter(lake.read_silver(spark, silver_path), dates).select(*TXN_COLS)
+    high = _dates_filter(lake.read_high_amount(spark, f"{gold_root}/high_amount_fraud"), dates)
+    windows = _dates_filter(lake.read_velocity(spark, f"{gold_root}/velocity_fraud"), _with_days_before(dates, window))
     windows = windows.select("user_id", "window", "count")
     windows, broadcast = checked_broadcast(windows, broadcast_max_bytes)
-    out = C.consolidate(high, windows, silver, method=method, closed=closed)
-    out = out.withColumn(EVENT_DATE, F.to_date(event_time("transaction_time")))
-    write_table(out, f"{gold_root}/fraud_union", [EVENT_DATE])
+    out = C.consolidate(high, windows, silver, method=method, closed=closed, window=window)
+    # rows without a time lie under their ingestion date, as in silver
+    write_table(ingest.with_event_date(out), f"{gold_root}/fraud_union", [EVENT_DATE], dates)
     return {"broadcast_windows": broadcast}
 
 

@@ -76,13 +76,16 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, ad-hoc local runs) do we pick our
-    own folder, and we register it so ``DataFrame.checkpoint()`` works too.
+    Only when a local session has none (tests, ad-hoc runs) do we pick our own
+    folder, and we register it so ``DataFrame.checkpoint()`` works too. On a
+    cluster a machine-local folder would not be shared, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="txnguard-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -15,9 +15,13 @@ when the caller filters on ``event_date``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnguard.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from txnguard.operators import rules
+from txnguard.schemas import BRONZE_SCHEMA, EVENT_DATE, SILVER_SCHEMA
+
+STATUS = "_status"  # partition column of a checked silver folder: valid or rejected
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -92,8 +96,12 @@ def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 
 
 def read_silver_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S3: silver directory as a stream (9 columns)."""
-    return _parquet_stream(spark, SILVER_SCHEMA, path, max_files_per_trigger)
+    """S3: silver directory as a stream (9 columns, and the partition columns of
+    the folder). Of a checked silver folder (``_status`` partitions) only the
+    valid rows are read: rejected ones never reach a rule."""
+    schema = T.StructType([*SILVER_SCHEMA.fields, T.StructField(STATUS, T.StringType())])
+    rows = _parquet_stream(spark, schema, path, max_files_per_trigger)
+    return rows.filter(F.col(STATUS).isNull() | (F.col(STATUS) == "valid")).drop(STATUS)
 
 
 def read_events_stream(
@@ -105,15 +113,24 @@ def read_events_stream(
 
 
 def read_velocity(spark: SparkSession, path: str) -> DataFrame:
-    """Gold velocity table (batch)."""
-    return spark.read.parquet(path)
+    """Gold velocity table (batch); a table without a file reads as empty."""
+    return spark.read.schema(_dated(rules.velocity_gold(_no_silver(spark)))).parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver table (batch)."""
-    return spark.read.parquet(path)
+    return spark.read.schema(_dated(_no_silver(spark))).parquet(path)
 
 
 def read_high_amount(spark: SparkSession, path: str) -> DataFrame:
     """Gold high-amount table (batch)."""
-    return spark.read.parquet(path)
+    return spark.read.schema(_dated(rules.high_amount_gold(_no_silver(spark)))).parquet(path)
+
+
+def _no_silver(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SILVER_SCHEMA)
+
+
+def _dated(df: DataFrame) -> T.StructType:
+    """The columns of a lake table that holds ``df``'s rows by event date."""
+    return T.StructType([*df.schema.fields, T.StructField(EVENT_DATE, T.DateType())])

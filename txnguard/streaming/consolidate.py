@@ -111,19 +111,17 @@ def start_hit_streams(
 def regroup_dates(spark: SparkSession, hits_root: str, out_path: str, touched: DataFrame) -> None:
     """Rebuild the consolidated rows of the ``touched`` event dates.
 
-    The distinct dates of a micro-batch are a handful of values (control
-    data, bounded by the days a batch spans, not by its rows); as a literal
-    partition filter they prune the partitioned hit tables to those days, and
-    the dynamic partition overwrite replaces exactly those days: re-running a
+    Dates come from event text, so their number has no bound: they stay a table,
+    and a left-semi join on the partition column picks the hits of those days
+    (with partition pruning at run time where Spark broadcasts the dates). The
+    dynamic partition overwrite replaces exactly those days: re-running a
     micro-batch gives the same table.
     """
-    dates = [r[0] for r in touched.select(EVENT_DATE).distinct().collect() if r[0] is not None]
-    if not dates:
-        return
+    dates = touched.select(EVENT_DATE).filter(F.col(EVENT_DATE).isNotNull()).distinct()
     # explicit schema: a hit sink that has not written a file yet reads as empty
     parts = [
         spark.read.schema(HIT_STREAM_SCHEMA).parquet(f"{hits_root}/{name}")
-        .filter(F.col(EVENT_DATE).isin(dates)).select(*HIT_COLS)
+        .join(dates, EVENT_DATE, "left_semi").select(*HIT_COLS)
         for name in ("high_amount", "velocity")
     ]
     grouped = C.group_hits(C.union_hits(*parts))

@@ -22,6 +22,7 @@ Operational notes
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,9 +92,8 @@ def start_bronze(
 ) -> StreamingQuery:
     """Raw records (Kafka or text) → bronze Parquet, stored as-is.
 
-    Partitioned by ingestion date (``ingest_date``) so that rebuilding a few
-    event dates reads only the bronze days that can hold them (see
-    ``plans.jobs.bronze_to_silver(lateness_days=...)``).
+    Partitioned by ingestion date (``ingest_date``) for retention and replays of
+    whole ingestion days.
     """
     bronze = ingest.to_bronze(raw)
     if partition_by_date:
@@ -193,9 +193,7 @@ def start_gold(
 def detect(raw: DataFrame, **velocity_params) -> tuple[DataFrame, DataFrame]:
     """Raw JSON records → (tagged high-amount hits, tagged velocity
     windows) with no lake in between."""
-    parsed = raw.select(
-        F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("data")
-    ).select("data.*")
+    parsed = raw.select(ingest.parse_flat(F.col("value").cast("string"), EVENT_SCHEMA))
     return rules.high_amount_gold(parsed), rules.velocity_gold(parsed, **velocity_params)
 
 
@@ -203,13 +201,14 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float
     """Block until any query ends; a failure anywhere stops them all.
 
     (The reference awaited its queries one after another, so a failure of a
-    later query went unseen while the first one lived.)
+    later query went unseen while the first one lived.) Only the given queries
+    are watched: ``awaitAnyTermination`` would also return for any query that
+    the session ended earlier.
     """
+    began = time.monotonic()
     try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        while all(q.isActive for q in queries) and (timeout is None or time.monotonic() - began < timeout):
+            queries[0].awaitTermination(0.2)
     finally:
         failed = [q for q in queries if q.exception() is not None]
         if failed or timeout is None:
