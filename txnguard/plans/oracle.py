@@ -192,6 +192,18 @@ SELECT to_json(struct_pack(transaction_id := transaction_id, user_id := user_id,
          is_international := is_international)) AS value,
        ingestion_time
 FROM txn"""
+    q["velocity_expanded_5min"] = q["velocity_expanded"].replace("60 seconds", "5 minutes").replace("INTERVAL 60 SECOND", "INTERVAL 5 MINUTE")
+    q["tagged_union"] = f"""
+SELECT {TXN_COLS_SQL}, high_amount_flag, intl_flag, is_fraud, fraud_type,
+       NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end, NULL::BIGINT AS "count"
+FROM ({q['high_amount']})
+UNION ALL BY NAME SELECT * FROM ({q['velocity']})"""
+    q["lake_fraud_union"] = q["fraud_consolidated"]
+    q["stream_bronze"] = f"SELECT value, true AS stamped FROM ({q['bronze_raw']})"
+    q["stream_detect_high_amount"] = f"SELECT * EXCLUDE (ingestion_time) FROM ({q['high_amount']})"
+    q["stream_detect_velocity"] = q["velocity"]
+    q["stream_velocity_late"] = q["velocity"]
+    q["stream_dedup"] = f"SELECT * EXCLUDE (ingestion_time) FROM ({q['transactions']})"
     q["silver_flat"] = q["transactions"]
     q["stream_silver"] = q["transactions"]
     q["stream_high_amount"] = q["high_amount"]
@@ -269,6 +281,14 @@ SELECT b.*, coalesce(h.n_flagged, 0) AS n_flagged FROM (
   FROM timed GROUP BY user_id
 ) b LEFT JOIN (SELECT user_id AS hu, count(*) AS n_flagged FROM cons GROUP BY user_id) h
   ON b.user_id IS NOT DISTINCT FROM h.hu"""
+    q["fraud_model_training"] = f"""
+SELECT f.user_id, CAST(n_txn AS DOUBLE) AS n_txn, total_amount, avg_amount, max_amount,
+       CAST(n_devices AS DOUBLE) AS n_devices, CAST(n_locations AS DOUBLE) AS n_locations,
+       CAST(n_merchants AS DOUBLE) AS n_merchants, CAST(n_international AS DOUBLE) AS n_international,
+       CAST(coalesce(l.label, 0) AS DOUBLE) AS label
+FROM ({q['user_features']}) f
+LEFT JOIN (SELECT user_id, max(is_fraud) AS label FROM ({scored} SELECT * FROM scored) GROUP BY user_id) l
+  ON f.user_id IS NOT DISTINCT FROM l.user_id"""
     q["transaction_features"] = _with(TXN_CTE, TIMED_CTE) + f"""
 SELECT {TXN_COLS_SQL},
        count(*) OVER wr AS trailing_count,

@@ -21,8 +21,9 @@ from txnguard.operators import scoring as SC
 from txnguard.operators import ingest as I
 from txnguard.operators import marts as M
 from txnguard.operators import rules as R
-from txnguard.schemas import HIT_COLS, TXN_COLS
-from txnguard.session import configure
+from txnguard.plans import jobs
+from txnguard.schemas import FRAUD_UNION_COLS, HIT_COLS, TXN_COLS
+from txnguard.session import configure, work_dir
 from txnguard.streaming import consolidate as SCON
 from txnguard.streaming import replay as S
 from txnguard.streaming import stateful as STATE
@@ -309,6 +310,84 @@ def q_stream_young_account(spark, sf_dir):
     return _txn_out(out, "account_age_seconds")
 
 
+# --- whole paths: lake jobs, one-hop detection, ingestion, late and repeated rows ------
+
+
+def q_velocity_expanded_5min(spark, sf_dir):
+    """J1 with another window length: 5-minute alerts and their members."""
+    silver = _silver(spark, sf_dir)
+    hits = C.expand_velocity(R.velocity(silver, window="5 minutes"), silver, window="5 minutes")
+    return _ntz(hits, "ingestion_time")
+
+
+def q_tagged_union(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    out = R.tagged_union(R.high_amount_gold(silver), R.velocity_gold(silver))
+    return _flat_window(_ntz(out, "ingestion_time"))
+
+
+def q_lake_fraud_union(spark, sf_dir):
+    """Bronze, silver and gold tables on disk, consolidated, then every stage once more for one date."""
+    root = work_dir(spark, "lake", unique=True)
+    I.to_wire_json(_silver(spark, sf_dir)).write.parquet(f"{root}/bronze")
+    info = jobs.run_all(spark, f"{root}/bronze", f"{root}/lake")
+    first = spark.read.parquet(info["silver"]).agg(F.min("event_date")).first()[0]
+    if first is not None:
+        jobs.run_all(spark, f"{root}/bronze", f"{root}/lake", [first.isoformat()])
+    out = spark.read.parquet(f"{info['gold']}/fraud_union").select(*FRAUD_UNION_COLS)
+    return _rules_text(_ntz(out, "ingestion_time"))
+
+
+def q_stream_bronze(spark, sf_dir):
+    """Text records as they arrive, stamped; the stamp itself is the arrival's."""
+    configure(spark)
+    out = S.stream_bronze(spark, sf_dir)
+    return out.select("value", F.col("ingestion_time").isNotNull().alias("stamped"))
+
+
+def q_stream_detect_high_amount(spark, sf_dir):
+    configure(spark)
+    return S.stream_detect(spark, sf_dir)[0]
+
+
+def q_stream_detect_velocity(spark, sf_dir):
+    configure(spark)
+    return _velocity_out(S.stream_detect(spark, sf_dir)[1])
+
+
+def q_stream_velocity_late(spark, sf_dir):
+    """Rows that arrive after the watermark has passed them change nothing."""
+    configure(spark)
+    return _velocity_out(S.stream_velocity_late(spark, sf_dir))
+
+
+def q_stream_dedup(spark, sf_dir):
+    """D9 on a stream that delivers every row twice; which copy stays is the arrival order's, so no ingestion time."""
+    configure(spark)
+    return S.stream_dedup(spark, sf_dir).select(*[c for c in TXN_COLS if c != "ingestion_time"])
+
+
+def q_fraud_model_training(spark, sf_dir):
+    """D15's training table: user features and the rule-derived label."""
+    from txnguard.operators import model as ML
+
+    silver = _silver(spark, sf_dir)
+    feats = M.user_features(silver, _consolidated(silver), exact=True)
+    return ML.training_set(feats, ML.user_labels(SC.scored_transactions(silver, **FIXTURE_RULE_PARAMS)))
+
+
+def q_metrics_rollup_approx(spark, sf_dir):
+    """The default rollup, whose distinct users are HyperLogLog estimates."""
+    silver = _silver(spark, sf_dir)
+    return _date_text(M.metrics_rollup(silver, _consolidated(silver)))
+
+
+def q_user_features_approx(spark, sf_dir):
+    """The default features, whose distinct counts are HyperLogLog estimates."""
+    silver = _silver(spark, sf_dir)
+    return _ntz(M.user_features(silver, _consolidated(silver)), "first_seen", "last_seen")
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -317,6 +396,12 @@ def queries() -> dict[str, Query]:
         "velocity_expanded": q_velocity_expanded,
         "velocity_expanded_range": q_velocity_expanded_range,
         "velocity_expanded_bucketed": q_velocity_expanded_bucketed,
+        "velocity_expanded_5min": q_velocity_expanded_5min,
+        "tagged_union": q_tagged_union,
+        "lake_fraud_union": q_lake_fraud_union,
+        "fraud_model_training": q_fraud_model_training,
+        "metrics_rollup_approx": q_metrics_rollup_approx,
+        "user_features_approx": q_user_features_approx,
         "fraud_union": q_fraud_union,
         "fraud_consolidated": q_fraud_consolidated,
         "bronze_raw": q_bronze_raw,
@@ -338,6 +423,11 @@ def queries() -> dict[str, Query]:
         "report": q_report,
         "profile": q_profile,
         "fraud_model": q_fraud_model,
+        "stream_bronze": q_stream_bronze,
+        "stream_detect_high_amount": q_stream_detect_high_amount,
+        "stream_detect_velocity": q_stream_detect_velocity,
+        "stream_velocity_late": q_stream_velocity_late,
+        "stream_dedup": q_stream_dedup,
         "stream_silver": q_stream_silver,
         "stream_high_amount": q_stream_high_amount,
         "stream_velocity": q_stream_velocity,

@@ -29,8 +29,8 @@ from txnguard.schemas import SILVER_SCHEMA, TXN_COLS
 from txnguard.session import work_dir
 from txnguard.functions.columns import event_time
 from txnguard.sources import lake
-from txnguard.sources.tables import transactions_from_events
-from txnguard.streaming.jobs import drain, state_partitions, write_stream
+from txnguard.sources.tables import read_transactions, redelivered, transactions_from_events
+from txnguard.streaming.jobs import detect, drain, start_bronze, state_partitions, write_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -89,17 +89,18 @@ def silver_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> Data
     return silver
 
 
-def silver_slices(spark: SparkSession, sf_dir: str, slices: int = 12) -> DataFrame:
+def silver_slices(spark: SparkSession, sf_dir: str, slices: int = 12, late: bool = False) -> DataFrame:
     """Silver as a stream of ``slices`` files in event-time order, one per
     micro-batch, and the flush sentinel as the last file: state carries over
-    batch borders as it does in production."""
+    batch borders as it does in production. ``late`` sends the first slice once
+    more after the last one."""
     silver = spark.read.schema(SILVER_SCHEMA).parquet(replay_silver(spark, sf_dir))
     path = work_dir(spark, "replay", "slices", unique=True)
     at = F.unix_micros(event_time("transaction_time"))
     low, high = silver.agg(F.min(at), F.max(at)).first()
     step = max(1, ((high or 0) - (low or 0)) // slices + 1)
     place = F.coalesce(F.floor((at - F.lit(low or 0)) / F.lit(step)), F.lit(0))
-    for i in range(slices):  # one after the other: the file source takes them by modification time
+    for i in [*range(slices), *([0] if late else [])]:  # one after the other: the file source takes them by modification time
         silver.where(place == i).coalesce(1).write.mode("append").parquet(path)
     spark.read.schema(SILVER_SCHEMA).parquet(_sentinel_dir(spark)).coalesce(1).write.mode("append").parquet(path)
     return lake.read_silver_stream(spark, path, 1)
@@ -161,3 +162,36 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_velocity_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     vel = rules.velocity_gold(silver_stream(spark, sf_dir))
     return run_updates(vel, spark, "velocity_update", ["user_id", "window"])
+
+
+def _text_files(spark: SparkSession, sf_dir: str) -> str:
+    """The transactions' wire JSON as text files, one record per line, and the sentinel's after them."""
+    path = work_dir(spark, "replay", "text", unique=True)
+    for rows in (read_transactions(spark, sf_dir), spark.read.schema(SILVER_SCHEMA).parquet(_sentinel_dir(spark))):
+        ingest.to_wire_json(rows).select("value").write.mode("append").text(path)
+    return path
+
+
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(spark, "replay", "bronze", unique=True)
+    raw = lake.read_text_stream(spark, _text_files(spark, sf_dir))
+    drain([start_bronze(raw, f"{root}/bronze", f"{root}/_ckpt", trigger=AVAILABLE_NOW)])
+    return spark.read.parquet(f"{root}/bronze").filter(~F.col("value").contains(SENTINEL_USER))
+
+
+def stream_detect(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """R8 over text records: tagged high-amount hits and velocity windows, each drained to a table."""
+    high, vel = detect(lake.read_text_stream(spark, _text_files(spark, sf_dir)))
+    out = [run_to_table(df, spark, f"detect_{name}") for df, name in ((high, "high"), (vel, "velocity"))]
+    return tuple(df.filter(F.col("user_id") != SENTINEL_USER) for df in out)
+
+
+def stream_velocity_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vel = rules.velocity_gold(silver_slices(spark, sf_dir, late=True).select(*TXN_COLS))
+    return run_to_table(vel, spark, "velocity_late").filter(F.col("user_id") != SENTINEL_USER)
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "replay", "redelivered", unique=True)
+    redelivered(read_transactions(spark, sf_dir)).write.parquet(path)
+    return run_to_table(ingest.dedup_stream(lake.read_silver_stream(spark, path)), spark, "dedup")
