@@ -194,10 +194,12 @@ SELECT to_json(struct_pack(transaction_id := transaction_id, user_id := user_id,
 FROM txn"""
     q["velocity_expanded_5min"] = q["velocity_expanded"].replace("60 seconds", "5 minutes").replace("INTERVAL 60 SECOND", "INTERVAL 5 MINUTE")
     q["tagged_union"] = f"""
+SELECT * REPLACE (CAST(is_international AS VARCHAR) AS is_international, CAST(high_amount_flag AS VARCHAR) AS high_amount_flag,
+  CAST(intl_flag AS VARCHAR) AS intl_flag, CAST(is_fraud AS VARCHAR) AS is_fraud, CAST("count" AS DOUBLE) AS "count") FROM (
 SELECT {TXN_COLS_SQL}, high_amount_flag, intl_flag, is_fraud, fraud_type,
        NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end, NULL::BIGINT AS "count"
 FROM ({q['high_amount']})
-UNION ALL BY NAME SELECT * FROM ({q['velocity']})"""
+UNION ALL BY NAME SELECT * FROM ({q['velocity']}))"""
     q["lake_fraud_union"] = q["fraud_consolidated"]
     q["stream_bronze"] = f"SELECT value, true AS stamped FROM ({q['bronze_raw']})"
     q["stream_detect_high_amount"] = f"SELECT * EXCLUDE (ingestion_time) FROM ({q['high_amount']})"

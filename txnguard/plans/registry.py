@@ -323,6 +323,9 @@ def q_velocity_expanded_5min(spark, sf_dir):
 def q_tagged_union(spark, sf_dir):
     silver = _silver(spark, sf_dir)
     out = R.tagged_union(R.high_amount_gold(silver), R.velocity_gold(silver))
+    # half of the cells are NULL: flags as text and the count as a double compare alike everywhere
+    flags = ("is_international", "high_amount_flag", "intl_flag", "is_fraud")
+    out = out.withColumns({c: F.col(c).cast("string") for c in flags} | {"count": F.col("count").cast("double")})
     return _flat_window(_ntz(out, "ingestion_time"))
 
 
