@@ -23,6 +23,8 @@ one task:
 * D1 splits the running mean into a prefix over per-(user, time bucket)
   partial sums — a small table, one row per bucket — plus a running sum
   inside the bucket, co-partitioned on (user, bucket) with the join.
+* D2 and the trailing features add rows as they enter a window and subtract
+  them as they leave it, so a busy (user, bucket) costs one sort.
 * D2 and D3 only look back a bounded time. Rows are grouped by (user, time
   bucket); the last ``lookback`` of each bucket is also copied into the next
   bucket, so every row sees all the rows it needs with a window over
@@ -75,6 +77,25 @@ def with_carried_tail(rows: DataFrame, bucket: str, lookback: str) -> DataFrame:
     )
 
 
+_T = "_t"        # place on the time line: a row's own time, or the time it leaves a trailing window
+_ROW = "_row"    # the row itself; NULL where it leaves
+
+
+def _with_leaving(rows: DataFrame, w_us: int, keep: list[str], enter: dict[str, Column], leave: dict[str, Column]) -> DataFrame:
+    """Two entries per row: ``enter`` values at its time and ``leave`` values ``w_us`` later.
+
+    A trailing sum over ``(t - w, t]`` is then a running sum over the entries up
+    to ``t``, peers included, which Spark computes incrementally. (A sliding RANGE
+    frame goes through its whole buffer for every row, which is quadratic for a
+    busy user.) A leaving entry carries no row, only its key.
+    """
+    names = [c for c in rows.columns if c not in keep]
+    row = F.struct(*names)
+    entry = F.struct(F.col(_US).alias(_T), *[v.alias(k) for k, v in enter.items()], row.alias(_ROW))
+    gone = F.struct((F.col(_US) + F.lit(w_us)).alias(_T), *[v.alias(k) for k, v in leave.items()], F.when(F.lit(False), row).alias(_ROW))
+    return rows.select(*keep, F.inline(F.array(entry, gone)))
+
+
 # --- D1 ---------------------------------------------------------------------------
 
 
@@ -136,13 +157,14 @@ def rolling_velocity(
     """D2. Adds ``rolling_count`` = the user's transactions in (t - window, t]."""
     w_us = interval_micros(window)
     bucket = bucket or f"{10 * w_us} microseconds"
-    rows = with_carried_tail(timed(silver), bucket, window)
-    frame = Window.partitionBy("user_id", _B).orderBy(_US).rangeBetween(-(w_us - 1), 0)
+    rows = with_carried_tail(timed(silver), bucket, window).withColumn("_user", F.col("user_id"))
+    entries = _with_leaving(rows, w_us, ["_user", _B], {"_d": F.lit(1)}, {"_d": F.lit(-1)})
+    so_far = Window.partitionBy("_user", _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
     out = (
-        rows.withColumn("rolling_count", F.count(F.lit(1)).over(frame))
-        .filter(F.col(_OWN))
+        entries.withColumn("rolling_count", F.sum("_d").over(so_far))
+        .filter(F.col(f"{_ROW}.{_OWN}"))
+        .select(*[F.col(f"{_ROW}.{c}") for c in silver.columns], "rolling_count")
         .withColumn("rolling_velocity", F.col("rolling_count") > F.lit(int(min_exclusive)))
-        .drop(_B, _OWN, _US)
     )
     return out if keep_all else out.filter("rolling_velocity")
 
@@ -263,20 +285,36 @@ def transaction_features(
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
     )
     part = Window.partitionBy("_uk", "_un", _B)
-    frame = part.orderBy(_US).rangeBetween(-(w_us - 1), 0)
     ordered = part.orderBy(_US, "transaction_id")
     earlier_own = ordered.rowsBetween(Window.unboundedPreceding, -1)
     own_amount = F.when(F.col(_OWN), amount)
     gap = F.col(_US) - F.lag(_US).over(ordered)
-    out = (
+    # a device is in the window from a sighting that finds it gone until the window has passed a sighting
+    # that no other follows in time: those two entries count it once however often it is seen
+    same = Window.partitionBy("_uk", "_un", _B, "device_id").orderBy(_US)
+    known = F.col("device_id").isNotNull()
+    comes = known & F.coalesce(F.lag(_US).over(same) + F.lit(w_us) <= F.col(_US), F.lit(True))
+    goes = known & F.coalesce(F.lead(_US).over(same) >= F.col(_US) + F.lit(w_us), F.lit(True))
+    rows = (
         rows.join(prefix, ["_uk", "_un", _B], "left")
-        .withColumn("trailing_count", F.count(F.lit(1)).over(frame))
-        .withColumn("trailing_amount", F.sum(amount).over(frame))
-        .withColumn("trailing_devices", F.size(F.collect_set("device_id").over(frame)).cast("long"))
         .withColumn("_wn", F.count(own_amount).over(earlier_own))
         .withColumn("_ws", F.sum(own_amount).over(earlier_own))
         .withColumn("_gap", gap)
-        .filter(F.col(_OWN))
+        .withColumn("_comes", comes.cast("long"))
+        .withColumn("_goes", goes.cast("long"))
+    )
+    value, valued = F.coalesce(amount, F.lit(0.0)), amount.isNotNull().cast("long")
+    entries = _with_leaving(
+        rows, w_us, ["_uk", "_un", _B],
+        {"_d": F.lit(1), "_a": value, "_n": valued, "_v": F.col("_comes")}, {"_d": F.lit(-1), "_a": -value, "_n": -valued, "_v": -F.col("_goes")},
+    )
+    so_far = part.orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
+    out = (
+        entries.withColumn("trailing_count", F.sum("_d").over(so_far))
+        .withColumn("trailing_amount", F.when(F.sum("_n").over(so_far) > 0, F.sum("_a").over(so_far)))
+        .withColumn("trailing_devices", F.sum("_v").over(so_far))
+        .filter(F.col(f"{_ROW}.{_OWN}"))
+        .select(f"{_ROW}.*", "trailing_count", "trailing_amount", "trailing_devices")
         .withColumn("prior_n", F.coalesce("_pn", F.lit(0)) + F.col("_wn"))
         .withColumn("prior_sum", F.coalesce("_ps", F.lit(0.0)) + F.coalesce("_ws", F.lit(0.0)))
         .withColumn("prior_avg", F.when(F.col("prior_n") > 0, F.col("prior_sum") / F.col("prior_n")))
