@@ -1,0 +1,301 @@
+"""Language identification, quality models, language model and secret scan: held-out accuracy, exact bases, edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from conftest import SF_MID, SF_SMALL
+from txnguard.llm import attention_lm as A
+from txnguard.llm import language_id as L
+from txnguard.llm import quality_pu as PU
+from txnguard.llm import quality_rules as R
+from txnguard.llm import queries as Q
+from txnguard.llm import secret_scan as S
+from txnguard.llm.common import SEGMENT, char_ngrams, fold, table
+from txnguard.llm.subwords import encoder
+
+ODD = [(1, None), (2, ""), (3, "12 34 !?"), (4, "the thing\n" * 20000), (None, "the end"), (5, "the end"), (5, "the end")]
+
+
+def odd_docs(spark, rows=ODD):
+    return spark.createDataFrame([(i, t, "en", "x", 1) for i, t in rows], "doc_id long, text string, lang string, score string, n_words long")
+
+
+def crc(doc_id, modulus):
+    return zlib.crc32(str(doc_id).encode()) % modulus
+
+
+def test_folds_are_those_of_crc32(spark):
+    got = spark.range(50).withColumn("held", fold("id", 3, 1)).collect()
+    assert [r.held for r in got] == [crc(r.id, 3) == 1 for r in got]
+    assert [r.held for r in odd_docs(spark).select(fold("doc_id", 3, 1).alias("held")).where("doc_id is null").collect()] == [False]
+
+
+def test_character_ngrams_are_those_of_each_text(monkeypatch):
+    import txnguard.llm.common as C
+
+    texts = ["abc", "", "a", "éü😀x" * 9, "abc"]
+    got = Counter()
+    for owner, bucket in char_ngrams(texts, (1, 2, 3), 1 << 20):
+        got.update(zip(owner.tolist(), bucket.tolist()))
+    assert {o: sum(n for (i, _), n in got.items() if i == o) for o in range(5)} == {0: 6, 1: 0, 2: 1, 3: 3 * 36 - 3, 4: 6}
+    assert {b for (i, b) in got if i == 0} == {b for (i, b) in got if i == 4}
+    monkeypatch.setattr(C, "SEGMENT", 7)  # long texts are cut with an overlap
+    again = Counter()
+    for owner, bucket in C.char_ngrams(texts, (1, 2, 3), 1 << 20):
+        again.update(zip(owner.tolist(), bucket.tolist()))
+    assert again == got and SEGMENT > 7
+
+
+# --- language identification --------------------------------------------------------------
+
+
+def test_language_query_is_right_on_held_out_documents(spark):
+    truth = {r.doc_id: r for r in table(spark, SF_MID, "documents").collect()}
+    got = Q.queries()["op10_language_id"](spark, SF_MID).collect()
+    assert len(got) == len(truth)
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in truth if crc(i, 4) == 2}
+    assert np.mean([r.lang_pred == truth[r.doc_id].lang for r in held if truth[r.doc_id].lang]) > 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_edge_cases(spark):
+    train = spark.createDataFrame([("the thing", "en"), ("der ding", "de"), (None, "en"), ("le", None)], "text string, lang string")
+    model = L.fit(train, F.lit(True))
+    assert model.languages == ["de", "en"]
+    out = L.detect(odd_docs(spark), model)
+    assert out.columns == ["doc_id", "text", "lang", "n_words", "lang_pred", "score"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in out.collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and got[5][0] == "en"
+    assert sorted(r.doc_id or 0 for r in L.accepted(odd_docs(spark), model).collect()) == [0, 4, 5, 5]
+    nothing = L.fit(train.limit(0), F.lit(True))
+    assert {r.lang_pred for r in L.detect(odd_docs(spark), nothing).collect()} == {"und"}
+    assert L.detect(odd_docs(spark, []), model).count() == 0
+    with pytest.raises(ValueError):
+        L.fit(train, F.lit(True), max_languages=1)
+
+
+# --- quality --------------------------------------------------------------------------------
+
+
+def test_pu_score_separates_held_out_labels(spark):
+    labels = {r.doc_id: r.quality for r in table(spark, SF_MID, "labels").collect()}
+    got = Q.queries()["op1_quality_pu"](spark, SF_MID).collect()
+    assert len(got) == table(spark, SF_MID, "documents").count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out == (crc(r.doc_id, 3) == 1) for r in got)
+    held = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
+    assert np.mean([a == b for a, b in held]) > 0.95
+
+
+def test_prior_estimate_and_non_negative_risk():
+    rng = np.random.default_rng(0)
+    good, bad = rng.normal(1.5, 1, (4000, 4)), rng.normal(-1.5, 1, (4000, 4))
+    positive, unlabelled = good[:1000].astype(np.float32), np.vstack([good[1000:2400], bad[:600]]).astype(np.float32)
+    prior = PU.estimate_prior(positive, unlabelled)
+    assert abs(prior - 0.7) < 0.15  # a linear ratio can't level off where positives are alone, so it errs upwards
+    m = PU.fit_pu(positive, unlabelled, prior)
+    right = np.r_[good[2400:] @ m.weights + m.offset > 0, bad[600:] @ m.weights + m.offset < 0]
+    assert right.mean() > 0.95
+
+
+def test_quality_edge_cases(spark):
+    docs, labels = odd_docs(spark), spark.createDataFrame([(4, 1), (4, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    for marks in (labels, labels.limit(0)):
+        scored = PU.score(docs, PU.fit(docs, marks, F.lit(True)), ["doc_id"]).collect()
+        assert len(scored) == len(ODD) and all(0 <= r.score <= 1 for r in scored)
+    assert {r.score for r in PU.score(docs, PU.fit(docs, labels.limit(0), F.lit(True)), ["doc_id"]).collect()} == {0.5}
+    kept = R.apply(docs, R.fit(docs, labels)).collect()
+    assert [r.kept for r in kept] == [not r.base_failed for r in kept]  # one class: nothing learned
+    assert R.apply(odd_docs(spark, []), None).count() == 0
+
+
+def naive_base(text):
+    text = text or ""
+    words = text.encode().split()
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    repeated = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    n, rep = len(words), len(repeated)
+    return n, sum(len(w.decode()) for w in words), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), rep, n < 10 or 100 * rep > 20 * n
+
+
+def test_rule_bases_equal_brute_force_and_labels_decide(spark):
+    docs = {r.doc_id: r.text for r in table(spark, SF_MID, "documents").collect()}
+    labels = {r.doc_id: r.quality for r in table(spark, SF_MID, "labels").collect()}
+    got = Q.queries()["op6_quality_rules"](spark, SF_MID).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert tuple(r)[1:7] == naive_base(docs[r.doc_id])
+        assert not (r.base_failed and r.kept)
+    judged = [(r.kept, labels[r.doc_id]) for r in got if r.doc_id in labels and not r.base_failed]
+    assert np.mean([a == bool(b) for a, b in judged]) > 0.95
+    for text in ("a b\x0bc\x1cd \x85 e", "x y z w v " * 4 + "q", "é\n\n é\né", "| # <>"):
+        words = [text.encode().split()]
+        counts = R.base_counts([text], words)
+        assert tuple(int(counts[k][0]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == naive_base(text)[:5]
+
+
+# --- language model --------------------------------------------------------------------------
+
+
+def small_model(sequences, epochs=1):
+    counts = np.bincount(np.concatenate(sequences), minlength=3000).astype(float)
+    return A.train(sequences, counts, end_id=2999, epochs=epochs)
+
+
+def some_sequences(n=12, seed=1):
+    rng = np.random.default_rng(seed)
+    return [np.append(rng.zipf(1.4, size=rng.integers(0, 120)) % 2900, 2999) for _ in range(n)]
+
+
+def test_windows_hold_every_id_once_after_its_own_past():
+    sequences = some_sequences()
+    inputs, targets, owner = A.windows_of([s.astype(np.int32) for s in sequences], 9000)
+    for i, s in enumerate(sequences):
+        own = targets[owner == i].ravel()
+        assert own[own >= 0].tolist() == s.tolist()
+    for x, y, i in zip(inputs, targets, owner):
+        for j, t in enumerate(y):
+            if t >= 0 and j > 0:
+                assert x[A.CONTEXT + j] == y[j - 1]
+        assert A.CONTEXT + len(y) == len(x)
+
+
+def test_gradients_match_finite_differences():
+    sequences = some_sequences(3)
+    model = small_model(sequences)
+    p = {k: v.astype(np.float64) for k, v in model.params.items()}
+    inputs, targets, _ = A.windows_of([model.slot[s] for s in sequences], model.outside)
+    loss, g = A._gradients(p, inputs, targets)
+    rng = np.random.default_rng(0)
+    for name, value in p.items():
+        at = tuple(rng.integers(0, n) for n in value.shape) if name != "embed" else (int(inputs[0, -1]), 3)
+        before, step = value[at], 1e-5
+        value[at] = before + step
+        up = A._gradients(p, inputs, targets)[0]
+        value[at] = before - step
+        down = A._gradients(p, inputs, targets)[0]
+        value[at] = before
+        assert abs((up - down) / (2 * step) - g[name][at]) < 1e-4, name
+
+
+def test_fast_scores_are_the_state_s_and_future_ids_do_not_matter():
+    sequences = some_sequences()
+    model = small_model(sequences)
+    inputs, targets, _ = A.windows_of([model.slot[s] for s in sequences], model.outside)
+    loss, _ = A._gradients(model.params, inputs, targets)
+    got = A.log_probs(model, inputs, targets)
+    assert abs(-got.sum() / (targets >= 0).sum() - loss) < 1e-3
+    changed = inputs.copy()
+    changed[:, -1] = 0
+    assert np.allclose(A.log_probs(model, changed, targets)[:, :-1], got[:, :-1], atol=1e-5)
+
+
+def test_probabilities_of_all_ids_sum_to_one():
+    model = small_model(some_sequences())
+    every = [np.array([i]) for i in range(3000)]
+    assert abs((10 ** A.score_ids(model, every)).sum() - 1) < 1e-3
+
+
+def test_training_beats_the_unigram_model():
+    rng = np.random.default_rng(2)
+    sequences = []
+    for _ in range(60):  # each id fixes the next one
+        x, own = int(rng.integers(0, 50)), []
+        for _ in range(60):
+            own.append(x)
+            x = (x * 7 + 3 + int(rng.integers(0, 2))) % 50
+        sequences.append(np.append(own, 2999))
+    model = small_model(sequences, epochs=12)
+    counts = np.bincount(np.concatenate(sequences))
+    unigram = sum(np.log10(counts[s] / counts.sum()).sum() for s in sequences)
+    assert A.score_ids(model, sequences).sum() > 0.8 * unigram
+
+
+def test_base_scores_equal_brute_force_with_and_without_broadcast_words(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()] + [(900001, None), (900002, ""), (None, "a b"), (900003, "a b"), (900003, "a b")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, base string")
+    counts = Counter()
+    for i, t in docs:
+        if i is None or crc(i, 7) != 2:
+            counts.update((t or "").encode().lower().split() + [None])
+    n, v = counts.total(), len(counts)
+    want = []
+    for i, t in docs:
+        w = (t or "").encode().lower().split() + [None]
+        want.append((i, len(w), sum(counts[x] > 0 for x in w), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), 4)))
+    for words in (200_000, 30):
+        got = A.score(df, ~fold("doc_id", 7, 2), public_tokenizers.path("word_bpe_49k.json"), 49407, max_docs=20, max_windows=4, broadcast_words=words).collect()
+        assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got), key=repr) == sorted(want, key=repr)
+        assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    assert A.score(df.limit(0), F.lit(True), public_tokenizers.path("word_bpe_49k.json"), 49407).count() == 0
+
+
+# --- subwords ----------------------------------------------------------------------------------
+
+
+def test_subword_ids_are_the_tokenizer_s_own(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = [r.text or "" for r in table(spark, SF_SMALL, "documents").collect()][:60]
+    texts += ["a<|endoftext|>b x", "x <|startoftext|> y", "é́ ß İ ΑΣ ΑΣ.", "foo\xa0bar　baz", "\u0085x\x1cy z", "", "  ", "日本語 テキスト 1234 it's we'll DON'T", "naïve ÀÉ ŒUVRE ǅ ŉ", "🙂 ok\n\n\x0b\x0c a\tb", "x" * 500 + " " + "é" * 300]
+    for text, raw in zip(texts, encoder(path)(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+# --- secret scan ---------------------------------------------------------------------------------
+
+
+def secret_docs():
+    rng = random.Random(4)
+    hex40 = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    rows, planted = [], {}
+    for i in range(40):
+        own = hex40()
+        planted[i] = own
+        rows.append((i, f"Some words é here\ntoken = \"{own}\" and more words {rng.randrange(10**15, 10**16)} end"))
+    rows += [(100 + i, f"order {rng.randrange(10**15, 10**16)} and /usr/lib/python3.13/site-packages/x{i}.py mail a{i}@b.example") for i in range(40)]
+    return rows, planted
+
+
+def test_secrets_are_found_and_masked_and_nothing_else(spark):
+    rows, planted = secret_docs()
+    rows += [(200, None), (201, ""), (3, rows[3][1]), (None, rows[3][1]), (202, "x" * 300000 + " 1")]
+    df = spark.createDataFrame([(i, t, 7, "c") for i, t in rows], "doc_id long, text string, n_chars long, candidate string")
+    found = S.scan(df).collect()
+    text = dict(rows)
+    assert all(text[r.doc_id][r.start : r.start + len(r.candidate)] == r.candidate for r in found)
+    assert {(r.doc_id, r.candidate) for r in found if r.secret} == set(planted.items()) | {(None, planted[3])}
+    out = S.redacted(df)
+    assert out.columns == df.columns and out.count() == len(rows)
+    for r in out.collect():
+        secret = planted[3] if r.doc_id is None else planted.get(r.doc_id)
+        want = text[r.doc_id] if secret is None else text[r.doc_id].replace(secret, "[SECRET]")
+        assert r.text == want and r.n_chars == (7 if secret is None else len(want))
+
+
+def test_secret_scan_without_candidates_or_labels(spark):
+    df = spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")
+    assert S.scan(df).count() == 0 and S.redacted(df).collect()[0].text == "nothing here"
+    assert S.redacted(df.limit(0)).count() == 0
+    one = spark.createDataFrame([(1, "see 4111222233334444 now")], "doc_id long, text string")
+    assert [(r.score, r.secret) for r in S.scan(one).collect()] == [(1.0, True)]
+
+
+def test_secret_query_gives_places_and_digests(spark):
+    docs = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
+    got = Q.queries()["op4_secret_scan"](spark, SF_SMALL).collect()
+    for r in got:
+        assert hashlib.sha256(docs[r.doc_id][r.start : r.start + r.length].encode()).hexdigest() == r.candidate_sha256
+    assert got

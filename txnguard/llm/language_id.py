@@ -69,16 +69,19 @@ def fit(docs: DataFrame, train: Column, sizes: tuple[int, ...] = (1, 2, 3), buck
     labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
     counts = labelled.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # at most one row per language and bucket (bucket -1: the number of texts)
-    got = counts.limit(max_languages * (buckets + 1) + 1).toPandas()
+    most = max_languages * (buckets + 1)
+    got = counts.limit(most + 1).toPandas()
     languages = sorted(got["lang"].unique())
-    if len(languages) > max_languages:
+    if len(languages) > max_languages or len(got) > most:
         raise ValueError(f"more than {max_languages} languages to learn")
+    if not languages:
+        return LanguageModel([], np.zeros(0), np.zeros((buckets, 0)), sizes)
     code = {x: i for i, x in enumerate(languages)}
     of, bucket, n = got["lang"].map(code).to_numpy(), got["bucket"].to_numpy(), got["n"].to_numpy(dtype=float)
     prior, table = np.zeros(len(languages)), np.full((buckets, len(languages)), smoothing)
     prior[of[bucket < 0]] = n[bucket < 0]
     table[bucket[bucket >= 0], of[bucket >= 0]] += n[bucket >= 0]
-    return LanguageModel(languages, np.log(prior / prior.sum()) if len(languages) else prior, np.log(table / table.sum(axis=0, keepdims=True)), sizes)
+    return LanguageModel(languages, np.log(prior / prior.sum()), np.log(table / table.sum(axis=0, keepdims=True)), sizes)
 
 
 def predict(texts: list[str], model: LanguageModel) -> tuple[list[str], np.ndarray]:

@@ -29,7 +29,7 @@ from txnguard.llm.common import ASCII_SPACE, count_matrix, hash_cut, sigmoid, sm
 from txnguard.llm.linear import fit_logistic, platt, unit_rows
 
 CHAR_SIZES = (1, 2, 3)
-CHAR_BUCKETS = WORD_BUCKETS = 1 << 12
+CHAR_BUCKETS = WORD_BUCKETS = 1 << 11
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 5
 
@@ -95,7 +95,7 @@ def base_counts(texts: list[str], words: list[list[bytes]]) -> dict[str, np.ndar
     }
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> RuleModel | None:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> RuleModel | None:
     own = F.xxhash64("doc_id", F.lit("rules"))
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).select(own.alias("k"), "quality")
     cut = hash_cut(marked.select("k"), max_rows)
