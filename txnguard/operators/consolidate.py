@@ -70,7 +70,9 @@ def _by_bucket(windows: DataFrame, silver: DataFrame, window: str, closed: str)
     s = _candidates(silver, window, closed).alias("s")
     start, end = F.unix_micros(F.col("start")), F.unix_micros(F.col("end"))
     wrong = F.raise_error(F.lit(f"a velocity window is not {window} long: pass the table's window length"))
-    keyed = F.when(end - start == F.lit(interval_micros(window)), start).otherwise(wrong.cast("long"))
+    # Catalyst may evaluate the key before rows without a time are gone: they are not wrong, they have no key
+    keyed = F.when(start.isNull() | end.isNull(), F.lit(None)).when(end - start == F.lit(interval_micros(window)), start)
+    keyed = keyed.otherwise(wrong.cast("long"))
     v = windows.withColumn("_wstart_us", keyed).alias("v")
     cond = (F.col("v.user_id") == F.col("s.user_id")) & (F.col("v._wstart_us") == F.col("s._wstart_us"))
     return v.join(s, cond, "inner")
