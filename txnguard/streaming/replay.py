@@ -66,6 +66,12 @@ def replay_silver(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
         return _silver_cache[key]
 
 
+def forget() -> None:
+    """Replay afresh from now on (for benchmarks)."""
+    with _lock:
+        _silver_cache.clear()
+
+
 def _sentinel_dir(spark: SparkSession) -> str:
     path = work_dir(spark, "replay", "sentinel", unique=True)
     row = [(
