@@ -10,7 +10,6 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from txnguard.llm import components as CC

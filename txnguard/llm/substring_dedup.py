@@ -264,15 +264,16 @@ def _remove(window: int):
     return run
 
 
-def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 16 << 20, flush_windows: int = 2_000_000) -> DataFrame:
+def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 256 << 20, flush_windows: int = 2_000_000) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row; ``kept`` is the text left of rows that lost or may lose words, null elsewhere.
 
-    ``bucket_bytes``: the text whose codes share a bucket, which sets how much a task of step 2 holds.
+    ``bucket_bytes``: the text whose codes share a bucket at most, which bounds what a task of step 2
+    holds (the codes of one block in 25 words); there are at least as many buckets as shuffle partitions.
     """
     block = window // 2
     rows = docs.select("doc_id", "text").withColumn("key", F.xxhash64("doc_id", "text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-size // bucket_bytes))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
     named = rows.where("doc_id is not null and text is not null")
 
     dealt = named.select("key", "text").mapInArrow(_emit(window, block, buckets, flush_windows), "bucket long, kind int, doc long, payload binary")
