@@ -17,7 +17,7 @@ import json
 from collections.abc import Callable
 from functools import lru_cache
 
-_FULL = 700_000  # words, and parts of words, that a worker remembers
+_WORDS, _PARTS = 250_000, 400_000  # words, and parts of words, that a worker remembers: some 130 MB
 _LONG = 64  # bytes; longer words are not remembered
 
 
@@ -58,7 +58,7 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             new = [w for w in new if w not in words]
             text = b"\n".join(new).decode()
         found = split.findall(text.lower())
-        if len(parts) >= _FULL:
+        if len(parts) >= _PARTS:
             parts.clear()
         learn_parts(list({p for p in found if p not in parts} - {"\n"}))
         own, at = [], 0
@@ -74,7 +74,7 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     def encode(texts: list[str]) -> list[bytes]:
         """Call it with slices of ``small_batches``: the new words of a call are held at once."""
         split_texts = [t.encode().split() for t in texts]
-        if len(words) >= _FULL:
+        if len(words) >= _WORDS:
             words.clear()
         new = [w for w in set().union(*split_texts) if w not in words]
         if new:
