@@ -15,7 +15,7 @@ trained by Adam on a bounded sample (``max_docs`` documents, the lowest hashes,
 
 Scoring: a document's ids and an end id are cut into windows that overlap by
 ``CONTEXT``; each window scores only what no earlier one did, so every id counts
-once, with 8 to 31 ids before it. Windows of many documents run as one batch.
+once, with 4 to 23 ids before it. Windows of many documents run as one batch.
 
 Cases: a null text is an empty one, which has the end alone. Repeated rows are
 counted and scored as often as they occur. A null id is in no held-out fold.
@@ -39,7 +39,7 @@ from txnguard.llm.common import hash_cut, materialize, small_batches, texts_of
 from txnguard.llm.linear import Adam
 from txnguard.llm.subwords import encoder
 
-WINDOW, CONTEXT = 32, 8
+WINDOW, CONTEXT = 24, 4
 STRIDE = WINDOW - CONTEXT
 WIDTH = 16
 CLUSTERS, CLUSTER = 64, 36
@@ -108,20 +108,52 @@ def _state(p: dict, inputs: np.ndarray) -> tuple:
     return x, own, q, k, v, a, mixed, h
 
 
-def _state_only(p: dict, inputs: np.ndarray, kv: np.ndarray, qs: np.ndarray) -> np.ndarray:
-    """``_state``'s last value with fewer passes: joint projections, and the attention's sum divided out at the end."""
+@dataclass
+class _Fast:
+    """The parameters laid out for scoring: joint projections, and biases and sums as further rows and columns.
+
+    ``clip``: whether a logit could overflow an exponential at all. The state is at most 1 in size and the
+    inputs are rows of known length, so bounds on all logits follow from the parameters.
+    """
+
+    keys_values: np.ndarray
+    queries_skip: np.ndarray
+    top: np.ndarray
+    low: np.ndarray
+    clip: bool
+
+    @staticmethod
+    def of(p: dict) -> _Fast:
+        top = np.vstack([p["top"], p["top_bias"]])
+        low = np.concatenate([p["low"], p["low_bias"][:, None]], axis=1)
+        reach = np.linalg.norm(p["embed"], axis=1).max() + np.linalg.norm(p["place"], axis=1).max()
+        largest = max(np.abs(top).sum(axis=0).max(), np.abs(low).sum(axis=1).max(), reach**2 * np.linalg.norm(p["q"] @ p["k"].T, 2))
+        return _Fast(np.hstack([p["k"], p["v"]]), np.hstack([p["q"], p["skip"]]), top, low, bool(largest > 80))
+
+
+def _exp(z: np.ndarray, clip: bool) -> np.ndarray:
+    if clip:
+        np.minimum(z, 80, out=z)
+    return np.exp(z, out=z)
+
+
+def _state_only(p: dict, fast: _Fast, inputs: np.ndarray) -> np.ndarray:
+    """``_state``'s last value, flat and with a column of ones, in fewer passes."""
+    n = len(inputs)
     x = p["embed"][inputs]
     x += p["place"]
-    both, own = x @ kv, x[:, CONTEXT:] @ qs
+    both, own = x @ fast.keys_values, x[:, CONTEXT:] @ fast.queries_skip
+    values = np.ones((n, WINDOW, WIDTH + 1), dtype=np.float32)
+    values[..., :WIDTH] = both[..., WIDTH:]
     a = own[..., :WIDTH] @ both[..., :WIDTH].transpose(0, 2, 1)
     a += _MASK
-    np.exp(np.minimum(a, 80, out=a), out=a)
-    mixed = a @ both[..., WIDTH:]
-    mixed /= (a.reshape(-1, WINDOW) @ _ONES[:WINDOW]).reshape(*a.shape[:2], 1)
-    h = mixed.reshape(-1, WIDTH) @ p["mix"]
-    h += own[..., WIDTH:].reshape(-1, WIDTH)
-    h += p["bias"]
-    return np.tanh(h, out=h)
+    mixed = (_exp(a, fast.clip) @ values).reshape(-1, WIDTH + 1)  # the last column is the sum
+    h = np.ones((len(mixed), WIDTH + 1), dtype=np.float32)
+    z = (mixed[:, :WIDTH] / mixed[:, WIDTH:]) @ p["mix"]
+    z += own[..., WIDTH:].reshape(-1, WIDTH)
+    z += p["bias"]
+    np.tanh(z, out=h[:, :WIDTH])
+    return h
 
 
 _ONES = np.ones(CLUSTERS + 1, dtype=np.float32)
@@ -129,32 +161,29 @@ _ONES = np.ones(CLUSTERS + 1, dtype=np.float32)
 
 def log_probs(model: AttentionModel, inputs: np.ndarray, targets: np.ndarray, batch: int = 384) -> np.ndarray:
     """Natural-log probability of each target slot; 0 where there is none."""
-    p = model.params
-    kv, qs = np.hstack([p["k"], p["v"]]), np.hstack([p["q"], p["skip"]])
+    p, fast = model.params, _Fast.of(model.params)
     out = np.zeros(targets.shape, dtype=np.float32)
     for lo in range(0, len(inputs), batch):
         y = targets[lo : lo + batch].ravel()
-        h = _state_only(p, inputs[lo : lo + batch], kv, qs)
+        h = _state_only(p, fast, inputs[lo : lo + batch])
         cluster = np.where(y >= 0, y // CLUSTER, CLUSTERS + 1).astype(np.uint8)
         order = np.argsort(cluster, kind="stable")  # by cluster, so that each one's rows are one slice
-        edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 2))
+        edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 2)).tolist()
         order = order[: edges[-1]]
         h, y, cluster = h[order], y[order], cluster[order]
-        z = h @ p["top"]
-        z += p["top_bias"]
-        np.minimum(z, 80, out=z)
-        got = z[np.arange(len(y)), cluster]
-        sums = np.exp(z, out=z) @ _ONES
+        at = np.arange(len(y))
+        z = h @ fast.top
+        got = z[at, cluster]
+        sums = _exp(z, fast.clip) @ _ONES
         inner, member = np.ones_like(sums), y - cluster.astype(np.int32) * CLUSTER
         for c in range(CLUSTERS):
             a, b = edges[c], edges[c + 1]
             if b > a:
-                z = h[a:b] @ p["low"][c]
-                z += p["low_bias"][c]
-                np.minimum(z, 80, out=z)
-                got[a:b] += z[np.arange(b - a), member[a:b]]
-                inner[a:b] = np.exp(z, out=z) @ _ONES[:CLUSTER]
-        out[lo : lo + batch].ravel()[order] = got - np.log(sums) - np.log(inner)
+                z = h[a:b] @ fast.low[c]
+                got[a:b] += z[at[: b - a], member[a:b]]
+                inner[a:b] = _exp(z, fast.clip) @ _ONES[:CLUSTER]
+        sums *= inner
+        out[lo : lo + batch].ravel()[order] = got - np.log(sums)
     return out
 
 
@@ -351,12 +380,13 @@ def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
             for text in texts:
                 words = text.encode().lower().split()
                 values = [value.get(w) for w in words]
-                unknown = Counter(w for w, x in zip(words, values) if x is None)
+                unknown = [w for w, x in zip(words, values) if x is None]
+                found = Counter(unknown)
                 n_tokens.append(len(words) + 1)
-                n_known.append(len(words) - unknown.total() + whole)
-                base.append(end_value + sum(x for x in values if x is not None))
-                rare.append(list(unknown))
-                times.append(list(unknown.values()))
+                n_known.append(len(words) - len(unknown) + whole)
+                base.append(end_value + sum(filter(None, values)))  # a known word's value is over 0
+                rare.append(list(found))
+                times.append(list(found.values()))
             cols = [
                 pa.array(np.arange(row, row + len(texts)), pa.int64()), batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
                 pa.array(score_ids(lm, ids), pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
