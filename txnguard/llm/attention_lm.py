@@ -264,7 +264,7 @@ def clusters_of(sequences: list[np.ndarray], ids: np.ndarray, seed: int = 5) ->
     return ids[np.concatenate(groups)]
 
 
-def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_windows: int = 128, epochs: int = 3, rate: float = 0.02, batch: int = 96, seed: int = 3) -> AttentionModel:
+def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_windows: int = 64, epochs: int = 2, rate: float = 0.02, batch: int = 96, seed: int = 3) -> AttentionModel:
     """Fit the model to id sequences; ``id_counts``: corpus counts of all ids."""
     counts = id_counts.astype(np.float64)
     counts[end_id] = counts.max(initial=0) + 1  # the end is always one of the frequent ids
@@ -356,7 +356,7 @@ def frequent_floor(counts: DataFrame, most: int) -> int:
     return 1 << 62 if floor is None else int(np.ceil(2 ** (floor / 16) - 1e-9))
 
 
-def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, max_docs: int = 1500, max_windows: int = 128, broadcast_words: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, max_docs: int = 1500, max_windows: int = 64, broadcast_words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     counts = word_counts(docs, train_rows)
