@@ -17,7 +17,7 @@ import json
 from collections.abc import Callable
 from functools import lru_cache
 
-_WORDS, _PARTS = 250_000, 400_000  # words, and parts of words, that a worker remembers: some 130 MB
+_WORDS, _PARTS = 400_000, 500_000  # words, and parts of words, that a worker remembers: some 190 MB
 _LONG = 64  # bytes; longer words are not remembered
 
 
