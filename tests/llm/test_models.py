@@ -242,6 +242,19 @@ def test_base_scores_equal_brute_force_with_and_without_broadcast_words(spark):
     assert A.score(df.limit(0), F.lit(True), public_tokenizers.path("word_bpe_49k.json"), 49407).count() == 0
 
 
+def test_id_counts_are_of_all_words_whatever_is_broadcast(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"only{i} Word{i % 7}" for i in range(60)] + [None]
+    want = Counter({49407: len(texts)})
+    for raw in encoder(path)([t.lower() for t in texts if t]):
+        want.update(np.frombuffer(raw, "<u4").tolist())
+    seen = []
+    monkeypatch.setattr(A, "train", lambda sequences, counts, *a, f=A.train, **b: seen.append(counts.copy()) or f(sequences, counts, *a, **b))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    A.score(df, F.lit(True), path, 49407, max_docs=5, max_windows=2, broadcast_words=3)
+    assert {i: n for i, n in enumerate(seen[0]) if n} == want
+
+
 # --- subwords ----------------------------------------------------------------------------------
 
 

@@ -356,6 +356,24 @@ def frequent_floor(counts: DataFrame, most: int) -> int:
     return 1 << 62 if floor is None else int(np.ceil(2 ** (floor / 16) - 1e-9))
 
 
+def id_counts(counts: DataFrame, tokenizer_path: str, end_id: int) -> np.ndarray:
+    """Occurrences of every id over all words of ``word_counts``, however many they are; a null word is an end."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, own = encoder(tokenizer_path), np.zeros(end_id + 1, dtype=np.int64)
+        for batch in small_batches(batches, column="word", max_rows=8192):
+            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
+            for word, raw, times in zip(words, encode([(w or b"").decode() for w in words]), n):
+                np.add.at(own, [end_id] if word is None else np.frombuffer(raw, "<u4").astype(np.int64), times)
+        at = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at], pa.int64())], names=["id", "n"])
+
+    got = counts.select("word", "n").mapInArrow(encoded, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # end_id + 1 rows at most
+    out = np.zeros(end_id + 1)
+    out[got["id"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=float)
+    return out
+
+
 def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, max_docs: int = 1500, max_windows: int = 64, broadcast_words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
@@ -365,7 +383,7 @@ def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
     floor = frequent_floor(counts, broadcast_words)
     top = counts.where(F.col("word").isNotNull() & (F.col("n") >= floor)).toPandas()  # broadcast_words rows at most
 
-    model = spark.sparkContext.broadcast(_fit(docs, train_rows, tokenizer_path, end_id, top, ends, max_docs, max_windows))
+    model = spark.sparkContext.broadcast(_fit(docs, train_rows, tokenizer_path, end_id, id_counts(counts, tokenizer_path, end_id), max_docs, max_windows))
     known = spark.sparkContext.broadcast(dict(zip(map(bytes, top["word"]), np.log10(top["n"].to_numpy() + 1.0).tolist())))
     end_value, whole = float(np.log10(ends + 1.0)), bool(ends)
 
@@ -408,7 +426,7 @@ def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
     )
 
 
-def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, top, ends: int, max_docs: int, max_windows: int) -> AttentionModel:
+def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, counts: np.ndarray, max_docs: int, max_windows: int) -> AttentionModel:
     key = F.xxhash64("doc_id", F.lit("lm"))
     rows = docs.where(train_rows & F.col("doc_id").isNotNull()).select(key.alias("k"), "text")
     cut = hash_cut(rows.select("k"), max_docs)
@@ -426,9 +444,4 @@ def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
     if cut is not None:
         got = rows.where(F.col("k") <= cut).mapInArrow(ids_of, "k long, ids binary").dropDuplicates(["k"]).orderBy("k").limit(max_docs).toPandas()
         sequences = [np.frombuffer(x, "<u4").astype(np.int64) for x in got["ids"]]
-    encode, size = encoder(tokenizer_path), end_id + 1
-    counts = np.zeros(size)
-    for raw, n in zip(encode([bytes(w).decode() for w in top["word"]]), top["n"].to_numpy()):
-        np.add.at(counts, np.frombuffer(raw, "<u4").astype(np.int64), n)
-    counts[end_id] += ends
     return train(sequences, counts, end_id, max_windows)
