@@ -255,6 +255,23 @@ def test_id_counts_are_of_all_words_whatever_is_broadcast(spark, monkeypatch):
     assert {i: n for i, n in enumerate(seen[0]) if n} == want
 
 
+def test_the_model_learns_from_all_training_rows_not_from_a_sample(spark):
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(8)
+    words = "red blue green cat dog house tree river stone cloud bread milk".split()
+
+    def text():
+        at, out = rng.randrange(12), []
+        for _ in range(150):  # each word fixes the next one
+            out.append(words[at])
+            at = (at * 5 + 1) % 12
+        return " ".join(out)
+
+    df = spark.createDataFrame([(i, text()) for i in range(600)], "doc_id long, text string").repartition(4)
+    got = A.score(df, ~fold("doc_id", 7, 2), path, 49407, max_docs=1, max_windows=1).where(fold("doc_id", 7, 2)).agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.75 * got[1]
+    assert A.WINDOW >= 32 and A.CONTEXT >= 8
+
+
 # --- subwords ----------------------------------------------------------------------------------
 
 

@@ -9,13 +9,18 @@ Model: one layer of causal attention with learned positions and a skip path. The
 frequent ids sit in equal clusters, split again and again along the principal
 direction of the ids they stand next to; an id's probability is its cluster's
 times its own within the cluster, both softmaxes of the same state. All other ids
-share one more cluster in which they have corpus-unigram probabilities. It is
-trained by Adam on a bounded sample (``max_docs`` documents, the lowest hashes,
-``max_windows`` windows of each); everything is scored.
+share one more cluster in which they have corpus-unigram probabilities.
+
+Training: the neighbours that order the clusters and the starting frequencies are
+counted over all training documents. The driver starts the weights by Adam on a
+bounded sample (``max_docs`` documents, the lowest hashes, ``max_windows`` windows
+of each). From there Spark learns from every window of every training document:
+in each of ``ROUNDS`` rounds, which share the documents out by hash, every task
+runs Adam over its own windows and the weights are averaged, by windows learned.
 
 Scoring: a document's ids and an end id are cut into windows that overlap by
 ``CONTEXT``; each window scores only what no earlier one did, so every id counts
-once, with 4 to 23 ids before it. Windows of many documents run as one batch.
+once, with 8 to 31 ids before it. Windows of many documents run as one batch.
 
 Cases: a null text is an empty one, which has the end alone. Repeated rows are
 counted and scored as often as they occur. A null id is in no held-out fold.
@@ -39,10 +44,12 @@ from txnguard.llm.common import hash_cut, materialize, small_batches, texts_of
 from txnguard.llm.linear import Adam
 from txnguard.llm.subwords import encoder
 
-WINDOW, CONTEXT = 24, 4
+WINDOW, CONTEXT = 32, 8
 STRIDE = WINDOW - CONTEXT
 WIDTH = 16
 CLUSTERS, CLUSTER = 64, 36
+KINDS = 128  # the most frequent ids, next to which all others are counted
+ROUNDS = 4
 LN10 = float(np.log(10.0))
 _MASK = np.where(np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None], np.float32(0), np.float32(-1e9))
 
@@ -236,18 +243,19 @@ def _gradients(p: dict, inputs: np.ndarray, targets: np.ndarray) -> tuple[float,
     return float(loss / n), g
 
 
-def clusters_of(sequences: list[np.ndarray], ids: np.ndarray, seed: int = 5) -> np.ndarray:
-    """``ids`` (CLUSTERS * CLUSTER of them) in cluster order: halves along the principal direction of their neighbours."""
-    index = np.full(int(max(ids.max(initial=0), max((s.max(initial=0) for s in sequences), default=0))) + 1, -1)
-    index[ids] = np.arange(len(ids))
-    kinds = min(len(ids), 128)  # the most frequent ids stand first
-    near = np.zeros((len(ids), 2 * kinds), dtype=np.float32)
-    for s in sequences:
-        own = index[s]
-        for side, (a, b) in enumerate(((own[1:], own[:-1]), (own[:-1], own[1:]))):
-            ok = (a >= 0) & (b >= 0) & (b < kinds)
-            np.add.at(near, (a[ok], b[ok] + side * kinds), 1)
-    near = np.sqrt(near / np.maximum(near.sum(axis=1, keepdims=True), 1))
+def neighbours(ranks: list[np.ndarray], size: int) -> np.ndarray:
+    """How often each of ``size`` ids, given by rank, stands before and after each of the first KINDS; further ranks are none."""
+    flat = np.concatenate([x for r in ranks for x in (r.astype(np.int64), [size])] or [np.zeros(0, np.int64)])
+    near = np.zeros((2, size * KINDS))
+    for side, (a, b) in enumerate(((flat[1:], flat[:-1]), (flat[:-1], flat[1:]))):
+        ok = (a < size) & (b < min(size, KINDS))
+        near[side] = np.bincount(a[ok] * KINDS + b[ok], minlength=size * KINDS)
+    return np.hstack(near.reshape(2, size, KINDS))
+
+
+def clusters_of(near: np.ndarray, ids: np.ndarray, seed: int = 5) -> np.ndarray:
+    """``ids`` (CLUSTERS * CLUSTER of them) in cluster order: halves along the principal direction of their ``neighbours``."""
+    near = np.sqrt(near / np.maximum(near.sum(axis=1, keepdims=True), 1)).astype(np.float32)
     rng = np.random.default_rng(seed)
     groups = [np.arange(len(ids))]
     while len(groups) < CLUSTERS:
@@ -264,12 +272,21 @@ def clusters_of(sequences: list[np.ndarray], ids: np.ndarray, seed: int = 5) ->
     return ids[np.concatenate(groups)]
 
 
-def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_windows: int = 64, epochs: int = 2, rate: float = 0.02, batch: int = 96, seed: int = 3) -> AttentionModel:
-    """Fit the model to id sequences; ``id_counts``: corpus counts of all ids."""
+def frequent_ids(id_counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that have a place in the clusters, the most frequent first, and every id's rank among them."""
     counts = id_counts.astype(np.float64)
-    counts[end_id] = counts.max(initial=0) + 1  # the end is always one of the frequent ids
+    counts[end_id] = counts.max(initial=0) + 1  # the end is always one of them
     frequent = np.argsort(-counts, kind="stable")[: CLUSTERS * CLUSTER]
-    placed = clusters_of(sequences, frequent)
+    rank = np.full(len(counts), CLUSTERS * CLUSTER, dtype=np.int32)
+    rank[frequent] = np.arange(len(frequent))
+    return frequent, rank
+
+
+def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_windows: int = 64, epochs: int = 2, rate: float = 0.02, batch: int = 96, seed: int = 3, near: np.ndarray | None = None) -> AttentionModel:
+    """Fit the model to id sequences; ``id_counts``: corpus counts of all ids; ``near``: the corpus's ``neighbours``, default those of the sequences."""
+    counts = id_counts.astype(np.float64)
+    frequent, rank = frequent_ids(id_counts, end_id)
+    placed = clusters_of(neighbours([rank[s] for s in sequences], len(frequent)) if near is None else near, frequent)
     slot = np.full(len(counts), CLUSTERS * CLUSTER, dtype=np.int32)
     slot[placed] = np.arange(len(placed))
     rare = np.where(slot == CLUSTERS * CLUSTER, counts + 1, 0.0)
@@ -282,15 +299,15 @@ def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_w
         "skip": f(w, w), "mix": f(w, w), "bias": zeros(w), "top": f(w, outs), "top_bias": zeros(outs), "low": np.zeros((CLUSTERS, w, CLUSTER), np.float32), "low_bias": zeros(CLUSTERS, CLUSTER),
     }
     model = AttentionModel(slot, np.log(np.maximum(rare, 1e-300) / max(rare.sum(), 1.0)), p)
+    # start from the frequencies: cluster and member biases are their logarithms
+    seen = np.append(np.pad(counts[placed], (0, CLUSTERS * CLUSTER - len(placed))), counts[slot == CLUSTERS * CLUSTER].sum()) + 0.05
+    p["low_bias"][:] = np.log(seen[:-1].reshape(CLUSTERS, CLUSTER) / seen[:-1].reshape(CLUSTERS, CLUSTER).sum(axis=1, keepdims=True))
+    p["top_bias"][:] = np.log(np.append(seen[:-1].reshape(CLUSTERS, CLUSTER).sum(axis=1), seen[-1]) / seen.sum())
     if not sequences:
         return model
     inputs, targets, owner = windows_of([slot[s] for s in sequences], model.outside)
     keep = np.concatenate([rng.permutation(np.flatnonzero(owner == i))[:max_windows] for i in np.unique(owner)])
     inputs, targets = inputs[keep], targets[keep]
-    # start from the frequencies: cluster and member biases are their logarithms
-    seen = np.bincount(targets[targets >= 0], minlength=CLUSTERS * CLUSTER + 1) + 0.05
-    p["low_bias"][:] = np.log(seen[:-1].reshape(CLUSTERS, CLUSTER) / seen[:-1].reshape(CLUSTERS, CLUSTER).sum(axis=1, keepdims=True))
-    p["top_bias"][:] = np.log(np.append(seen[:-1].reshape(CLUSTERS, CLUSTER).sum(axis=1), seen[-1]) / seen.sum())
     names = list(p)
     adam = Adam([p[n] for n in names], rate)
     steps = epochs * -(-len(inputs) // batch)
@@ -426,22 +443,116 @@ def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
     )
 
 
+def summed(rows: DataFrame, fan: int = 8) -> tuple[float, np.ndarray]:
+    """Sums of ``n`` and of the float64 vectors ``x`` of a (n, x) frame, a row for each task: ``fan`` tasks add them up, the driver adds theirs."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0.0, None
+        for batch in batches:
+            for own, raw in zip(batch.column("n").to_pylist(), batch.column("x")):
+                x = np.frombuffer(raw.as_buffer(), "<f8")
+                n, total = n + own, x.copy() if total is None else total + x
+        if total is not None:
+            yield _vector(n, total)
+
+    got = rows.repartition(fan).mapInArrow(add, "n double, x binary").collect()
+    return sum(r.n for r in got), sum((np.frombuffer(r.x, "<f8") for r in got), np.zeros(0) if not got else 0.0)
+
+
+def _vector(n: float, x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.float64()), pa.array([x.astype("<f8").tobytes()], pa.binary())], names=["n", "x"])
+
+
+def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column("ids")]
+
+
+def neighbours_of_all(rows: DataFrame, size: int) -> np.ndarray:
+    """``neighbours`` over the ``ids`` (ranks) of all rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.zeros((size, 2 * KINDS))
+        for batch in small_batches(batches, column="ids"):
+            near += neighbours(_sequences(batch), size)
+        yield _vector(1.0, near.ravel())
+
+    _, near = summed(rows.select("ids").mapInArrow(count, "n double, x binary"))
+    return near.reshape(size, 2 * KINDS) if len(near) else np.zeros((size, 2 * KINDS))
+
+
+def learn_rows(rows: DataFrame, model: AttentionModel, slot_of: np.ndarray, rate: float = 0.01, held: int = 8192) -> None:
+    """Train ``model`` on every window of the ``ids`` (ranks; ``slot_of`` gives their slots) of all rows, in ROUNDS rounds by ``part``."""
+    spark, names = rows.sparkSession, list(model.params)
+    shapes = [model.params[n].shape for n in names]
+    edges = np.cumsum([0] + [int(np.prod(s)) for s in shapes])
+    for part in range(ROUNDS):
+        start, own_rate = spark.sparkContext.broadcast((model.params, slot_of)), rate * (1 - part / ROUNDS)
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shared, slots = start.value
+            p = {n: v.copy() for n, v in shared.items()}
+            adam, rng = Adam([p[n] for n in names], own_rate), np.random.default_rng(TaskContext.get().partitionId())
+            waiting, learned = [], 0
+
+            def steps() -> int:
+                x, y = (np.concatenate(z) for z in zip(*waiting))
+                order, batch = rng.permutation(len(x)), int(np.clip(len(x) // 16, 32, 512))
+                for at in np.array_split(order, -(-len(x) // batch)):
+                    _, g = _gradients(p, x[at], y[at])
+                    adam.step([g[n] for n in names])
+                waiting.clear()
+                return len(x)
+
+            for batch in small_batches(batches, column="ids"):
+                waiting.append(windows_of([slots[s] for s in _sequences(batch)], model_outside)[:2])
+                if sum(len(x) for x, _ in waiting) >= held:
+                    learned += steps()
+            if waiting:
+                learned += steps()
+            if learned:
+                yield _vector(learned, learned * np.concatenate([p[n].ravel() for n in names]))
+
+        model_outside = model.outside
+        n, total = summed(rows.where(F.col("part") == part).select("ids").mapInArrow(learn, "n double, x binary"))
+        if n:
+            mean = (total / n).astype(np.float32)
+            model.params = {name: mean[a:b].reshape(shape) for name, shape, a, b in zip(names, shapes, edges, edges[1:])}
+        start.unpersist()
+
+
 def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, counts: np.ndarray, max_docs: int, max_windows: int) -> AttentionModel:
-    key = F.xxhash64("doc_id", F.lit("lm"))
-    rows = docs.where(train_rows & F.col("doc_id").isNotNull()).select(key.alias("k"), "text")
-    cut = hash_cut(rows.select("k"), max_docs)
-    most = 4 * max_windows * STRIDE  # ids of a document that the sample takes to the driver
+    spark = docs.sparkSession
+    frequent, ranks = frequent_ids(counts, end_id)
+    rank = spark.sparkContext.broadcast(ranks.astype("<u2"))
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode, of = encoder(tokenizer_path), rank.value
+        end = end_id.to_bytes(4, "little")
         for batch in small_batches(batches):
-            own = [raw + end_id.to_bytes(4, "little") for raw in encode(texts_of(batch))]
-            rng = np.random.default_rng(batch.num_rows)
-            cut_at = [4 * int(rng.integers(0, max(1, len(x) // 4 - most + 1))) for x in own]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array([x[a : a + 4 * most] for x, a in zip(own, cut_at)], pa.binary())], names=["k", "ids"])
+            own = [of[np.frombuffer(raw + end, "<u4")].tobytes() for raw in encode(texts_of(batch))]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("part"), pa.array(own, pa.binary())], names=["k", "part", "ids"])
+
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit("lm")))
+    part = F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int")
+    rows = materialize(docs.where(train_rows).select(key.alias("k"), part.alias("part"), "text").mapInArrow(ids_of, "k long, part int, ids binary"), "train_ids")
+    near = neighbours_of_all(rows, len(frequent))
+
+    keyed = rows.where("k is not null").select("k", "ids")
+    cut = hash_cut(keyed.select("k"), max_docs)
+    most = 4 * max_windows * STRIDE  # ids of a document that the start's sample takes to the driver
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, column="ids"):
+            own, rng = _sequences(batch), np.random.default_rng(batch.num_rows)
+            at = [int(rng.integers(0, max(1, len(x) - most + 1))) for x in own]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array([x[a : a + most].tobytes() for x, a in zip(own, at)], pa.binary())], names=["k", "ids"])
 
     sequences: list[np.ndarray] = []
     if cut is not None:
-        got = rows.where(F.col("k") <= cut).mapInArrow(ids_of, "k long, ids binary").dropDuplicates(["k"]).orderBy("k").limit(max_docs).toPandas()
-        sequences = [np.frombuffer(x, "<u4").astype(np.int64) for x in got["ids"]]
-    return train(sequences, counts, end_id, max_windows)
+        got = keyed.where(F.col("k") <= cut).mapInArrow(stretch, "k long, ids binary").dropDuplicates(["k"]).orderBy("k").limit(max_docs).toPandas()
+        sequences = [np.frombuffer(x, "<u2") for x in got["ids"]]
+    # an id for every rank: those beyond the frequent ones share a slot, so any of them will do
+    id_of = np.append(frequent, np.setdiff1d(np.arange(len(counts)), frequent)[:1])
+    model = train([id_of[s] for s in sequences], counts, end_id, max_windows, near=near)
+    learn_rows(rows, model, model.slot[id_of])
+    return model
