@@ -323,6 +323,15 @@ def test_secret_scan_without_candidates_or_labels(spark):
     assert [(r.score, r.secret) for r in S.scan(one).collect()] == [(1.0, True)]
 
 
+def test_few_secrets_among_many_harmless_findings_train_the_forest(spark):
+    rows = [(i, f"order {10**15 + 7919 * i} was sent") for i in range(1500)] + [(2000 + i, "order 5555444433332222 was sent") for i in range(1500)]
+    rows += [(5000 + i, f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}" end') for i in range(3)]
+    found = S.described(S.candidates(spark.createDataFrame(rows, "doc_id long, text string")))
+    model = S.train(S.labelled_findings(found), max_rows=20)
+    assert model is not None
+    assert {r.doc_id for r in S.scored(found, model).where("score >= 0.5").collect()} == {5000, 5001, 5002}
+
+
 def test_secret_query_gives_places_and_digests(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
     got = Q.queries()["op4_secret_scan"](spark, SF_SMALL).collect()

@@ -9,7 +9,8 @@ findings scores every candidate; those under ``threshold`` are false positives.
 ``labelled_findings`` labels candidates where there is no doubt: known formats
 and values assigned to a secret's name are secrets, numbers and paths aren't. Any
 other table with the same columns and a label can be used instead. The training
-set is a bounded sample (``max_rows``, the lowest hashes); the scan covers all.
+set is a bounded sample (``max_rows`` distinct ones, the lowest hashes of each label
+alike, the labels weighted to equal shares); the scan covers all.
 
 Cases: a null text has no candidate. Findings belong to an id and a text: rows
 repeated with both yield them once; a null id is an id of its own. Without
@@ -94,16 +95,17 @@ def labelled_findings(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, max_rows: int = 20_000, trees: int = 20, depth: int = 6) -> RandomForestClassificationModel | None:
-    """A forest from a bounded sample of labelled findings; None if a class is missing."""
+    """A forest from a bounded sample of distinct labelled findings, half of it for each label; None if a class is missing from all of them."""
     keyed = labelled.withColumn("k", F.xxhash64("candidate", "before", "after"))
-    cut = hash_cut(keyed.select("k"), max_rows)
-    if cut is None:
+    cuts = [hash_cut(keyed.where(F.col("label") == label).select("k"), max_rows // 2) for label in (0.0, 1.0)]
+    if None in cuts:
         return None
-    sample = materialize(keyed.where(F.col("k") <= cut).select("label", *FEATURES).limit(4 * max_rows), "labelled")
-    if sample.select("label").distinct().count() < 2:
-        return None
-    forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=17)
-    return forest.fit(_assembled(sample))
+    chosen = ((F.col("label") == 0) & (F.col("k") <= cuts[0])) | ((F.col("label") == 1) & (F.col("k") <= cuts[1]))
+    sample = materialize(keyed.where(chosen).select("k", "label", *FEATURES).dropDuplicates(["k", "label"]).drop("k"), "labelled")
+    n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    weight = F.when(F.col("label") == 1, sum(n.values()) / (2 * n[1.0])).otherwise(sum(n.values()) / (2 * n[0.0]))
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth, seed=17)
+    return forest.fit(_assembled(sample.withColumn("weight", weight)))
 
 
 def _assembled(found: DataFrame) -> DataFrame:
