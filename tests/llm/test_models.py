@@ -332,6 +332,18 @@ def test_few_secrets_among_many_harmless_findings_train_the_forest(spark):
     assert {r.doc_id for r in S.scored(found, model).where("score >= 0.5").collect()} == {5000, 5001, 5002}
 
 
+def test_values_assigned_to_a_secret_s_name_are_found_whatever_they_hold(spark):
+    values = {0: "password={}", 1: "password: {}", 2: "pwd='{}' x", 3: '{{"Password": "{}", "a": 1}}', 4: "API_KEY = {}", 5: "token=`{}`", 6: "secret => {}\nmore"}
+    held = {0: "correcthorsebatterystaple", 1: "hunter2", 2: "p.w!x@y$z", 3: "hörse staple qu", 4: "ab.cd!ef@gh$", 5: "zq-vx", 6: "kx9%qwz"}
+    rows = [(i, t.format(held[i])) for i, t in values.items()] + [(50, "password: ***"), (51, "the passage: nothing = here")]
+    got = [(r.doc_id, r.start, r.candidate) for r in S.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(i, rows[i][1].index(v), v) for i, v in held.items()]
+    rows += [(100 + i, f"order {10**15 + 7919 * i} and the secret: always be kind") for i in range(20)]
+    out = {r.doc_id: r.text for r in S.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0] == "password=[SECRET]" and out[1] == "password: [SECRET]" and out[2] == "pwd='[SECRET]' x"
+    assert all(out[i] == text for i, text in rows if i >= 50)
+
+
 def test_secret_query_gives_places_and_digests(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
     got = Q.queries()["op4_secret_scan"](spark, SF_SMALL).collect()

@@ -1,7 +1,7 @@
 """Secret scan with a random forest that removes false findings, in DataFrame functions only.
 
-A regular expression proposes candidates: known key formats, and runs of key
-characters with a digit. Each is described by its length, transitions between
+A regular expression proposes candidates: values of any length assigned to a secret's
+name, quoted or not, known key formats, and runs of key characters with a digit. Each is described by its length, transitions between
 character classes, how much of it dictionary words cover, whether it looks like a
 path, and the words beside it. A random forest (Spark ML) trained from labelled
 findings scores every candidate; those under ``threshold`` are false positives.
@@ -30,9 +30,14 @@ from txnguard.llm.common import free_name, hash_cut, materialize
 
 # Prefixes of public key formats.
 PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_|AIza"
-CANDIDATE = rf"(?<![A-Za-z0-9+/_-])(?:(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}={{0,2}})"
 # Names that secrets are assigned to.
 SECRET_NAMES = "token|secret|password|passwd|pwd|api_key|apikey|api-key|access_key|auth|bearer|credential|private_key"
+# What stands right behind a secret's name and a sign: what is between quotes, or all up to a blank or quote without closing punctuation.
+_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*[\p{{L}}\p{{N}}])[^{q}\r\n]++(?={q})" for q in "\"'`")
+_BARE = r"(?![=:>])(?=[^\s\"'`]*[\p{L}\p{N}])[^\s\"'`]+?(?=[.,;:)\]}>]*(?:[\s\"'`]|$))"
+_SIGN = r"[=:]{1,2}>?\s{0,4}[\"'`]?"
+VALUE = rf"(?<=[=:>\s\"'`])(?<={_SIGN})(?<=(?i:{SECRET_NAMES})[0-9_-]{{0,4}}[\"'`]?\s{{0,4}}{_SIGN})(?:{_QUOTED}|{_BARE})"
+CANDIDATE = rf"(?:{VALUE}|(?<![A-Za-z0-9+/_-])(?:(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}={{0,2}}))"
 # A small dictionary of words that fill names, paths and placeholders.
 DICTIONARY = (
     "access account admin alpha answer april archive august backup beta build cache change changeme class client code common config content "
@@ -45,7 +50,7 @@ DICTIONARY = (
     "string style sunday system table target temp test text thursday time title token tuesday type unknown update user util value version "
     "view wednesday window world"
 ).split()
-FEATURES = ["length", "digits", "uppers", "lowers", "transitions", "coverage", "path", "named", "assigned", "quoted", "before_len", "after_len", *[f"word_{i}" for i in range(16)]]
+FEATURES = ["length", "digits", "uppers", "lowers", "transitions", "coverage", "path", "named", "assigned", "quoted", "prose", "reference", "before_len", "after_len", *[f"word_{i}" for i in range(16)]]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -80,7 +85,10 @@ def described(found: DataFrame, dictionary: list[str] = DICTIONARY) -> DataFrame
         "transitions": (runs - 1) / F.length("candidate"), "coverage": 1 - left / F.length("candidate"),
         "path": yes(F.col("candidate").rlike(r"^/|/.*/") | F.col("before").rlike(r"[./\\:]$") | F.col("after").rlike(r"^[./\\:@]")),
         "named": yes(F.lower(F.right("before", F.lit(24))).rlike(f"(?:{SECRET_NAMES})[^a-z]*$")),
-        "assigned": yes(F.col("before").rlike(r"[=:]\s*[\"']?$")), "quoted": yes(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")),
+        "assigned": yes(F.col("before").rlike(r"[=:]>?\s*[\"'`]?$")), "quoted": yes(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")),
+        # a plain word behind a colon in a running sentence; a variable, a call or a placeholder
+        "prose": yes(F.col("candidate").rlike("^[A-Za-z]['a-z]*$") & F.col("before").rlike(r":[ \t]+$") & F.col("after").rlike(r"^[.,;:]?[ \t]+[A-Za-z]")),
+        "reference": yes(F.col("candidate").rlike(r"^\$[{(A-Za-z_]|^[<{%(\[]|^[A-Za-z_][A-Za-z0-9_.]*[(\[]")),
         "before_len": F.length("before").cast("double"), "after_len": F.length("after").cast("double"),
         **{f"word_{i}": yes(word == i) for i in range(16)},
     }
@@ -89,8 +97,8 @@ def described(found: DataFrame, dictionary: list[str] = DICTIONARY) -> DataFrame
 
 def labelled_findings(found: DataFrame) -> DataFrame:
     """The rows of ``described`` candidates whose label is beyond doubt, with ``label`` 1.0 or 0.0."""
-    secret = F.col("candidate").rlike(f"^(?:{PREFIXES})") | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("coverage") < 0.5))
-    harmless = F.col("candidate").rlike("^[0-9+/_-]+$") | (F.col("coverage") > 0.6) | ((F.col("path") == 1) & (F.col("named") == 0))
+    secret = F.col("candidate").rlike(f"^(?:{PREFIXES})") | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("coverage") < 0.5) & (F.col("prose") == 0) & (F.col("reference") == 0) & (F.col("length") >= 6))
+    harmless = F.col("candidate").rlike("^[0-9+/_-]+$") | (F.col("coverage") > 0.6) | (F.col("prose") == 1) | (F.col("reference") == 1) | ((F.col("path") == 1) & (F.col("named") == 0))
     return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label is not null")
 
 
