@@ -58,10 +58,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(CANDIDATE))
     cut = rows.select("doc_id", "t", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE).alias("parts"))
     zipped = F.arrays_zip("found", F.slice("parts", 1, F.size("found")).alias("left"), F.slice("parts", F.lit(2), F.size("found")).alias("right"))
-    each = cut.select("doc_id", "t", F.posexplode(zipped).alias("k", "c"))
-    each = each.select(
-        "doc_id", "t", "k", F.col("c.found").alias("candidate"), F.length("c.left").alias("gap"), F.expr("right(c.left, 60)").alias("before"), F.expr("left(c.right, 60)").alias("after")
-    ).dropDuplicates(["doc_id", "t", "k"])
+    # a neighbouring candidate is context too: every one has a character at least, so 60 of them on a side reach 60 characters
+    before = "right(concat(array_join(transform(slice(z, greatest(i - 59, 1), i + 1 - greatest(i - 59, 1)), x -> concat(right(x.left, 60), right(x.found, 60))), ''), right(z[i].left, 60)), 60)"
+    after = "left(concat(left(z[i].right, 60), array_join(transform(slice(z, i + 2, 60), x -> concat(left(x.found, 60), left(x.right, 60))), '')), 60)"
+    told = F.expr(f"transform(sequence(0, size(z) - 1), i -> struct(z[i].found as candidate, length(z[i].left) as gap, {before} as before, {after} as after))")
+    each = cut.withColumn("z", zipped).where(F.size("z") > 0).select("doc_id", "t", F.posexplode(told).alias("k", "c")).select("doc_id", "t", "k", "c.*").dropDuplicates(["doc_id", "t", "k"])
     ahead = Window.partitionBy("doc_id", "t").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.col("gap") + F.length("candidate")).over(ahead) - F.length("candidate")
     return each.select("doc_id", "t", "k", start.alias("start"), "candidate", "before", "after")
