@@ -6,11 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import attention_lm, chat_format, decontaminate, language_id, packing, quality_pu, quality_rules, secret_scan, simhash_gray, substring_dedup
+from txnguard.llm import (
+    attention_lm,
+    chat_format,
+    decontaminate,
+    language_id,
+    packing,
+    periodic_runs,
+    quality_pu,
+    quality_rules,
+    secret_scan,
+    simhash_gray,
+    substring_dedup,
+    token_alignment,
+)
 from txnguard.llm.common import fold, table
 from txnguard.session import configure
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +104,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts of a tenth of them, chosen and cut by the ids' crc32, made periodic from some word on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = docs.select("doc_id", "text", crc.alias("h"), F.floor(crc / 10).alias("g"), F.when(crc % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    cut = cut.withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)")).withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    turned = F.expr("concat_ws(' ', slice(w, 1, a), transform(sequence(a, n - 1), i -> w[cast(a + (i - a) % p as int)]))")
+    return cut.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), turned).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document's words, and the words left when each run keeps its first period."""
+    configure(spark)
+    found = periodic_runs.detect(with_planted_periods(table(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    # lengths by periods are compared exactly, by products
+    first = F.expr("""aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>),
+      (best, r) -> if(best is null or r.length * best.period > best.length * r.period, r, best))""")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    digests = F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    return found.withColumn("best", first).select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", milli, *digests)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens that two tokenizers make of every document."""
+    configure(spark)
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 def queries() -> dict:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
