@@ -18,6 +18,7 @@ from txnguard.llm import (
     secret_scan,
     simhash_gray,
     substring_dedup,
+    suffix_dedup,
     token_alignment,
 )
 from txnguard.llm.common import fold, table
@@ -133,6 +134,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that a document with a smaller id has."""
+    configure(spark)
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), window=50).drop("kept")
+
+
 def queries() -> dict:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
