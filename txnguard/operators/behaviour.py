@@ -157,13 +157,13 @@ def rolling_velocity(
     """D2. Adds ``rolling_count`` = the user's transactions in (t - window, t]."""
     w_us = interval_micros(window)
     bucket = bucket or f"{10 * w_us} microseconds"
-    rows = with_carried_tail(timed(silver), bucket, window).withColumn("_user", F.col("user_id"))
-    entries = _with_leaving(rows, w_us, ["_user", _B], {"_d": F.lit(1)}, {"_d": F.lit(-1)})
-    so_far = Window.partitionBy("_user", _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
+    rows = with_carried_tail(timed(silver), bucket, window)
+    entries = _with_leaving(rows, w_us, ["user_id", _B], {"_d": F.lit(1)}, {"_d": F.lit(-1)})
+    so_far = Window.partitionBy("user_id", _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
     out = (
         entries.withColumn("rolling_count", F.sum("_d").over(so_far))
         .filter(F.col(f"{_ROW}.{_OWN}"))
-        .select(*[F.col(f"{_ROW}.{c}") for c in silver.columns], "rolling_count")
+        .select(*[F.col(c if c == "user_id" else f"{_ROW}.{c}") for c in silver.columns], "rolling_count")
         .withColumn("rolling_velocity", F.col("rolling_count") > F.lit(int(min_exclusive)))
     )
     return out if keep_all else out.filter("rolling_velocity")

@@ -20,6 +20,7 @@ from txnguard.operators import consolidate as C
 from txnguard.operators import scoring as SC
 from txnguard.operators import ingest as I
 from txnguard.operators import marts as M
+from txnguard.operators import quantiles as QU
 from txnguard.operators import rules as R
 from txnguard.plans import jobs
 from txnguard.schemas import FRAUD_UNION_COLS, HIT_COLS, TXN_COLS
@@ -221,6 +222,12 @@ def q_profile(spark, sf_dir):
     return M.profile(_silver(spark, sf_dir), exact=True)
 
 
+def q_profile_quantiles(spark, sf_dir):
+    """D14's quantiles, from sketches of every day merged; each is reported as the outcome of its exact rank check."""
+    silver = _silver(spark, sf_dir)
+    return QU.within_error(silver, QU.profile_quantiles(silver))
+
+
 def q_fraud_model(spark, sf_dir):
     """D15 (no SQL twin): per-user probability from a logistic regression
     trained on the user features with rule-derived labels."""
@@ -320,6 +327,14 @@ def q_velocity_expanded_5min(spark, sf_dir):
     return _ntz(hits, "ingestion_time")
 
 
+def q_velocity_expanded_dyadic(spark, sf_dir):
+    """J1 over alerts of mixed lengths at once: a minute, an hour and a day."""
+    silver = _silver(spark, sf_dir)
+    alerts = [R.velocity(silver, window=w) for w in ("60 seconds", "1 hour", "24 hours")]
+    hits = C.expand_velocity(alerts[0].unionByName(alerts[1]).unionByName(alerts[2]), silver, method="dyadic")
+    return _ntz(hits, "ingestion_time")
+
+
 def q_tagged_union(spark, sf_dir):
     silver = _silver(spark, sf_dir)
     out = R.tagged_union(R.high_amount_gold(silver), R.velocity_gold(silver))
@@ -400,6 +415,8 @@ def queries() -> dict[str, Query]:
         "velocity_expanded_range": q_velocity_expanded_range,
         "velocity_expanded_bucketed": q_velocity_expanded_bucketed,
         "velocity_expanded_5min": q_velocity_expanded_5min,
+        "velocity_expanded_dyadic": q_velocity_expanded_dyadic,
+        "profile_quantiles": q_profile_quantiles,
         "tagged_union": q_tagged_union,
         "lake_fraud_union": q_lake_fraud_union,
         "fraud_model_training": q_fraud_model_training,
