@@ -85,6 +85,13 @@ def with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array], drop: set[str]
     return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + list(new.values()), names=names + list(new))
 
 
+def byte_alphabet() -> dict[str, int]:
+    """Byte-level vocabularies write printable Latin-1 bytes as themselves and all others as U+0100 and on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 # --- hashed n-grams -------------------------------------------------------------------
 
 SEGMENT = 1 << 20  # code points hashed at a time; longer texts are cut with an overlap, so no n-gram is lost

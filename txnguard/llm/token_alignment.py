@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnguard.llm.common import materialize, small_batches, texts_of
+from txnguard.llm.common import byte_alphabet, materialize, small_batches, texts_of
 
 _BLOCK = 1 << 21  # products of a block of rows
 _FLUSH = 1 << 22  # pairs of documents that a task adds up at a time
@@ -96,13 +96,6 @@ def product(a: Csr, b: Csr, block: int = _BLOCK) -> Iterator[tuple[np.ndarray, n
 # --- tokens -----------------------------------------------------------------------------
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """Byte-level vocabularies write printable Latin-1 bytes as themselves and all others as U+0100 and on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @dataclass
 class Vocabulary:
     encode: Callable[[list[str]], list]  # ids of texts with a space before them
@@ -118,7 +111,7 @@ def byte_level(path: str) -> Vocabulary:
     import tiktoken
 
     spec = json.load(open(path, encoding="utf-8"))
-    alphabet = _byte_alphabet()
+    alphabet = byte_alphabet()
     special = {t["id"] for t in spec["added_tokens"] if t["special"]}
     ids = spec["model"]["vocab"]
     merged = [ids["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in spec["model"]["merges"]]
