@@ -106,7 +106,8 @@ def mixed(seed, n=60):
 
 
 @pytest.mark.parametrize("seed, window, partitions, flush", [(0, 50, 8, 1 << 18), (1, 50, 40, 50), (2, 16, 8, 40), (3, 50, 3, 7), (4, 77, 16, 1 << 18)])
-def test_dedup_against_brute_force(spark, seed, window, partitions, flush):
+def test_dedup_against_brute_force(spark, seed, window, partitions, flush, monkeypatch):
+    monkeypatch.setattr(S, "_WINDOWS", flush)
     rows = mixed(seed)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))

@@ -24,7 +24,7 @@ all the windows in a row that share it (a spot).
 Copies of whole texts are recognised by their md5 first and take no further part.
 
 Cases: a null text is empty. A text under ``window`` bytes keeps all. Texts of any
-length are read whole (in stretches of 2 MB of windows that overlap). Rows with one id are one
+length are read whole (in overlapping stretches). Rows with one id are one
 document: they remove nothing from each other. A row without an id removes
 nothing and keeps all. Repeated rows are returned as often as they occur. Other
 columns are ignored; an empty table gives no rows. Ids are integers.
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from txnguard.llm.common import hash_cut, materialize, small_batches
 
-_STRETCH = 1 << 21  # windows hashed at a time; places within fit _PLACE bits
+_STRETCH = 1 << 19  # windows hashed at a time; places within fit _PLACE bits
 _PLACE = np.uint64((1 << 22) - 1)
 CODES, DONE, SPOTS = 0, 1, 2
 
@@ -79,7 +79,7 @@ def _spots_of(data: np.ndarray, part: np.ndarray, window: int, lead: int) -> tup
     n = len(data)
     if n < window:
         return (np.zeros(0, np.int64),) * 4
-    power, inverse = _powers(_STRETCH + (1 << 20) if n < _STRETCH + (1 << 20) else n)
+    power, inverse = _powers(_STRETCH + window)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_constants()[0][data] * power[:n], out=sums[1:])
     code = sums[lead:] - sums[:-lead]
@@ -121,7 +121,7 @@ def spots(texts: list[bytes], window: int, lead: int) -> Iterator[tuple[np.ndarr
     for i, text in enumerate(texts):
         for lo in range(0, len(text) - window + 1, _STRETCH):
             own = text[lo : lo + _STRETCH + window - 1]
-            if room < len(own) and pieces:
+            if room < len(own) and pieces:  # all pieces together are no longer than one may be
                 yield told()
                 pieces, room = [], _STRETCH
             pieces.append((i, lo, own))
@@ -378,6 +378,7 @@ def _look(window: int, lead: int, buckets: int):
 
 # --- steps 3 and 4 ---------------------------------------------------------------------------
 
+_WINDOWS = 1 << 18  # windows that a bucket compares at a time
 _SPOT_FIELDS = [("bucket", pa.int64()), ("kind", pa.int32()), ("t", pa.binary()), ("doc", pa.int64()), ("payload", pa.binary())]
 _FOUND_FIELDS = [("t", pa.binary()), ("doc", pa.int64()), ("ranges", pa.binary()), ("window", pa.binary())]
 
@@ -447,7 +448,7 @@ def _send_spots(window: int, splitters: np.ndarray, flush_spots: int):
 
 def _compare(window: int, splitters: np.ndarray):
     """Removed ranges of rows, and the windows of buckets' boundaries; the rows come by bucket."""
-    layout = Layout(window)
+    layout, at_once = Layout(window), _WINDOWS
     cut = {x.tobytes() for x in splitters.view(np.uint8).reshape(-1, layout.size)[:, : layout.lead]}
 
     def close(payloads: list[bytes]) -> list[tuple]:
@@ -462,10 +463,11 @@ def _compare(window: int, splitters: np.ndarray):
             rows.append(own[np.frombuffer(p, "<u4", m, at)])
             firsts.append(np.frombuffer(p, "<i8", m, at + 4 * m))
             raws.append(np.frombuffer(p, np.uint8, m * layout.size, at + 12 * m).reshape(m, layout.size))
-        row, first, raw, names = np.concatenate(rows), np.concatenate(firsts), np.concatenate(raws), list(ids)
-        columns = layout.columns(raw)
+        row, first, names = np.concatenate(rows), np.concatenate(firsts), list(ids)
+        columns = layout.columns(np.concatenate(raws))
+        del rows, firsts, raws
         order = multikey_order(columns)
-        row, first, raw, columns = row[order], first[order], raw[order], [c[order] for c in columns]
+        row, first, columns = row[order], first[order], [c[order] for c in columns]
         doc = np.array([i[1] for i in names], dtype=np.int64)[row]
         edges = _starts(*columns)
         least = np.minimum.reduceat(doc, edges[:-1])
@@ -475,16 +477,18 @@ def _compare(window: int, splitters: np.ndarray):
         gone = [(row[whole], first[whole], first[whole] + many[whole] + window - 1)]
         # different spots with the same leading bytes: their windows
         one = [c[edges[:-1]] for c in columns]
+        many, columns = many[edges[:-1]], None
         leads = _starts(*one[: layout.leads])
         group = np.repeat(np.arange(len(leads) - 1), np.diff(leads))
-        border = np.zeros(len(leads) - 1, dtype=bool)
-        if cut:
-            heads = raw[edges[:-1]][leads[:-1], : layout.lead]
-            border[:] = [h.tobytes() in cut for h in heads]
-        several = np.diff(leads) > 1
-        use = np.flatnonzero((several | border)[group])
+        heads = np.column_stack([c[leads[:-1]] for c in one[: layout.leads]]).astype(">u8")
+        border = np.array([h.tobytes() in cut for h in heads], dtype=bool)
+        use = np.flatnonzero(((np.diff(leads) > 1) | border)[group])
+        # the windows of a spot belong to the rows of its smallest document
+        holders = np.flatnonzero(~whole)
+        lo_hi = np.searchsorted(spot[holders], np.arange(len(edges)))
         out = []
-        if len(use):
+
+        def windows_of(use: np.ndarray) -> None:
             at, number, chars = layout.windows([c[use] for c in one], group[use])
             at = use[at]
             order = multikey_order(chars)
@@ -492,13 +496,9 @@ def _compare(window: int, splitters: np.ndarray):
             smallest = np.empty(len(at), dtype=np.int64)
             smallest[order] = np.repeat(np.minimum.reduceat(least[at[order]], sets[:-1]), np.diff(sets))
             bad = smallest < least[at]
-            # the windows of a spot belong to the rows of its smallest document
-            holders = np.flatnonzero(~whole)
-            lo_hi = np.searchsorted(spot[holders], np.arange(len(edges)))
-            times = np.diff(lo_hi)
 
             def at_rows(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                n = times[at[chosen]]
+                n = np.diff(lo_hi)[at[chosen]]
                 w = np.repeat(chosen, n)
                 r = holders[lo_hi[at[w]] + np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)]
                 return w, row[r], first[r] + number[w]
@@ -508,8 +508,16 @@ def _compare(window: int, splitters: np.ndarray):
             w, r, start = at_rows(np.flatnonzero(border[group[at]] & ~bad))
             if len(w):
                 flat = np.column_stack([*(one[d][at[w]] for d in range(layout.leads)), chars[0][w] & np.uint64(0xFFFFFFFF), *(c[w] for c in chars[1:])]).astype(">u8")
-                digest = lambda x: hashlib.md5(x.tobytes()).digest()
-                out += [(*names[i], np.array([s, s + window], dtype="<i8").tobytes(), digest(x)) for i, s, x in zip(r.tolist(), start.tolist(), flat)]
+                out.extend((*names[i], np.array([s, s + window], dtype="<i8").tobytes(), hashlib.md5(x.tobytes()).digest()) for i, s, x in zip(r.tolist(), start.tolist(), flat))
+
+        # groups of equal leading bytes stay together
+        upto, lo = np.cumsum(many[use]), 0
+        while lo < len(use):
+            hi = int(np.searchsorted(upto, upto[lo] + at_once))
+            hi = len(use) if hi >= len(use) else int(np.searchsorted(group[use], group[use[hi]], side="left"))
+            hi = hi if hi > lo else int(np.searchsorted(group[use], group[use[lo]], side="right"))
+            windows_of(use[lo:hi])
+            lo = hi
         r, lo, hi = (np.concatenate(x) for x in zip(*gone))
         return out + [(*names[i], ranges, None) for i, ranges in _by_row(r, lo, hi)]
 
@@ -563,7 +571,7 @@ def _splitters(open_rows: DataFrame, layout: Layout, buckets: int, max_rows: int
     return rows[np.linspace(0, len(rows), buckets + 1)[1:-1].astype(np.int64)]
 
 
-def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 64 << 20, flush_spots: int = 1 << 18, sample_rows: int = 8192) -> DataFrame:
+def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 32 << 20, flush_spots: int = 1 << 16, sample_rows: int = 8192) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; ``kept`` holds the bytes left of rows that lost or might have lost some, null elsewhere.
 
     ``bucket_bytes``: what a bucket's task holds at most of text whose codes it compares (step 1) or of spots (step 3), as long as
