@@ -2,18 +2,26 @@
 
 Trusted positives are texts labelled as good; everything else, whatever its
 label, is unlabelled web text. The class prior is estimated first: a classifier
-of positives against unlabelled text gives the density ratio, whose level over
-held-back positives is one over the prior. Then a linear model on hashed
-character n-grams and shares of byte classes and repeats minimises the non-negative unbiased risk
-``prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])`` in mini-batches.
-
-The fit uses bounded samples (``max_positive`` and ``max_unlabelled`` rows, the
-lowest hashes of their ids); every text is scored whole, in Arrow batches.
+of positives against unlabelled text orders the texts, and the share of unlabelled
+texts above a threshold over the share of held-back positives above it levels off
+at the prior where positives are alone. The threshold is the one whose ratio has
+the lowest upper confidence bound, so neither a linear classifier nor a small
+sample pulls the estimate up. The unlabelled share is counted over all rows.
+Then a linear model on hashed character n-grams and shares of byte classes and repeats
+minimises the non-negative unbiased risk
+``prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])`` in mini-batches; where
+the second part falls under a tolerance, a small step back is taken.
+
+The two classifiers are fitted on bounded samples (``max_positive`` and
+``max_unlabelled`` rows, the lowest hashes of their ids); every text is scored
+whole, in Arrow batches, whatever its length.
 
 Cases: a null text scores as an empty one, which has the model's offset alone. A
 document labelled more than once is positive if any label is 1. Null labels and
-null ids are not learned from. Repeated ids are sampled once. Without positives
-or unlabelled text every score is 0.5. Other columns are ignored.
+null ids are not learned from. Repeated ids are sampled once. Equal texts have
+equal scores; a score of exactly 0.5 counts as good. Without positives
+or unlabelled text every score is 0.5. Other columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -58,25 +66,62 @@ def features(texts: list[str]) -> np.ndarray:
     return np.hstack([GRAM_WEIGHT * unit_rows(count_matrix(texts, SIZES, BUCKETS)), SHAPE_WEIGHT * np.sqrt(np.column_stack(shape))]).astype(np.float32)
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives in the unlabelled rows, from the density ratio at positives that the ratio's model has not seen."""
+def order_model(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """A linear order of texts, positives first (weights and offset), and the held-back positives' places in it, the highest first."""
     half = max(1, len(positive) // 2)
     seen, kept = positive[:half], positive[half:] if len(positive) > 1 else positive
     x = np.vstack([seen, unlabelled])
     y = np.r_[np.ones(len(seen)), np.zeros(len(unlabelled))]
     weight = np.where(y > 0, len(x) / (2 * len(seen)), len(x) / (2 * len(unlabelled)))
     w, b = fit_logistic(x, y, weight, epochs=40, rate=0.05, l2=1e-4)
+    return w, b, np.sort(kept @ w + b)[::-1]
+
+
+def prior_of_tails(above: np.ndarray, unlabelled: int, doubt: float = 0.1, margin: float = 0.01) -> float:
+    """Share of positives in the unlabelled rows: ``above[i]`` of them lie at or over the i-th highest held-back positive.
+    Both shares are off by the Dvoretzky-Kiefer-Wolfowitz bound at most, with probability 1 - ``doubt``."""
+    positive = np.arange(1, len(above) + 1) / len(above)
+    share = above / max(1, unlabelled)
+    off = sum(np.sqrt(np.log(4 / doubt) / (2 * max(1, n))) for n in (len(above), unlabelled))
+    best = np.argmin((share + (1 + margin) * off) / positive)
+    return float(np.clip(share[best] / positive[best], 0.02, 0.98))
 
-    def ratio(rows: np.ndarray) -> np.ndarray:  # p(x | positive) / p(x | unlabelled), up to a factor
-        g = sigmoid(rows @ w + b)
-        return g / np.maximum(1 - g, 1e-6)
 
-    # the ratio's mean over unlabelled text is 1 by definition, which fixes the factor
-    return float(np.clip(ratio(unlabelled).mean() / max(np.median(ratio(kept)), 1e-6), 0.02, 0.98))
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The prior from feature rows alone: half of the unlabelled ones fit the order, the others are counted."""
+    half = len(unlabelled) // 2
+    mixed = unlabelled[np.random.default_rng(3).permutation(len(unlabelled))]
+    w, b, kept = order_model(positive, mixed[:half] if half else mixed)
+    scores = np.sort(mixed[half:] @ w + b)
+    return prior_of_tails(len(scores) - np.searchsorted(scores, kept), len(scores))
+
+
+def counted_prior(pool: DataFrame, positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The prior with the unlabelled share counted over every row of ``pool``: tasks add up how many texts fall between
+    two held-back positives, at most ``len(positive)`` numbers each."""
+    w, b, kept = order_model(positive, unlabelled)
+    low = kept[::-1].copy()
+    shared = pool.sparkSession.sparkContext.broadcast((w, b, low))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, b, low = shared.value
+        n = np.zeros(len(low) + 1, dtype=np.int64)
+        for batch in small_batches(batches):
+            n += np.bincount(np.searchsorted(low, features(texts_of(batch)) @ w + b, side="right"), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["place", "n"])
 
+    got = pool.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(len(low) + 1, dtype=np.int64)
+    n[got["place"].to_numpy()] = got["n"].to_numpy()
+    return prior_of_tails(np.cumsum(n[::-1])[:-1], int(n.sum()))
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = 60, rate: float = 0.03, l2: float = 1e-3, seed: int = 11) -> QualityModel:
-    """Minimise the non-negative unbiased risk under the logistic loss."""
+
+def fit_pu(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = 60, rate: float = 0.03, l2: float = 1e-3, seed: int = 11, back: float = 0.1, tolerance: float = 0.05
+) -> QualityModel:
+    """Minimise the non-negative unbiased risk under the logistic loss; ``back`` weighs the step that is taken
+    instead where the negative part of a batch is under -``tolerance``."""
     w, b = np.zeros(positive.shape[1], dtype=np.float32), np.zeros(1, dtype=np.float32)
     adam, rng = Adam([w, b], rate), np.random.default_rng(seed)
     steps = max(1, len(unlabelled) // 256)
@@ -91,10 +136,10 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: i
             # l(+) = log(1 + e^-f), l(-) = log(1 + e^f)
             negative = -np.log1p(-np.minimum(su, 1 - 1e-7)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-7)).mean()
             gp, gu = prior * (sp - 1) / len(p_at), np.zeros(len(u_at))
-            if negative >= 0:
+            if negative >= -tolerance:
                 gp, gu = gp - prior * sp / len(p_at), su / len(u_at)
             else:  # the unbiased part went below zero: step back from it
-                gp, gu = prior * sp / len(p_at), -su / len(u_at)
+                gp, gu = back * prior * sp / len(p_at), -back * su / len(u_at)
             grad = xp.T @ gp.astype(np.float32) + xu.T @ gu.astype(np.float32)
             adam.step([grad + l2 * w, np.array([gp.sum() + gu.sum()], dtype=np.float32)])
     return QualityModel(w, float(b[0]), prior)
@@ -126,7 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, max_positive: int = 2
     positive, unlabelled = sample_features(docs, labels, train, max_positive, max_unlabelled)
     if not len(positive) or not len(unlabelled):
         return QualityModel(np.zeros(WIDTH, np.float32), 0.0, 0.5)
-    return fit_pu(positive, unlabelled, estimate_prior(positive, unlabelled))
+    pool = docs.where(train & F.col("doc_id").isNotNull())
+    return fit_pu(positive, unlabelled, counted_prior(pool, positive, unlabelled))
 
 
 def score(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
