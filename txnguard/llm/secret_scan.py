@@ -12,10 +12,16 @@ other table with the same columns and a label can be used instead. The training
 set is a bounded sample (``max_rows`` distinct ones, the lowest hashes of each label
 alike, the labels weighted to equal shares); the scan covers all.
 
-Cases: a null text has no candidate. Findings belong to an id and a text: rows
-repeated with both yield them once; a null id is an id of its own. Without
-labelled findings of both classes nothing is removed and every score is 1. Places
-are counted in characters from 0. Other columns are ignored.
+The expression takes a value in one possessive run and the closing punctuation is
+trimmed from it afterwards, and masks are set by one cut of the text at all
+places, so a text costs time in proportion to its length.
+
+Cases: a null or empty text has no candidate. Texts of any length are read whole.
+Findings belong to an id and a text: rows repeated with both yield them once; a
+null id is an id of its own. Without labelled findings of both classes there is no
+forest: labels beyond doubt stand (scores 1 and 0), other candidates have score
+0.5. A score at the threshold is a secret. Places are counted in characters from
+0. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,9 +38,10 @@ from txnguard.llm.common import free_name, hash_cut, materialize
 PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_|AIza"
 # Names that secrets are assigned to.
 SECRET_NAMES = "token|secret|password|passwd|pwd|api_key|apikey|api-key|access_key|auth|bearer|credential|private_key"
-# What stands right behind a secret's name and a sign: what is between quotes, or all up to a blank or quote without closing punctuation.
-_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*[\p{{L}}\p{{N}}])[^{q}\r\n]++(?={q})" for q in "\"'`")
-_BARE = r"(?![=:>])(?=[^\s\"'`]*[\p{L}\p{N}])[^\s\"'`]+?(?=[.,;:)\]}>]*(?:[\s\"'`]|$))"
+# What stands right behind a secret's name and a sign: what is between quotes, or all up to a blank or quote; closing punctuation is trimmed later.
+_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*+(?<=[^{q}\r\n]){q})(?=[^{q}\r\n\p{{L}}\p{{N}}]*+[\p{{L}}\p{{N}}])[^{q}\r\n]++" for q in "\"'`")
+_BARE = r"(?![=:>])(?=[^\s\"'`\p{L}\p{N}]*+[\p{L}\p{N}])[^\s\"'`]++"
+CLOSING = ".,;:)]}>"
 _SIGN = r"[=:]{1,2}>?\s{0,4}[\"'`]?"
 VALUE = rf"(?<=[=:>\s\"'`])(?<={_SIGN})(?<=(?i:{SECRET_NAMES})[0-9_-]{{0,4}}[\"'`]?\s{{0,4}}{_SIGN})(?:{_QUOTED}|{_BARE})"
 CANDIDATE = rf"(?:{VALUE}|(?<![A-Za-z0-9+/_-])(?:(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}={{0,2}}))"
@@ -50,7 +57,7 @@ DICTIONARY = (
     "string style sunday system table target temp test text thursday time title token tuesday type unknown update user util value version "
     "view wednesday window world"
 ).split()
-FEATURES = ["length", "digits", "uppers", "lowers", "transitions", "coverage", "path", "named", "assigned", "quoted", "prose", "reference", "before_len", "after_len", *[f"word_{i}" for i in range(16)]]
+FEATURES = ["length", "digits", "uppers", "lowers", "transitions", "coverage", "path", "named", "assigned", "quoted", "prose", "reference", "before_len", "after_len", *[f"word_{i}" for i in range(16)], *[f"next_{i}" for i in range(16)]]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -61,11 +68,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     # a neighbouring candidate is context too: every one has a character at least, so 60 of them on a side reach 60 characters
     before = "right(concat(array_join(transform(slice(z, greatest(i - 59, 1), i + 1 - greatest(i - 59, 1)), x -> concat(right(x.left, 60), right(x.found, 60))), ''), right(z[i].left, 60)), 60)"
     after = "left(concat(left(z[i].right, 60), array_join(transform(slice(z, i + 2, 60), x -> concat(left(x.found, 60), left(x.right, 60))), '')), 60)"
-    told = F.expr(f"transform(sequence(0, size(z) - 1), i -> struct(z[i].found as candidate, length(z[i].left) as gap, {before} as before, {after} as after))")
-    each = cut.withColumn("z", zipped).where(F.size("z") > 0).select("doc_id", "t", F.posexplode(told).alias("k", "c")).select("doc_id", "t", "k", "c.*").dropDuplicates(["doc_id", "t", "k"])
+    told = F.expr(f"transform(sequence(0, size(z) - 1), i -> struct(z[i].found as found, length(z[i].left) as gap, {before} as before, {after} as after))")
+    # behind explode it is made once a text, not once for each candidate that looks at it
+    each = cut.select("doc_id", "t", F.explode(F.array(zipped)).alias("z")).where(F.size("z") > 0).select("doc_id", "t", F.posexplode(told).alias("k", "c")).select("doc_id", "t", "k", "c.*").dropDuplicates(["doc_id", "t", "k"])
     ahead = Window.partitionBy("doc_id", "t").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.sum(F.col("gap") + F.length("candidate")).over(ahead) - F.length("candidate")
-    return each.select("doc_id", "t", "k", start.alias("start"), "candidate", "before", "after")
+    start = F.sum(F.col("gap") + F.length("found")).over(ahead) - F.length("found")
+    # a value between quotes is taken whole; of any other, closing punctuation belongs to what follows
+    quoted = F.right("before", F.lit(1)).isin("\"", "'", "`") & (F.right("before", F.lit(1)) == F.left("after", F.lit(1)))
+    value = F.when(quoted, F.col("found")).otherwise(F.rtrim("found", F.lit(CLOSING)))
+    placed = each.select("doc_id", "t", "k", start.alias("start"), value.alias("candidate"), "before", F.right("found", F.length("found") - F.length(value)).alias("closing"), "after")
+    return placed.select("doc_id", "t", "k", "start", "candidate", "before", F.left(F.concat("closing", "after"), F.lit(60)).alias("after"))
 
 
 def _share(pattern: str) -> Column:
@@ -79,7 +91,11 @@ def described(found: DataFrame, dictionary: list[str] = DICTIONARY) -> DataFrame
     listed = "|".join(sorted(dictionary, key=lambda w: (-len(w), w)))
     left = F.length(F.regexp_replace(F.lower("candidate"), f"(?:{listed})", ""))
     previous = F.lower(F.regexp_extract("before", r"([A-Za-z_-]+)[^A-Za-z]*$", 1))
-    word = F.pmod(F.xxhash64(previous), F.lit(16))
+    following = F.lower(F.regexp_extract("after", r"^[^A-Za-z]*+([A-Za-z_-]+)", 1))
+    # used many times each, so made in a projection of their own
+    names = [free_name(found, f"_{x}") for x in ("word", "next")]
+    placed = found.withColumns({n: F.pmod(F.xxhash64(x), F.lit(16)) for n, x in zip(names, (previous, following))})
+    word, after_word = map(F.col, names)
     yes = lambda c: c.cast("double")
     new = {
         "length": F.length("candidate").cast("double"), "digits": _share("0-9"), "uppers": _share("A-Z"), "lowers": _share("a-z"),
@@ -91,16 +107,21 @@ def described(found: DataFrame, dictionary: list[str] = DICTIONARY) -> DataFrame
         "prose": yes(F.col("candidate").rlike("^[A-Za-z]['a-z]*$") & F.col("before").rlike(r":[ \t]+$") & F.col("after").rlike(r"^[.,;:]?[ \t]+[A-Za-z]")),
         "reference": yes(F.col("candidate").rlike(r"^\$[{(A-Za-z_]|^[<{%(\[]|^[A-Za-z_][A-Za-z0-9_.]*[(\[]")),
         "before_len": F.length("before").cast("double"), "after_len": F.length("after").cast("double"),
-        **{f"word_{i}": yes(word == i) for i in range(16)},
+        **{f"word_{i}": yes(word == i) for i in range(16)}, **{f"next_{i}": yes(after_word == i) for i in range(16)},
     }
-    return found.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in new.items()})
+    return placed.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in new.items()}).drop(*names)
 
 
-def labelled_findings(found: DataFrame) -> DataFrame:
-    """The rows of ``described`` candidates whose label is beyond doubt, with ``label`` 1.0 or 0.0."""
+def _label() -> Column:
+    """1.0 or 0.0 where there is no doubt, NULL elsewhere."""
     secret = F.col("candidate").rlike(f"^(?:{PREFIXES})") | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("coverage") < 0.5) & (F.col("prose") == 0) & (F.col("reference") == 0) & (F.col("length") >= 6))
     harmless = F.col("candidate").rlike("^[0-9+/_-]+$") | (F.col("coverage") > 0.6) | (F.col("prose") == 1) | (F.col("reference") == 1) | ((F.col("path") == 1) & (F.col("named") == 0))
-    return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label is not null")
+    return F.when(secret, 1.0).when(harmless, 0.0)
+
+
+def labelled_findings(found: DataFrame) -> DataFrame:
+    """The rows of ``described`` candidates whose label is beyond doubt, with ``label`` 1.0 or 0.0."""
+    return found.withColumn("label", _label()).where("label is not null")
 
 
 def train(labelled: DataFrame, max_rows: int = 20_000, trees: int = 20, depth: int = 6) -> RandomForestClassificationModel | None:
@@ -122,16 +143,16 @@ def _assembled(found: DataFrame) -> DataFrame:
 
 
 def scored(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """``described`` candidates with ``score``, the forest's probability that they are secrets."""
+    """``described`` candidates with ``score``, the forest's probability that they are secrets; without one, their label or 0.5."""
     if model is None:
-        return found.withColumn("score", F.lit(1.0))
+        return found.withColumn("score", F.coalesce(_label(), F.lit(0.5)))
     columns = found.columns
     return model.transform(_assembled(found)).select(*columns, vector_to_array("probability")[1].alias("score"))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """(doc_id, t, k, start, candidate, score, secret) of every candidate; ``labelled``: findings with FEATURES and label."""
-    found = described(materialize(candidates(docs), "secret_candidates"))
+    found = materialize(described(materialize(candidates(docs), "secret_candidates")), "secret_features")
     model = train(labelled_findings(found) if labelled is None else labelled)
     return scored(found, model).select("doc_id", "t", "k", "start", "candidate", "score", (F.col("score") >= threshold).alias("secret"))
 
@@ -141,17 +162,17 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     secret = scan(docs, **options).where("secret")
     each = materialize(secret.groupBy("doc_id", "t").agg(F.array_sort(F.collect_list(F.struct("start", "candidate"))).alias("found")), "secrets").alias("s")
     joined = docs.alias("d").join(each, F.expr("d.doc_id <=> s.doc_id and xxhash64(d.text) = s.t"), "left")
-    zero = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        start = s["start"].cast("int")
-        return F.struct(F.concat(acc["out"], F.substring(F.col("d.text"), acc["at"], start + 1 - acc["at"]), F.lit(mark)).alias("out"), (start + 1 + F.length(s["candidate"])).alias("at"))
-
-    text = F.when(F.col("s.found").isNull(), F.col("d.text")).otherwise(
-        F.aggregate("s.found", zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("d.text"), acc["at"], F.length("d.text"))))
-    )
-    own = [text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
-    out = joined.select(*own, F.col("s.found").isNotNull().alias(changed := free_name(docs, "changed")))
+    # four bytes a character, so that a place is found without counting characters; explode keeps it from being computed per secret
+    wide = F.when(F.col("s.found").isNotNull(), F.encode(F.col("d.text"), "UTF-32"))
+    joined = joined.select("d.*", F.col("s.found").alias(found := free_name(docs, "found")), F.explode(F.array(wide)).alias(chars := free_name(docs, "chars")))
+    piece = lambda at, size: f"decode(concat(X'0000FEFF', substring(`{chars}`, cast(4 * ({at}) + 1 as int), cast(4 * ({size}) as int))), 'UTF-32')"
+    end = lambda i: f"(`{found}`[{i}].start + length(`{found}`[{i}].candidate))"
+    head = f"if(i = 0, 0, {end('greatest(i - 1, 0)')})"
+    parts = F.expr(f"transform(sequence(0, size(`{found}`) - 1), i -> {piece(head, f'`{found}`[i].start - {head}')})")
+    tail = F.expr(piece(end(f"size(`{found}`) - 1"), f"length(text) - {end(f'size(`{found}`) - 1')}"))
+    text = F.when(F.col(found).isNull(), F.col("text")).otherwise(F.concat(F.array_join(parts, mark), F.lit(mark), tail))
+    own = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    out = joined.select(*own, F.col(found).isNotNull().alias(changed := free_name(docs, "changed")))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(changed), size).otherwise(F.col("n_chars")))
