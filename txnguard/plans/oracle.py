@@ -211,6 +211,19 @@ UNION ALL BY NAME SELECT * FROM ({q['velocity']}))"""
     q["stream_detect_velocity"] = q["velocity"]
     q["stream_velocity_late"] = q["velocity"]
     q["stream_dedup"] = f"SELECT * EXCLUDE (ingestion_time) FROM ({q['transactions']})"
+    q["stream_late_rows"] = _with(TXN_CTE, TIMED_CTE) + f"""
+SELECT {TXN_COLS_SQL} FROM timed
+WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 7 = 3
+  AND time_bucket(INTERVAL '60 seconds', event_time) + INTERVAL 60 SECOND <= (
+    SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 2 MINUTE FROM timed WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 7 <> 3)"""
+    q["velocity_repaired"] = q["velocity"]
+    q["stream_consolidated_changes"] = q["fraud_consolidated"]
+    q["velocity_sliding"] = _with(TXN_CTE, TIMED_CTE) + """
+SELECT user_id, window_start, window_start + INTERVAL 60 SECOND AS window_end, count(*) AS "count" FROM (
+  SELECT user_id, time_bucket(INTERVAL '10 seconds', event_time) - to_seconds(10 * unnest(range(6))) AS window_start
+  FROM timed WHERE event_time IS NOT NULL)
+GROUP BY ALL HAVING count(*) > 5"""
+    q["stream_velocity_sliding"] = q["velocity_sliding"]
     q["silver_flat"] = q["transactions"]
     q["stream_silver"] = q["transactions"]
     q["stream_high_amount"] = q["high_amount"]

@@ -26,6 +26,8 @@ from txnguard.plans import jobs
 from txnguard.schemas import FRAUD_UNION_COLS, HIT_COLS, TXN_COLS
 from txnguard.session import configure, work_dir
 from txnguard.streaming import consolidate as SCON
+from txnguard.streaming import late as LATE
+from txnguard.streaming import panes as PANES
 from txnguard.streaming import replay as S
 from txnguard.streaming import stateful as STATE
 from txnguard.sources.tables import noisy_bronze, read_table, read_transactions, redelivered
@@ -379,6 +381,38 @@ def q_stream_velocity_late(spark, sf_dir):
     return _velocity_out(S.stream_velocity_late(spark, sf_dir))
 
 
+def q_stream_late_rows(spark, sf_dir):
+    """The rows that came too late for their window, from the routed stream's side table."""
+    configure(spark)
+    root, _ = S.late_and_alerts(spark, sf_dir)
+    return _ntz(LATE.routed(spark, root, late=True), "ingestion_time")
+
+
+def q_velocity_repaired(spark, sf_dir):
+    """The stream's alerts with the windows of late rows counted again."""
+    configure(spark)
+    root, alerts = S.late_and_alerts(spark, sf_dir)
+    out = LATE.repaired(alerts, LATE.routed(spark, root), LATE.routed(spark, root, late=True))
+    return _velocity_out(out.filter(F.col("user_id") != S.SENTINEL_USER))
+
+
+def q_stream_consolidated_changes(spark, sf_dir):
+    """R7 as changes of rule sets, merged by key and version."""
+    configure(spark)
+    return _rules_text(_ntz(S.stream_consolidated_changes(spark, sf_dir), "ingestion_time"))
+
+
+def q_stream_velocity_sliding(spark, sf_dir):
+    """D2's sliding form on a stream, by panes."""
+    configure(spark)
+    out = S.run_to_table(PANES.sliding_velocity_stream(S.silver_slices(spark, sf_dir)), spark, "velocity_sliding")
+    return _flat_window(out.filter(F.col("user_id") != S.SENTINEL_USER))
+
+
+def q_velocity_sliding(spark, sf_dir):
+    return _flat_window(PANES.sliding_velocity(_silver(spark, sf_dir)))
+
+
 def q_stream_dedup(spark, sf_dir):
     """D9 on a stream that delivers every row twice; which copy stays is the arrival order's, so no ingestion time."""
     configure(spark)
@@ -447,6 +481,11 @@ def queries() -> dict[str, Query]:
         "stream_detect_high_amount": q_stream_detect_high_amount,
         "stream_detect_velocity": q_stream_detect_velocity,
         "stream_velocity_late": q_stream_velocity_late,
+        "stream_late_rows": q_stream_late_rows,
+        "velocity_repaired": q_velocity_repaired,
+        "stream_consolidated_changes": q_stream_consolidated_changes,
+        "stream_velocity_sliding": q_stream_velocity_sliding,
+        "velocity_sliding": q_velocity_sliding,
         "stream_dedup": q_stream_dedup,
         "stream_silver": q_stream_silver,
         "stream_high_amount": q_stream_high_amount,

@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators import ingest, rules
-from txnguard.schemas import SILVER_SCHEMA, TXN_COLS
+from txnguard.schemas import HIT_COLS, SILVER_SCHEMA, TXN_COLS
 from txnguard.session import work_dir
 from txnguard.functions.columns import event_time
 from txnguard.sources import lake
 from txnguard.sources.tables import read_transactions, redelivered, transactions_from_events
+from txnguard.streaming import changes, consolidate, late
 from txnguard.streaming.jobs import detect, drain, start_bronze, state_partitions, write_stream
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -95,21 +96,48 @@ def silver_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> Data
     return silver
 
 
-def silver_slices(spark: SparkSession, sf_dir: str, slices: int = 12, late: bool = False) -> DataFrame:
-    """Silver as a stream of ``slices`` files in event-time order, one per
-    micro-batch, and the flush sentinel as the last file: state carries over
-    batch borders as it does in production. ``late`` sends the first slice once
-    more after the last one."""
+def _in_order(spark: SparkSession, path: str, start_ms: int) -> int:
+    """Give the new files of ``path`` ascending modification times from ``start_ms`` on, in the order of their names:
+    the file source delivers files by modification time. Returns the time after the last."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for i, file in enumerate(files):
+        fs.setTimes(file, start_ms + 1000 * i, -1)
+    return start_ms + 1000 * len(files)
+
+
+def delivered(spark: SparkSession, parts: list[tuple[DataFrame, int]], per_batch: int) -> DataFrame:
+    """Silver tables as a stream, one after the other: each is range-partitioned by event time into its number of
+    files by one shuffle, and a micro-batch takes ``per_batch`` files. The sentinel's file is the last."""
+    root = work_dir(spark, "replay", "delivered", unique=True)
+    at, streams = 1_700_000_000_000, f"{root}/all"
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sentinel = spark.read.schema(SILVER_SCHEMA).parquet(_sentinel_dir(spark))
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(streams))
+    for i, (rows, files) in enumerate([*parts, (sentinel, 1)]):
+        path = f"{root}/{i}"
+        time_us = F.unix_micros(event_time("transaction_time"))
+        rows.select(*TXN_COLS).repartitionByRange(files, time_us).write.parquet(path)
+        at = _in_order(spark, path, at)
+        for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+            if f.getPath().getName().startswith("part-"):
+                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{streams}/{i:04d}-{f.getPath().getName()}"))
+    return lake.read_silver_stream(spark, streams, per_batch)
+
+
+def silver_slices(spark: SparkSession, sf_dir: str, batches: int = 4, per_batch: int = 4, late: bool = False) -> DataFrame:
+    """Silver as a stream of ``batches`` micro-batches in event-time order: state carries over batch borders as it
+    does in production. ``late`` sends the first quarter of the time line once more after the last batch."""
     silver = spark.read.schema(SILVER_SCHEMA).parquet(replay_silver(spark, sf_dir))
-    path = work_dir(spark, "replay", "slices", unique=True)
-    at = F.unix_micros(event_time("transaction_time"))
-    low, high = silver.agg(F.min(at), F.max(at)).first()
-    step = max(1, ((high or 0) - (low or 0)) // slices + 1)
-    place = F.coalesce(F.floor((at - F.lit(low or 0)) / F.lit(step)), F.lit(0))
-    for i in [*range(slices), *([0] if late else [])]:  # one after the other: the file source takes them by modification time
-        silver.where(place == i).coalesce(1).write.mode("append").parquet(path)
-    spark.read.schema(SILVER_SCHEMA).parquet(_sentinel_dir(spark)).coalesce(1).write.mode("append").parquet(path)
-    return lake.read_silver_stream(spark, path, 1)
+    parts = [(silver, batches * per_batch)]
+    if late:
+        at = F.unix_micros(event_time("transaction_time"))
+        low, high = silver.agg(F.min(at), F.max(at)).first()
+        parts.append((silver.where(at < F.lit((low or 0) + ((high or 0) - (low or 0)) // 4)), per_batch))
+    return delivered(spark, parts, per_batch)
 
 
 def run_to_table(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
@@ -197,6 +225,33 @@ def stream_velocity_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(vel, spark, "velocity_late").filter(F.col("user_id") != SENTINEL_USER)
 
 
+def delayed_stream(spark: SparkSession, sf_dir: str, per_batch: int = 4) -> DataFrame:
+    """Silver as a stream in event-time order whose every seventh row (by transaction number) arrives after all others."""
+    silver = spark.read.schema(SILVER_SCHEMA).parquet(replay_silver(spark, sf_dir))
+    delayed = F.coalesce(F.regexp_extract("transaction_id", "[0-9]+", 0).try_cast("long") % 7 == 3, F.lit(False))
+    return delivered(spark, [(silver.where(~delayed), 2 * per_batch), (silver.where(delayed), per_batch)], per_batch)
+
+
+def late_and_alerts(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The routed rows of the delayed stream (their folder) and the velocity alerts that the stream itself gives."""
+    root = work_dir(spark, "replay", "late", unique=True)
+    source = delayed_stream(spark, sf_dir)
+    alerts = run_to_table(rules.velocity_gold(source), spark, "velocity_delayed")
+    drain([late.start_routed(source, root, f"{root}/_ckpt", trigger=AVAILABLE_NOW)])
+    return root, alerts
+
+
+def stream_consolidated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both hit streams, drained to tables, then consolidated as a stream of changes of a few files per micro-batch."""
+    root = work_dir(spark, "replay", "changes", unique=True)
+    with state_partitions(spark):
+        queries = consolidate.start_hit_streams(silver_stream(spark, sf_dir, flush=True), f"{root}/hits", f"{root}/_ckpt", trigger=AVAILABLE_NOW)
+    drain(queries)
+    hits = [lake.read_parquet_stream(spark, f"{root}/hits/{n}", consolidate.HIT_STREAM_SCHEMA, 4).select(*HIT_COLS) for n in ("high_amount", "velocity")]
+    out = run_to_table(changes.rule_set_changes(hits[0].unionByName(hits[1]), keep=None), spark, "changes")
+    return changes.latest(out).filter(F.col("user_id") != SENTINEL_USER)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "replay", "redelivered", unique=True)
     redelivered(read_transactions(spark, sf_dir)).write.parquet(path)

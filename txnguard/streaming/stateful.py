@@ -3,9 +3,12 @@
 Spark has no streaming ``lag`` or running window, so these rules keep state per
 user with ``transformWithState`` (RocksDB state store, typed state fields):
 
-* rows wait in a list state until the watermark passes their event time, then
-  an event-time timer releases them in (event time, transaction_id) order —
-  arrival order does not change the answer, which equals the batch rule;
+* rows wait in a map state under (slot, number): a slot is a minute of event time,
+  a number a chunk of at most ``CHUNK`` rows of it. An event-time timer per slot
+  releases that slot alone, in (event time, transaction_id) order, once the
+  watermark has passed it. Arrival order does not change the answer, which equals
+  the batch rule, and a call never holds more than one slot of one user, however
+  many rows a micro-batch brings;
 * a small *carry* holds what the rule needs of the rows released so far
   (D1: count and sum of amounts; D2: event times of the last window; D3: last
   time and location; D5: first sighting; D4: a map state with one entry per
@@ -14,8 +17,7 @@ user with ``transformWithState`` (RocksDB state store, typed state fields):
 
 The key is the user alone. It does not depend on any setting, so a checkpoint
 can be restarted under other ones; the number of state partitions is fixed in
-the checkpoint by Spark. What a call holds is one user's unreleased rows, which
-the watermark delay bounds. Rows later than the watermark are dropped by Spark
+the checkpoint by Spark. Rows later than the watermark are dropped by Spark
 before they reach the state (the usual streaming contract).
 """
 
@@ -53,50 +55,95 @@ EMPTY = {"n": 0, "total": 0.0, "last_us": None, "last_loc": None, "first_us": No
 Rule = Callable[[list[Row], dict, Callable[[str], bool]], tuple[list[tuple[Row, tuple]], int | None]]
 
 
+CHUNK = 512  # rows of a state entry, which is read and written as a whole
+SLOT_MS = 60_000  # event time that is released at once
+_OPEN = 4096  # rows that a call holds before it writes them to the state
+
+_SLOT = T.StructType([T.StructField("slot", T.LongType())])
+_SLOT_CHUNK = T.StructType([T.StructField("slot", T.LongType()), T.StructField("number", T.IntegerType())])
+
+
 class UserRule(StatefulProcessor):
-    """Buffers a user's rows until the watermark passes them, then runs ``rule`` over them in order."""
+    """Buffers a user's rows by slots until the watermark passes them, then runs ``rule`` over one slot after the other."""
 
-    def __init__(self, rule: Rule, names: list[str]):
-        self.rule, self.names = rule, names
+    def __init__(self, rule: Rule, names: list[str], slot_ms: int = SLOT_MS):
+        self.rule, self.names, self.slot_ms = rule, names, slot_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING)
+        self.chunks = handle.getMapState("chunks", _SLOT_CHUNK, T.StructType([T.StructField("rows", T.ArrayType(PENDING))]))
+        self.numbers = handle.getMapState("numbers", _SLOT, T.StructType([T.StructField("n", T.IntegerType())]))
         self.carry = handle.getValueState("carry", CARRY)
         self.devices = handle.getMapState("devices", T.StructType([T.StructField("device", T.StringType())]), T.StructType([T.StructField("seen", T.BooleanType())]))
 
+    def _slot_end(self, slot: int) -> int:
+        return (slot + 1) * self.slot_ms
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in ROW_COLS) for r in rows]
-        self.pending.appendList(new)
-        self.handle.registerTimer(min(r[-1] for r in new) // 1000 + 1)
+        held: dict[int, list[tuple]] = {}
+        numbers: dict[int, int] = {}
+        open_rows = 0
+
+        def write(slot: int) -> None:
+            nonlocal open_rows
+            own = held.pop(slot)
+            if slot not in numbers:
+                before = self.numbers.getValue((slot,))
+                numbers[slot] = before[0] if before else 0
+                if not before:
+                    self.handle.registerTimer(self._slot_end(slot))
+            self.chunks.updateValue((slot, numbers[slot]), (own,))
+            numbers[slot] += 1
+            open_rows -= len(own)
+
+        for r in rows:
+            row = tuple(r[c] for c in ROW_COLS)
+            slot = row[-1] // (1000 * self.slot_ms)
+            held.setdefault(slot, []).append(row)
+            open_rows += 1
+            if len(held[slot]) >= CHUNK:
+                write(slot)
+            elif open_rows >= _OPEN:
+                write(max(held, key=lambda s: len(held[s])))
+        for slot in list(held):
+            write(slot)
+        for slot, n in numbers.items():
+            self.numbers.updateValue((slot,), (n,))
         return iter(())
 
+    def _taken(self, slot: int) -> list[Row]:
+        """The rows of a slot, in order; they leave the state."""
+        n = self.numbers.getValue((slot,))
+        if not n:
+            return []
+        rows = []
+        for number in range(n[0]):
+            rows += [Row(*ROW_COLS)(*r) for r in self.chunks.getValue((slot, number))[0]]
+            self.chunks.removeKey((slot, number))
+        self.numbers.removeKey((slot,))
+        rows.sort(key=lambda r: (r.event_us, r.transaction_id is not None, r.transaction_id or ""))
+        return rows
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [Row(*ROW_COLS)(*r) for r in self.pending.get()] if self.pending.exists() else []
-        ready = sorted((r for r in rows if r.event_us < passed), key=lambda r: (r.event_us, r.transaction_id is not None, r.transaction_id or ""))
-        later = [tuple(r) for r in rows if r.event_us >= passed]
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        ready = self._taken(at // self.slot_ms - 1)
+        before = self.carry.get()
         if not ready:
-            if not rows and self.carry.exists() and self._expired(passed):
+            if before and self._expired(before, at * 1000):
                 self.carry.clear()
             return iter(())
-        if later:
-            self.pending.put(later)
-            self.handle.registerTimer(min(r[-1] for r in later) // 1000 + 1)
-        else:
-            self.pending.clear()
-        carry = dict(zip(CARRY.names, self.carry.get())) if self.carry.exists() else dict(EMPTY)
+        carry = dict(zip(CARRY.names, before)) if before else dict(EMPTY)
         carry["recent"] = list(carry["recent"] or [])
         hits, keep_until = self.rule(ready, carry, self._seen)
         self.carry.update(tuple(carry[c] for c in CARRY.names))
-        if keep_until is not None:
-            self.handle.registerTimer(keep_until // 1000 + 1)
+        if keep_until is not None:  # at a slot's end too, where a timer may stand already
+            self.handle.registerTimer(self._slot_end(keep_until // (1000 * self.slot_ms)))
         out = Row(*self.names)
         return iter([out(*[r[c] for c in TXN_COLS], *extra) for r, extra in hits])
 
-    def _expired(self, passed: int) -> bool:
-        """Whether the timer that fired is the carry's own: every rule with one keeps its latest event time."""
-        last = self.carry.get()[CARRY.names.index("last_us")]
+    def _expired(self, carry: tuple, passed: int) -> bool:
+        """Whether nothing that may still come can need the carry: every rule that drops it keeps its latest event time."""
+        last = carry[CARRY.names.index("last_us")]
         return last is not None and self.rule.keeps is not None and last + self.rule.keeps < passed
 
     def _seen(self, device: str | None) -> bool:
