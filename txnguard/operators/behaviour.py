@@ -31,6 +31,9 @@ one task:
   (user, bucket). Only the tail is copied (``lookback / bucket`` of the data).
 * D4 and D5 are aggregates (first sighting per pair / per user) with
   partial aggregation map-side, joined back to the few high-amount rows.
+* Where even one (user, bucket) is too large for a task, ``max_group`` cuts it
+  into parts of consecutive rows (``parts.py``): part sums are scanned into
+  carries in a small table, and rows add the carry of their part.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import event_time, interval_micros
+from txnguard.operators.parts import PART, carried, last_of_part, with_parts
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, TXN_COLS, VELOCITY_MIN_EXCLUSIVE, VELOCITY_WINDOW
 
 RULE_AMOUNT_VS_AVG = "AMOUNT_VS_AVG"
@@ -100,10 +104,11 @@ def _with_leaving(rows: DataFrame, w_us: int, keep: list[str], enter: dict[str,
 
 
 def amount_vs_history(
-    silver: DataFrame, factor: float = 3.0, bucket: str = "1 minute", keep_all: bool = False
+    silver: DataFrame, factor: float = 3.0, bucket: str = "1 minute", keep_all: bool = False, max_group: int | None = None
 ) -> DataFrame:
     """D1. Adds ``prior_n`` (earlier non-NULL amounts), ``prior_avg`` and
-    ``amount_vs_avg`` (flag); returns flagged rows unless ``keep_all``."""
+    ``amount_vs_avg`` (flag); returns flagged rows unless ``keep_all``.
+    ``max_group`` splits (user, bucket) groups of more rows."""
     # NULL users form one group, as in GROUP BY / window partitioning; the
     # (text, is-null) key pair keeps them apart from any real id and, unlike a
     # null-safe join condition, stays a plain hash key shared by join and window
@@ -114,25 +119,19 @@ def amount_vs_history(
         .withColumn("_un", F.col("user_id").isNull())
     )
     amount = F.col("transaction_amount")
+    at = [_B]
+    if max_group is not None:
+        rows, at = with_parts(rows, ["_uk", "_un", _B], [_US, "transaction_id"], max_group), [_B, PART]
 
-    per_bucket = rows.groupBy("_uk", "_un", _B).agg(
-        F.sum(amount).alias("_bs"), F.count(amount).alias("_bn")
-    )
-    before = Window.partitionBy("_uk", "_un").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(
-        "_uk",
-        "_un",
-        _B,
-        F.coalesce(F.sum("_bs").over(before), F.lit(0.0)).alias("_ps"),
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
-    )
+    sums = rows.groupBy("_uk", "_un", *at).agg(F.sum(amount).alias("_bs"), F.count(amount).alias("_bn"))
+    prefix = carried(sums, ["_uk", "_un"], at, {"_bs": "_ps", "_bn": "_pn"})
 
     inside = (
-        Window.partitionBy("_uk", "_un", _B)
+        Window.partitionBy("_uk", "_un", *at)
         .orderBy(_US, "transaction_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = rows.join(prefix, ["_uk", "_un", _B], "inner")
+    joined = rows.join(prefix, ["_uk", "_un", *at], "inner")
     prior_sum = F.col("_ps") + F.coalesce(F.sum(amount).over(inside), F.lit(0.0))
     prior_n = F.col("_pn") + F.coalesce(F.count(amount).over(inside), F.lit(0))
     out = (
@@ -153,15 +152,24 @@ def rolling_velocity(
     min_exclusive: int = VELOCITY_MIN_EXCLUSIVE,
     bucket: str | None = None,
     keep_all: bool = False,
+    max_group: int | None = None,
 ) -> DataFrame:
-    """D2. Adds ``rolling_count`` = the user's transactions in (t - window, t]."""
+    """D2. Adds ``rolling_count`` = the user's transactions in (t - window, t].
+    ``max_group`` splits (user, bucket) groups of more entries, two a row; rows of one microsecond stay together."""
     w_us = interval_micros(window)
     bucket = bucket or f"{10 * w_us} microseconds"
     rows = with_carried_tail(timed(silver), bucket, window)
     entries = _with_leaving(rows, w_us, ["user_id", _B], {"_d": F.lit(1)}, {"_d": F.lit(-1)})
-    so_far = Window.partitionBy("user_id", _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
+    group, carry = ["user_id", _B], F.lit(0)
+    if max_group is not None:
+        entries = with_parts(entries.withColumn("_un", F.col("user_id").isNull()), group, [_T], max_group)
+        sums = entries.withColumn("_uk", F.coalesce("user_id", F.lit(""))).groupBy("_uk", "_un", _B, PART).agg(F.sum("_d").alias("_s"))
+        prefix = carried(sums, ["_uk", "_un", _B], [PART], {"_s": "_carry"})
+        entries = entries.withColumn("_uk", F.coalesce("user_id", F.lit(""))).join(prefix, ["_uk", "_un", _B, PART], "inner")
+        group, carry = ["_uk", "_un", _B, PART], F.col("_carry")
+    so_far = Window.partitionBy(*group).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
     out = (
-        entries.withColumn("rolling_count", F.sum("_d").over(so_far))
+        entries.withColumn("rolling_count", F.sum("_d").over(so_far) + carry)
         .filter(F.col(f"{_ROW}.{_OWN}"))
         .select(*[F.col(c if c == "user_id" else f"{_ROW}.{c}") for c in silver.columns], "rolling_count")
         .withColumn("rolling_velocity", F.col("rolling_count") > F.lit(int(min_exclusive)))
@@ -172,18 +180,36 @@ def rolling_velocity(
 # --- D3 ---------------------------------------------------------------------------
 
 
+def _previous(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``rows`` with ``_before``: time and location of the row before, in ``group``."""
+    order = Window.partitionBy(*group).orderBy(_US, "transaction_id")
+    return rows.withColumn("_before", F.lag(F.struct(_US, "location")).over(order))
+
+
+def _previous_over_parts(rows: DataFrame, max_group: int) -> DataFrame:
+    """As ``_previous``, with hot (user, bucket) groups in parts: the first row of a part looks at the last one of the part before."""
+    rows = with_parts(rows, ["user_id", _B], [_US, "transaction_id"], max_group)
+    rows = rows.withColumns({"_uk": F.coalesce("user_id", F.lit("")), "_un": F.col("user_id").isNull()})
+    key = ["_uk", "_un", _B]
+    last = last_of_part(rows, key, [_US, "transaction_id"], ["location"])
+    before = F.lag("_last").over(Window.partitionBy(*key).orderBy(PART))
+    carry = last.select(*key, PART, F.struct(before[_US].alias(_US), before["location"].alias("location")).alias("_carry"), before.isNotNull().alias("_has"))
+    inside = _previous(rows.join(carry, [*key, PART], "inner"), [*key, PART])
+    return inside.withColumn("_before", F.when(F.col("_before").isNotNull(), F.col("_before")).when(F.col("_has"), F.col("_carry")))
+
+
 def location_jump(
-    silver: DataFrame, max_gap: str = "5 minutes", bucket: str | None = None, keep_all: bool = False
+    silver: DataFrame, max_gap: str = "5 minutes", bucket: str | None = None, keep_all: bool = False, max_group: int | None = None
 ) -> DataFrame:
-    """D3. Adds ``prev_location`` and ``gap_seconds`` to the previous row."""
+    """D3. Adds ``prev_location`` and ``gap_seconds`` to the previous row.
+    ``max_group`` splits (user, bucket) groups of more rows."""
     g_us = interval_micros(max_gap)
     bucket = bucket or f"{max(10 * g_us, 60_000_000)} microseconds"
     rows = with_carried_tail(timed(silver), bucket, max_gap)
-    order = Window.partitionBy("user_id", _B).orderBy(_US, "transaction_id")
-    prev_us = F.lag(_US).over(order)
+    rows = _previous(rows, ["user_id", _B]) if max_group is None else _previous_over_parts(rows, max_group)
     out = (
-        rows.withColumn("prev_location", F.lag("location").over(order))
-        .withColumn("_gap_us", F.col(_US) - prev_us)
+        rows.withColumn("prev_location", F.col("_before.location"))
+        .withColumn("_gap_us", F.col(_US) - F.col(f"_before.{_US}"))
         .filter(F.col(_OWN))
         .withColumn(
             "location_jump",
@@ -195,7 +221,7 @@ def location_jump(
         # the previous row is only known when it lies within the gap
         .withColumn("prev_location", F.when(F.col("_gap_us") < F.lit(g_us), F.col("prev_location")))
         .withColumn("gap_seconds", F.when(F.col("_gap_us") < F.lit(g_us), F.col("_gap_us") / 1e6))
-        .drop(_B, _OWN, _US, "_gap_us")
+        .select(*silver.columns, "prev_location", "gap_seconds", "location_jump")
     )
     return out if keep_all else out.filter("location_jump")
 

@@ -273,6 +273,8 @@ FROM txn"""
     q["rule_young_account"] = _with(*t, D5_CTE) + (
         f"SELECT {TXN_COLS_SQL}, account_age_seconds FROM d5")
     scored = _with(*_base(), D1_CTE, D3_CTE, D4_CTE, D5_CTE, ALL_HITS_CTE, SCORED_CTE)
+    for name in ("rule_amount_vs_avg", "velocity_rolling", "rule_location_jump"):
+        q[f"{name}_split"] = q[name]
     q["stream_location_jump"] = q["rule_location_jump"]
     q["stream_amount_vs_avg"] = q["rule_amount_vs_avg"]
     q["stream_new_device"] = q["rule_new_device"]

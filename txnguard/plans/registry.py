@@ -160,6 +160,25 @@ def q_rule_location_jump(spark, sf_dir):
     return _txn_out(out, "prev_location", "gap_seconds")
 
 
+SPLIT_ROWS = 4  # small enough that most users' buckets are cut
+
+
+def q_rule_amount_vs_avg_split(spark, sf_dir):
+    """D1 with every larger (user, minute) cut into parts."""
+    return _txn_out(B.amount_vs_history(_silver(spark, sf_dir), max_group=SPLIT_ROWS), "prior_n")
+
+
+def q_velocity_rolling_split(spark, sf_dir):
+    """D2 with every larger (user, bucket) cut into parts."""
+    return _txn_out(B.rolling_velocity(_silver(spark, sf_dir), max_group=2 * SPLIT_ROWS), "rolling_count")
+
+
+def q_rule_location_jump_split(spark, sf_dir):
+    """D3 with every larger (user, bucket) cut into parts."""
+    out = B.location_jump(_silver(spark, sf_dir), max_gap=FIXTURE_RULE_PARAMS["max_gap"], max_group=SPLIT_ROWS)
+    return _txn_out(out, "prev_location", "gap_seconds")
+
+
 def q_rule_new_device(spark, sf_dir):
     return _txn_out(B.new_device(_silver(spark, sf_dir)))
 
@@ -467,6 +486,9 @@ def queries() -> dict[str, Query]:
         "rule_amount_vs_avg": q_rule_amount_vs_avg,
         "velocity_rolling": q_velocity_rolling,
         "rule_location_jump": q_rule_location_jump,
+        "rule_amount_vs_avg_split": q_rule_amount_vs_avg_split,
+        "velocity_rolling_split": q_velocity_rolling_split,
+        "rule_location_jump_split": q_rule_location_jump_split,
         "rule_new_device": q_rule_new_device,
         "rule_young_account": q_rule_young_account,
         "risk_score": q_risk_score,
