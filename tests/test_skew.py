@@ -3,6 +3,8 @@ the hot key is spread over many tasks instead of one."""
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from txnguard.functions.columns import event_time
 from txnguard.operators import behaviour as B
 from txnguard.operators import consolidate as C
 from txnguard.operators import ingest as I
+from txnguard.operators import parts as P
 from txnguard.operators import rules as R
 from txnguard.sources.tables import read_transactions
 
@@ -82,3 +85,41 @@ def test_bucket_load_shows_the_hot_user_spread(hot):
     top = B.bucket_load(hot, "1 minute", top=5).collect()
     assert len(top) == 5 and top[0].user_id == "user_hot"
     assert top[0].share < 0.2   # the hot user's biggest minute is a small slice of the table
+
+
+def _one_hot_minute(spark, n=4000):
+    """A user with all rows of one minute, and a few others."""
+    from conftest import silver_df, txn
+
+    rng = random.Random(4)
+    places = ["India", "USA", "UK"]
+    rows = [txn(f"t{i:05d}", user="hot", amount=float(rng.choice([10, 20, 5000])), time=f"2024-01-01T10:00:{rng.randrange(60):02d}.{rng.randrange(10**6):06d}", location=rng.choice(places)) for i in range(n)]
+    rows += [txn(f"s{i}", user=rng.choice(["a", None]), amount=1.0, time=f"2024-01-01T10:0{rng.randrange(3)}:{rng.randrange(60):02d}", location=rng.choice(places)) for i in range(60)]
+    rows.append(txn("bad", user="hot", time="bad"))
+    return silver_df(spark, rows)
+
+
+@pytest.mark.parametrize("rule", [B.amount_vs_history, B.rolling_velocity, B.location_jump])
+def test_one_minute_of_one_user_is_split_and_gives_the_same_rows(spark, rule):
+    silver = _one_hot_minute(spark)
+    whole, split = rule(silver, keep_all=True), rule(silver, keep_all=True, max_group=100)
+    if rule is B.amount_vs_history:  # means are sums in another order
+        whole, split = (df.withColumn("prior_avg", F.round("prior_avg", 6)) for df in (whole, split))
+    assert whole.columns == split.columns and whole.count() == split.count()
+    assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
+
+
+def test_no_part_holds_an_eighth_of_a_hot_group(spark):
+    rows = B.timed(_one_hot_minute(spark)).withColumn("_b", F.lit(0))
+    parts = P.with_parts(rows, ["user_id", "_b"], ["_us", "transaction_id"], 200)
+    sizes = {(r.user_id, r._part): r["count"] for r in parts.groupBy("user_id", "_part").count().collect()}
+    hot = [n for (user, _), n in sizes.items() if user == "hot"]
+    assert sum(hot) == 4000 and max(hot) < 500 and len(hot) >= 10
+    assert {p for user, p in sizes if user != "hot"} == {0}
+    # in order: no row of a part comes after one of the next
+    ends = parts.where("user_id = 'hot'").groupBy("_part").agg(F.min(F.struct("_us", "transaction_id")).alias("lo"), F.max(F.struct("_us", "transaction_id")).alias("hi")).orderBy("_part").collect()
+    assert all(a.hi < b.lo for a, b in zip(ends, ends[1:]))
+    # the same parts by a shuffle of the groups' splitters
+    again = P.with_parts(rows, ["user_id", "_b"], ["_us", "transaction_id"], 200, broadcast_groups=0)
+    assert parts.exceptAll(again).isEmpty()
+    assert P.with_parts(rows.limit(0), ["user_id", "_b"], ["_us"], 10).count() == 0

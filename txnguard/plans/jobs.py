@@ -92,6 +92,12 @@ def assert_schema(df: DataFrame, expected: T.StructType, check_nullable: bool =
         raise AssertionError(f"schema mismatch:\n got  {got}\n want {want}")
 
 
+def is_stream_sink(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming sink writes the folder: its files are listed in the sink's log."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
 def compact_table(
     spark: SparkSession,
     path: str,
@@ -109,7 +115,7 @@ def compact_table(
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_spark_metadata")):
+    if is_stream_sink(spark, path):
         raise ValueError(f"{path} is a streaming sink folder; compaction would break its log")
     df = _dates_filter(spark.read.parquet(path), dates)
     found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{EVENT_DATE}=*")) or []

@@ -21,8 +21,11 @@ from txnguard.operators import scoring as SC
 from txnguard.operators import ingest as I
 from txnguard.operators import marts as M
 from txnguard.operators import quantiles as QU
+from txnguard.operators import rollup_parts as PARTS
 from txnguard.operators import rules as R
+from txnguard.operators import seen as SEEN
 from txnguard.plans import jobs
+from txnguard.plans import layout as LAYOUT
 from txnguard.schemas import FRAUD_UNION_COLS, HIT_COLS, TXN_COLS
 from txnguard.session import configure, work_dir
 from txnguard.streaming import consolidate as SCON
@@ -447,6 +450,63 @@ def q_fraud_model_training(spark, sf_dir):
     return ML.training_set(feats, ML.user_labels(SC.scored_transactions(silver, **FIXTURE_RULE_PARAMS)))
 
 
+def _temporal(spark, sf_dir):
+    from txnguard.operators import model as ML
+
+    silver = _silver(spark, sf_dir)
+    flagged = SC.scored_transactions(silver, **FIXTURE_RULE_PARAMS).where("is_fraud = 1")
+    return ML.temporal_training(silver, flagged, horizon="2 minutes", trailing=FIXTURE_TRAILING)
+
+
+def q_fraud_model_temporal_training(spark, sf_dir):
+    """D15 in time: features at a transaction, label after it, split by time."""
+    return _temporal(spark, sf_dir).withColumns({c: F.round(c, 2) for c in ("trailing_amount", "prior_sum")})
+
+
+def q_fraud_model_temporal(spark, sf_dir):
+    """D15 in time (no SQL twin): probabilities of the later, held-out period."""
+    from txnguard.operators import model as ML
+
+    return ML.fit_temporal(_temporal(spark, sf_dir))
+
+
+def q_silver_dedup_incremental(spark, sf_dir):
+    """D9 against history: half of the rows as one delivery, then all of them redelivered with the other half."""
+    silver = _silver(spark, sf_dir)
+    first = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    index = SEEN.SeenIds(spark, work_dir(spark, "seen", unique=True), buckets=16, segments=2)
+    one, _ = SEEN.dedup_delivery(silver.where(first), index, "d1")
+    two, _ = SEEN.dedup_delivery(redelivered(silver.where(~first)).unionByName(silver.where(first)), index, "d2")
+    return _ntz(one.unionByName(two), "ingestion_time")
+
+
+def q_metrics_rollup_incremental(spark, sf_dir):
+    """D11 from stored day partials after one day ran again; users are sketch estimates, reported as within 5 % of the exact ones."""
+    silver = _silver(spark, sf_dir)
+    hits = _consolidated(silver)
+    path = work_dir(spark, "rollup_days", unique=True)
+    PARTS.write_days(PARTS.day_partials(silver, hits), path)
+    day = F.to_date("ingestion_time") == silver.agg(F.min(F.to_date("ingestion_time"))).first()[0]
+    PARTS.write_days(PARTS.day_partials(silver.where(day), hits.where(day)), path)
+    rollup = PARTS.rollup_of(PARTS.read_days(spark, path)).alias("p")
+    exact = M.metrics_rollup(silver, hits, exact=True).alias("e")
+    same = F.col("p.grouping_level") == F.col("e.grouping_level")
+    for d in M.ROLLUP_DIMS:
+        same = same & F.col(f"p.{d}").eqNullSafe(F.col(f"e.{d}"))
+    close = lambda c: (F.abs(F.col(f"p.{c}") - F.col(f"e.{c}")) <= 1 + 0.05 * F.col(f"e.{c}")).alias(f"{c}_close")
+    figures = ["grouping_level", "n_txn", "total_amount", "n_flagged", "flagged_amount", "flag_rate"]
+    out = rollup.join(exact, same).select(*[F.col(f"p.{c}") for c in [*M.ROLLUP_DIMS, *figures]], close("n_users"), close("n_flagged_users"))
+    return _date_text(out)
+
+
+def q_lake_zorder(spark, sf_dir):
+    """A table rewritten in Z-order, read whole again."""
+    path = work_dir(spark, "zorder", unique=True)
+    _silver(spark, sf_dir).write.parquet(path)
+    LAYOUT.zorder_table(spark, path, rows_per_file=2000)
+    return _ntz(spark.read.parquet(path).select(*TXN_COLS), "ingestion_time")
+
+
 def q_metrics_rollup_approx(spark, sf_dir):
     """The default rollup, whose distinct users are HyperLogLog estimates."""
     silver = _silver(spark, sf_dir)
@@ -473,6 +533,11 @@ def queries() -> dict[str, Query]:
         "tagged_union": q_tagged_union,
         "lake_fraud_union": q_lake_fraud_union,
         "fraud_model_training": q_fraud_model_training,
+        "fraud_model_temporal_training": q_fraud_model_temporal_training,
+        "fraud_model_temporal": q_fraud_model_temporal,
+        "silver_dedup_incremental": q_silver_dedup_incremental,
+        "metrics_rollup_incremental": q_metrics_rollup_incremental,
+        "lake_zorder": q_lake_zorder,
         "metrics_rollup_approx": q_metrics_rollup_approx,
         "user_features_approx": q_user_features_approx,
         "fraud_union": q_fraud_union,
