@@ -11,7 +11,9 @@ import re
 from pyspark.sql import DataFrame
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                "FlatMapCoGroupsInPandas", "PythonUDF")
+                "FlatMapCoGroupsInPandas", "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "MapInArrow",
+                "PythonMapInArrow", "TransformWithState", "ArrowAggregatePython", "ArrowWindowPython",
+                "ArrowEvalPythonUDTF", "BatchEvalPythonUDTF", "PythonUDF")
 NESTED_LOOP_NODES = ("BroadcastNestedLoopJoin", "CartesianProduct")
 
 

@@ -33,8 +33,7 @@ from txnguard.schemas import BRONZE_SCHEMA, EVENT_DATE, TXN_COLS, VELOCITY_WINDO
 from txnguard.session import checkpoint_root
 from txnguard.sources import lake
 
-# Upper bound on bytes per flagged window row (user_id text + two timestamps
-# + row overhead) used to turn a row count into a broadcast size estimate.
+# Bytes per flagged window row beside its user_id text (two timestamps, count, row and hash overhead).
 WINDOW_ROW_BYTES = 128
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -157,12 +156,13 @@ def _with_days_before(dates: list[str] | None, window: str) -> list[str] | None:
 
 
 def checked_broadcast(windows: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Broadcast ``windows`` only when a counted estimate is under ``max_bytes``.
+    """Broadcast ``windows`` only when their measured size is under ``max_bytes``: rows, and the bytes of the user ids,
+    which may be of any length.
 
-    ``windows`` must be a file scan (plus filters) so that ``count`` is cheap.
+    ``windows`` must be a file scan (plus filters) so that reading one column of it is cheap.
     """
-    n = windows.count()
-    if n * WINDOW_ROW_BYTES <= max_bytes:
+    n, text = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("user_id").cast("long")), F.lit(0))).first()
+    if n * WINDOW_ROW_BYTES + text <= max_bytes:
         return F.broadcast(windows), True
     return windows, False
 
