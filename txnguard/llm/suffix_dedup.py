@@ -380,7 +380,8 @@ def _look(window: int, lead: int, buckets: int):
 
 _WINDOWS = 1 << 18  # windows that a bucket compares at a time
 _SPOT_FIELDS = [("bucket", pa.int64()), ("kind", pa.int32()), ("t", pa.binary()), ("doc", pa.int64()), ("payload", pa.binary())]
-_FOUND_FIELDS = [("t", pa.binary()), ("doc", pa.int64()), ("ranges", pa.binary()), ("window", pa.binary())]
+_FOUND_FIELDS = [("slot", pa.int64()), ("t", pa.binary()), ("doc", pa.int64()), ("ranges", pa.binary()), ("window", pa.binary())]
+_PACKED = 8 << 20  # bytes of results that a task packs at a time
 
 
 def _merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -446,12 +447,56 @@ def _send_spots(window: int, splitters: np.ndarray, flush_spots: int):
     return run
 
 
-def _compare(window: int, splitters: np.ndarray):
-    """Removed ranges of rows, and the windows of buckets' boundaries; the rows come by bucket."""
+class Packer:
+    """Removed ranges of many rows, packed by slots of rows: a row of output per slot, whatever number of texts."""
+
+    def __init__(self, slots: int):
+        self.slots, self.held, self.size = slots, {}, 0
+
+    def add(self, t: bytes, doc: int, ranges: bytes) -> None:
+        own = self.held.setdefault(int.from_bytes(t[:6], "little") % self.slots, bytearray())
+        own += t + np.array([doc, len(ranges)], dtype="<i8").tobytes() + ranges
+        self.size += 32 + len(ranges)
+
+    def rows(self, whatever: bool = False) -> list[tuple]:
+        if not whatever and self.size < _PACKED:
+            return []
+        out = [(slot, None, None, bytes(own), None) for slot, own in sorted(self.held.items())]
+        self.held, self.size = {}, 0
+        return out
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(t, doc, ranges) of each row, merged; the packed rows come by slot."""
+    fields = _FOUND_FIELDS[1:4]
+
+    def told(held: dict) -> pa.RecordBatch:
+        rows = []
+        for (t, doc), parts in held.items():
+            own = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
+            rows.append((t, doc, _merged(*own[np.argsort(own[:, 0], kind="stable")].T).astype("<i8").tobytes()))
+        return _batch(rows, fields)
+
+    now, held = None, {}
+    for batch in batches:
+        for slot, payload in zip(batch.column("slot").to_pylist(), batch.column("ranges").to_pylist()):
+            if slot != now:
+                yield told(held)
+                now, held = slot, {}
+            at = 0
+            while at < len(payload):
+                doc, n = np.frombuffer(payload, "<i8", 2, at + 16).tolist()
+                held.setdefault((payload[at : at + 16], doc), []).append(payload[at + 32 : at + 32 + n])
+                at += 32 + n
+    yield told(held)
+
+
+def _compare(window: int, splitters: np.ndarray, slots: int):
+    """Removed ranges of rows, packed by slots, and the windows of buckets' boundaries; the rows come by bucket."""
     layout, at_once = Layout(window), _WINDOWS
     cut = {x.tobytes() for x in splitters.view(np.uint8).reshape(-1, layout.size)[:, : layout.lead]}
 
-    def close(payloads: list[bytes]) -> list[tuple]:
+    def close(payloads: list[bytes], packer: Packer) -> list[tuple]:
         if not payloads:
             return []
         ids, rows, firsts, raws = {}, [], [], []
@@ -508,7 +553,7 @@ def _compare(window: int, splitters: np.ndarray):
             w, r, start = at_rows(np.flatnonzero(border[group[at]] & ~bad))
             if len(w):
                 flat = np.column_stack([*(one[d][at[w]] for d in range(layout.leads)), chars[0][w] & np.uint64(0xFFFFFFFF), *(c[w] for c in chars[1:])]).astype(">u8")
-                out.extend((*names[i], np.array([s, s + window], dtype="<i8").tobytes(), hashlib.md5(x.tobytes()).digest()) for i, s, x in zip(r.tolist(), start.tolist(), flat))
+                out.extend((None, *names[i], np.array([s, s + window], dtype="<i8").tobytes(), hashlib.md5(x.tobytes()).digest()) for i, s, x in zip(r.tolist(), start.tolist(), flat))
 
         # groups of equal leading bytes stay together
         upto, lo = np.cumsum(many[use]), 0
@@ -519,22 +564,24 @@ def _compare(window: int, splitters: np.ndarray):
             windows_of(use[lo:hi])
             lo = hi
         r, lo, hi = (np.concatenate(x) for x in zip(*gone))
-        return out + [(*names[i], ranges, None) for i, ranges in _by_row(r, lo, hi)]
+        for i, ranges in _by_row(r, lo, hi):
+            packer.add(*names[i], ranges)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, packer = None, [], Packer(slots)
         for batch in batches:
             out = []
             for bucket, kind, t, doc, payload in zip(*(batch.column(n).to_pylist() for n, _ in _SPOT_FIELDS)):
                 if kind == DONE:
-                    out.append((t, doc, payload, None))
+                    packer.add(t, doc, payload)
                     continue
                 if bucket != now:
-                    out += close(held)
+                    out += close(held, packer)
                     now, held = bucket, []
                 held.append(payload)
-            yield _batch(out, _FOUND_FIELDS)
-        yield _batch(close(held), _FOUND_FIELDS)
+            yield _batch(out + packer.rows(), _FOUND_FIELDS)
+        yield _batch(close(held, packer) + packer.rows(whatever=True), _FOUND_FIELDS)
 
     return run
 
@@ -609,12 +656,15 @@ def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 32 << 20, flush
     sent = open_rows.select(F.col("doc_id").cast("long").alias("doc"), "t", "text", "spots").mapInArrow(
         _send_spots(window, splitters, flush_spots), "bucket long, kind int, t binary, doc long, payload binary"
     )
-    compared = sent.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(_compare(window, splitters), "t binary, doc long, ranges binary, window binary")
+    compared = sent.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        _compare(window, splitters, ranges), "slot long, t binary, doc long, ranges binary, window binary"
+    )
     compared = materialize(compared, "compared")
     border = compared.where("window is not null")
     smallest = materialize(border.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("last > first"), "border")
     across = border.join(smallest, "window").where("doc > first").select("t", "doc", "ranges")
-    gone = compared.where("window is null").select("t", "doc", "ranges").unionByName(across)
+    packed = compared.where("slot is not null").select("slot", "ranges").repartition(ranges, "slot").sortWithinPartitions("slot")
+    gone = packed.mapInArrow(_unpacked, "t binary, doc long, ranges binary").unionByName(across)
     gone = materialize(gone.groupBy("t", "doc").agg(F.collect_list("ranges").alias("ranges")), "ranges")
 
     left = open_rows.select("doc_id", "t", "text", F.col("doc_id").cast("long").alias("doc")).join(gone, ["t", "doc"], "left")
