@@ -23,8 +23,9 @@ joins meet tables in the shared folder, so hot keys can be split at run time.
 Cases: a null text has no words. Documents of fewer than ``window`` words keep
 all. Rows with one id are one document: they remove nothing from each other. A
 row without an id removes nothing and keeps all. Repeated rows are returned as
-often as they occur; other columns are ignored. Equality of windows is that of
-128-bit hashes; codes of blocks only propose windows.
+often as they occur; other columns are ignored. Equality of windows and of whole texts
+is that of 128-bit hashes; codes of blocks, and the 64-bit keys they travel under, only
+propose windows. Texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -221,8 +222,9 @@ def _candidates(window: int, block: int, buckets: int):
         for batch in small_batches(batches):
             rows = []
             texts = texts_of(batch)
-            for text, doc_id, key, copy, runs, codes in zip(texts, *(batch.column(c).to_pylist() for c in ("doc_id", "key", "copy", "runs", "codes"))):
+            for text, doc_id, key, copy_of, runs, codes in zip(texts, *(batch.column(c).to_pylist() for c in ("doc_id", "key", "copy_of", "runs", "codes"))):
                 words = text.encode().split()
+                copy = copy_of is not None and hashlib.md5(text.encode()).hexdigest() == copy_of
                 if len(words) < window or not (copy or runs or codes):
                     rows.append((doc_id, key, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), None, None, None))
                 elif copy:
@@ -252,8 +254,9 @@ def _remove(window: int):
                 words = text.encode().split()
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 if bad:
+                    known = np.frombuffer(b"".join(bad), dtype="S16")
                     starts = np.arange(len(words) - window + 1)
-                    starts = starts[np.isin(window_hashes(words, starts, window)[:, 0], np.array(bad, dtype=np.int64))]
+                    starts = starts[np.isin(window_hashes(words, starts, window).astype(">i8").view("S16").ravel(), known)]
                     np.add.at(gone, starts, 1)
                     np.add.at(gone, starts + window, -1)
                 kept = [w for w, g in zip(words, np.cumsum(gone).tolist()) if not g]
@@ -282,10 +285,11 @@ def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 256 << 20, flus
 
     ids = materialize(named.select("key", "doc_id", F.md5(F.col("text").cast("binary")).alias("t")).distinct(), "texts")
     firsts = materialize(ids.groupBy("t").agg(F.min("doc_id").alias("first")), "firsts")
-    copies = ids.join(firsts, "t").where("doc_id > first").select(F.col("key").alias("doc"), F.lit(True).alias("copy"))
-    found = hits.withColumn("copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
-    found = found.groupBy("doc").agg(F.max("copy").alias("copy"), F.collect_list("runs").alias("runs"), F.collect_list("codes").alias("codes"))
-    found = materialize(found.select(F.col("doc").alias("key"), "copy", "runs", "codes"), "found")
+    copies = ids.join(firsts, "t").where("doc_id > first").select(F.col("key").alias("doc"), F.col("t").alias("copy_of"))
+    # the text's md5 tells whether a row is the copy that its key names
+    found = hits.unionByName(copies, allowMissingColumns=True)
+    found = found.groupBy("doc").agg(F.max("copy_of").alias("copy_of"), F.collect_list("runs").alias("runs"), F.collect_list("codes").alias("codes"))
+    found = materialize(found.select(F.col("doc").alias("key"), "copy_of", "runs", "codes"), "found")
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     seen = rows.join(found, "key", "left").mapInArrow(
@@ -295,9 +299,12 @@ def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 256 << 20, flus
     windows = seen.where("text is not null").select("key", "doc_id", F.explode(F.arrays_zip("hi", "lo")).alias("w")).select("key", "doc_id", "w.hi", "w.lo")
     least = windows.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
     least = materialize(least.drop("last"), "least")
-    bad = materialize(windows.join(least, ["hi", "lo"]).where("doc_id > first").select("key", "hi"), "repeats")
-    bad = materialize(bad.groupBy("key").agg(F.collect_set("hi").alias("bad")), "removed")
-    open_rows = seen.where("text is not null").select("key", "doc_id", "text").join(bad, "key", "left").drop("key")
+    bad = materialize(windows.join(least, ["hi", "lo"]).where("doc_id > first").select("key", "doc_id", "hi", "lo"), "repeats")
+    # both halves of a hash as 16 bytes, the highest first
+    raw = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    bad = bad.select("key", "doc_id", F.concat(raw("hi"), raw("lo")).alias("w"))
+    bad = materialize(bad.groupBy("key", "doc_id").agg(F.collect_set("w").alias("bad")), "removed")
+    open_rows = seen.where("text is not null").select("key", "doc_id", "text").join(bad, ["key", "doc_id"], "left").drop("key")
     cut = open_rows.mapInArrow(_remove(window), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")
     done = seen.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256", F.lit(None).cast("string").alias("kept"))
     return done.unionByName(cut)
