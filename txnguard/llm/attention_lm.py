@@ -25,7 +25,8 @@ once, with 8 to 31 ids before it. Windows of many documents run as one batch.
 Cases: a null text is an empty one, which has the end alone. Repeated rows are
 counted and scored as often as they occur. A null id is in no held-out fold.
 Without training documents every word is unknown and the model is uniform over
-clusters. Other columns are ignored.
+clusters. Texts of any length are read whole, window by window. Words of equal counts
+are ordered by id. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

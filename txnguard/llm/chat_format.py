@@ -12,7 +12,8 @@ more after the first character of each, however many are there already, and
 
 Cases: a null text, role or id reads as empty (a null conversation id is a
 conversation of its own); rows of one turn are ordered by role and text; repeated
-rows are turns of their own; other columns are ignored. Any role can occur.
+rows are turns of their own; other columns are ignored. Any role can occur. Texts of
+any length are formatted whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -1,5 +1,8 @@
 """Connected components by alternating large-star and small-star rounds.
 
+The rounds are logarithmic in the number of vertices in practice (chains of 10^9
+take some thirty); more than ``max_rounds`` raise rather than return parts.
+
 Each round is a few joins and grouped minima on tables written to the shared
 folder, so the join that hands a vertex's minimum to its edges has plain
 shuffles on both sides and a hub's edges can be split at run time.

@@ -14,8 +14,10 @@ most; beyond that both joins shuffle, and candidates carry places instead of wor
 Cases: null texts have no words. An item without a word has no window. Items with
 a null id mark words as hit but are not counted or listed. Repeated items count
 by their id once. Documents are told apart by id and text, so repeated rows get
-the same result each; a null document id is an id of its own. Other columns are
-ignored.
+the same result each; a null document id is an id of its own. Texts of any length
+are read whole. Shingles that are equally rare are taken in the order of their hashes.
+Other columns are ignored; without documents there are no rows, without benchmark
+items no word is hit.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ left, the largest first, so that small inputs per task cost few extra sequences.
 Cases: a null text is an empty one and still holds the end id. A document over
 ``capacity`` tokens is cut into full pieces and one last shorter piece; shorter
 documents are never cut. Repeated rows are packed as often as they occur. Other
-columns of the input are ignored. An empty table gives no rows.
+columns of the input are ignored. An empty table gives no rows. Of sequences with equal
+free space, the one that got it last is filled first. Texts of any length are read whole.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ they stand, blanks included; a line without a word is never a duplicate. Without
 labelled rows of both classes the learned rule keeps all. A document labelled
 more than once counts as good if any label is 1. Null ids and null labels are
 not learned from. Windows of words are compared by 64-bit hashes within a text.
-Other columns are ignored.
+Repeated rows are judged each for itself, and sampled once; a probability at the
+threshold is kept. Texts of any length are read whole. Other columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

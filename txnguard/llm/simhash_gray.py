@@ -24,6 +24,7 @@ like any other. A text of fewer words than a shingle is one shingle. Equal
 fingerprints share a component. A component's id is its smallest document id;
 null ids are ignored there, so a component of null ids alone has a null id.
 Repeated rows are returned as often as they occur; other columns are ignored.
+Texts of any length are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
