@@ -94,7 +94,7 @@ def byte_alphabet() -> dict[str, int]:
 
 # --- hashed n-grams -------------------------------------------------------------------
 
-SEGMENT = 1 << 20  # code points hashed at a time; longer texts are cut with an overlap, so no n-gram is lost
+SEGMENT = 1 << 18  # code points hashed at a time; longer texts are cut with an overlap, so no n-gram is lost
 
 
 def char_ngrams(texts: list[str], sizes: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
