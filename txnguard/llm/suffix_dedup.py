@@ -18,7 +18,7 @@ all the windows in a row that share it (a spot).
    spots share the leading bytes, their windows are sorted the same way, and
    neighbours give each window's smallest document.
 4. Leading bytes that a splitter cuts stand in several buckets: their windows are
-   compared across boundaries, by the smallest document of each.
+   compared across boundaries, by the smallest document that each bucket has for one.
 5. The removed windows of a document are joined back to its text.
 
 Copies of whole texts are recognised by their md5 first and take no further part.
@@ -380,7 +380,9 @@ def _look(window: int, lead: int, buckets: int):
 
 _WINDOWS = 1 << 18  # windows that a bucket compares at a time
 _SPOT_FIELDS = [("bucket", pa.int64()), ("kind", pa.int32()), ("t", pa.binary()), ("doc", pa.int64()), ("payload", pa.binary())]
-_FOUND_FIELDS = [("slot", pa.int64()), ("t", pa.binary()), ("doc", pa.int64()), ("ranges", pa.binary()), ("window", pa.binary())]
+_FOUND_FIELDS = [("slot", pa.int64()), ("what", pa.string()), ("payload", pa.binary())]
+_ROW_FIELDS = [("t", pa.binary()), ("doc", pa.int64()), ("ranges", pa.binary())]
+_EDGE = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("t", "V16"), ("doc", "<i8"), ("start", "<i8")])
 _PACKED = 8 << 20  # bytes of results that a task packs at a time
 
 
@@ -448,7 +450,7 @@ def _send_spots(window: int, splitters: np.ndarray, flush_spots: int):
 
 
 class Packer:
-    """Removed ranges of many rows, packed by slots of rows: a row of output per slot, whatever number of texts."""
+    """Removed ranges of many rows, or windows of boundaries, packed by slots: a row of output per slot, whatever number of texts."""
 
     def __init__(self, slots: int):
         self.slots, self.held, self.size = slots, {}, 0
@@ -458,28 +460,32 @@ class Packer:
         own += t + np.array([doc, len(ranges)], dtype="<i8").tobytes() + ranges
         self.size += 32 + len(ranges)
 
-    def rows(self, whatever: bool = False) -> list[tuple]:
+    def add_window(self, digest: bytes, t: bytes, doc: int, start: int) -> None:
+        own = self.held.setdefault(int.from_bytes(digest[:6], "little") % self.slots, bytearray())
+        own += digest + t + np.array([doc, start], dtype="<i8").tobytes()
+        self.size += _EDGE.itemsize
+
+    def rows(self, what: str, whatever: bool = False) -> list[tuple]:
         if not whatever and self.size < _PACKED:
             return []
-        out = [(slot, None, None, bytes(own), None) for slot, own in sorted(self.held.items())]
+        out = [(slot, what, bytes(own)) for slot, own in sorted(self.held.items())]
         self.held, self.size = {}, 0
         return out
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(t, doc, ranges) of each row, merged; the packed rows come by slot."""
-    fields = _FOUND_FIELDS[1:4]
 
     def told(held: dict) -> pa.RecordBatch:
         rows = []
         for (t, doc), parts in held.items():
             own = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
             rows.append((t, doc, _merged(*own[np.argsort(own[:, 0], kind="stable")].T).astype("<i8").tobytes()))
-        return _batch(rows, fields)
+        return _batch(rows, _ROW_FIELDS)
 
     now, held = None, {}
     for batch in batches:
-        for slot, payload in zip(batch.column("slot").to_pylist(), batch.column("ranges").to_pylist()):
+        for slot, payload in zip(batch.column("slot").to_pylist(), batch.column("payload").to_pylist()):
             if slot != now:
                 yield told(held)
                 now, held = slot, {}
@@ -491,14 +497,38 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told(held)
 
 
+def _across(window: int):
+    """(t, doc, ranges): windows of boundaries whose smallest document, over all buckets, is smaller than their row's; they come by slot."""
+
+    def told(payloads: list[bytes]) -> pa.RecordBatch:
+        own = np.sort(np.frombuffer(b"".join(payloads), _EDGE), order=["hi", "lo"])
+        edges = _starts(own["hi"], own["lo"])
+        if len(own):
+            own = own[own["doc"] > np.repeat(np.minimum.reduceat(own["doc"], edges[:-1]), np.diff(edges))]
+        rows = [(t.tobytes(), doc, np.array([at, at + window], dtype="<i8").tobytes()) for t, doc, at in zip(own["t"], own["doc"].tolist(), own["start"].tolist())]
+        return _batch(rows, _ROW_FIELDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for slot, payload in zip(batch.column("slot").to_pylist(), batch.column("payload").to_pylist()):
+                if slot != now:
+                    yield told(held)
+                    now, held = slot, []
+                held.append(payload)
+        yield told(held)
+
+    return run
+
+
 def _compare(window: int, splitters: np.ndarray, slots: int):
     """Removed ranges of rows, packed by slots, and the windows of buckets' boundaries; the rows come by bucket."""
     layout, at_once = Layout(window), _WINDOWS
     cut = {x.tobytes() for x in splitters.view(np.uint8).reshape(-1, layout.size)[:, : layout.lead]}
 
-    def close(payloads: list[bytes], packer: Packer) -> list[tuple]:
+    def close(payloads: list[bytes], packer: Packer, edges_out: Packer) -> None:
         if not payloads:
-            return []
+            return
         ids, rows, firsts, raws = {}, [], [], []
         for p in payloads:
             n, m = np.frombuffer(p, "<u4", 2).tolist()
@@ -531,7 +561,6 @@ def _compare(window: int, splitters: np.ndarray, slots: int):
         # the windows of a spot belong to the rows of its smallest document
         holders = np.flatnonzero(~whole)
         lo_hi = np.searchsorted(spot[holders], np.arange(len(edges)))
-        out = []
 
         def windows_of(use: np.ndarray) -> None:
             at, number, chars = layout.windows([c[use] for c in one], group[use])
@@ -553,7 +582,8 @@ def _compare(window: int, splitters: np.ndarray, slots: int):
             w, r, start = at_rows(np.flatnonzero(border[group[at]] & ~bad))
             if len(w):
                 flat = np.column_stack([*(one[d][at[w]] for d in range(layout.leads)), chars[0][w] & np.uint64(0xFFFFFFFF), *(c[w] for c in chars[1:])]).astype(">u8")
-                out.extend((None, *names[i], np.array([s, s + window], dtype="<i8").tobytes(), hashlib.md5(x.tobytes()).digest()) for i, s, x in zip(r.tolist(), start.tolist(), flat))
+                for i, s, x in zip(r.tolist(), start.tolist(), flat):
+                    edges_out.add_window(hashlib.md5(x.tobytes()).digest(), *names[i], s)
 
         # groups of equal leading bytes stay together
         upto, lo = np.cumsum(many[use]), 0
@@ -566,22 +596,21 @@ def _compare(window: int, splitters: np.ndarray, slots: int):
         r, lo, hi = (np.concatenate(x) for x in zip(*gone))
         for i, ranges in _by_row(r, lo, hi):
             packer.add(*names[i], ranges)
-        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, packer = None, [], Packer(slots)
+        now, held, packer, edges_out = None, [], Packer(slots), Packer(-(-slots // 8))
         for batch in batches:
-            out = []
             for bucket, kind, t, doc, payload in zip(*(batch.column(n).to_pylist() for n, _ in _SPOT_FIELDS)):
                 if kind == DONE:
                     packer.add(t, doc, payload)
                     continue
                 if bucket != now:
-                    out += close(held, packer)
+                    close(held, packer, edges_out)
                     now, held = bucket, []
                 held.append(payload)
-            yield _batch(out + packer.rows(), _FOUND_FIELDS)
-        yield _batch(close(held, packer) + packer.rows(whatever=True), _FOUND_FIELDS)
+            yield _batch(packer.rows("ranges") + edges_out.rows("windows"), _FOUND_FIELDS)
+        close(held, packer, edges_out)
+        yield _batch(packer.rows("ranges", whatever=True) + edges_out.rows("windows", whatever=True), _FOUND_FIELDS)
 
     return run
 
@@ -656,15 +685,11 @@ def dedup(docs: DataFrame, window: int = 50, bucket_bytes: int = 32 << 20, flush
     sent = open_rows.select(F.col("doc_id").cast("long").alias("doc"), "t", "text", "spots").mapInArrow(
         _send_spots(window, splitters, flush_spots), "bucket long, kind int, t binary, doc long, payload binary"
     )
-    compared = sent.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _compare(window, splitters, ranges), "slot long, t binary, doc long, ranges binary, window binary"
-    )
+    compared = sent.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(_compare(window, splitters, ranges), "slot long, what string, payload binary")
     compared = materialize(compared, "compared")
-    border = compared.where("window is not null")
-    smallest = materialize(border.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("last > first"), "border")
-    across = border.join(smallest, "window").where("doc > first").select("t", "doc", "ranges")
-    packed = compared.where("slot is not null").select("slot", "ranges").repartition(ranges, "slot").sortWithinPartitions("slot")
-    gone = packed.mapInArrow(_unpacked, "t binary, doc long, ranges binary").unionByName(across)
+    by_slot = lambda what: compared.where(F.col("what") == what).select("slot", "payload").repartition(ranges, "slot").sortWithinPartitions("slot")
+    removed = "t binary, doc long, ranges binary"
+    gone = by_slot("ranges").mapInArrow(_unpacked, removed).unionByName(by_slot("windows").mapInArrow(_across(window), removed))
     gone = materialize(gone.groupBy("t", "doc").agg(F.collect_list("ranges").alias("ranges")), "ranges")
 
     left = open_rows.select("doc_id", "t", "text", F.col("doc_id").cast("long").alias("doc")).join(gone, ["t", "doc"], "left")
