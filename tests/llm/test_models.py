@@ -20,6 +20,7 @@ from conftest import SF_MID, SF_SMALL
 from txnguard.llm import attention_lm as A
 from txnguard.llm import common as C
 from txnguard.llm import language_id as L
+from txnguard.llm import linear
 from txnguard.llm import quality_pu as PU
 from txnguard.llm import quality_rules as R
 from txnguard.llm import queries as Q
@@ -200,6 +201,18 @@ def test_quality_edge_cases(spark):
     assert R.apply(odd_docs(spark, []), None).count() == 0
 
 
+def test_sparse_rows_fit_like_dense_ones():
+    rng = np.random.default_rng(2)
+    x = (rng.random((300, 500)) * (rng.random((300, 500)) < 0.05)).astype(np.float32)
+    x[7] = 0
+    y = (x @ rng.normal(size=500) > 0).astype(np.float32)
+    sparse = linear.SparseRows([linear.packed(row) for row in x], 500)
+    assert (sparse[np.arange(300)] == x).all() and sparse.only(y > 0).shape == (int(y.sum()), 500)
+    (w, b), (dense_w, dense_b) = linear.fit_logistic(sparse, y), linear.fit_logistic(x, y)
+    assert (w == dense_w).all() and b == dense_b
+    assert np.allclose(sparse @ w, x @ w, atol=1e-5)
+
+
 def naive_base(text):
     text = text or ""
     words = text.encode().split()

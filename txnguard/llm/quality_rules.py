@@ -2,7 +2,7 @@
 
 The learned rule is a logistic regression over hashed character and word
 n-grams, trained on a bounded sample of labelled rows (``max_rows``, the lowest
-hashes of their ids), Platt-calibrated on rows kept out of its training, and
+hashes of their ids, brought to the driver as sparse rows), Platt-calibrated on rows kept out of its training, and
 compared with a fixed threshold in Arrow batches.
 
 Cases: a null text has no words, so it fails the base rule. Lines are equal as
@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.llm.common import ASCII_SPACE, count_matrix, hash_cut, sigmoid, small_batches, texts_of, with_columns
-from txnguard.llm.linear import fit_logistic, platt, unit_rows
+from txnguard.llm.linear import SparseRows, fit_logistic, packed, platt, unit_rows
 
 CHAR_SIZES = (1, 2, 3)
-CHAR_BUCKETS = WORD_BUCKETS = 1 << 11
+CHAR_BUCKETS = WORD_BUCKETS = 1 << 12
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 5
 
@@ -97,7 +97,7 @@ def base_counts(texts: list[str], words: list[list[bytes]]) -> dict[str, np.ndar
     }
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> RuleModel | None:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> RuleModel | None:
     own = F.xxhash64("doc_id", F.lit("rules"))
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).select(own.alias("k"), "quality")
     cut = hash_cut(marked.select("k"), max_rows)
@@ -108,20 +108,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> RuleModel |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             texts = texts_of(batch)
-            x = features(texts, [t.encode().split() for t in texts]).astype("<f4")
-            yield with_columns(batch, {"x": pa.array([row.tobytes() for row in x], pa.binary())}, drop={"text"})
+            x = features(texts, [t.encode().split() for t in texts])
+            yield with_columns(batch, {"x": pa.array([packed(row) for row in x], pa.binary())}, drop={"text"})
 
     got = rows.select("k", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(run, "k long, quality int, x binary").dropDuplicates(["k"]).orderBy("k").limit(max_rows).toPandas()
     y = got["quality"].to_numpy()
-    x = np.frombuffer(b"".join(got["x"]), dtype="<f4").reshape(len(got), -1)
+    x = SparseRows(list(got.pop("x")), CHAR_BUCKETS + WORD_BUCKETS)
     held = np.arange(len(y)) % 4 == 3
     if not all(0 < y[part].sum() < part.sum() for part in (held, ~held)):
         held = np.zeros(len(y), dtype=bool)
     if not 0 < y.sum() < len(y):
         return None
-    w, b = fit_logistic(x[~held], y[~held].astype(np.float32))
+    w, b = fit_logistic(x.only(~held), y[~held].astype(np.float32))
     part = held if held.any() else ~held
-    return RuleModel(w, b, *platt((x[part] @ w + b).astype(np.float64), y[part]))
+    return RuleModel(w, b, *platt((x.only(part) @ w + b).astype(np.float64), y[part]))
 
 
 def apply(docs: DataFrame, model: RuleModel | None, threshold: float = 0.5, min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
