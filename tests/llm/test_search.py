@@ -260,4 +260,4 @@ def test_dedup_query_equals_brute_force_and_takes_an_empty_table(spark):
 
 
 def test_registered_text_queries_read_whole_tables():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()) == list(range(1, 14))
