@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 # registered here; the optional text subpackage has its own tests
 OWN = set(registry.queries())
-NO_ORACLE = {"fraud_model", "metrics_rollup_approx", "user_features_approx"}
+NO_ORACLE = {"fraud_model", "fraud_model_temporal", "metrics_rollup_approx", "user_features_approx"}
 
 
 def test_only_models_and_estimates_lack_an_oracle():
