@@ -174,3 +174,35 @@ def test_routing_is_idempotent_and_alerts_are_repaired(spark, scratch):
     other = spark.createDataFrame([(None, (dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 1, 9, 1)), 8, "velocity")], on_time.schema)
     out = L.repaired(on_time.unionByName(other), L.routed(spark, scratch), L.routed(spark, scratch, late=True)).collect()
     assert sorted((r.user_id or "", r["count"]) for r in out) == [("", 8), ("u1", 6)]
+
+
+def test_users_of_a_bucket_share_state_calls_and_keep_their_own_carry():
+    """500 users in a slot cost the calls of one; each user's carry and devices stay apart."""
+    def rule(rows, carry, seen):
+        before, carry["n"] = carry["n"], carry["n"] + len(rows)
+        return [(r, (before, seen(r.device_id))) for r in rows], None
+
+    rule.keeps = None
+    processor, handle = ST.UserRule(rule, [*ST.TXN_COLS, "before", "seen"]), FakeHandle()
+    processor.init(handle)
+    users = [None, "", "\x00nul", *(f"u{i}" for i in range(497))]
+    rows = [Row(*ST.ROW_COLS)(*txn(f"{s}-{u}", user=u, device=f"d{s % 2}"), s * 60_000_000) for s in range(3) for u in users]
+    random.Random(4).shuffle(rows)
+    list(processor.handleInputRows((7,), iter(rows), None))
+    calls = 0
+
+    def counted(method):
+        def call(*args):
+            nonlocal calls
+            calls += 1
+            return method(*args)
+        return call
+
+    for state in handle.states.values():
+        for name in ("get", "update", "getValue", "updateValue", "containsKey", "removeKey"):
+            if hasattr(state, name):
+                setattr(state, name, counted(getattr(state, name)))
+    out = fire(processor, handle, (7,), 10**9)
+    assert len(out) == len(rows) and calls <= 3 * (2 * ST.SEGMENTS + 10)
+    found = sorted((int(r.transaction_id[0]), r.before, r.seen) for r in out)
+    assert found == [(s, s, s == 2) for s in range(3) for _ in users]

@@ -1,21 +1,26 @@
 """Custom stateful streaming rules: D1–D5 on a stream.
 
-Spark has no streaming ``lag`` or running window, so these rules keep state per
-user with ``transformWithState`` (RocksDB state store, typed state fields):
+Spark has no streaming ``lag`` or running window, so these rules keep state with
+``transformWithState`` (RocksDB state store, typed state fields). Every access to the
+state and every timer is a call from Python to the JVM, so the state belongs to a
+*bucket* of users (``BUCKETS`` of them, by a hash of the user) and a call serves all
+users of a bucket:
 
 * rows wait in a map state under (slot, number): a slot is a minute of event time,
   a number a chunk of at most ``CHUNK`` rows of it. An event-time timer per slot
-  releases that slot alone, in (event time, transaction_id) order, once the
-  watermark has passed it. Arrival order does not change the answer, which equals
-  the batch rule, and a call never holds more than one slot of one user, however
-  many rows a micro-batch brings;
-* a small *carry* holds what the rule needs of the rows released so far
+  releases that slot alone, each user's rows in (event time, transaction_id) order,
+  once the watermark has passed it. Arrival order does not change the answer, which
+  equals the batch rule, and a call never holds more than one slot of one bucket,
+  however many rows a micro-batch brings;
+* a small *carry* per user holds what the rule needs of the rows released so far
   (D1: count and sum of amounts; D2: event times of the last window; D3: last
-  time and location; D5: first sighting; D4: a map state with one entry per
-  device, so a new device costs one entry);
-* carries that can no longer matter (D2, D3) are dropped by a timer.
+  time and location; D5: first sighting); a bucket's carries are one value. D4 keeps
+  the (user, device) pairs seen in a map state of ``SEGMENTS`` entries by their hash,
+  of which a slot reads and writes those that its pairs fall in;
+* carries that can no longer matter (D2, D3) are dropped, at a slot's release or by a
+  timer.
 
-The key is the user alone. It does not depend on any setting, so a checkpoint
+The key is the user's bucket alone. It does not depend on any setting, so a checkpoint
 can be restarted under other ones; the number of state partitions is fixed in
 the checkpoint by Spark. Rows later than the watermark are dropped by Spark
 before they reach the state (the usual streaming contract).
@@ -23,6 +28,8 @@ before they reach the state (the usual streaming contract).
 
 from __future__ import annotations
 
+import zlib
+from collections import namedtuple
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -34,10 +41,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from txnguard.functions.columns import event_time, interval_micros
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, SILVER_SCHEMA, TXN_COLS, VELOCITY_WATERMARK
 
-_UK = "_ukey"  # user key with NULL mapped to a marker
+_UK = "_ukey"  # bucket of the user
 _NULL = "\x00null"
 PENDING = T.StructType(list(SILVER_SCHEMA.fields) + [T.StructField("event_us", T.LongType())])
 ROW_COLS = [f.name for f in PENDING.fields]
+PendingRow = namedtuple("PendingRow", ROW_COLS)
 CARRY = T.StructType(
     [
         T.StructField("n", T.LongType()),            # D1 count of amounts
@@ -48,13 +56,16 @@ CARRY = T.StructType(
         T.StructField("recent", T.ArrayType(T.LongType())),  # D2 event times within the window
     ]
 )
+CARRIES = T.StructType([T.StructField("users", T.ArrayType(T.StructType([T.StructField("user_id", T.StringType())] + CARRY.fields)))])
 EMPTY = {"n": 0, "total": 0.0, "last_us": None, "last_loc": None, "first_us": None, "recent": []}
 
 # rule(rows of one user in order, carry, seen) -> (hits with the rule's own values; microseconds after
 # which the carry no longer matters, or None); ``seen(device)`` is True from a device's second time on
-Rule = Callable[[list[Row], dict, Callable[[str], bool]], tuple[list[tuple[Row, tuple]], int | None]]
+Rule = Callable[[list[PendingRow], dict, Callable[[str], bool]], tuple[list[tuple[PendingRow, tuple]], int | None]]
 
 
+BUCKETS = 1024  # groups of users; fixed, as it is part of every checkpoint
+SEGMENTS = 64  # entries that hold a bucket's (user, device) pairs; fixed too
 CHUNK = 512  # rows of a state entry, which is read and written as a whole
 SLOT_MS = 60_000  # event time that is released at once
 _OPEN = 4096  # rows that a call holds before it writes them to the state
@@ -64,7 +75,8 @@ _SLOT_CHUNK = T.StructType([T.StructField("slot", T.LongType()), T.StructField("
 
 
 class UserRule(StatefulProcessor):
-    """Buffers a user's rows by slots until the watermark passes them, then runs ``rule`` over one slot after the other."""
+    """Buffers the rows of a bucket's users by slots until the watermark passes them, then runs ``rule`` over one slot
+    after the other, user by user. Rows begin with ``ROW_COLS``."""
 
     def __init__(self, rule: Rule, names: list[str], slot_ms: int = SLOT_MS):
         self.rule, self.names, self.slot_ms = rule, names, slot_ms
@@ -73,8 +85,8 @@ class UserRule(StatefulProcessor):
         self.handle = handle
         self.chunks = handle.getMapState("chunks", _SLOT_CHUNK, T.StructType([T.StructField("rows", T.ArrayType(PENDING))]))
         self.numbers = handle.getMapState("numbers", _SLOT, T.StructType([T.StructField("n", T.IntegerType())]))
-        self.carry = handle.getValueState("carry", CARRY)
-        self.devices = handle.getMapState("devices", T.StructType([T.StructField("device", T.StringType())]), T.StructType([T.StructField("seen", T.BooleanType())]))
+        self.carry = handle.getValueState("carry", CARRIES)
+        self.devices = handle.getMapState("devices", T.StructType([T.StructField("segment", T.IntegerType())]), T.StructType([T.StructField("pairs", T.ArrayType(T.StringType()))]))
 
     def _slot_end(self, slot: int) -> int:
         return (slot + 1) * self.slot_ms
@@ -82,7 +94,7 @@ class UserRule(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held: dict[int, list[tuple]] = {}
         numbers: dict[int, int] = {}
-        open_rows = 0
+        open_rows, width, slot_us = 0, len(ROW_COLS), 1000 * self.slot_ms
 
         def write(slot: int) -> None:
             nonlocal open_rows
@@ -97,8 +109,8 @@ class UserRule(StatefulProcessor):
             open_rows -= len(own)
 
         for r in rows:
-            row = tuple(r[c] for c in ROW_COLS)
-            slot = row[-1] // (1000 * self.slot_ms)
+            row = tuple(r)[:width]
+            slot = row[-1] // slot_us
             held.setdefault(slot, []).append(row)
             open_rows += 1
             if len(held[slot]) >= CHUNK:
@@ -111,46 +123,65 @@ class UserRule(StatefulProcessor):
             self.numbers.updateValue((slot,), (n,))
         return iter(())
 
-    def _taken(self, slot: int) -> list[Row]:
-        """The rows of a slot, in order; they leave the state."""
+    def _taken(self, slot: int) -> dict[str | None, list[PendingRow]]:
+        """The rows of a slot by user, each user's in order; they leave the state."""
         n = self.numbers.getValue((slot,))
         if not n:
-            return []
-        rows = []
+            return {}
+        users: dict[str | None, list[PendingRow]] = {}
         for number in range(n[0]):
-            rows += [Row(*ROW_COLS)(*r) for r in self.chunks.getValue((slot, number))[0]]
+            for r in self.chunks.getValue((slot, number))[0]:
+                row = PendingRow._make(r)
+                users.setdefault(row.user_id, []).append(row)
             self.chunks.removeKey((slot, number))
         self.numbers.removeKey((slot,))
-        rows.sort(key=lambda r: (r.event_us, r.transaction_id is not None, r.transaction_id or ""))
-        return rows
+        for rows in users.values():
+            rows.sort(key=lambda r: (r.event_us, r.transaction_id is not None, r.transaction_id or ""))
+        return users
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         ready = self._taken(at // self.slot_ms - 1)
         before = self.carry.get()
-        if not ready:
-            if before and self._expired(before, at * 1000):
-                self.carry.clear()
-            return iter(())
-        carry = dict(zip(CARRY.names, before)) if before else dict(EMPTY)
-        carry["recent"] = list(carry["recent"] or [])
-        hits, keep_until = self.rule(ready, carry, self._seen)
-        self.carry.update(tuple(carry[c] for c in CARRY.names))
-        if keep_until is not None:  # at a slot's end too, where a timer may stand already
-            self.handle.registerTimer(self._slot_end(keep_until // (1000 * self.slot_ms)))
-        out = Row(*self.names)
-        return iter([out(*[r[c] for c in TXN_COLS], *extra) for r, extra in hits])
-
-    def _expired(self, carry: tuple, passed: int) -> bool:
+        carries = {user: values for user, *values in before[0]} if before else {}
+        out, found, until, pairs = Row(*self.names), [], None, {}
+        for user, rows in ready.items():
+            carry = dict(zip(CARRY.names, carries[user])) if user in carries else dict(EMPTY)
+            carry["recent"] = list(carry["recent"] or [])
+            hits, keep_until = self.rule(rows, carry, lambda device, user=user: self._seen(pairs, user, device))
+            carries[user] = [carry[c] for c in CARRY.names]
+            if keep_until is not None:
+                until = keep_until if until is None else max(until, keep_until)
+            found += [out(*r[: len(TXN_COLS)], *extra) for r, extra in hits]
+        for segment, (own, known) in pairs.items():
+            if len(own) > known:
+                self.devices.updateValue((segment,), (sorted(own),))
+        kept = [(user, *values) for user, values in carries.items() if not self._expired(values, at * 1000)]
+        if kept and (ready or len(kept) < len(before[0])):
+            self.carry.update((kept,))
+        elif before and not kept:
+            self.carry.clear()
+        if until is not None:  # at a slot's end too, where a timer may stand already
+            self.handle.registerTimer(self._slot_end(until // (1000 * self.slot_ms)))
+        return iter(found)
+
+    def _expired(self, carry: list, passed: int) -> bool:
         """Whether nothing that may still come can need the carry: every rule that drops it keeps its latest event time."""
         last = carry[CARRY.names.index("last_us")]
         return last is not None and self.rule.keeps is not None and last + self.rule.keeps < passed
 
-    def _seen(self, device: str | None) -> bool:
-        key = (_NULL if device is None else device,)
-        if self.devices.containsKey(key):
+    def _seen(self, pairs: dict[int, tuple[set[str], int]], user: str | None, device: str | None) -> bool:
+        """Whether the user had the device before. ``pairs``: the segments that a call has read, and their size in the state."""
+        user, device = (_NULL if x is None else x for x in (user, device))
+        pair = f"{len(user)}:{user}{device}"
+        segment = zlib.crc32(pair.encode()) % SEGMENTS
+        if segment not in pairs:
+            own = self.devices.getValue((segment,))
+            pairs[segment] = (set(own[0]), len(own[0])) if own else (set(), 0)
+        own = pairs[segment][0]
+        if pair in own:
             return True
-        self.devices.updateValue(key, (True,))
+        own.add(pair)
         return False
 
     def close(self) -> None:
@@ -159,11 +190,12 @@ class UserRule(StatefulProcessor):
 
 def _run(silver: DataFrame, rule: Rule, out_schema: T.StructType, watermark: str, keeps: int | None = None) -> DataFrame:
     rule.keeps = keeps
+    bucket = F.pmod(F.xxhash64(F.coalesce(F.col("user_id"), F.lit(_NULL))), F.lit(BUCKETS))
     rows = (
         silver.withColumn("_et", event_time("transaction_time"))
         .filter(F.col("_et").isNotNull())
         .withColumn("event_us", F.unix_micros("_et"))
-        .withColumn(_UK, F.coalesce(F.col("user_id"), F.lit(_NULL)))
+        .select(*ROW_COLS, bucket.alias(_UK), "_et")
         .withWatermark("_et", watermark)
     )
     return rows.groupBy(_UK).transformWithState(
