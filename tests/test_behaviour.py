@@ -3,6 +3,8 @@ references on the driver data."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -159,3 +161,23 @@ def test_null_user_keeps_its_label(spark):
     features = spark.createDataFrame([(None, *[1.0] * 8), ("u", *[1.0] * 8)], "user_id string, " + ", ".join(f"{c} double" for c in M.FEATURES))
     labels = spark.createDataFrame([(None, 1.0)], "user_id string, label double")
     assert {r.user_id: r.label for r in M.training_set(features, labels).collect()} == {None: 1.0, "u": 0.0}
+
+
+def test_passes_get_partitions_by_the_number_of_rows(spark, monkeypatch):
+    """A task's share of the feature, label and scoring passes stays the same when the input grows."""
+    from txnguard.operators import model as ML
+    from txnguard.operators import parts as P
+    from txnguard.operators import scoring as SC
+    from txnguard.plans.inspect import formatted_plan
+
+    rows = [txn(f"t{i}", user=f"u{i % 40}", time=f"2024-01-01T10:{i % 60:02d}:00", amount=float(i)) for i in range(2000)]
+    silver = silver_df(spark, rows)
+    want = sorted(B.transaction_features(silver, trailing="60 seconds").collect(), key=str)
+    for per_task, parts in ((100, 20), (50, 40)):
+        monkeypatch.setattr(P, "ROWS_PER_TASK", per_task)
+        features = B.transaction_features(silver, trailing="60 seconds")
+        for df in (features, SC.fused_hits(silver), ML.next_event(silver, silver.limit(5), "2 minutes")):
+            plan = formatted_plan(df)
+            assert re.search(rf"hashpartitioning\(_uk#\d+, _un#\d+, _b\w*#\d+L?, {parts}\)|hashpartitioning\(user_id#\d+, _b#\d+L, {parts}\)", plan)
+        assert re.search(rf"hashpartitioning\(user_id#\d+, device_id#\d+, {parts}\)", formatted_plan(SC.fused_hits(silver)))
+    assert sorted(features.collect(), key=str) == want

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import event_time, interval_micros
-from txnguard.operators.parts import PART, carried, last_of_part, with_parts
+from txnguard.operators.parts import PART, carried, last_of_part, tasks_for, with_parts
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, TXN_COLS, VELOCITY_MIN_EXCLUSIVE, VELOCITY_WINDOW
 
 RULE_AMOUNT_VS_AVG = "AMOUNT_VS_AVG"
@@ -277,7 +277,7 @@ def as_hits(flagged: DataFrame, rule: str) -> DataFrame:
 
 
 def transaction_features(
-    silver: DataFrame, trailing: str = "10 minutes", bucket: str | None = None
+    silver: DataFrame, trailing: str = "10 minutes", bucket: str | None = None, tasks: int | None = None
 ) -> DataFrame:
     """Per-transaction features in one pass over (user, time bucket).
 
@@ -292,7 +292,8 @@ def transaction_features(
     Rows are grouped by (user, bucket) with the previous bucket's last
     ``trailing`` copied in (D2/D3 pattern) and joined to the per-bucket
     lifetime prefix (D1 pattern) on the same key, so the big side is
-    shuffled once for all features.
+    shuffled once for all features, into ``tasks`` partitions (default: by the
+    number of rows, so that a task's memory does not grow with the input).
     """
     w_us = interval_micros(trailing)
     bucket = bucket or f"{10 * w_us} microseconds"
@@ -322,7 +323,8 @@ def transaction_features(
     comes = known & F.coalesce(F.lag(_US).over(same) + F.lit(w_us) <= F.col(_US), F.lit(True))
     goes = known & F.coalesce(F.lead(_US).over(same) >= F.col(_US) + F.lit(w_us), F.lit(True))
     rows = (
-        rows.join(prefix, ["_uk", "_un", _B], "left")
+        rows.repartition(tasks or tasks_for(silver), "_uk", "_un", _B)
+        .join(prefix, ["_uk", "_un", _B], "left")
         .withColumn("_wn", F.count(own_amount).over(earlier_own))
         .withColumn("_ws", F.sum(own_amount).over(earlier_own))
         .withColumn("_gap", gap)

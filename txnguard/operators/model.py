@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from txnguard.functions.columns import event_time, interval_micros
 from txnguard.operators import behaviour as B
+from txnguard.operators.parts import tasks_for
 from txnguard.session import checkpoint_root
 
 ROWS_PER_PARTITION = 500_000
@@ -108,11 +109,12 @@ TEMPORAL_FEATURES = [
 ]
 
 
-def next_event(rows: DataFrame, events: DataFrame, horizon: str) -> DataFrame:
+def next_event(rows: DataFrame, events: DataFrame, horizon: str, tasks: int | None = None) -> DataFrame:
     """``rows`` with ``next_us``: the time of the user's first of ``events`` after the row and within ``horizon``, in microseconds.
 
     Rows and events meet by (user, bucket of one horizon): a row looks at its own bucket and the next one, so every event
     is in two. In descending time the nearest later event is a running minimum, one sort per bucket.
+    ``tasks``: partitions of that pass (default: by the number of rows).
     """
     from pyspark.sql import Window
 
@@ -120,7 +122,7 @@ def next_event(rows: DataFrame, events: DataFrame, horizon: str) -> DataFrame:
     own = lambda df: B.timed(df).withColumn("_b", F.floor(F.col("_us") / F.lit(h)))
     marks = own(events).select("user_id", "_us", F.explode(F.array("_b", F.col("_b") - 1)).alias("_b"), F.col("_us").alias("_event"))
     left = own(rows).select("user_id", "_us", "_b", F.lit(None).cast("long").alias("_event"), F.struct(*[c for c in rows.columns if c != "user_id"]).alias("_row"))
-    both = left.unionByName(marks, allowMissingColumns=True)
+    both = left.unionByName(marks, allowMissingColumns=True).repartition(tasks or tasks_for(rows), "user_id", "_b")
     later = Window.partitionBy("user_id", "_b").orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, -1)
     found = both.withColumn("next_us", F.min("_event").over(later)).where("_row is not null")
     near = F.when(F.col("next_us") <= F.col("_us") + F.lit(h), F.col("next_us")).alias("next_us")
@@ -138,7 +140,8 @@ def temporal_training(silver: DataFrame, flagged: DataFrame, horizon: str = "5 m
     low, high = silver.agg(F.min(at), F.max(at)).first()
     low, high = low or 0, high or 0
     cut, h = low + int((high - low) * split), interval_micros(horizon)
-    rows = next_event(B.transaction_features(silver, trailing=trailing), flagged, horizon).withColumn("_at", at)
+    tasks = tasks_for(silver)
+    rows = next_event(B.transaction_features(silver, trailing=trailing, tasks=tasks), flagged, horizon, tasks).withColumn("_at", at)
     part = F.when(F.col("_at") + F.lit(h) <= F.lit(cut), "train").when((F.col("_at") > F.lit(cut)) & (F.col("_at") + F.lit(h) <= F.lit(high)), "test")
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
     since = F.coalesce("seconds_since_prev", F.lit(interval_micros(trailing) / 1e6)).alias("since_prev")

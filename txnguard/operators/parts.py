@@ -21,11 +21,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 100_000  # rows that a window or sorting task gets on average
+
 PART = "_part"
 SAMPLES_PER_PART = 16  # sampled order keys from which one splitter is taken
 MOST_PARTS = 4096
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """Partitions for a pass over ``rows``, so that a task's rows do not grow with the input; at least the default parallelism.
+    A shuffle setting, and adaptive coalescing down to the number of cores, would let them grow."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+
+
 def splitters(rows: DataFrame, keys: list[str], order: list[str], max_rows: int) -> DataFrame:
     """(keys, _cuts): ascending order keys that cut every group of more than ``max_rows`` rows into about even parts."""
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(int(max_rows)))

@@ -18,6 +18,7 @@ from txnguard.functions.columns import event_time, interval_micros, risk_score
 from txnguard.operators import behaviour as B
 from txnguard.operators import consolidate as C
 from txnguard.operators import rules as R
+from txnguard.operators.parts import tasks_for
 from txnguard.schemas import HIGH_AMOUNT_THRESHOLD, HIT_COLS, RULE_HIGH_AMOUNT, RULE_HIGH_VELOCITY, TXN_COLS, VELOCITY_MIN_EXCLUSIVE
 
 
@@ -55,8 +56,10 @@ def fused_hits(
     A bucket is a whole number of minutes, so the tumbling windows of R2 lie in
     one bucket each. Rows are copied where another bucket needs them: the last
     ``max_gap`` of a bucket into the next one (D3), and a row exactly on a minute
-    into the minute before, whose inclusive end it is (J1).
+    into the minute before, whose inclusive end it is (J1). Both passes have as many
+    partitions as the rows need, so a task's memory does not grow with the input.
     """
+    tasks = tasks_for(silver)
     gap_us, age_us = interval_micros(max_gap), interval_micros(max_age)
     size = -(-max(10 * gap_us, _MINUTE) // _MINUTE) * _MINUTE
     us, amount = F.col("_us"), F.col("transaction_amount")
@@ -90,6 +93,7 @@ def fused_hits(
     ))
     placed = rows.withColumn("_at", F.explode(places)).withColumn("_b", F.col("_at.b"))
     placed = placed.withColumn("_m", F.col("_at.m")).withColumn("_kind", F.col("_at.kind")).drop("_at")
+    placed = placed.repartition(tasks, "_uk", "_un", "_b")
 
     own, timed = F.col("_kind") == 0, us.isNotNull()
     bucket = Window.partitionBy("_uk", "_un", "_b")
@@ -119,7 +123,7 @@ def fused_hits(
 
     # the first sighting of a device; of its copies the one with the largest amount
     first = F.struct("_us", "transaction_id", (-amount).alias("_neg"), *[c for c in TXN_COLS if c != "transaction_id"])
-    devices = rows.filter(timed).groupBy("user_id", "device_id").agg(F.min(first).alias("_r"))
+    devices = rows.filter(timed).repartition(tasks, "user_id", "device_id").groupBy("user_id", "device_id").agg(F.min(first).alias("_r"))
     new = devices.select(*[F.col(f"_r.{c}") for c in TXN_COLS]).filter(high)
     return hits.unionByName(B.as_hits(new, B.RULE_NEW_DEVICE))
 
