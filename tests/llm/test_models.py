@@ -365,6 +365,44 @@ def test_the_model_learns_from_all_training_rows_not_from_a_sample(spark):
     assert A.WINDOW >= 32 and A.CONTEXT >= 8
 
 
+def test_one_reading_gives_all_ids_and_counts_however_few_words_a_task_holds(spark):
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(3)
+    texts = [" ".join(rng.choice(["Some", "some", "don't", "x" * 70, f"w{rng.randrange(300)}"]) for _ in range(rng.randrange(60))) for _ in range(150)] + [None, "", "a\x1cb <|endoftext|>"]
+    docs = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(5, texts[5]), (5, texts[5])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    whole = encoder(path)
+    wanted, ids = Counter(), Counter()
+    for i, t in docs:
+        if i is None or crc(i, 7) != 2:
+            wanted.update([*(t or "").encode().lower().split(), None])
+            ids.update([*np.frombuffer(whole([t or ""])[0], "<u4").tolist(), 49407])
+    for most in (20, 200_000):
+        got = A.encoded(df, ~fold("doc_id", 7, 2), path, 49407, most).collect()
+        rows = [r for r in got if r.ids is not None]
+        assert sorted(((r.doc_id, r.text, r.ids) for r in rows), key=repr) == sorted(((i, t, np.append(np.frombuffer(whole([t or ""])[0], "<u4"), 49407).astype("<u2").tobytes()) for i, t in docs), key=repr)
+        assert len({r.row for r in rows}) == len(docs) and all((r.part is None) == (r.doc_id is not None and crc(r.doc_id, 7) == 2) for r in rows)
+        words, per_id = Counter(), Counter()
+        for r in got:
+            if r.id is not None:
+                per_id[r.id] += r.n
+            elif r.ids is None:
+                words[None if r.word is None else bytes(r.word)] += r.n
+        assert words == wanted and per_id == ids
+
+
+def test_gradients_of_parts_add_up_and_stand_large_logits():
+    sequences = some_sequences(40)
+    model = small_model(sequences)
+    inputs, targets, _ = A.windows_of([model.slot[s] for s in sequences], model.outside)
+    _, whole = A._gradients(model.params, inputs, targets)
+    parts = A._gradients_of(model.params, inputs, targets, part=7)
+    assert all(np.allclose(whole[k], parts[k], atol=1e-5) for k in whole)
+    steep = {k: 60 * v for k, v in model.params.items()}
+    exact = A._gradients({k: v.astype(np.float64) for k, v in steep.items()}, inputs, targets)[1]
+    for name, g in A._gradients(steep, inputs, targets)[1].items():
+        assert np.isfinite(g).all() and np.abs(g - exact[name]).max() < 0.01 * max(1, np.abs(exact[name]).max()), name
+
+
 # --- subwords ----------------------------------------------------------------------------------
 
 

@@ -1,8 +1,8 @@
 """Language-model scores by a causal self-attention model on subword ids, in numpy.
 
-Statistics: word counts over all training documents give the base model (add-one
-unigrams) and, through their subwords, the frequencies that order the model's
-vocabulary. The words with at least ``floor`` occurrences, ``broadcast_words`` at
+Statistics: one reading of the corpus writes every document's subword ids and counts
+words and ids over all training documents. They give the base model (add-one
+unigrams) and the frequencies that order the model's vocabulary. The words with at least ``floor`` occurrences, ``broadcast_words`` at
 most, are broadcast; rarer words join their counts in a shuffle.
 
 Model: one layer of causal attention with learned positions and a skip path. The
@@ -34,9 +34,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,19 +105,6 @@ def windows_of(sequences: list[np.ndarray], outside: int) -> tuple[np.ndarray, n
 # --- forward and backward -------------------------------------------------------------
 
 
-def _state(p: dict, inputs: np.ndarray) -> tuple:
-    x = p["embed"][inputs] + p["place"]
-    k, v = x @ p["k"], x @ p["v"]
-    own = x[:, CONTEXT:]
-    q = own @ p["q"]
-    a = q @ k.transpose(0, 2, 1) + _MASK
-    np.exp(a - a.max(axis=2, keepdims=True), out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    mixed = a @ v
-    h = np.tanh(own @ p["skip"] + mixed @ p["mix"] + p["bias"])
-    return x, own, q, k, v, a, mixed, h
-
-
 @dataclass
 class _Fast:
     """The parameters laid out for scoring: joint projections, and biases and sums as further rows and columns.
@@ -172,76 +161,113 @@ def log_probs(model: AttentionModel, inputs: np.ndarray, targets: np.ndarray, ba
     p, fast = model.params, _Fast.of(model.params)
     out = np.zeros(targets.shape, dtype=np.float32)
     for lo in range(0, len(inputs), batch):
-        y = targets[lo : lo + batch].ravel()
-        h = _state_only(p, fast, inputs[lo : lo + batch])
-        cluster = np.where(y >= 0, y // CLUSTER, CLUSTERS + 1).astype(np.uint8)
-        order = np.argsort(cluster, kind="stable")  # by cluster, so that each one's rows are one slice
-        edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 2)).tolist()
-        order = order[: edges[-1]]
-        h, y, cluster = h[order], y[order], cluster[order]
-        at = np.arange(len(y))
+        order, y, cluster, edges = _by_cluster(targets[lo : lo + batch])
+        h = _state_only(p, fast, inputs[lo : lo + batch])[order]
+        at, inside = np.arange(len(y)), edges[CLUSTERS]
         z = h @ fast.top
         got = z[at, cluster]
         sums = _exp(z, fast.clip) @ _ONES
-        inner, member = np.ones_like(sums), y - cluster.astype(np.int32) * CLUSTER
-        for c in range(CLUSTERS):
-            a, b = edges[c], edges[c + 1]
-            if b > a:
-                z = h[a:b] @ fast.low[c]
-                got[a:b] += z[at[: b - a], member[a:b]]
-                inner[a:b] = _exp(z, fast.clip) @ _ONES[:CLUSTER]
-        sums *= inner
+        z = _inner(h, fast.low, edges)
+        got[:inside] += z[at[:inside], y[:inside] - cluster[:inside] * CLUSTER]
+        sums[:inside] *= _exp(z, fast.clip) @ _ONES[:CLUSTER]
         out[lo : lo + batch].ravel()[order] = got - np.log(sums)
     return out
 
 
+def _by_cluster(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Places of the targets in order of their clusters, so that each one's rows are one slice; their slots, clusters and the slices' edges."""
+    y = targets.ravel()
+    cluster = np.where(y >= 0, y // CLUSTER, CLUSTERS + 1).astype(np.uint8)
+    order = np.argsort(cluster, kind="stable")
+    edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 2)).tolist()
+    order = order[: edges[-1]]
+    return order, y[order], cluster[order].astype(np.int32), edges
+
+
+def _inner(h: np.ndarray, low: np.ndarray, edges: list[int]) -> np.ndarray:
+    """Logits within their clusters of states in order of these; the rare cluster, which comes last, has none."""
+    z = np.empty((edges[CLUSTERS], CLUSTER), dtype=h.dtype)
+    for c in range(CLUSTERS):
+        if edges[c + 1] > edges[c]:
+            np.matmul(h[edges[c] : edges[c + 1]], low[c], out=z[edges[c] : edges[c + 1]])
+    return z
+
+
+def _exp_rows(z: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """Exponentials of rows of logits, in place; a row is shifted by its largest value only where some could overflow or vanish."""
+    shift = z.size and max(z.max(), -z.min()) > 80
+    if mask is not None:
+        z += mask
+    if shift:
+        z -= z.max(axis=-1, keepdims=True)
+    return np.exp(z, out=z)
+
+
 def _gradients(p: dict, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean negative log-likelihood of the slots, and its gradients."""
-    x, own, q, k, v, a, mixed, h3 = _state(p, inputs)
-    h, y = h3.reshape(-1, WIDTH), targets.ravel()
-    real = np.flatnonzero(y >= 0)
-    n = max(1, len(real))
-    g = {name: np.zeros_like(value) for name, value in p.items()}
-    cluster = y[real] // CLUSTER
-    z = h[real] @ p["top"] + p["top_bias"]
-    z -= z.max(axis=1, keepdims=True)
-    z = np.exp(z)
-    z /= z.sum(axis=1, keepdims=True)
-    loss = -np.log(z[np.arange(len(real)), cluster] + 1e-20).sum()
-    z[np.arange(len(real)), cluster] -= 1
-    z /= n
-    g["top"], g["top_bias"] = h[real].T @ z, z.sum(axis=0)
-    dh = np.zeros_like(h)
-    dh[real] = z @ p["top"].T
-    for c in np.unique(cluster[cluster < CLUSTERS]):
-        rows = real[cluster == c]
-        z = h[rows] @ p["low"][c] + p["low_bias"][c]
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        at = (np.arange(len(rows)), y[rows] - c * CLUSTER)
-        loss -= np.log(z[at] + 1e-20).sum()
-        z[at] -= 1
-        z /= n
-        g["low"][c], g["low_bias"][c] = h[rows].T @ z, z.sum(axis=0)
-        dh[rows] += z @ p["low"][c].T
-    dz = (dh * (1 - h * h)).reshape(h3.shape)
+    n, w, kind = len(inputs), WIDTH, p["embed"].dtype
     flat = lambda t: t.reshape(-1, t.shape[-1])
-    g["bias"] = flat(dz).sum(axis=0)
-    g["skip"], g["mix"] = flat(own).T @ flat(dz), flat(mixed).T @ flat(dz)
+    joint = np.hstack([p["k"], p["v"], p["q"], p["skip"]])
+    x = p["embed"].take(inputs, axis=0)
+    x += p["place"]
+    all_ = (flat(x) @ joint).reshape(n, WINDOW, 4 * w)
+    k, v, q = all_[..., :w], all_[..., w : 2 * w], all_[:, CONTEXT:, 2 * w : 3 * w]
+    e = _exp_rows(q @ k.transpose(0, 2, 1), _MASK)  # attention times its row's sum
+    inverse = 1 / (flat(e) @ np.ones(WINDOW, kind))[:, None]
+    mixed = flat(e @ v)
+    mixed *= inverse
+    h = np.ones((len(mixed), w + 1), dtype=kind)  # the last column carries the biases
+    z = mixed @ p["mix"]
+    z += all_[:, CONTEXT:, 3 * w :].reshape(-1, w)
+    z += p["bias"]
+    np.tanh(z, out=h[:, :w])
+
+    g = {}
+    order, y, cluster, edges = _by_cluster(targets)
+    at, inside, real = np.arange(len(y)), edges[CLUSTERS], max(1, len(y))
+    own = h[order]
+    z = _exp_rows(own @ np.vstack([p["top"], p["top_bias"]]))
+    z *= (1 / (real * (z @ np.ones(z.shape[1], kind))))[:, None]
+    loss = -np.log(z[at, cluster] * real + 1e-20).sum()
+    z[at, cluster] -= kind.type(1 / real)
+    top = own.T @ z
+    g["top"], g["top_bias"] = top[:w], top[w]
+    dh = z @ p["top"].T
+    low = np.concatenate([p["low"], p["low_bias"][:, None]], axis=1)
+    z = _exp_rows(_inner(own, low, edges))
+    z *= (1 / (real * (z @ np.ones(CLUSTER, kind))))[:, None]
+    at, member = at[:inside], y[:inside] - cluster[:inside] * CLUSTER
+    loss -= np.log(z[at, member] * real + 1e-20).sum()
+    z[at, member] -= kind.type(1 / real)
+    inner, back = np.zeros_like(low), np.empty((inside, w), dtype=kind)
+    for c in range(CLUSTERS):
+        rows = slice(edges[c], edges[c + 1])
+        if rows.stop > rows.start:
+            np.matmul(own[rows].T, z[rows], out=inner[c])
+            np.matmul(z[rows], p["low"][c].T, out=back[rows])
+    g["low"], g["low_bias"] = inner[:, :w], inner[:, w]
+    dh[:inside] += back
+
+    dz = np.zeros((len(h), w), dtype=kind)
+    dh *= 1 - own[:, :w] ** 2
+    dz[order] = dh
+    g["bias"], g["mix"] = np.ones(len(dz), kind) @ dz, mixed.T @ dz
     dmixed = dz @ p["mix"].T
-    dv = a.transpose(0, 2, 1) @ dmixed
-    da = dmixed @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = flat(own).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dk @ p["k"].T + dv @ p["v"].T
-    dx[:, CONTEXT:] += dq @ p["q"].T + dz @ p["skip"].T
-    g["place"] = dx.sum(axis=0)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    ids = inputs.ravel()[order]
-    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-    g["embed"][ids[first]] = np.add.reduceat(flat(dx)[order], first, axis=0)
-    return float(loss / n), g
+    dmixed *= inverse
+    ds = dmixed.reshape(n, -1, w) @ v.transpose(0, 2, 1)
+    ds -= np.einsum("ij,ij->i", dmixed, mixed).reshape(n, -1, 1)
+    ds *= e
+    d = np.zeros_like(all_)
+    d[..., :w] = ds.transpose(0, 2, 1) @ q
+    d[..., w : 2 * w] = e.transpose(0, 2, 1) @ dmixed.reshape(n, -1, w)
+    d[:, CONTEXT:, 2 * w : 3 * w] = ds @ k
+    d[:, CONTEXT:, 3 * w :] = dz.reshape(n, -1, w)
+    g["k"], g["v"], g["q"], g["skip"] = np.hsplit(flat(x).T @ flat(d), 4)
+    dx = np.ascontiguousarray((flat(d) @ joint.T).T)
+    g["place"] = dx.reshape(w, n, WINDOW).sum(axis=1).T
+    ids, size = inputs.ravel().astype(np.intp), len(p["embed"])
+    g["embed"] = np.stack([np.bincount(ids, weights=own_dx, minlength=size) for own_dx in dx], axis=1).astype(kind)
+    return float(loss / real), g
 
 
 def neighbours(ranks: list[np.ndarray], size: int) -> np.ndarray:
@@ -336,29 +362,127 @@ def score_ids(model: AttentionModel, sequences: list[np.ndarray]) -> np.ndarray:
 # --- the corpus -----------------------------------------------------------------------
 
 
-def word_counts(docs: DataFrame, train_rows: Column, flush: int = 300_000) -> DataFrame:
-    """(word, n) over the training rows; the null word stands for the end."""
+class _Words(dict):
+    """Numbers of words, in the order in which they are met; ``new``: the words that were met since it was emptied."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+    def __init__(self, words: list[bytes | None] = ()) -> None:
+        super().__init__(zip(words, range(len(words))))
+        self.new, self.held = [], sum(len(w or b"") for w in words)
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            items = list(held.items())
-            for lo in range(0, len(items), 1 << 16):
-                words, n = zip(*items[lo : lo + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "n"])
+    def __missing__(self, word: bytes | None) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        self.held += len(word or b"")
+        return number
 
-        for batch in small_batches(batches):
-            for text in texts_of(batch):
-                held.update(text.encode().lower().split())
-            held[None] += batch.num_rows
-            if len(held) > flush:
-                yield from rows()
-                held.clear()
-        yield from rows()
 
-    counted = docs.where(train_rows).select("text").mapInArrow(count, "word binary, n long")
-    return materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
+class _Encoder:
+    """Ids of texts, and how often each word and id was learned from; the null word stands for the end.
+
+    Each word is encoded when it is met and then known by a number. Beyond ``most`` words, or ``most_bytes`` of them,
+    the less frequent half is dropped and ``dropped`` gives its counts, so a word's counts may come in several parts.
+    """
+
+    def __init__(self, tokenizer_path: str, end_id: int, most: int = 200_000, most_bytes: int = 16 << 20):
+        self.encode, self.most, self.most_bytes = encoder(tokenizer_path, 16 << 20), most, most_bytes
+        self.kind, self.per_id = _id_type(end_id), np.zeros(end_id + 1, dtype=np.int64)
+        self.end = np.array([end_id], dtype="<u4").tobytes()
+        self._keep([], np.zeros(0, np.int64), np.zeros(0, self.kind), np.zeros(0, np.int64))
+
+    def _keep(self, words: list, times: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.words, self.times, self.ids, self.lengths = _Words(words), times, ids, lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words and where each one's end."""
+        size = self.lengths[numbers]
+        stop = np.cumsum(size)
+        at = np.repeat(self.starts[numbers] - stop + size, size)
+        at += np.arange(len(at))
+        return self.ids[at], stop
+
+    def ids_of(self, texts: list[str], learned: np.ndarray) -> list[bytes]:
+        own = [t.encode().split() for t in texts]
+        for x in own:
+            x.append(None)
+        per = np.array([len(x) for x in own])
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=per.sum())
+        if new := self.words.new:
+            found = iter(self.encode.words([w for w in new if w is not None]))
+            raw = [self.end if w is None else next(found) for w in new]
+            lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(raw), "<u4").astype(self.kind)])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.starts = np.cumsum(self.lengths) - self.lengths
+            self.times = np.pad(self.times, (0, len(new)))
+            new.clear()
+        tokens, stop = self._gather(numbers)
+        edges = np.append(0, stop[np.cumsum(per) - 1])
+        self.times += np.bincount(numbers[np.repeat(learned, per)], minlength=len(self.times))
+        self.per_id += np.bincount(tokens[np.repeat(learned, np.diff(edges))], minlength=len(self.per_id))
+        return [tokens[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
+
+    @property
+    def full(self) -> bool:
+        return len(self.words) > self.most or self.words.held > self.most_bytes
+
+    def dropped(self, all_: bool = False) -> dict[bytes | None, int]:
+        words, often = list(self.words), np.zeros(len(self.words), dtype=bool)
+        if not all_:
+            often[np.argsort(-self.times, kind="stable")[: self.most // 2]] = True
+            often &= (self.times > 1) & np.fromiter((len(w or b"") <= 64 for w in words), dtype=bool, count=len(words))
+        out: dict[bytes | None, int] = {}
+        for i in np.flatnonzero(~often & (self.times > 0)).tolist():
+            word = None if words[i] is None else words[i].lower()
+            out[word] = out.get(word, 0) + int(self.times[i])
+        kept = np.flatnonzero(often)
+        self._keep([words[i] for i in kept.tolist()], self.times[kept], self._gather(kept)[0], self.lengths[kept])
+        return out
+
+
+def _id_type(end_id: int) -> str:
+    return "<u2" if end_id < 1 << 16 else "<u4"
+
+
+def encoded_batches(batches: Iterator[pa.RecordBatch], own: _Encoder, row: int) -> Iterator[pa.RecordBatch]:
+    """``encoded``'s rows of one task, from ``row`` on."""
+    types = None
+
+    def rows(size: int, cols: dict[str, pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(size, t) for c, t in types.items()], names=list(types))
+
+    def counted(found: dict, column: str) -> Iterator[pa.RecordBatch]:
+        values, n = list(found), list(found.values())
+        for lo in range(0, len(n), 1 << 15):
+            times = pa.array(n[lo : lo + (1 << 15)], pa.int64())
+            yield rows(len(times), {column: pa.array(values[lo : lo + (1 << 15)], types[column]), "n": times})
+
+    for batch in small_batches(batches):
+        types = {"row": pa.int64()} | {f.name: f.type for f in batch.schema} | {"ids": pa.binary(), "word": pa.binary(), "id": pa.int32(), "n": pa.int64()}
+        learned = pc.is_valid(batch.column("part")).to_numpy(zero_copy_only=False)
+        ids = pa.array(own.ids_of(texts_of(batch), learned), pa.binary())
+        yield rows(batch.num_rows, {f.name: batch.column(f.name) for f in batch.schema} | {"row": pa.array(np.arange(row, row + batch.num_rows), pa.int64()), "ids": ids})
+        row += batch.num_rows
+        if own.full:
+            yield from counted(own.dropped(), "word")
+    if types is not None:
+        yield from counted(own.dropped(all_=True), "word")
+        at = np.flatnonzero(own.per_id)
+        yield from counted(dict(zip(at.tolist(), own.per_id[at].tolist())), "id")
+
+
+def encoded(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, most_words: int = 200_000) -> DataFrame:
+    """One reading of the corpus, written: a row (row, doc_id, k, part, text, ids) of every document, ``part`` being null unless it is
+    learned from, and rows (word, n) and (id, n) with the counts of the training documents, which sum up over the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from encoded_batches(batches, _Encoder(tokenizer_path, end_id, most_words), TaskContext.get().partitionId() << 33)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    hashed = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit("lm")))
+    part = F.when(train_rows, F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int"))
+    read = docs.select("doc_id", hashed.alias("k"), part.alias("part"), "text")
+    return materialize(read.mapInArrow(run, f"row long, doc_id {kind}, k long, part int, text string, ids binary, word binary, id int, n long"), "encoded")
 
 
 def frequent_floor(counts: DataFrame, most: int) -> int:
@@ -374,19 +498,9 @@ def frequent_floor(counts: DataFrame, most: int) -> int:
     return 1 << 62 if floor is None else int(np.ceil(2 ** (floor / 16) - 1e-9))
 
 
-def id_counts(counts: DataFrame, tokenizer_path: str, end_id: int) -> np.ndarray:
-    """Occurrences of every id over all words of ``word_counts``, however many they are; a null word is an end."""
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, own = encoder(tokenizer_path), np.zeros(end_id + 1, dtype=np.int64)
-        for batch in small_batches(batches, column="word", max_rows=8192):
-            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-            for word, raw, times in zip(words, encode([(w or b"").decode() for w in words]), n):
-                np.add.at(own, [end_id] if word is None else np.frombuffer(raw, "<u4").astype(np.int64), times)
-        at = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at], pa.int64())], names=["id", "n"])
-
-    got = counts.select("word", "n").mapInArrow(encoded, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # end_id + 1 rows at most
+def id_counts(rows: DataFrame, end_id: int) -> np.ndarray:
+    """Occurrences of every id over all training documents of ``encoded``."""
+    got = rows.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # end_id + 1 rows at most
     out = np.zeros(end_id + 1)
     out[got["id"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=float)
     return out
@@ -395,43 +509,36 @@ def id_counts(counts: DataFrame, tokenizer_path: str, end_id: int) -> np.ndarray
 def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, max_docs: int = 1500, max_windows: int = 64, broadcast_words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
-    counts = word_counts(docs, train_rows)
+    rows = encoded(docs, train_rows, tokenizer_path, end_id)
+    counts = materialize(rows.where("n is not null and id is null").groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("ends")).first()
     total, distinct, ends = sums["n"] or 0, sums["v"], sums["ends"] or 0
     floor = frequent_floor(counts, broadcast_words)
     top = counts.where(F.col("word").isNotNull() & (F.col("n") >= floor)).toPandas()  # broadcast_words rows at most
 
-    model = spark.sparkContext.broadcast(_fit(docs, train_rows, tokenizer_path, end_id, id_counts(counts, tokenizer_path, end_id), max_docs, max_windows))
+    model = spark.sparkContext.broadcast(_fit(rows, end_id, id_counts(rows, end_id), max_docs, max_windows))
     known = spark.sparkContext.broadcast(dict(zip(map(bytes, top["word"]), np.log10(top["n"].to_numpy() + 1.0).tolist())))
-    end_value, whole = float(np.log10(ends + 1.0)), bool(ends)
+    end_value, whole, ids_type = float(np.log10(ends + 1.0)), bool(ends), _id_type(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, value, lm = encoder(tokenizer_path), known.value, model.value
-        row = TaskContext.get().partitionId() << 33
-        end = np.array([end_id], dtype=np.int64)
+        value, lm = known.value, model.value
         for batch in small_batches(batches):
-            texts = texts_of(batch)
-            ids = [np.append(np.frombuffer(raw, "<u4").astype(np.int64), end) for raw in encode(texts)]
-            n_tokens, n_known, base, rare, times = [], [], [], [], []
-            for text in texts:
-                words = text.encode().lower().split()
-                values = [value.get(w) for w in words]
-                unknown = [w for w, x in zip(words, values) if x is None]
-                found = Counter(unknown)
-                n_tokens.append(len(words) + 1)
-                n_known.append(len(words) - len(unknown) + whole)
-                base.append(end_value + sum(filter(None, values)))  # a known word's value is over 0
-                rare.append(list(found))
-                times.append(list(found.values()))
+            own = [t.encode().lower().split() for t in texts_of(batch)]
+            per, words = np.array([len(x) for x in own]), list(chain.from_iterable(own))
+            values = np.fromiter(map(value.get, words, repeat(0.0)), dtype=np.float64, count=len(words))  # a known word's value is over 0
+            owner, unknown = np.repeat(np.arange(len(own)), per), np.flatnonzero(values == 0)
+            n_unknown = np.bincount(owner[unknown], minlength=len(own))
+            stop = np.cumsum(n_unknown)
+            found = [Counter(map(words.__getitem__, unknown[a:b].tolist())) for a, b in zip((stop - n_unknown).tolist(), stop.tolist())]
             cols = [
-                pa.array(np.arange(row, row + len(texts)), pa.int64()), batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(score_ids(lm, ids), pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
+                batch.column("row"), batch.column("doc_id"), pa.array(per + 1, pa.int64()), pa.array(per - n_unknown + whole, pa.int64()),
+                pa.array(end_value + np.bincount(owner, weights=values, minlength=len(own)), pa.float64()), pa.array(score_ids(lm, _sequences(batch, ids_type)), pa.float64()),
+                pa.array([list(x) for x in found], pa.list_(pa.binary())), pa.array([list(x.values()) for x in found], pa.list_(pa.int32())),
             ]
-            row += len(texts)
             yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    seen = materialize(docs.select("doc_id", "text").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>"), "scored")
+    seen = materialize(rows.where("ids is not null").select("row", "doc_id", "text", "ids").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>"), "scored")
     rare = seen.select("row", F.explode(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))).alias("r")).select("row", "r.word", "r.times")
     counted = counts.where(F.col("word").isNotNull() & (F.col("n") < floor))
     added = rare.join(counted.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("extra"))
@@ -464,30 +571,42 @@ def _vector(n: float, x: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([n], pa.float64()), pa.array([x.astype("<f8").tobytes()], pa.binary())], names=["n", "x"])
 
 
-def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column("ids")]
+def _sequences(batch: pa.RecordBatch, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in batch.column("ids").to_pylist()]
 
 
-def neighbours_of_all(rows: DataFrame, size: int) -> np.ndarray:
-    """``neighbours`` over the ``ids`` (ranks) of all rows."""
+def neighbours_of_all(rows: DataFrame, rank: np.ndarray, size: int) -> np.ndarray:
+    """``neighbours`` over the ``ids`` of all rows; ``rank`` gives each id's rank."""
+    shared, kind = rows.sparkSession.sparkContext.broadcast(rank), _id_type(len(rank) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near = np.zeros((size, 2 * KINDS))
+        near, of = np.zeros((size, 2 * KINDS)), shared.value
         for batch in small_batches(batches, column="ids"):
-            near += neighbours(_sequences(batch), size)
+            near += neighbours([of[s] for s in _sequences(batch, kind)], size)
         yield _vector(1.0, near.ravel())
 
     _, near = summed(rows.select("ids").mapInArrow(count, "n double, x binary"))
     return near.reshape(size, 2 * KINDS) if len(near) else np.zeros((size, 2 * KINDS))
 
 
-def learn_rows(rows: DataFrame, model: AttentionModel, slot_of: np.ndarray, rate: float = 0.01, held: int = 8192) -> None:
-    """Train ``model`` on every window of the ``ids`` (ranks; ``slot_of`` gives their slots) of all rows, in ROUNDS rounds by ``part``."""
-    spark, names = rows.sparkSession, list(model.params)
+def _gradients_of(p: dict, inputs: np.ndarray, targets: np.ndarray, part: int = 128) -> dict[str, np.ndarray]:
+    """``_gradients`` of a batch, ``part`` windows at a time, as many as stay in a core's cache."""
+    real, total = max(1, int((targets >= 0).sum())), {}
+    for lo in range(0, len(inputs), part):
+        own = targets[lo : lo + part]
+        _, g = _gradients(p, inputs[lo : lo + part], own)
+        share = np.float32((own >= 0).sum() / real)
+        total = {name: total[name] + share * g[name] if total else share * g[name] for name in g}
+    return total
+
+
+def learn_rows(rows: DataFrame, model: AttentionModel, rate: float = 0.01, held: int = 8192) -> None:
+    """Train ``model`` on every window of the ``ids`` of all rows, in ROUNDS rounds by ``part``."""
+    spark, names, kind = rows.sparkSession, list(model.params), _id_type(len(model.slot) - 1)
     shapes = [model.params[n].shape for n in names]
     edges = np.cumsum([0] + [int(np.prod(s)) for s in shapes])
     for part in range(ROUNDS):
-        start, own_rate = spark.sparkContext.broadcast((model.params, slot_of)), rate * (1 - part / ROUNDS)
+        start, own_rate = spark.sparkContext.broadcast((model.params, model.slot)), rate * (1 - part / ROUNDS)
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shared, slots = start.value
@@ -499,13 +618,13 @@ def learn_rows(rows: DataFrame, model: AttentionModel, slot_of: np.ndarray, rate
                 x, y = (np.concatenate(z) for z in zip(*waiting))
                 order, batch = rng.permutation(len(x)), int(np.clip(len(x) // 16, 32, 512))
                 for at in np.array_split(order, -(-len(x) // batch)):
-                    _, g = _gradients(p, x[at], y[at])
+                    g = _gradients_of(p, x[at], y[at])
                     adam.step([g[n] for n in names])
                 waiting.clear()
                 return len(x)
 
             for batch in small_batches(batches, column="ids"):
-                waiting.append(windows_of([slots[s] for s in _sequences(batch)], model_outside)[:2])
+                waiting.append(windows_of([slots[s] for s in _sequences(batch, kind)], model_outside)[:2])
                 if sum(len(x) for x, _ in waiting) >= held:
                     learned += steps()
             if waiting:
@@ -521,22 +640,10 @@ def learn_rows(rows: DataFrame, model: AttentionModel, slot_of: np.ndarray, rate
         start.unpersist()
 
 
-def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, counts: np.ndarray, max_docs: int, max_windows: int) -> AttentionModel:
-    spark = docs.sparkSession
-    frequent, ranks = frequent_ids(counts, end_id)
-    rank = spark.sparkContext.broadcast(ranks.astype("<u2"))
-
-    def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, of = encoder(tokenizer_path), rank.value
-        end = end_id.to_bytes(4, "little")
-        for batch in small_batches(batches):
-            own = [of[np.frombuffer(raw + end, "<u4")].tobytes() for raw in encode(texts_of(batch))]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("part"), pa.array(own, pa.binary())], names=["k", "part", "ids"])
-
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit("lm")))
-    part = F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int")
-    rows = materialize(docs.where(train_rows).select(key.alias("k"), part.alias("part"), "text").mapInArrow(ids_of, "k long, part int, ids binary"), "train_ids")
-    near = neighbours_of_all(rows, len(frequent))
+def _fit(rows: DataFrame, end_id: int, counts: np.ndarray, max_docs: int, max_windows: int) -> AttentionModel:
+    rows, kind = rows.where("part is not null"), _id_type(end_id)
+    frequent, rank = frequent_ids(counts, end_id)
+    near = neighbours_of_all(rows, rank, len(frequent))
 
     keyed = rows.where("k is not null").select("k", "ids")
     cut = hash_cut(keyed.select("k"), max_docs)
@@ -544,16 +651,14 @@ def _fit(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
 
     def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, column="ids"):
-            own, rng = _sequences(batch), np.random.default_rng(batch.num_rows)
+            own, rng = _sequences(batch, kind), np.random.default_rng(batch.num_rows)
             at = [int(rng.integers(0, max(1, len(x) - most + 1))) for x in own]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array([x[a : a + most].tobytes() for x, a in zip(own, at)], pa.binary())], names=["k", "ids"])
 
     sequences: list[np.ndarray] = []
     if cut is not None:
         got = keyed.where(F.col("k") <= cut).mapInArrow(stretch, "k long, ids binary").dropDuplicates(["k"]).orderBy("k").limit(max_docs).toPandas()
-        sequences = [np.frombuffer(x, "<u2") for x in got["ids"]]
-    # an id for every rank: those beyond the frequent ones share a slot, so any of them will do
-    id_of = np.append(frequent, np.setdiff1d(np.arange(len(counts)), frequent)[:1])
-    model = train([id_of[s] for s in sequences], counts, end_id, max_windows, near=near)
-    learn_rows(rows, model, model.slot[id_of])
+        sequences = [np.frombuffer(x, kind) for x in got["ids"]]
+    model = train(sequences, counts, end_id, max_windows, near=near)
+    learn_rows(rows, model)
     return model

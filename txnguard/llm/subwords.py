@@ -170,17 +170,22 @@ def encoder(path: str, table_bytes: int = _TABLE_BYTES) -> Callable[[list[str]],
         words.put(new, [*made, b"".join(own)])
         parts.age()
 
-    def encode(texts: list[str]) -> list[bytes]:
-        """Call it with slices of ``small_batches``: the new words of a call are held at once."""
-        split_texts = [t.encode().split() for t in texts]
-        new = words.missing(set().union(*split_texts))
+    def looked_up(asked: set[bytes], out: Callable[[dict[bytes, bytes]], list[bytes]]) -> list[bytes]:
+        new = words.missing(asked)
         if new:
             learn_words(new)
         table = words.young
-        out = [b"".join(map(table.__getitem__, own)) for own in split_texts]
+        found = out(table)
         for w in [w for w in new if len(w) > _LONG]:
             words.held -= _ENTRY + len(w) + len(table.pop(w))
         words.age()
-        return out
+        return found
+
+    def encode(texts: list[str]) -> list[bytes]:
+        """Call it with slices of ``small_batches``: the new words of a call are held at once."""
+        split_texts = [t.encode().split() for t in texts]
+        return looked_up(set().union(*split_texts), lambda table: [b"".join(map(table.__getitem__, own)) for own in split_texts])
 
+    # the same for words without white space, already split
+    encode.words = lambda own: looked_up(set(own), lambda table: list(map(table.__getitem__, own)))
     return encode
