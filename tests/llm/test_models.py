@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -403,6 +404,50 @@ def test_gradients_of_parts_add_up_and_stand_large_logits():
         assert np.isfinite(g).all() and np.abs(g - exact[name]).max() < 0.01 * max(1, np.abs(exact[name]).max()), name
 
 
+def test_powers_are_exact_enough_and_stand_any_logits():
+    rng = np.random.default_rng(4)
+    y = rng.uniform(-60, 60, (700, 65)).astype(np.float32)
+    y[0] = 0
+    got = A._powers(y.copy())
+    assert np.abs(got / np.exp2(y.astype(np.float64)) - 1).max() < 1e-6 and (got[0] == 1).all()
+    far = A._powers(A._level(np.array([[3000, 2999, -5000], [1, 2, 3]], dtype=np.float32)))
+    assert np.allclose(far / far.sum(axis=1, keepdims=True), [[2 / 3, 1 / 3, 0], [1 / 7, 2 / 7, 4 / 7]], atol=1e-6)
+
+
+def test_steep_parameters_have_the_gradients_of_double_precision():
+    sequences = some_sequences(40, seed=5)
+    model = small_model(sequences)
+    inputs, targets, _ = A.windows_of([model.slot[s] for s in sequences], model.outside)
+    steep = {k: 60 * v for k, v in model.params.items()}
+    exact = A._gradients({k: v.astype(np.float64) for k, v in steep.items()}, inputs, targets)[1]
+    for name, g in A._gradients(steep, inputs, targets)[1].items():
+        assert g.dtype == np.float32 and np.abs(g - exact[name]).max() < 1e-4 * max(1, np.abs(exact[name]).max()), name
+
+
+def test_words_are_split_as_bytes_are_and_looked_up_once_a_batch():
+    texts = ["", " \t", "a\x1cb\x0b c\r\nd", " é\u2003y\x85z \x0c", "the The the", "the end " * 5000]
+    per, words = A.words_of(pa.array(texts))
+    own = [t.encode().split() for t in texts]
+    assert per.tolist() == [len(x) for x in own] and [w.encode() for w in words.to_pylist()] == [w for x in own for w in x]
+    encode, asked = A._Encoder(public_tokenizers.path("word_bpe_49k.json"), 49407), []
+
+    class Counted(A._Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word) if word in self else self.__missing__(word)
+
+    encode.words = Counted()
+    whole = encoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids = encode.ids_of(pa.array(texts), np.ones(len(texts), dtype=bool))
+    assert [np.frombuffer(x, "<u2").tolist() for x in ids] == [[*np.frombuffer(x, "<u4").tolist(), 49407] for x in whole(texts)]
+    assert sorted(asked) == sorted({w for x in own for w in x})
+    found, times = encode.dropped(all_=True)
+    want, got = Counter(w for t in texts for w in [*t.encode().lower().split(), None]), Counter()
+    for word, n in zip(found, times):
+        got[word] += n
+    assert got == want
+
+
 # --- subwords ----------------------------------------------------------------------------------
 
 

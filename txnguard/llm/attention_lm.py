@@ -1,8 +1,8 @@
 """Language-model scores by a causal self-attention model on subword ids, in numpy.
 
 Statistics: one reading of the corpus writes every document's subword ids and counts
-words and ids over all training documents. They give the base model (add-one
-unigrams) and the frequencies that order the model's vocabulary. The words with at least ``floor`` occurrences, ``broadcast_words`` at
+words and ids over all training documents; Arrow splits the texts, so each batch looks
+up a word once. They give the base model (add-one unigrams) and the frequencies that order the model's vocabulary. The words with at least ``floor`` occurrences, ``broadcast_words`` at
 most, are broadcast; rarer words join their counts in a shuffle.
 
 Model: one layer of causal attention with learned positions and a skip path. The
@@ -31,10 +31,8 @@ are ordered by id. Other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import hash_cut, materialize, small_batches, texts_of
+from txnguard.llm.common import hash_cut, materialize, small_batches
 from txnguard.llm.linear import Adam
 from txnguard.llm.subwords import encoder
 
@@ -53,8 +51,9 @@ WIDTH = 16
 CLUSTERS, CLUSTER = 64, 36
 KINDS = 128  # the most frequent ids, next to which all others are counted
 ROUNDS = 4
-LN10 = float(np.log(10.0))
-_MASK = np.where(np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None], np.float32(0), np.float32(-1e9))
+LN10, LOG2E = float(np.log(10.0)), float(np.log2(np.e))
+_SEEN = (np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]).astype(np.float32)
+_MASK = np.where(_SEEN > 0, np.float32(0), np.float32(-1e9))
 
 
 @dataclass
@@ -106,49 +105,97 @@ def windows_of(sequences: list[np.ndarray], outside: int) -> tuple[np.ndarray, n
 
 
 @dataclass
-class _Fast:
-    """The parameters laid out for scoring: joint projections, and biases and sums as further rows and columns.
+class _Laid:
+    """The parameters laid out for a batch: projections of every id and place by all four matrices at once, a column
+    of ones behind the values, and the output layers with their biases as further rows. Logits are to base 2.
 
-    ``clip``: whether a logit could overflow an exponential at all. The state is at most 1 in size and the
-    inputs are rows of known length, so bounds on all logits follow from the parameters.
+    ``mixing``: the values are those after ``mix``, which is all that scoring asks for. ``flat``: the output logits
+    can't overflow an exponential: the state is at most 1 in size, so a bound on them follows from the parameters.
+    ``steep``: sums of so large terms that their rounding in single precision would show in the gradients.
     """
 
-    keys_values: np.ndarray
-    queries_skip: np.ndarray
+    table: np.ndarray
+    places: np.ndarray
     top: np.ndarray
     low: np.ndarray
-    clip: bool
+    flat: bool
+    steep: bool
 
     @staticmethod
-    def of(p: dict) -> _Fast:
+    def of(p: dict, mixing: bool = False) -> _Laid:
+        kind, w = p["embed"].dtype, WIDTH
+        scale = kind.type(LOG2E)
+        joint = np.hstack([p["k"], p["v"] @ p["mix"] if mixing else p["v"], np.zeros((w, 1), kind), p["q"] * scale, p["skip"]])
+        places = p["place"] @ joint
+        places[:, 2 * w] = 1
+        places[:, _SKIP] += p["bias"]
         top = np.vstack([p["top"], p["top_bias"]])
         low = np.concatenate([p["low"], p["low_bias"][:, None]], axis=1)
-        reach = np.linalg.norm(p["embed"], axis=1).max() + np.linalg.norm(p["place"], axis=1).max()
-        largest = max(np.abs(top).sum(axis=0).max(), np.abs(low).sum(axis=1).max(), reach**2 * np.linalg.norm(p["q"] @ p["k"].T, 2))
-        return _Fast(np.hstack([p["k"], p["v"]]), np.hstack([p["q"], p["skip"]]), top, low, bool(largest > 80))
+        flat = max(np.abs(top).sum(axis=0).max(), np.abs(low).sum(axis=1).max()) < 70
+        table = p["embed"] @ joint
+        return _Laid(table, places, top * scale, low * scale, bool(flat), bool(max(np.abs(table).max(), np.abs(places).max()) > 512))
 
 
-def _exp(z: np.ndarray, clip: bool) -> np.ndarray:
-    if clip:
-        np.minimum(z, 80, out=z)
-    return np.exp(z, out=z)
+_K, _V, _V_ONE, _Q, _SKIP = (slice(a * WIDTH + c, b * WIDTH + d) for a, c, b, d in ((0, 0, 1, 0), (1, 0, 2, 0), (1, 0, 2, 1), (2, 1, 3, 1), (3, 1, 4, 1)))
+_CLUSTER_OF = np.append(np.arange(CLUSTERS * CLUSTER + 1) // CLUSTER, CLUSTERS + 1).astype(np.uint8)  # of each slot; the last is that of -1
 
 
-def _state_only(p: dict, fast: _Fast, inputs: np.ndarray) -> np.ndarray:
-    """``_state``'s last value, flat and with a column of ones, in fewer passes."""
-    n = len(inputs)
-    x = p["embed"][inputs]
-    x += p["place"]
-    both, own = x @ fast.keys_values, x[:, CONTEXT:] @ fast.queries_skip
-    values = np.ones((n, WINDOW, WIDTH + 1), dtype=np.float32)
-    values[..., :WIDTH] = both[..., WIDTH:]
-    a = own[..., :WIDTH] @ both[..., :WIDTH].transpose(0, 2, 1)
-    a += _MASK
-    mixed = (_exp(a, fast.clip) @ values).reshape(-1, WIDTH + 1)  # the last column is the sum
-    h = np.ones((len(mixed), WIDTH + 1), dtype=np.float32)
-    z = (mixed[:, :WIDTH] / mixed[:, WIDTH:]) @ p["mix"]
-    z += own[..., WIDTH:].reshape(-1, WIDTH)
-    z += p["bias"]
+def _level(y: np.ndarray, flat: bool = False, mask: np.ndarray | None = None) -> np.ndarray:
+    """Rows of logits to base 2, lowered in place by their largest value where a power of some could overflow or vanish."""
+    if not flat and y.size and max(y.max(), -y.min()) > 100:
+        if mask is not None:
+            y += mask
+        y -= y.max(axis=-1, keepdims=True)
+        np.maximum(y, -120, out=y)
+    return y
+
+
+def _powers(y: np.ndarray) -> np.ndarray:
+    """2 to the values of a ``_level`` array, in place.
+
+    Single precision: numpy has no vector code for exponentials on every CPU, so a polynomial gives the fraction's square
+    root, within 1e-7 and exact at 0, and the whole part goes to the exponent's bits.
+    """
+    if y.dtype != np.float32:
+        np.exp2(y, out=y)
+    else:
+        every = y.reshape(-1)
+        wholes, roots, shifts = np.empty(_CACHED, np.float32), np.empty(_CACHED, np.float32), np.empty(_CACHED, np.int32)
+        for lo in range(0, len(every), _CACHED):
+            part = every[lo : lo + _CACHED]
+            whole, root, shift = wholes[: len(part)], roots[: len(part)], shifts[: len(part)]
+            np.rint(part, out=whole)
+            part -= whole
+            np.multiply(part, _ROOT[0], out=root)
+            for c in _ROOT[1:-1]:
+                root += c
+                root *= part
+            root += _ROOT[-1]
+            np.square(root, out=part)
+            np.copyto(shift, whole, casting="unsafe")
+            shift <<= 23
+            raised = part.view(np.int32)
+            raised += shift
+    return y
+
+
+_CACHED = 1 << 15  # logits at a time, whose steps stay in a core's cache
+_ROOT = [np.float32(c) for c in (0.000600624647, 0.00695082893, 0.0600568452, 0.34657282, 1)]  # of 2 ** (x / 2), x from -0.5 to 0.5
+
+
+def _attention(laid: _Laid, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Projections of the inputs, attention times its rows' sums, and the values mixed by it with these sums behind."""
+    a = laid.table.take(inputs, axis=0, mode="clip")
+    a += laid.places
+    e = _powers(_level(a[:, CONTEXT:, _Q] @ a[..., _K].transpose(0, 2, 1), mask=_MASK))
+    e *= _SEEN
+    return a, e, (e @ a[..., _V_ONE]).reshape(-1, WIDTH + 1)
+
+
+def _state(z: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The state of every target from what attention adds, with a column of ones that carries the biases."""
+    z += a[:, CONTEXT:, _SKIP].reshape(-1, WIDTH)
+    h = np.ones((len(z), WIDTH + 1), dtype=z.dtype)
     np.tanh(z, out=h[:, :WIDTH])
     return h
 
@@ -156,32 +203,34 @@ def _state_only(p: dict, fast: _Fast, inputs: np.ndarray) -> np.ndarray:
 _ONES = np.ones(CLUSTERS + 1, dtype=np.float32)
 
 
-def log_probs(model: AttentionModel, inputs: np.ndarray, targets: np.ndarray, batch: int = 384) -> np.ndarray:
+def log_probs(model: AttentionModel, inputs: np.ndarray, targets: np.ndarray, batch: int = 256) -> np.ndarray:
     """Natural-log probability of each target slot; 0 where there is none."""
-    p, fast = model.params, _Fast.of(model.params)
+    laid = _Laid.of(model.params, mixing=True)
     out = np.zeros(targets.shape, dtype=np.float32)
     for lo in range(0, len(inputs), batch):
         order, y, cluster, edges = _by_cluster(targets[lo : lo + batch])
-        h = _state_only(p, fast, inputs[lo : lo + batch])[order]
+        a, _, mixed = _attention(laid, inputs[lo : lo + batch])
+        h = _state(mixed[:, :WIDTH] / mixed[:, WIDTH:], a)[order]
         at, inside = np.arange(len(y)), edges[CLUSTERS]
-        z = h @ fast.top
-        got = z[at, cluster]
-        sums = _exp(z, fast.clip) @ _ONES
-        z = _inner(h, fast.low, edges)
-        got[:inside] += z[at[:inside], y[:inside] - cluster[:inside] * CLUSTER]
-        sums[:inside] *= _exp(z, fast.clip) @ _ONES[:CLUSTER]
-        out[lo : lo + batch].ravel()[order] = got - np.log(sums)
+        z = h @ laid.top
+        got = _level(z, laid.flat)[at, cluster]
+        got -= np.log2(_powers(z) @ _ONES)
+        z = _inner(h, laid.low, edges)
+        got[:inside] += _level(z, laid.flat)[at[:inside], y[:inside] - cluster[:inside] * CLUSTER]
+        got[:inside] -= np.log2(_powers(z) @ _ONES[:CLUSTER])
+        out[lo : lo + batch].ravel()[order] = got / LOG2E
     return out
 
 
 def _by_cluster(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
     """Places of the targets in order of their clusters, so that each one's rows are one slice; their slots, clusters and the slices' edges."""
     y = targets.ravel()
-    cluster = np.where(y >= 0, y // CLUSTER, CLUSTERS + 1).astype(np.uint8)
+    cluster = _CLUSTER_OF[y]
     order = np.argsort(cluster, kind="stable")
-    edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 2)).tolist()
+    cluster = cluster[order]
+    edges = np.searchsorted(cluster, np.arange(CLUSTERS + 2, dtype=np.uint8)).tolist()
     order = order[: edges[-1]]
-    return order, y[order], cluster[order].astype(np.int32), edges
+    return order, y[order], cluster[: edges[-1]].astype(np.int32), edges
 
 
 def _inner(h: np.ndarray, low: np.ndarray, edges: list[int]) -> np.ndarray:
@@ -193,53 +242,38 @@ def _inner(h: np.ndarray, low: np.ndarray, edges: list[int]) -> np.ndarray:
     return z
 
 
-def _exp_rows(z: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
-    """Exponentials of rows of logits, in place; a row is shifted by its largest value only where some could overflow or vanish."""
-    shift = z.size and max(z.max(), -z.min()) > 80
-    if mask is not None:
-        z += mask
-    if shift:
-        z -= z.max(axis=-1, keepdims=True)
-    return np.exp(z, out=z)
-
-
-def _gradients(p: dict, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean negative log-likelihood of the slots, and its gradients."""
+def _gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, laid: _Laid | None = None, with_loss: bool = True) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean negative log-likelihood of the slots (0 unless asked for), and its gradients."""
     n, w, kind = len(inputs), WIDTH, p["embed"].dtype
     flat = lambda t: t.reshape(-1, t.shape[-1])
-    joint = np.hstack([p["k"], p["v"], p["q"], p["skip"]])
-    x = p["embed"].take(inputs, axis=0)
-    x += p["place"]
-    all_ = (flat(x) @ joint).reshape(n, WINDOW, 4 * w)
-    k, v, q = all_[..., :w], all_[..., w : 2 * w], all_[:, CONTEXT:, 2 * w : 3 * w]
-    e = _exp_rows(q @ k.transpose(0, 2, 1), _MASK)  # attention times its row's sum
-    inverse = 1 / (flat(e) @ np.ones(WINDOW, kind))[:, None]
-    mixed = flat(e @ v)
-    mixed *= inverse
-    h = np.ones((len(mixed), w + 1), dtype=kind)  # the last column carries the biases
-    z = mixed @ p["mix"]
-    z += all_[:, CONTEXT:, 3 * w :].reshape(-1, w)
-    z += p["bias"]
-    np.tanh(z, out=h[:, :w])
-
-    g = {}
+    laid = laid or _Laid.of(p)
+    if laid.steep and kind == np.float32:
+        loss, g = _gradients({name: v.astype(np.float64) for name, v in p.items()}, inputs, targets, with_loss=with_loss)
+        return loss, {name: v.astype(kind) for name, v in g.items()}
+    a, e, mixed = _attention(laid, inputs)
+    inverse = 1 / mixed[:, w:]
+    mixed = mixed[:, :w] * inverse
+    h = _state(mixed @ p["mix"], a)
+
+    g, loss = {}, 0.0
     order, y, cluster, edges = _by_cluster(targets)
     at, inside, real = np.arange(len(y)), edges[CLUSTERS], max(1, len(y))
     own = h[order]
-    z = _exp_rows(own @ np.vstack([p["top"], p["top_bias"]]))
+    z = _powers(_level(own @ laid.top, laid.flat))
     z *= (1 / (real * (z @ np.ones(z.shape[1], kind))))[:, None]
-    loss = -np.log(z[at, cluster] * real + 1e-20).sum()
+    if with_loss:
+        loss -= np.log(z[at, cluster] * real + 1e-20).sum()
     z[at, cluster] -= kind.type(1 / real)
     top = own.T @ z
     g["top"], g["top_bias"] = top[:w], top[w]
     dh = z @ p["top"].T
-    low = np.concatenate([p["low"], p["low_bias"][:, None]], axis=1)
-    z = _exp_rows(_inner(own, low, edges))
+    z = _powers(_level(_inner(own, laid.low, edges), laid.flat))
     z *= (1 / (real * (z @ np.ones(CLUSTER, kind))))[:, None]
     at, member = at[:inside], y[:inside] - cluster[:inside] * CLUSTER
-    loss -= np.log(z[at, member] * real + 1e-20).sum()
+    if with_loss:
+        loss -= np.log(z[at, member] * real + 1e-20).sum()
     z[at, member] -= kind.type(1 / real)
-    inner, back = np.zeros_like(low), np.empty((inside, w), dtype=kind)
+    inner, back = np.zeros_like(laid.low), np.empty((inside, w), dtype=kind)
     for c in range(CLUSTERS):
         rows = slice(edges[c], edges[c + 1])
         if rows.stop > rows.start:
@@ -248,28 +282,38 @@ def _gradients(p: dict, inputs: np.ndarray, targets: np.ndarray) -> tuple[float,
     g["low"], g["low_bias"] = inner[:, :w], inner[:, w]
     dh[:inside] += back
 
+    own = own[:, :w]
+    dh *= 1 - own * own
     dz = np.zeros((len(h), w), dtype=kind)
-    dh *= 1 - own[:, :w] ** 2
     dz[order] = dh
     g["bias"], g["mix"] = np.ones(len(dz), kind) @ dz, mixed.T @ dz
     dmixed = dz @ p["mix"].T
     dmixed *= inverse
-    ds = dmixed.reshape(n, -1, w) @ v.transpose(0, 2, 1)
-    ds -= np.einsum("ij,ij->i", dmixed, mixed).reshape(n, -1, 1)
+    ds = dmixed.reshape(n, -1, w) @ a[..., _V].transpose(0, 2, 1)
     ds *= e
-    d = np.zeros_like(all_)
-    d[..., :w] = ds.transpose(0, 2, 1) @ q
-    d[..., w : 2 * w] = e.transpose(0, 2, 1) @ dmixed.reshape(n, -1, w)
-    d[:, CONTEXT:, 2 * w : 3 * w] = ds @ k
+    ds -= e * ((flat(ds) @ np.ones(WINDOW, kind)) * inverse[:, 0]).reshape(n, -1, 1)
+    d = np.empty((n, WINDOW, 4 * w), dtype=kind)
+    np.matmul(ds.transpose(0, 2, 1), a[:, CONTEXT:, _Q], out=d[..., :w])
+    np.matmul(e.transpose(0, 2, 1), dmixed.reshape(n, -1, w), out=d[..., w : 2 * w])
+    np.matmul(ds, a[..., _K], out=d[:, CONTEXT:, 2 * w : 3 * w])
     d[:, CONTEXT:, 3 * w :] = dz.reshape(n, -1, w)
+    d[:, :CONTEXT, 2 * w :] = 0
+    x = p["embed"].take(inputs, axis=0, mode="clip")
+    x += p["place"]
     g["k"], g["v"], g["q"], g["skip"] = np.hsplit(flat(x).T @ flat(d), 4)
-    dx = np.ascontiguousarray((flat(d) @ joint.T).T)
-    g["place"] = dx.reshape(w, n, WINDOW).sum(axis=1).T
-    ids, size = inputs.ravel().astype(np.intp), len(p["embed"])
-    g["embed"] = np.stack([np.bincount(ids, weights=own_dx, minlength=size) for own_dx in dx], axis=1).astype(kind)
+    unscaled = kind.type(1 / LOG2E)  # the queries of ``laid`` are to base 2
+    g["k"] *= unscaled
+    dx = flat(d) @ np.hstack([p["k"] * unscaled, p["v"], p["q"], p["skip"]]).T
+    g["place"] = (np.ones(n, kind) @ dx.reshape(n, -1)).reshape(WINDOW, w)
+    size = len(p["embed"])
+    cells = _CELLS[:size].take(inputs.ravel(), axis=0, mode="clip")
+    g["embed"] = np.bincount(cells.ravel(), weights=dx.ravel(), minlength=size * w).reshape(size, w).astype(kind)
     return float(loss / real), g
 
 
+_CELLS = np.arange((CLUSTERS * CLUSTER + 2) * WIDTH).reshape(-1, WIDTH)
+
+
 def neighbours(ranks: list[np.ndarray], size: int) -> np.ndarray:
     """How often each of ``size`` ids, given by rank, stands before and after each of the first KINDS; further ranks are none."""
     flat = np.concatenate([x for r in ranks for x in (r.astype(np.int64), [size])] or [np.zeros(0, np.int64)])
@@ -341,7 +385,7 @@ def train(sequences: list[np.ndarray], id_counts: np.ndarray, end_id: int, max_w
     for epoch in range(epochs):
         order = rng.permutation(len(inputs))
         for lo in range(0, len(inputs), batch):
-            _, g = _gradients(p, inputs[order[lo : lo + batch]], targets[order[lo : lo + batch]])
+            _, g = _gradients(p, inputs[order[lo : lo + batch]], targets[order[lo : lo + batch]], with_loss=False)
             adam.rate = rate * max(0.05, 1 - adam.t / steps)
             adam.step([g[n] for n in names])
     return model
@@ -362,22 +406,33 @@ def score_ids(model: AttentionModel, sequences: list[np.ndarray]) -> np.ndarray:
 # --- the corpus -----------------------------------------------------------------------
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all of them; what lies between ASCII white space is a word, as for ``bytes.split``."""
+    trimmed = pc.ascii_trim_whitespace(texts)
+    split = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))
+    return pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64), split.flatten()
+
+
+def keep_memory(size: int = 8 << 20) -> None:
+    """Freeing one large block makes malloc keep up to twice its size instead of giving pages back and faulting them in again for each batch."""
+    np.empty(size, dtype=np.uint8)
+
+
 class _Words(dict):
-    """Numbers of words, in the order in which they are met; ``new``: the words that were met since it was emptied."""
+    """Numbers of words, in the order in which they are met, 0 being left to the end; ``new``: the words that were met since it was emptied."""
 
-    def __init__(self, words: list[bytes | None] = ()) -> None:
-        super().__init__(zip(words, range(len(words))))
-        self.new, self.held = [], sum(len(w or b"") for w in words)
+    def __init__(self, words: list[bytes] = ()) -> None:
+        super().__init__(zip(words, range(1, len(words) + 1)))
+        self.new = []
 
-    def __missing__(self, word: bytes | None) -> int:
-        number = self[word] = len(self)
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1
         self.new.append(word)
-        self.held += len(word or b"")
         return number
 
 
 class _Encoder:
-    """Ids of texts, and how often each word and id was learned from; the null word stands for the end.
+    """Ids of texts, and how often each word and id was learned from; word 0 is the end.
 
     Each word is encoded when it is met and then known by a number. Beyond ``most`` words, or ``most_bytes`` of them,
     the less frequent half is dropped and ``dropped`` gives its counts, so a word's counts may come in several parts.
@@ -386,11 +441,12 @@ class _Encoder:
     def __init__(self, tokenizer_path: str, end_id: int, most: int = 200_000, most_bytes: int = 16 << 20):
         self.encode, self.most, self.most_bytes = encoder(tokenizer_path, 16 << 20), most, most_bytes
         self.kind, self.per_id = _id_type(end_id), np.zeros(end_id + 1, dtype=np.int64)
-        self.end = np.array([end_id], dtype="<u4").tobytes()
-        self._keep([], np.zeros(0, np.int64), np.zeros(0, self.kind), np.zeros(0, np.int64))
+        one = np.ones(1, dtype=np.int64)
+        self._keep([], 0 * one, np.full(1, end_id, self.kind), one, 0 * one)
 
-    def _keep(self, words: list, times: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.words, self.times, self.ids, self.lengths = _Words(words), times, ids, lengths
+    def _keep(self, words: list[bytes], times: np.ndarray, ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> None:
+        """``times``, ``lengths`` in ids and ``sizes`` in bytes: of each word, the end first."""
+        self.words, self.times, self.ids, self.lengths, self.sizes = _Words(words), times, ids, lengths, sizes
         self.starts = np.cumsum(lengths) - lengths
 
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -401,43 +457,61 @@ class _Encoder:
         at += np.arange(len(at))
         return self.ids[at], stop
 
-    def ids_of(self, texts: list[str], learned: np.ndarray) -> list[bytes]:
-        own = [t.encode().split() for t in texts]
-        for x in own:
-            x.append(None)
-        per = np.array([len(x) for x in own])
-        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=per.sum())
+    def ids_of(self, texts: pa.Array, learned: np.ndarray) -> list[bytes]:
+        per, words = words_of(texts)
+        words = words.dictionary_encode()
+        own = _listed(words.dictionary)
+        known = np.fromiter(map(self.words.__getitem__, own), dtype=np.int64, count=len(own))
         if new := self.words.new:
-            found = iter(self.encode.words([w for w in new if w is not None]))
-            raw = [self.end if w is None else next(found) for w in new]
+            raw = self.encode.fresh(new)
             lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(raw), "<u4").astype(self.kind)])
             self.lengths = np.concatenate([self.lengths, lengths])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), dtype=np.int64, count=len(new))])
             self.starts = np.cumsum(self.lengths) - self.lengths
             self.times = np.pad(self.times, (0, len(new)))
             new.clear()
+        ends = np.cumsum(per + 1) - 1
+        numbers = np.zeros(len(words) + len(per), dtype=np.int64)
+        is_word = np.ones(len(numbers), dtype=bool)
+        is_word[ends] = False
+        numbers[is_word] = known[words.indices.to_numpy()]
         tokens, stop = self._gather(numbers)
-        edges = np.append(0, stop[np.cumsum(per) - 1])
-        self.times += np.bincount(numbers[np.repeat(learned, per)], minlength=len(self.times))
+        edges = np.append(0, stop[ends])
+        self.times += np.bincount(numbers[np.repeat(learned, per + 1)], minlength=len(self.times))
         self.per_id += np.bincount(tokens[np.repeat(learned, np.diff(edges))], minlength=len(self.per_id))
         return [tokens[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
     @property
     def full(self) -> bool:
-        return len(self.words) > self.most or self.words.held > self.most_bytes
+        return len(self.words) > self.most or self.sizes.sum() > self.most_bytes
 
-    def dropped(self, all_: bool = False) -> dict[bytes | None, int]:
-        words, often = list(self.words), np.zeros(len(self.words), dtype=bool)
+    def dropped(self, all_: bool = False) -> tuple[list[bytes | None], list[int]]:
+        """Words in lower case, the null word standing for the end, and their counts; a word may be there twice."""
+        often = np.zeros(len(self.times), dtype=bool)
         if not all_:
             often[np.argsort(-self.times, kind="stable")[: self.most // 2]] = True
-            often &= (self.times > 1) & np.fromiter((len(w or b"") <= 64 for w in words), dtype=bool, count=len(words))
-        out: dict[bytes | None, int] = {}
-        for i in np.flatnonzero(~often & (self.times > 0)).tolist():
-            word = None if words[i] is None else words[i].lower()
-            out[word] = out.get(word, 0) + int(self.times[i])
+            often &= (self.times > 1) & (self.sizes <= 64)
+            often[0] = True
+        out, words = np.flatnonzero(~often & (self.times > 0)), [b"", *self.words]
+        # no word has white space in it
+        found = b"\n".join([words[i] for i in out.tolist()]).lower().split(b"\n") if len(out) else []
+        if len(out) and out[0] == 0:
+            found[0] = None
+        times = self.times[out].tolist()
+        if all_:
+            often[0] = True
+            self.times[0] = 0
         kept = np.flatnonzero(often)
-        self._keep([words[i] for i in kept.tolist()], self.times[kept], self._gather(kept)[0], self.lengths[kept])
-        return out
+        self._keep([words[i] for i in kept[1:].tolist()], self.times[kept], self._gather(kept)[0], self.lengths[kept], self.sizes[kept])
+        return found, times
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """Words, which hold no white space, as a list; quicker than one by one."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary())), b"\n")[0].as_py().split(b"\n")
 
 
 def _id_type(end_id: int) -> str:
@@ -451,8 +525,8 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], own: _Encoder, row: int)
     def rows(size: int, cols: dict[str, pa.Array]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(size, t) for c, t in types.items()], names=list(types))
 
-    def counted(found: dict, column: str) -> Iterator[pa.RecordBatch]:
-        values, n = list(found), list(found.values())
+    def counted(found: tuple[list, list[int]], column: str) -> Iterator[pa.RecordBatch]:
+        values, n = found
         for lo in range(0, len(n), 1 << 15):
             times = pa.array(n[lo : lo + (1 << 15)], pa.int64())
             yield rows(len(times), {column: pa.array(values[lo : lo + (1 << 15)], types[column]), "n": times})
@@ -460,7 +534,7 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], own: _Encoder, row: int)
     for batch in small_batches(batches):
         types = {"row": pa.int64()} | {f.name: f.type for f in batch.schema} | {"ids": pa.binary(), "word": pa.binary(), "id": pa.int32(), "n": pa.int64()}
         learned = pc.is_valid(batch.column("part")).to_numpy(zero_copy_only=False)
-        ids = pa.array(own.ids_of(texts_of(batch), learned), pa.binary())
+        ids = pa.array(own.ids_of(pc.fill_null(batch.column("text").cast(pa.string()), ""), learned), pa.binary())
         yield rows(batch.num_rows, {f.name: batch.column(f.name) for f in batch.schema} | {"row": pa.array(np.arange(row, row + batch.num_rows), pa.int64()), "ids": ids})
         row += batch.num_rows
         if own.full:
@@ -468,7 +542,7 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], own: _Encoder, row: int)
     if types is not None:
         yield from counted(own.dropped(all_=True), "word")
         at = np.flatnonzero(own.per_id)
-        yield from counted(dict(zip(at.tolist(), own.per_id[at].tolist())), "id")
+        yield from counted((at.tolist(), own.per_id[at].tolist()), "id")
 
 
 def encoded(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int, most_words: int = 200_000) -> DataFrame:
@@ -517,23 +591,26 @@ def score(docs: DataFrame, train_rows: Column, tokenizer_path: str, end_id: int,
     top = counts.where(F.col("word").isNotNull() & (F.col("n") >= floor)).toPandas()  # broadcast_words rows at most
 
     model = spark.sparkContext.broadcast(_fit(rows, end_id, id_counts(rows, end_id), max_docs, max_windows))
-    known = spark.sparkContext.broadcast(dict(zip(map(bytes, top["word"]), np.log10(top["n"].to_numpy() + 1.0).tolist())))
+    frequent = pa.array(map(bytes, top["word"]), pa.binary()).cast(pa.string())
+    known = spark.sparkContext.broadcast((frequent, np.append(np.log10(top["n"].to_numpy() + 1.0), 0.0)))
     end_value, whole, ids_type = float(np.log10(ends + 1.0)), bool(ends), _id_type(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value, lm = known.value, model.value
+        (frequent, value), lm = known.value, model.value
+        keep_memory()
         for batch in small_batches(batches):
-            own = [t.encode().lower().split() for t in texts_of(batch)]
-            per, words = np.array([len(x) for x in own]), list(chain.from_iterable(own))
-            values = np.fromiter(map(value.get, words, repeat(0.0)), dtype=np.float64, count=len(words))  # a known word's value is over 0
-            owner, unknown = np.repeat(np.arange(len(own)), per), np.flatnonzero(values == 0)
-            n_unknown = np.bincount(owner[unknown], minlength=len(own))
-            stop = np.cumsum(n_unknown)
-            found = [Counter(map(words.__getitem__, unknown[a:b].tolist())) for a, b in zip((stop - n_unknown).tolist(), stop.tolist())]
+            per, words = words_of(pc.ascii_lower(batch.column("text").cast(pa.string())))
+            place = pc.fill_null(pc.index_in(words, value_set=frequent), len(frequent)).to_numpy()
+            owner, unknown = np.repeat(np.arange(len(per)), per), np.flatnonzero(place == len(frequent))
+            n_unknown = np.bincount(owner[unknown], minlength=len(per))
+            found = words.take(pa.array(unknown)).dictionary_encode()
+            cells, times = np.unique(owner[unknown] * max(1, len(found.dictionary)) + found.indices.to_numpy(), return_counts=True)
+            of, word = np.divmod(cells, max(1, len(found.dictionary)))
+            edges = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(per)))), pa.int32())
             cols = [
                 batch.column("row"), batch.column("doc_id"), pa.array(per + 1, pa.int64()), pa.array(per - n_unknown + whole, pa.int64()),
-                pa.array(end_value + np.bincount(owner, weights=values, minlength=len(own)), pa.float64()), pa.array(score_ids(lm, _sequences(batch, ids_type)), pa.float64()),
-                pa.array([list(x) for x in found], pa.list_(pa.binary())), pa.array([list(x.values()) for x in found], pa.list_(pa.int32())),
+                pa.array(end_value + np.bincount(owner, weights=value[place], minlength=len(per)), pa.float64()), pa.array(score_ids(lm, _sequences(batch, ids_type)), pa.float64()),
+                pa.ListArray.from_arrays(edges, found.dictionary.cast(pa.binary()).take(pa.array(word))), pa.ListArray.from_arrays(edges, pa.array(times, pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare", "times"])
 
@@ -589,12 +666,12 @@ def neighbours_of_all(rows: DataFrame, rank: np.ndarray, size: int) -> np.ndarra
     return near.reshape(size, 2 * KINDS) if len(near) else np.zeros((size, 2 * KINDS))
 
 
-def _gradients_of(p: dict, inputs: np.ndarray, targets: np.ndarray, part: int = 128) -> dict[str, np.ndarray]:
+def _gradients_of(p: dict, inputs: np.ndarray, targets: np.ndarray, part: int = 256) -> dict[str, np.ndarray]:
     """``_gradients`` of a batch, ``part`` windows at a time, as many as stay in a core's cache."""
-    real, total = max(1, int((targets >= 0).sum())), {}
+    real, total, laid = max(1, int((targets >= 0).sum())), {}, _Laid.of(p)
     for lo in range(0, len(inputs), part):
         own = targets[lo : lo + part]
-        _, g = _gradients(p, inputs[lo : lo + part], own)
+        _, g = _gradients(p, inputs[lo : lo + part], own, laid, with_loss=False)
         share = np.float32((own >= 0).sum() / real)
         total = {name: total[name] + share * g[name] if total else share * g[name] for name in g}
     return total
@@ -610,6 +687,7 @@ def learn_rows(rows: DataFrame, model: AttentionModel, rate: float = 0.01, held:
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shared, slots = start.value
+            keep_memory()
             p = {n: v.copy() for n, v in shared.items()}
             adam, rng = Adam([p[n] for n in names], own_rate), np.random.default_rng(TaskContext.get().partitionId())
             waiting, learned = [], 0

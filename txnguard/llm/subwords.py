@@ -19,7 +19,7 @@ next task; they hold 96 MB at most, whatever words come.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 _TABLE_BYTES = 64 << 20  # of words, and half as much of parts of words, that a worker remembers
@@ -135,17 +135,18 @@ def encoder(path: str, table_bytes: int = _TABLE_BYTES) -> Callable[[list[str]],
         stop = ranks == 10
         return cut(known[ranks[~stop]], np.cumsum(~stop)[stop])
 
-    def learn_words(new: list[bytes]) -> None:
+    def encoded(new: list[bytes]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+        """Distinct words and their ids, by kinds of words."""
         text = b"\n".join(new).decode()
         if odd.search(text):
             special = [w for w in new if odd.search(w.decode())]
-            words.put(special, [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for w in special])
+            yield special, [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for w in special]
             new = list(set(new).difference(special))
             text = b"\n".join(new).decode()
         whole = "\n".join(latin_words.findall(text))
         if whole:
             keys = whole.encode().split(b"\n")
-            words.put(keys, latin_ids(whole.lower()))
+            yield keys, latin_ids(whole.lower())
             new = list(set(new).difference(keys))
             text = b"\n".join(new).decode()
         if not new:
@@ -167,13 +168,21 @@ def encoder(path: str, table_bytes: int = _TABLE_BYTES) -> Callable[[list[str]],
                 own = []
             else:
                 own.append(table[part])
-        words.put(new, [*made, b"".join(own)])
+        yield new, [*made, b"".join(own)]
         parts.age()
 
+    def fresh(new: list[bytes]) -> list[bytes]:
+        """The ids of distinct words without white space, which are not looked up before nor remembered."""
+        table: dict[bytes, bytes] = {}
+        for keys, raw in encoded(new):
+            table.update(zip(keys, raw, strict=True))
+        return list(map(table.__getitem__, new))
+
     def looked_up(asked: set[bytes], out: Callable[[dict[bytes, bytes]], list[bytes]]) -> list[bytes]:
         new = words.missing(asked)
         if new:
-            learn_words(new)
+            for keys, raw in encoded(new):
+                words.put(keys, raw)
         table = words.young
         found = out(table)
         for w in [w for w in new if len(w) > _LONG]:
@@ -186,6 +195,5 @@ def encoder(path: str, table_bytes: int = _TABLE_BYTES) -> Callable[[list[str]],
         split_texts = [t.encode().split() for t in texts]
         return looked_up(set().union(*split_texts), lambda table: [b"".join(map(table.__getitem__, own)) for own in split_texts])
 
-    # the same for words without white space, already split
-    encode.words = lambda own: looked_up(set(own), lambda table: list(map(table.__getitem__, own)))
+    encode.fresh = fresh
     return encode
